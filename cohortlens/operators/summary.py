@@ -1,11 +1,19 @@
 """Per-scope metrics (A1, A5-A11, A14) and the stage table.
 
-Everything scalar about a scope comes from ONE grouped aggregation of the fact
-table by ``scope`` with fixed-width sums (a partial aggregation per map task,
-then at most one row per task and scope crosses the shuffle).  The result is a
-single wide row per scope; the stage table and the coverage grid are
-``inline`` explodes of that row, so zero cells exist without any join to a
-dimension product.
+Everything scalar about a scope comes from grouped aggregations by ``scope``
+with fixed-width sums (a partial aggregation per map task, then at most one
+row per task and scope crosses the shuffle):
+
+* entity side  -> known ids and ids per stage (``stage_mask`` bits),
+* event side   -> event count and coverage cells (``cov_mask`` bits),
+* regimen side -> active and multi-modality ids per stage, summed from the
+  already tiny regimen counts.
+
+They are joined on ``scope`` into one wide row per scope; the stage table and
+the coverage grid are ``inline`` explodes of that row, so zero cells exist
+without any join to a dimension product.  Keeping the sides separate lets a
+query that needs only the stage sizes (regimen percentages) avoid a second
+pass over the events.
 """
 
 from __future__ import annotations
@@ -31,35 +39,63 @@ def unknown_counts(unknown: DataFrame, spec: CohortSpec) -> DataFrame:
     )
 
 
+def entity_metrics(ent: DataFrame, spec: CohortSpec) -> DataFrame:
+    """A1 + A8 per registry scope from the entity rollup (or the fact table)."""
+    aggs = [F.count("stage_mask").alias("known_patients")]
+    for i in range(len(spec.stages)):
+        aggs.append(_zero(F.sum(bit_value(F.col("stage_mask"), i))).alias(f"patients_{i}"))
+    # An empty 'all' row so the whole-population scope exists even with no input.
+    seed = ent.sparkSession.range(1).select(F.lit(ALL_SCOPE).alias("scope"))
+    rows = ent.select("scope", "stage_mask").unionByName(seed, allowMissingColumns=True)
+    return rows.groupBy("scope").agg(*aggs).where((F.col("known_patients") > 0) | (F.col("scope") == ALL_SCOPE))
+
+
+def event_metrics(ev: DataFrame, spec: CohortSpec) -> DataFrame:
+    """A9 + coverage cell counts per scope from the event rollup (or the fact table)."""
+    n_heat = len(spec.heatmap)
+    aggs = [_zero(F.sum("n_events")).alias("treatment_events")]
+    if spec.cells_fit_one_mask():
+        for s in range(len(spec.stages)):
+            for h in range(n_heat):
+                aggs.append(_zero(F.sum(bit_value(F.col("cov_mask"), s * n_heat + h))).alias(f"cov_{s}_{h}"))
+    return ev.groupBy("scope").agg(*aggs)
+
+
+def set_metrics(regimen_counts: DataFrame, spec: CohortSpec) -> DataFrame:
+    """A5 + A6 per scope and stage, summed from the (tiny) regimen counts."""
+    aggs = []
+    for i, st in enumerate(spec.stages):
+        in_stage = F.col("stage") == F.lit(st.code)
+        aggs.append(_zero(F.sum(F.when(in_stage, F.col("n")))).alias(f"active_{i}"))
+        multi = in_stage & (F.bit_count(F.col("mask")) >= 2)
+        aggs.append(_zero(F.sum(F.when(multi, F.col("n")))).alias(f"multimodal_{i}"))
+    return regimen_counts.groupBy("scope").agg(*aggs)
+
+
+def core_metrics(ent_m: DataFrame, set_m: DataFrame, spec: CohortSpec) -> DataFrame:
+    """Registry scopes with stage sizes and active / multi-modality counts."""
+    out = ent_m.join(set_m, "scope", "left")
+    for i in range(len(spec.stages)):
+        out = out.withColumn(f"active_{i}", _zero(F.col(f"active_{i}"))).withColumn(
+            f"multimodal_{i}", _zero(F.col(f"multimodal_{i}"))
+        )
+    return out
+
+
 def scope_metrics(
-    fact: DataFrame,
+    core: DataFrame,
+    ev_m: DataFrame,
     unknown: DataFrame,
     spec: CohortSpec,
     unknown_override: int | None = None,
 ) -> DataFrame:
-    """One row per scope (``all`` plus every registry year)."""
-    n_heat = len(spec.heatmap)
-    aggs = [
-        F.count("stage_mask").alias("known_patients"),
-        _zero(F.sum("n_events")).alias("treatment_events"),
-    ]
-    for i in range(len(spec.stages)):
-        aggs.append(_zero(F.sum(bit_value(F.col("stage_mask"), i))).alias(f"patients_{i}"))
-    for i, st in enumerate(spec.stages):
-        in_stage = F.col("lookup_stage") == F.lit(st.code)
-        has_set = F.coalesce(F.col("act_mask"), F.lit(0)) != 0
-        aggs.append(F.count_if(in_stage & has_set).alias(f"active_{i}"))
-        aggs.append(F.count_if(in_stage & (F.bit_count(F.col("act_mask")) >= 2)).alias(f"multimodal_{i}"))
+    """One wide row per registry scope (``all`` plus every registry year)."""
+    metrics = core.join(ev_m, "scope", "left").withColumn("treatment_events", _zero(F.col("treatment_events")))
     if spec.cells_fit_one_mask():
+        n_heat = len(spec.heatmap)
         for s in range(len(spec.stages)):
             for h in range(n_heat):
-                aggs.append(_zero(F.sum(bit_value(F.col("cov_mask"), s * n_heat + h))).alias(f"cov_{s}_{h}"))
-
-    spark = fact.sparkSession
-    # An empty 'all' row so the whole-population scope exists even with no input.
-    seed = spark.range(1).select(F.lit(ALL_SCOPE).alias("scope"))
-    rows = fact.unionByName(seed, allowMissingColumns=True)
-    metrics = rows.groupBy("scope").agg(*aggs).where((F.col("known_patients") > 0) | (F.col("scope") == ALL_SCOPE))
+                metrics = metrics.withColumn(f"cov_{s}_{h}", _zero(F.col(f"cov_{s}_{h}")))
 
     unk = unknown_counts(unknown, spec)
     metrics = metrics.join(unk, "scope", "left")
@@ -115,3 +151,12 @@ def stage_table(metrics: DataFrame, spec: CohortSpec) -> DataFrame:
     return out.withColumn(
         "multimodal_percent", pct(F.col("multimodal_patients"), F.col("active_patients"), spec.multimodal_digits)
     ).withColumn("denominator", den)
+
+
+def stage_sizes(ent_m: DataFrame, spec: CohortSpec) -> DataFrame:
+    """(scope, stage, denominator = ids in the stage) from the entity side only."""
+    rows = [
+        F.struct(F.lit(st.code).alias("stage"), F.col(f"patients_{i}").alias("denominator"))
+        for i, st in enumerate(spec.stages)
+    ]
+    return ent_m.select("scope", F.inline(F.array(*rows)))

@@ -5,15 +5,19 @@ Physical shape::
     events   --clean/F1--explode scope--partial agg (scope,hn)--[exchange]--final agg  (ev)
     entities --clean/F1--explode scope--partial agg (scope,hn)--[exchange]--final agg  (ent)
     ent FULL JOIN ev USING (scope, hn)       <- co-partitioned, no exchange   (fact)
-    fact --groupBy(scope)            -> metrics (one wide row per scope)  -> summary, stages, coverage
+    ent  --groupBy(scope)            -> stage sizes, known ids
+    ev   --groupBy(scope)            -> event count, coverage cells
     fact --groupBy(scope,stage,mask) -> regimen counts -> window top-k    -> regimens
+                                                       -> groupBy(scope)  -> active / multi-modality
+    all per-scope parts joined on scope -> one wide row per scope -> summary, stages, heatmap
 
 Only the two rollups move raw-sized data; everything after them is
 proportional to the number of entities (the fact table) or to the number of
-scopes x stages x regimens.  The fact table feeds several outputs, so
-``materialize`` can checkpoint it (to ``spark.checkpoint.dir``, lineage cut,
-survives executor loss) or cache it; within a single action Spark already
-reuses the two rollup exchanges.
+scopes x stages x regimens.  Each single output rolls the events up exactly
+once.  A build that writes several outputs should ``materialize`` the fact
+table (``checkpoint`` writes it to ``spark.checkpoint.dir``: lineage cut,
+survives executor loss; ``cache`` keeps it in executor storage); every metric
+then reads the materialised fact.
 """
 
 from __future__ import annotations
@@ -86,9 +90,29 @@ class CohortBuild:
         return fact
 
     # -- per scope ---------------------------------------------------------------
+    # With a materialised fact every metric reads it; otherwise each side reads
+    # its own rollup so single-output queries never roll the events up twice.
+    @property
+    def _entity_source(self) -> DataFrame:
+        return self.entity_rollup if self.materialize == "none" else self.fact
+
+    @property
+    def _event_source(self) -> DataFrame:
+        return self.event_rollup if self.materialize == "none" else self.fact
+
+    @cached_property
+    def entity_metrics(self) -> DataFrame:
+        return summary.entity_metrics(self._entity_source, self.spec)
+
+    @cached_property
+    def core_metrics(self) -> DataFrame:
+        set_m = summary.set_metrics(self.regimen_counts, self.spec)
+        return summary.core_metrics(self.entity_metrics, set_m, self.spec)
+
     @cached_property
     def metrics(self) -> DataFrame:
-        return summary.scope_metrics(self.fact, self.inputs.unknown, self.spec, self.inputs.unknown_override)
+        ev_m = summary.event_metrics(self._event_source, self.spec)
+        return summary.scope_metrics(self.core_metrics, ev_m, self.inputs.unknown, self.spec, self.inputs.unknown_override)
 
     @cached_property
     def summary(self) -> DataFrame:
@@ -96,7 +120,15 @@ class CohortBuild:
 
     @cached_property
     def stages(self) -> DataFrame:
-        return summary.stage_table(self.metrics, self.spec)
+        return summary.stage_table(self.core_metrics, self.spec)
+
+    @cached_property
+    def denominators(self) -> DataFrame:
+        """(scope, stage, denominator).  With all-patient denominators this reads
+        only the entity side, so coverage never waits on the regimen path."""
+        if self.spec.denominator == "all":
+            return summary.stage_sizes(self.entity_metrics, self.spec)
+        return self.stages.select("scope", "stage", "denominator")
 
     @cached_property
     def years(self) -> DataFrame:
@@ -110,7 +142,7 @@ class CohortBuild:
 
     @cached_property
     def heatmap(self) -> DataFrame:
-        return cov.coverage_heatmap(self.coverage_cells, self.stages, self.spec)
+        return cov.coverage_heatmap(self.coverage_cells, self.denominators, self.spec)
 
     # -- regimens ----------------------------------------------------------------
     @cached_property
@@ -119,7 +151,7 @@ class CohortBuild:
 
     @cached_property
     def regimens(self) -> DataFrame:
-        return reg.regimen_topk(self.regimen_counts, self.stages, self.spec)
+        return reg.regimen_topk(self.regimen_counts, self.denominators, self.spec)
 
     def release(self) -> None:
         if self.materialize == "cache" and "fact" in self.__dict__:
