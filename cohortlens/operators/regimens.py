@@ -47,12 +47,12 @@ def entity_assignments(fact: DataFrame, spec: CohortSpec) -> DataFrame:
 
 def regimen_counts(fact: DataFrame, spec: CohortSpec) -> DataFrame:
     """A4: (scope, stage, regimen) -> entities, first_idx."""
-    return (
+    counts = (
         entity_assignments(fact, spec)
         .groupBy("scope", "stage", "mask")
         .agg(F.count(F.lit(1)).alias("n"), F.min("first_idx").alias("first_idx"))
-        .withColumn("regimen", regimen_name(F.col("mask"), spec))
     )
+    return counts.withColumn("regimen", regimen_name(F.col("mask"), spec))
 
 
 def regimen_topk(counts: DataFrame, stages: DataFrame, spec: CohortSpec) -> DataFrame:
@@ -63,17 +63,17 @@ def regimen_topk(counts: DataFrame, stages: DataFrame, spec: CohortSpec) -> Data
     k = spec.top_k
     den = stages.select("scope", "stage", "denominator")
     rank_w = Window.partitionBy("scope", "stage").orderBy(F.desc("n"), F.asc("first_idx"))
-    ranked = counts.join(den, ["scope", "stage"]).withColumn("rn", F.row_number().over(rank_w))
+    ranked = counts.drop("regimen").join(den, ["scope", "stage"]).withColumn("rn", F.row_number().over(rank_w))
     shown = F.col("rn") <= k
     if spec.min_share is not None:
         share = F.col("n").cast("double") / F.col("denominator").cast("double") * 100.0
         shown = shown & (share >= F.lit(float(spec.min_share)))
     folded = ranked.groupBy("scope", "stage", F.when(shown, F.col("rn")).otherwise(F.lit(k + 1)).alias("rank")).agg(
         F.sum("n").alias("count"),
-        F.min("regimen").alias("regimen"),
+        F.min("mask").alias("mask"),  # the one mask of a shown rank; fixed width keeps hash aggregation
         F.max("denominator").alias("denominator"),
     )
-    name = F.when(F.col("rank") <= k, F.col("regimen")).otherwise(F.lit(spec.tail_label))
+    name = F.when(F.col("rank") <= k, regimen_name(F.col("mask"), spec)).otherwise(F.lit(spec.tail_label))
     panel_max = F.max("count").over(Window.partitionBy("scope", "stage"))
     return folded.select(
         "scope",

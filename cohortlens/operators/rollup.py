@@ -21,14 +21,24 @@ from .scope import with_scope
 
 
 def entity_rollup(entities: DataFrame, spec: CohortSpec) -> DataFrame:
-    """(scope, hn) -> lookup_stage (J1: last row wins), stage_mask (stages the id appears in)."""
-    stage_bit = bit(ordinal(F.col("stage"), spec.stage_codes))
+    """(scope, hn) -> lookup_stage (J1: last row wins), stage_mask (stages the id appears in).
+
+    The last-wins pick runs on the stage *ordinal* so every aggregate buffer is
+    fixed width (hash aggregation, no sort); the code is looked up afterwards."""
+    stage_ord = ordinal(F.col("stage"), spec.stage_codes)
+    codes = F.array(*[F.lit(c) for c in spec.stage_codes])
     return (
-        with_scope(entities.select("hn", "year", "stage", "row_idx"), spec)
+        with_scope(entities.select("hn", "year", "row_idx", stage_ord.alias("stage_ord")), spec)
         .groupBy("scope", "hn")
         .agg(
-            F.max_by("stage", "row_idx").alias("lookup_stage"),
-            F.bit_or(stage_bit).alias("stage_mask"),
+            F.max_by("stage_ord", "row_idx").alias("lookup_ord"),
+            F.bit_or(bit(F.col("stage_ord"))).alias("stage_mask"),
+        )
+        .select(
+            "scope",
+            "hn",
+            F.when(F.col("lookup_ord") >= 0, F.element_at(codes, F.col("lookup_ord") + 1)).alias("lookup_stage"),
+            "stage_mask",
         )
     )
 
