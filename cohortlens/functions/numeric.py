@@ -8,13 +8,48 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+_SPLITTER = 134217729.0  # 2**27 + 1, Veltkamp split of a double into two halves
+
+
+def round_half_even_exact(x: Column, digits: int) -> Column:
+    """Python's ``round(x, digits)``: half-even on the *exact binary* value of x.
+
+    ``bround`` rounds the shortest decimal representation instead, which differs
+    when that representation is a tie that the binary value is not (0.15 is
+    stored as 0.1499999...; Python gives 0.1, ``bround`` 0.2).  Such ties need
+    denominators like 2000 and are common at scale.  The fix, in plain double
+    arithmetic: T = rint(x * 10^(digits+1)) is the tie numerator; when x is the
+    double nearest to T / 10^(digits+1) and T ends in 5, the exact sign of
+    x * 10^(digits+1) - T (Dekker two-product; the power of ten splits exactly)
+    decides the direction.  Exact ties (dyadic values) stay half-even.
+    """
+    if digits < 0 or digits > 15:
+        return F.bround(x, digits)
+    scale = float(10 ** (digits + 1))
+    base = F.bround(x, digits)
+    t = F.rint(x * F.lit(scale))
+    p = x * F.lit(scale)
+    c = x * F.lit(_SPLITTER)
+    hi = c - (c - x)
+    lo = x - hi
+    err = (hi * F.lit(scale) - p) + lo * F.lit(scale)
+    diff = (p - t) + err  # exact sign of x * scale - t
+    tie = (x >= 0) & (F.abs(x) < F.lit(1e15)) & ((t % 10) == 5) & ((t / F.lit(scale)) == x)
+    out = F.lit(float(10**digits))
+    return (
+        F.when(tie & (diff > 0), ((t + 5) / 10) / out)
+        .when(tie & (diff < 0), ((t - 5) / 10) / out)
+        .otherwise(base)
+    )
+
+
 def pct(num: Column, den: Column, digits: int) -> Column:
-    """``round(num / den * 100, digits)`` half-even; zero or null den -> 0.0.
+    """``round(num / den * 100, digits)`` as Python rounds it; zero or null den -> 0.0.
 
-    Evaluated in double in the same order as the definition, then ``bround``
-    (half-even), which matches Python's ``round`` on these values."""
+    Evaluated in double in the same order as the definition, then rounded
+    half-even on the exact binary value (see ``round_half_even_exact``)."""
     ratio = num.cast("double") / den.cast("double") * F.lit(100.0)
-    return F.when(den.isNull() | (den == 0), F.lit(0.0)).otherwise(F.bround(ratio, digits))
+    return F.when(den.isNull() | (den == 0), F.lit(0.0)).otherwise(round_half_even_exact(ratio, digits))
 
 
 def ordinal(c: Column, values: Sequence[str]) -> Column:

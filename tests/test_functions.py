@@ -74,3 +74,16 @@ def test_display_helpers(spark):
     assert (r[0]["n"], r[0]["a"], r[0]["b"], r[0]["w"], r[0]["s"]) == ("1,234,567", "46%", "28.6%", None, "รวมทุกปี")
     assert (r[1]["n"], r[1]["a"], r[1]["b"], r[1]["s"]) == ("0", "0%", "100%", "ปี 2565")
     assert abs(r[1]["w"] - 0.22) < 1e-12 and r[1]["d"] is False
+
+
+def test_pct_exact_binary_ties_at_large_denominators(spark):
+    """0.15 is stored below the tie: Python rounds down where a decimal-string
+    rounding would go up.  Denominators that are multiples of 2000 hit this."""
+    import random
+
+    rnd = random.Random(5)
+    pairs = [(rnd.randrange(0, d + 1), d) for d in (2000, 4000, 20000, 160000, 6250000) for _ in range(1500)]
+    pairs += [(129, 2000), (777, 2000), (1711, 2000)]
+    df = spark.createDataFrame(pairs, "n long, d long")
+    for r in df.select("n", "d", pct(F.col("n"), F.col("d"), 1).alias("p")).collect():
+        assert r["p"] == py_pct(r["n"], r["d"], 1), (r["n"], r["d"])
