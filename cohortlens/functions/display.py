@@ -1,11 +1,11 @@
-"""Display-side derivations of the dashboard (P10-P15), as Column expressions."""
+"""Display-side derivations of the dashboard (P10-P15), as SQL expressions."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column
-from pyspark.sql import functions as F
 
 from ..spec import ALL_SCOPE
+from .sql import E, lit
 
 # Dashboard wording, kept verbatim so derived strings match the page.
 ALL_SCOPE_LABEL = "รวมทุกปี"
@@ -18,41 +18,65 @@ WASH_TOP = 0.86
 WASH_DARK = 0.53
 
 
-def fmt_count(n: Column) -> Column:
+def fmt_count_sql(n: str) -> str:
     """P10: grouped integer, null -> 0 (``1,234``)."""
-    return F.format_number(F.coalesce(n, F.lit(0)).cast("double"), 0)
+    return f"format_number(CAST(coalesce({n}, 0) AS DOUBLE), 0)"
 
 
-def fmt_pct(x: Column) -> Column:
+def fmt_pct_sql(x: str) -> str:
     """At most one decimal, trailing ``.0`` dropped, grouped, with ``%``."""
-    s = F.format_number(F.coalesce(x, F.lit(0.0)).cast("double"), 1)
-    return F.concat(F.regexp_replace(s, r"\.0$", ""), F.lit("%"))
+    return f"concat(regexp_replace(format_number(CAST(coalesce({x}, 0D) AS DOUBLE), 1), '\\\\.0$', ''), '%')"
 
 
-def heat_wash(percent: Column, count: Column) -> Column:
+def heat_wash_sql(percent: str, count: str) -> str:
     """Background wash of a heat cell; null for an empty cell (count 0)."""
-    wash = F.greatest(F.lit(WASH_FLOOR), F.lit(WASH_TOP) - percent.cast("double") / F.lit(100.0))
-    return F.when(count == 0, F.lit(None).cast("double")).otherwise(wash)
+    return f"(CASE WHEN {count} = 0 THEN CAST(NULL AS DOUBLE) ELSE greatest({WASH_FLOOR!r}D, {WASH_TOP!r}D - CAST({percent} AS DOUBLE) / 100.0D) END)"
 
 
-def heat_dark_text(percent: Column, count: Column) -> Column:
-    return heat_wash(percent, count) > F.lit(WASH_DARK)
+def heat_dark_text_sql(percent: str, count: str) -> str:
+    return f"({heat_wash_sql(percent, count)} > {WASH_DARK!r}D)"
 
 
-def scope_label(scope: Column) -> Column:
+def scope_label_sql(scope: str) -> str:
     """P14: 'all' -> all-years label, else the year prefix + year."""
-    return F.when(scope == ALL_SCOPE, F.lit(ALL_SCOPE_LABEL)).otherwise(F.concat(F.lit(YEAR_SCOPE_PREFIX), scope))
+    return f"CASE WHEN {scope} = {lit(ALL_SCOPE)} THEN {lit(ALL_SCOPE_LABEL)} ELSE concat({lit(YEAR_SCOPE_PREFIX)}, {scope}) END"
 
 
-def headline(multimodal: Column, active: Column) -> Column:
+def headline_sql(multimodal: str, active: str) -> str:
     """P15: 'x of y received two or more modalities'."""
     head, rest = HEADLINE_TEMPLATE.split("{mm}")
     mid, tail = rest.split("{active}")
-    return F.concat(F.lit(head), fmt_count(multimodal), F.lit(mid), fmt_count(active), F.lit(tail))
+    return f"concat({lit(head)}, {fmt_count_sql(multimodal)}, {lit(mid)}, {fmt_count_sql(active)}, {lit(tail)})"
 
 
-def caution_flag(stage: Column, small_n_stage: str | None) -> Column:
+def caution_flag_sql(stage: str, small_n_stage: str | None) -> str:
     """The page flags one fixed stage as small-n."""
-    if small_n_stage is None:
-        return F.lit(False)
-    return stage == F.lit(small_n_stage)
+    return "false" if small_n_stage is None else f"({stage} = {lit(small_n_stage)})"
+
+
+def fmt_count(n: str) -> Column:
+    return E(fmt_count_sql(n))
+
+
+def fmt_pct(x: str) -> Column:
+    return E(fmt_pct_sql(x))
+
+
+def heat_wash(percent: str, count: str) -> Column:
+    return E(heat_wash_sql(percent, count))
+
+
+def heat_dark_text(percent: str, count: str) -> Column:
+    return E(heat_dark_text_sql(percent, count))
+
+
+def scope_label(scope: str) -> Column:
+    return E(scope_label_sql(scope))
+
+
+def headline(multimodal: str, active: str) -> Column:
+    return E(headline_sql(multimodal, active))
+
+
+def caution_flag(stage: str, small_n_stage: str | None) -> Column:
+    return E(caution_flag_sql(stage, small_n_stage))

@@ -1,17 +1,18 @@
-"""Percent and bit helpers (P3, P6, mask decode P5)."""
+"""Percent and bit helpers (P3, P5, P6, P7).  SQL text in, SQL text out; the
+plain-named variants return Columns."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
 from pyspark.sql import Column
-from pyspark.sql import functions as F
 
+from .sql import E, arr, lit
 
-_SPLITTER = 134217729.0  # 2**27 + 1, Veltkamp split of a double into two halves
+_SPLITTER = "134217729.0D"  # 2**27 + 1, Veltkamp split of a double into two halves
 
 
-def round_half_even_exact(x: Column, digits: int) -> Column:
+def round_exact_sql(x: str, digits: int) -> str:
     """Python's ``round(x, digits)``: half-even on the *exact binary* value of x.
 
     ``bround`` rounds the shortest decimal representation instead, which differs
@@ -24,59 +25,81 @@ def round_half_even_exact(x: Column, digits: int) -> Column:
     decides the direction.  Exact ties (dyadic values) stay half-even.
     """
     if digits < 0 or digits > 15:
-        return F.bround(x, digits)
-    scale = float(10 ** (digits + 1))
-    base = F.bround(x, digits)
-    t = F.rint(x * F.lit(scale))
-    p = x * F.lit(scale)
-    c = x * F.lit(_SPLITTER)
-    hi = c - (c - x)
-    lo = x - hi
-    err = (hi * F.lit(scale) - p) + lo * F.lit(scale)
-    diff = (p - t) + err  # exact sign of x * scale - t
-    tie = (x >= 0) & (F.abs(x) < F.lit(1e15)) & ((t % 10) == 5) & ((t / F.lit(scale)) == x)
-    out = F.lit(float(10**digits))
+        return f"bround({x}, {digits})"
+    s = f"{float(10 ** (digits + 1))!r}D"
+    out = f"{float(10**digits)!r}D"
+    t = f"rint(({x}) * {s})"
+    p = f"(({x}) * {s})"
+    c = f"(({x}) * {_SPLITTER})"
+    hi = f"({c} - ({c} - ({x})))"
+    lo = f"(({x}) - {hi})"
+    err = f"(({hi} * {s} - {p}) + {lo} * {s})"
+    diff = f"(({p} - {t}) + {err})"
+    tie = f"(({x}) >= 0D AND abs({x}) < 1.0E15 AND {t} % 10D = 5D AND {t} / {s} = ({x}))"
     return (
-        F.when(tie & (diff > 0), ((t + 5) / 10) / out)
-        .when(tie & (diff < 0), ((t - 5) / 10) / out)
-        .otherwise(base)
+        f"CASE WHEN {tie} AND {diff} > 0D THEN (({t} + 5D) / 10D) / {out} "
+        f"WHEN {tie} AND {diff} < 0D THEN (({t} - 5D) / 10D) / {out} "
+        f"ELSE bround({x}, {digits}) END"
     )
 
 
-def pct(num: Column, den: Column, digits: int) -> Column:
+def pct_sql(num: str, den: str, digits: int) -> str:
     """``round(num / den * 100, digits)`` as Python rounds it; zero or null den -> 0.0.
 
-    Evaluated in double in the same order as the definition, then rounded
-    half-even on the exact binary value (see ``round_half_even_exact``)."""
-    ratio = num.cast("double") / den.cast("double") * F.lit(100.0)
-    return F.when(den.isNull() | (den == 0), F.lit(0.0)).otherwise(round_half_even_exact(ratio, digits))
+    Evaluated in double in the same order as the definition."""
+    ratio = f"(CAST({num} AS DOUBLE) / CAST({den} AS DOUBLE) * 100.0D)"
+    return f"(CASE WHEN {den} IS NULL OR {den} = 0 THEN 0.0D ELSE {round_exact_sql(ratio, digits)} END)"
 
 
-def ordinal(c: Column, values: Sequence[str]) -> Column:
-    """0-based position of ``c`` in ``values``; -1 when absent."""
-    return F.array_position(F.array(*[F.lit(v) for v in values]), c).cast("int") - 1
+def ordinal_sql(x: str, values: Sequence[str]) -> str:
+    """0-based position of ``x`` in ``values``; -1 when absent."""
+    return f"(CAST(array_position({arr(values)}, {x}) AS INT) - 1)"
 
 
-def bit(pos: Column) -> Column:
+def bit_sql(pos: str) -> str:
     """``1L << pos`` when pos >= 0, else 0."""
-    return F.when(pos >= 0, F.call_function("shiftleft", F.lit(1).cast("bigint"), pos)).otherwise(F.lit(0).cast("bigint"))
+    return f"(CASE WHEN ({pos}) >= 0 THEN shiftleft(1L, {pos}) ELSE 0L END)"
 
 
-def has_bit(mask: Column, pos: int) -> Column:
-    return F.shiftright(mask, pos).bitwiseAND(F.lit(1).cast("bigint")) == 1
-
-
-def bit_value(mask: Column, pos: int) -> Column:
+def bit_value_sql(mask: str, pos: int) -> str:
     """0/1 bigint for bit ``pos`` of ``mask`` (null mask -> 0)."""
-    return F.coalesce(F.shiftright(mask, pos).bitwiseAND(F.lit(1).cast("bigint")), F.lit(0).cast("bigint"))
+    return f"coalesce(shiftright({mask}, {pos}) & 1L, 0L)"
 
 
-def decode_mask(mask: Column, labels: Sequence[str], sep: str = " + ") -> Column:
+def decode_mask_sql(mask: str, labels: Sequence[str], sep: str = " + ") -> str:
     """P5: join the labels of the set bits, in bit order (``concat_ws`` skips nulls)."""
-    parts = [F.when(has_bit(mask, i), F.lit(lab)) for i, lab in enumerate(labels)]
-    return F.concat_ws(sep, *parts)
+    parts = ", ".join(f"CASE WHEN shiftright({mask}, {i}) & 1L = 1L THEN {lit(lab)} END" for i, lab in enumerate(labels))
+    return f"concat_ws({lit(sep)}, {parts})"
 
 
-def combined(name: Column, sep: str = " + ") -> Column:
+def combined_sql(name: str, sep: str = " + ") -> str:
     """A regimen is combined when its name joins two or more labels."""
-    return name.contains(sep)
+    return f"contains({name}, {lit(sep)})"
+
+
+def pct(num: str, den: str, digits: int) -> Column:
+    return E(pct_sql(num, den, digits))
+
+
+def round_half_even_exact(x: str, digits: int) -> Column:
+    return E(round_exact_sql(x, digits))
+
+
+def ordinal(x: str, values: Sequence[str]) -> Column:
+    return E(ordinal_sql(x, values))
+
+
+def bit(pos: str) -> Column:
+    return E(bit_sql(pos))
+
+
+def bit_value(mask: str, pos: int) -> Column:
+    return E(bit_value_sql(mask, pos))
+
+
+def decode_mask(mask: str, labels: Sequence[str], sep: str = " + ") -> Column:
+    return E(decode_mask_sql(mask, labels, sep))
+
+
+def combined(name: str, sep: str = " + ") -> Column:
+    return E(combined_sql(name, sep))

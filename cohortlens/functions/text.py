@@ -1,7 +1,9 @@
 """Null/blank-safe text cleaning, year normalisation and stage roll-up.
 
-All three are plain Column expressions (btrim / translate / rlike / try_cast),
-so they stay inside whole-stage codegen; no Python runs per row.
+All three are plain SQL expressions (btrim / translate / rlike / try_cast), so
+they stay inside whole-stage codegen; no Python runs per row.  Each helper
+takes SQL expression text (a column name is one) and returns SQL text; the
+``*_col`` variants wrap it into a Column.
 
 The character tables are generated from rules rather than listed:
 
@@ -18,14 +20,15 @@ import sys
 import unicodedata
 
 from pyspark.sql import Column
-from pyspark.sql import functions as F
+
+from .sql import E, lit
 
 # Python float() literal syntax after digit folding (sign, digit groups with
 # single underscores, optional fraction, optional exponent).  nan / inf are left
 # out on purpose: they cannot become an integer, so they fall back to text.
 _DIGITS = r"[0-9](?:_?[0-9])*"
 FLOAT_LITERAL = rf"^[+-]?(?:{_DIGITS}\.?|(?:{_DIGITS})?\.{_DIGITS})(?:[eE][+-]?{_DIGITS})?$"
-_BIGINT_SAFE = 9.2e18
+BIGINT_SAFE = 9.2e18
 
 
 @functools.lru_cache(maxsize=1)
@@ -46,40 +49,47 @@ def decimal_digit_map() -> tuple[str, str]:
     return "".join(src), "".join(dst)
 
 
-def _col(c: Column | str) -> Column:
-    return F.col(c) if isinstance(c, str) else c
-
-
-def strip_unicode(c: Column | str) -> Column:
+def strip_sql(x: str) -> str:
     """``str.strip()``: remove Unicode whitespace (incl. U+001C..U+001F) at both ends."""
-    return F.btrim(_col(c).cast("string"), F.lit(whitespace_chars()))
+    return f"btrim(CAST({x} AS STRING), {lit(whitespace_chars())})"
 
 
-def clean_text(c: Column | str, default: str) -> Column:
+def clean_text_sql(x: str, default: str) -> str:
     """Trimmed text; null, empty or all-blank becomes ``default``."""
-    return F.coalesce(F.nullif(strip_unicode(c), F.lit("")), F.lit(default))
+    return f"coalesce(nullif({strip_sql(x)}, ''), {lit(default)})"
 
 
-def clean_year(c: Column | str, default: str) -> Column:
+def clean_year_sql(x: str, default: str) -> str:
     """``str(int(float(x)))`` when ``x`` parses as a Python float literal,
     else the trimmed text, else ``default``.
 
     Truncates toward zero.  Deliberate deviations: inf / nan / values beyond the
     bigint range fall back to the trimmed text instead of raising."""
-    trimmed = strip_unicode(c)
     src, dst = decimal_digit_map()
-    folded = F.translate(trimmed, src, dst)
-    number = F.regexp_replace(folded, "_", "").try_cast("double")
-    parsed = F.when(
-        folded.rlike(FLOAT_LITERAL) & (F.abs(number) < F.lit(_BIGINT_SAFE)),
-        number.cast("bigint").cast("string"),
+    trimmed = strip_sql(x)
+    folded = f"translate({trimmed}, {lit(src)}, {lit(dst)})"
+    number = f"try_cast(replace({folded}, '_', '') AS DOUBLE)"
+    parsed = (
+        f"CASE WHEN {folded} RLIKE {lit(FLOAT_LITERAL)} AND abs({number}) < 9.2E18 "
+        f"THEN CAST(CAST({number} AS BIGINT) AS STRING) END"
     )
-    return F.coalesce(parsed, F.nullif(trimmed, F.lit("")), F.lit(default))
+    return f"coalesce({parsed}, nullif({trimmed}, ''), {lit(default)})"
 
 
-def stage_rollup(c: Column | str, default: str, pattern: str) -> Column:
+def stage_rollup_sql(x: str, default: str, pattern: str) -> str:
     """Sub-stage to main stage (IIA/IIB/IIC -> II, ...); anything else -> default.
 
     ``pattern`` must capture the main stage in group 1."""
-    col = _col(c)
-    return F.when(col.rlike(pattern), F.regexp_extract(col, pattern, 1)).otherwise(F.lit(default))
+    return f"CASE WHEN {x} RLIKE {lit(pattern)} THEN regexp_extract({x}, {lit(pattern)}, 1) ELSE {lit(default)} END"
+
+
+def clean_text(x: str, default: str) -> Column:
+    return E(clean_text_sql(x, default))
+
+
+def clean_year(x: str, default: str) -> Column:
+    return E(clean_year_sql(x, default))
+
+
+def stage_rollup(x: str, default: str, pattern: str) -> Column:
+    return E(stage_rollup_sql(x, default, pattern))

@@ -12,26 +12,22 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.display import heat_dark_text, heat_wash
-from ..functions.numeric import bit_value, pct
+from ..functions.numeric import bit_value_sql, pct
+from ..functions.sql import E, lit
 from ..spec import CohortSpec
 from .prepare import active_only
 from .scope import with_scope
 
 
-def _cell_structs(spec: CohortSpec, count_of):
+def _cells_sql(spec: CohortSpec, count_of) -> str:
     n_heat = len(spec.heatmap)
-    return [
-        F.struct(
-            F.lit(s).alias("stage_ord"),
-            F.lit(st.code).alias("stage"),
-            F.lit(h).alias("heat_ord"),
-            F.lit(row.value).alias("treatment"),
-            F.lit(row.label).alias("label"),
-            count_of(s, h, n_heat).alias("count"),
-        )
+    cells = ", ".join(
+        f"named_struct('stage_ord', {s}, 'stage', {lit(st.code)}, 'heat_ord', {h}, 'treatment', {lit(row.value)}, "
+        f"'label', {lit(row.label)}, 'count', {count_of(s, h, n_heat)})"
         for s, st in enumerate(spec.stages)
         for h, row in enumerate(spec.heatmap)
-    ]
+    )
+    return f"inline(array({cells}))"
 
 
 def coverage_cells(metrics: DataFrame, spec: CohortSpec, cells: DataFrame | None = None) -> DataFrame:
@@ -41,21 +37,14 @@ def coverage_cells(metrics: DataFrame, spec: CohortSpec, cells: DataFrame | None
     Fallback (``cells`` given, for dimensions beyond one bigint): counts come
     from the per-stage rollup and are attached to the grid by a small join."""
     if cells is None:
-        return metrics.select("scope", F.inline(F.array(*_cell_structs(spec, lambda s, h, n: F.col(f"cov_{s}_{h}")))))
-    grid = metrics.select("scope", F.inline(F.array(*_cell_structs(spec, lambda s, h, n: F.lit(0).cast("bigint")))))
-    agg = [F.sum(bit_value(F.col("heat_mask"), h)).alias(f"c{h}") for h in range(len(spec.heatmap))]
-    per_stage = cells.groupBy("scope", "stage").agg(*agg)
-    long = per_stage.select(
-        "scope",
-        "stage",
-        F.inline(F.array(*[F.struct(F.lit(h).alias("heat_ord"), F.col(f"c{h}").alias("n")) for h in range(len(spec.heatmap))])),
-    )
-    return (
-        grid.drop("count")
-        .join(long, ["scope", "stage", "heat_ord"], "left")
-        .withColumn("count", F.coalesce(F.col("n"), F.lit(0).cast("bigint")))
-        .drop("n")
-    )
+        return metrics.select("scope", E(_cells_sql(spec, lambda s, h, n: f"cov_{s}_{h}")))
+    grid = metrics.select("scope", E(_cells_sql(spec, lambda s, h, n: "0L"))).drop("count")
+    n_heat = len(spec.heatmap)
+    per_stage = cells.groupBy("scope", "stage").agg(*[E(f"sum({bit_value_sql('heat_mask', h)})", f"c{h}") for h in range(n_heat)])
+    pairs = ", ".join(f"named_struct('heat_ord', {h}, 'n', c{h})" for h in range(n_heat))
+    long = per_stage.select("scope", "stage", E(f"inline(array({pairs}))"))
+    joined = grid.join(long, ["scope", "stage", "heat_ord"], "left")
+    return joined.select(*[c for c in joined.columns if c != "n"], E("coalesce(n, 0L)", "count"))
 
 
 def coverage_heatmap(cells: DataFrame, stages: DataFrame, spec: CohortSpec) -> DataFrame:
@@ -69,7 +58,7 @@ def coverage_heatmap(cells: DataFrame, stages: DataFrame, spec: CohortSpec) -> D
         "stage_ord",
         "stage",
         "count",
-        pct(F.col("count"), F.col("denominator"), spec.coverage_digits).alias("percent"),
+        pct("count", "denominator", spec.coverage_digits).alias("percent"),
     )
 
 
@@ -99,8 +88,8 @@ def heat_intensity(heatmap: DataFrame) -> DataFrame:
         "scope",
         "treatment",
         "stage",
-        heat_wash(F.col("percent"), F.col("count")).alias("wash"),
-        heat_dark_text(F.col("percent"), F.col("count")).alias("dark_text"),
+        heat_wash("percent", "count").alias("wash"),
+        heat_dark_text("percent", "count").alias("dark_text"),
         (F.col("count") == 0).alias("empty"),
     )
 
@@ -120,12 +109,12 @@ def modality_mix(events: DataFrame, metrics: DataFrame, spec: CohortSpec) -> Dat
         .agg(F.count_distinct("hn").alias("n"))
         .join(metrics.select("scope"), "scope")  # registry scopes only
     )
-    total = F.sum("n").over(Window.partitionBy("scope", "stage"))
+    pairs = pairs.withColumn("total", F.sum("n").over(Window.partitionBy("scope", "stage")))
     return pairs.select(
         "scope",
         "stage",
         "treatment",
         F.element_at(labels, F.col("treatment")).alias("label"),
         "n",
-        pct(F.col("n"), total, 1).alias("share"),
+        pct("n", "total", 1).alias("share"),
     )

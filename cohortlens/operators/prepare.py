@@ -5,32 +5,32 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import clean_text, clean_year, stage_rollup
+from ..functions.sql import E
+from ..functions.text import clean_text_sql, clean_year_sql, stage_rollup_sql
 from ..model import CohortInputs
 from ..spec import CohortSpec
 
 
+def _stage_sql(spec: CohortSpec, rollup_pattern: str | None) -> str:
+    stage = clean_text_sql("stage", spec.sentinel)
+    return stage_rollup_sql(stage, spec.sentinel, rollup_pattern) if rollup_pattern else stage
+
+
 def clean_entities(df: DataFrame, spec: CohortSpec, rollup_pattern: str | None = None) -> DataFrame:
-    stage = clean_text("stage", spec.sentinel)
-    if rollup_pattern:
-        stage = stage_rollup(stage, spec.sentinel, rollup_pattern)
     return df.select(
-        clean_text("hn", spec.sentinel).alias("hn"),
-        clean_year("year", spec.sentinel).alias("year"),
-        stage.alias("stage"),
+        E(clean_text_sql("hn", spec.sentinel), "hn"),
+        E(clean_year_sql("year", spec.sentinel), "year"),
+        E(_stage_sql(spec, rollup_pattern), "stage"),
         "row_idx",
     )
 
 
 def clean_events(df: DataFrame, spec: CohortSpec, rollup_pattern: str | None = None) -> DataFrame:
-    stage = clean_text("stage", spec.sentinel)
-    if rollup_pattern:
-        stage = stage_rollup(stage, spec.sentinel, rollup_pattern)
     return df.select(
-        clean_text("hn", spec.sentinel).alias("hn"),
-        clean_year("year", spec.sentinel).alias("year"),
-        stage.alias("stage"),
-        clean_text("treatment", spec.sentinel).alias("treatment"),
+        E(clean_text_sql("hn", spec.sentinel), "hn"),
+        E(clean_year_sql("year", spec.sentinel), "year"),
+        E(_stage_sql(spec, rollup_pattern), "stage"),
+        E(clean_text_sql("treatment", spec.sentinel), "treatment"),
         "row_idx",
     )
 
@@ -38,7 +38,7 @@ def clean_events(df: DataFrame, spec: CohortSpec, rollup_pattern: str | None = N
 def clean_unknown(df: DataFrame, spec: CohortSpec) -> DataFrame:
     """The unknown sheet's id is deliberately not cleaned: nulls drop out of the
     distinct count, whitespace variants stay distinct."""
-    return df.select(F.col("hn").cast("string").alias("hn"), clean_year("year", spec.sentinel).alias("year"))
+    return df.select(F.col("hn").cast("string").alias("hn"), E(clean_year_sql("year", spec.sentinel), "year"))
 
 
 def known_stage(df: DataFrame, spec: CohortSpec) -> DataFrame:

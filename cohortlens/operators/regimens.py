@@ -15,14 +15,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.numeric import combined, decode_mask, pct
+from ..functions.numeric import combined_sql, decode_mask, decode_mask_sql, pct_sql
+from ..functions.sql import E, lit
 from ..spec import CohortSpec
 
 
-def regimen_name(mask, spec: CohortSpec):
+def regimen_name(mask: str, spec: CohortSpec):
     return decode_mask(mask, [m.short for m in spec.regimen_modalities()])
 
 
+def regimen_name_sql(mask: str, spec: CohortSpec) -> str:
+    return decode_mask_sql(mask, [m.short for m in spec.regimen_modalities()])
+
+
 def entity_sets(ev: DataFrame, spec: CohortSpec) -> DataFrame:
     """A3 + P5: (scope, hn) -> modality count, first active event, regimen name."""
     return ev.where(F.col("act_mask") != 0).select(
@@ -30,7 +35,7 @@ def entity_sets(ev: DataFrame, spec: CohortSpec) -> DataFrame:
         "hn",
         F.bit_count("act_mask").cast("int").alias("n_modalities"),
         "first_idx",
-        regimen_name(F.col("act_mask"), spec).alias("regimen"),
+        regimen_name("act_mask", spec).alias("regimen"),
     )
 
 
@@ -52,7 +57,7 @@ def regimen_counts(fact: DataFrame, spec: CohortSpec) -> DataFrame:
         .groupBy("scope", "stage", "mask")
         .agg(F.count(F.lit(1)).alias("n"), F.min("first_idx").alias("first_idx"))
     )
-    return counts.withColumn("regimen", regimen_name(F.col("mask"), spec))
+    return counts.withColumn("regimen", regimen_name("mask", spec))
 
 
 def regimen_topk(counts: DataFrame, stages: DataFrame, spec: CohortSpec) -> DataFrame:
@@ -73,15 +78,15 @@ def regimen_topk(counts: DataFrame, stages: DataFrame, spec: CohortSpec) -> Data
         F.min("mask").alias("mask"),  # the one mask of a shown rank; fixed width keeps hash aggregation
         F.max("denominator").alias("denominator"),
     )
-    name = F.when(F.col("rank") <= k, regimen_name(F.col("mask"), spec)).otherwise(F.lit(spec.tail_label))
-    panel_max = F.max("count").over(Window.partitionBy("scope", "stage"))
+    name = f"CASE WHEN rank <= {k} THEN {regimen_name_sql('mask', spec)} ELSE {lit(spec.tail_label)} END"
+    folded = folded.select("*", E(name, "regimen"), F.max("count").over(Window.partitionBy("scope", "stage")).alias("panel_max"))
     return folded.select(
         "scope",
         "stage",
         F.col("rank").cast("int").alias("rank"),
-        name.alias("regimen"),
+        "regimen",
         F.col("count").cast("bigint").alias("count"),
-        pct(F.col("count"), F.col("denominator"), spec.regimen_digits).alias("percent"),
-        pct(F.col("count"), panel_max, spec.width_digits).alias("width"),
-        combined(name).alias("combined"),
+        E(pct_sql("count", "denominator", spec.regimen_digits), "percent"),
+        E(pct_sql("count", "panel_max", spec.width_digits), "width"),
+        E(combined_sql("regimen"), "combined"),
     ).where(F.col("count") > 0)

@@ -15,7 +15,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.numeric import bit, ordinal
+from ..functions.numeric import bit_sql, ordinal_sql
+from ..functions.sql import E, arr, lit
 from ..spec import CohortSpec
 from .scope import with_scope
 
@@ -25,19 +26,17 @@ def entity_rollup(entities: DataFrame, spec: CohortSpec) -> DataFrame:
 
     The last-wins pick runs on the stage *ordinal* so every aggregate buffer is
     fixed width (hash aggregation, no sort); the code is looked up afterwards."""
-    stage_ord = ordinal(F.col("stage"), spec.stage_codes)
-    codes = F.array(*[F.lit(c) for c in spec.stage_codes])
     return (
-        with_scope(entities.select("hn", "year", "row_idx", stage_ord.alias("stage_ord")), spec)
+        with_scope(entities.select("hn", "year", "row_idx", E(ordinal_sql("stage", spec.stage_codes), "stage_ord")), spec)
         .groupBy("scope", "hn")
         .agg(
             F.max_by("stage_ord", "row_idx").alias("lookup_ord"),
-            F.bit_or(bit(F.col("stage_ord"))).alias("stage_mask"),
+            F.bit_or(E(bit_sql("stage_ord"))).alias("stage_mask"),
         )
         .select(
             "scope",
             "hn",
-            F.when(F.col("lookup_ord") >= 0, F.element_at(codes, F.col("lookup_ord") + 1)).alias("lookup_stage"),
+            E(f"CASE WHEN lookup_ord >= 0 THEN element_at({arr(spec.stage_codes)}, lookup_ord + 1) END", "lookup_stage"),
             "stage_mask",
         )
     )
@@ -45,22 +44,21 @@ def entity_rollup(entities: DataFrame, spec: CohortSpec) -> DataFrame:
 
 def event_bits(events: DataFrame, spec: CohortSpec) -> DataFrame:
     """Per event row: coverage-cell bit and active-modality bit (0 when not applicable)."""
-    t = F.col("treatment")
-    allowed = ~t.isin(list(spec.non_active))
-    stage_ord = ordinal(F.col("stage"), spec.stage_codes)
-    heat_ord = ordinal(t, spec.heat_values)
-    act_ord = ordinal(t, [m.value for m in spec.regimen_modalities()])
+    allowed = f"NOT (treatment IN ({', '.join(lit(v) for v in spec.non_active)}))" if spec.non_active else "true"
+    stage_ord = ordinal_sql("stage", spec.stage_codes)
+    heat_ord = ordinal_sql("treatment", spec.heat_values)
+    act_ord = ordinal_sql("treatment", [m.value for m in spec.regimen_modalities()])
     n_heat = len(spec.heatmap)
-    cell_pos = F.when(allowed & (heat_ord >= 0) & (stage_ord >= 0), stage_ord * n_heat + heat_ord).otherwise(-1)
-    act_pos = F.when(allowed & (act_ord >= 0), act_ord).otherwise(-1)
+    cell_pos = f"CASE WHEN {allowed} AND {heat_ord} >= 0 AND {stage_ord} >= 0 THEN {stage_ord} * {n_heat} + {heat_ord} ELSE -1 END"
+    act_pos = f"CASE WHEN {allowed} AND {act_ord} >= 0 THEN {act_ord} ELSE -1 END"
     return events.select(
         "hn",
         "year",
         "stage",
         "row_idx",
-        bit(cell_pos).alias("cell_bit"),
-        bit(act_pos).alias("act_bit"),
-        F.when(allowed & (heat_ord >= 0), heat_ord).otherwise(-1).alias("heat_ord"),
+        E(bit_sql(cell_pos), "cell_bit"),
+        E(bit_sql(act_pos), "act_bit"),
+        E(f"CASE WHEN {allowed} AND {heat_ord} >= 0 THEN {heat_ord} ELSE -1 END", "heat_ord"),
     )
 
 
@@ -85,7 +83,7 @@ def cell_rollup(events: DataFrame, spec: CohortSpec) -> DataFrame:
     return (
         bits.where(F.col("heat_ord") >= 0)
         .groupBy("scope", "hn", "stage")
-        .agg(F.bit_or(bit(F.col("heat_ord"))).alias("heat_mask"))
+        .agg(F.bit_or(E(bit_sql("heat_ord"))).alias("heat_mask"))
     )
 
 

@@ -21,7 +21,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.numeric import bit_value, pct
+from ..functions.numeric import bit_value_sql, pct_sql
+from ..functions.sql import E, lit
 from ..spec import ALL_SCOPE, CohortSpec
 from .scope import with_scope
 
@@ -42,8 +43,7 @@ def unknown_counts(unknown: DataFrame, spec: CohortSpec) -> DataFrame:
 def entity_metrics(ent: DataFrame, spec: CohortSpec) -> DataFrame:
     """A1 + A8 per registry scope from the entity rollup (or the fact table)."""
     aggs = [F.count("stage_mask").alias("known_patients")]
-    for i in range(len(spec.stages)):
-        aggs.append(_zero(F.sum(bit_value(F.col("stage_mask"), i))).alias(f"patients_{i}"))
+    aggs += [E(f"coalesce(sum({bit_value_sql('stage_mask', i)}), 0L)", f"patients_{i}") for i in range(len(spec.stages))]
     # An empty 'all' row so the whole-population scope exists even with no input.
     seed = ent.sparkSession.range(1).select(F.lit(ALL_SCOPE).alias("scope"))
     rows = ent.select("scope", "stage_mask").unionByName(seed, allowMissingColumns=True)
@@ -57,7 +57,7 @@ def event_metrics(ev: DataFrame, spec: CohortSpec) -> DataFrame:
     if spec.cells_fit_one_mask():
         for s in range(len(spec.stages)):
             for h in range(n_heat):
-                aggs.append(_zero(F.sum(bit_value(F.col("cov_mask"), s * n_heat + h))).alias(f"cov_{s}_{h}"))
+                aggs.append(E(f"coalesce(sum({bit_value_sql('cov_mask', s * n_heat + h)}), 0L)", f"cov_{s}_{h}"))
     return ev.groupBy("scope").agg(*aggs)
 
 
@@ -65,21 +65,16 @@ def set_metrics(regimen_counts: DataFrame, spec: CohortSpec) -> DataFrame:
     """A5 + A6 per scope and stage, summed from the (tiny) regimen counts."""
     aggs = []
     for i, st in enumerate(spec.stages):
-        in_stage = F.col("stage") == F.lit(st.code)
-        aggs.append(_zero(F.sum(F.when(in_stage, F.col("n")))).alias(f"active_{i}"))
-        multi = in_stage & (F.bit_count(F.col("mask")) >= 2)
-        aggs.append(_zero(F.sum(F.when(multi, F.col("n")))).alias(f"multimodal_{i}"))
+        aggs.append(E(f"coalesce(sum(CASE WHEN stage = {lit(st.code)} THEN n END), 0L)", f"active_{i}"))
+        aggs.append(E(f"coalesce(sum(CASE WHEN stage = {lit(st.code)} AND bit_count(mask) >= 2 THEN n END), 0L)", f"multimodal_{i}"))
     return regimen_counts.groupBy("scope").agg(*aggs)
 
 
 def core_metrics(ent_m: DataFrame, set_m: DataFrame, spec: CohortSpec) -> DataFrame:
     """Registry scopes with stage sizes and active / multi-modality counts."""
     out = ent_m.join(set_m, "scope", "left")
-    for i in range(len(spec.stages)):
-        out = out.withColumn(f"active_{i}", _zero(F.col(f"active_{i}"))).withColumn(
-            f"multimodal_{i}", _zero(F.col(f"multimodal_{i}"))
-        )
-    return out
+    filled = {c for i in range(len(spec.stages)) for c in (f"active_{i}", f"multimodal_{i}")}
+    return out.select(*[E(f"coalesce({c}, 0L)", c) if c in filled else c for c in out.columns])
 
 
 def scope_metrics(
@@ -90,27 +85,22 @@ def scope_metrics(
     unknown_override: int | None = None,
 ) -> DataFrame:
     """One wide row per registry scope (``all`` plus every registry year)."""
-    metrics = core.join(ev_m, "scope", "left").withColumn("treatment_events", _zero(F.col("treatment_events")))
-    if spec.cells_fit_one_mask():
-        n_heat = len(spec.heatmap)
-        for s in range(len(spec.stages)):
-            for h in range(n_heat):
-                metrics = metrics.withColumn(f"cov_{s}_{h}", _zero(F.col(f"cov_{s}_{h}")))
-
-    unk = unknown_counts(unknown, spec)
-    metrics = metrics.join(unk, "scope", "left")
-    unknown_col = _zero(F.col("unknown_patients"))
+    metrics = core.join(ev_m, "scope", "left").join(unknown_counts(unknown, spec), "scope", "left")
+    zeroed = {"treatment_events", "unknown_patients"} | {c for c in ev_m.columns if c.startswith("cov_")}
+    cols = [E(f"coalesce({c}, 0L)", c) if c in zeroed else c for c in metrics.columns]
+    n = len(spec.stages)
+    active = " + ".join(f"active_{i}" for i in range(n)) or "0L"
+    multi = " + ".join(f"multimodal_{i}" for i in range(n)) or "0L"
+    metrics = metrics.select(*cols, E(f"CAST({active} AS BIGINT)", "active_patients"), E(f"CAST({multi} AS BIGINT)", "multimodal_patients"))
+    unknown_col = "unknown_patients"
     if unknown_override is not None:
-        unknown_col = F.when(F.col("scope") == ALL_SCOPE, F.lit(int(unknown_override)).cast("bigint")).otherwise(unknown_col)
-    metrics = metrics.withColumn("unknown_patients", unknown_col)
-
-    active = sum((F.col(f"active_{i}") for i in range(len(spec.stages))), F.lit(0).cast("bigint"))
-    multi = sum((F.col(f"multimodal_{i}") for i in range(len(spec.stages))), F.lit(0).cast("bigint"))
-    return (
-        metrics.withColumn("active_patients", active)
-        .withColumn("multimodal_patients", multi)
-        .withColumn("multimodal_percent", pct(F.col("multimodal_patients"), F.col("active_patients"), spec.multimodal_digits))
-        .withColumn("stage_count", F.lit(len(spec.stages)))
+        unknown_col = f"CASE WHEN scope = {lit(ALL_SCOPE)} THEN {int(unknown_override)}L ELSE unknown_patients END"
+    keep = [c for c in metrics.columns if c != "unknown_patients"]
+    return metrics.select(
+        *keep,
+        E(unknown_col, "unknown_patients"),
+        E(pct_sql("multimodal_patients", "active_patients", spec.multimodal_digits), "multimodal_percent"),
+        E(f"{n}", "stage_count"),
     )
 
 
@@ -133,30 +123,21 @@ def summary(metrics: DataFrame) -> DataFrame:
 
 def stage_table(metrics: DataFrame, spec: CohortSpec) -> DataFrame:
     """A1 + A5-A7 per (scope, stage), every stage present (zero-filled)."""
-    rows = [
-        F.struct(
-            F.lit(i).alias("stage_ord"),
-            F.lit(st.code).alias("stage"),
-            F.lit(st.label).alias("label"),
-            F.lit(st.name).alias("name"),
-            F.lit(st.color).alias("color"),
-            F.col(f"patients_{i}").alias("patients"),
-            F.col(f"active_{i}").alias("active_patients"),
-            F.col(f"multimodal_{i}").alias("multimodal_patients"),
-        )
+    rows = ", ".join(
+        f"named_struct('stage_ord', {i}, 'stage', {lit(st.code)}, 'label', {lit(st.label)}, 'name', {lit(st.name)}, "
+        f"'color', {lit(st.color)}, 'patients', patients_{i}, 'active_patients', active_{i}, 'multimodal_patients', multimodal_{i})"
         for i, st in enumerate(spec.stages)
-    ]
-    out = metrics.select("scope", F.inline(F.array(*rows)))
-    den = F.col("patients") if spec.denominator == "all" else F.col("active_patients")
-    return out.withColumn(
-        "multimodal_percent", pct(F.col("multimodal_patients"), F.col("active_patients"), spec.multimodal_digits)
-    ).withColumn("denominator", den)
+    )
+    den = "patients" if spec.denominator == "all" else "active_patients"
+    out = metrics.select("scope", E(f"inline(array({rows}))"))
+    return out.select(
+        "*",
+        E(pct_sql("multimodal_patients", "active_patients", spec.multimodal_digits), "multimodal_percent"),
+        E(den, "denominator"),
+    )
 
 
 def stage_sizes(ent_m: DataFrame, spec: CohortSpec) -> DataFrame:
     """(scope, stage, denominator = ids in the stage) from the entity side only."""
-    rows = [
-        F.struct(F.lit(st.code).alias("stage"), F.col(f"patients_{i}").alias("denominator"))
-        for i, st in enumerate(spec.stages)
-    ]
-    return ent_m.select("scope", F.inline(F.array(*rows)))
+    rows = ", ".join(f"named_struct('stage', {lit(st.code)}, 'denominator', patients_{i})" for i, st in enumerate(spec.stages))
+    return ent_m.select("scope", E(f"inline(array({rows}))"))

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.display import caution_flag, fmt_count, fmt_pct, headline, scope_label
+from ..functions.sql import E
 from ..functions.text import clean_text, clean_year, stage_rollup
 from ..operators import coverage as cov
 from ..operators import regimens as reg
@@ -41,21 +42,21 @@ def _registry_scopes(b: CohortBuild) -> DataFrame:
 # -- P1 / P2 / P9 on messy text derived from clean columns ---------------------------
 def q_clean_text(spark, sf):
     cust = tpch.read(spark, sf, "customer", "c_custkey", "c_mktsegment")
-    raw = tpch.messy_text(F.col("c_custkey"), F.col("c_mktsegment"))
-    return cust.select("c_custkey", raw.alias("raw_stage"), clean_text(raw, tpch_spec().sentinel).alias("stage"))
+    raw = tpch.messy_text_sql("c_custkey", "c_mktsegment")
+    return cust.select("c_custkey", E(raw, "raw_stage")).select("c_custkey", "raw_stage", clean_text("raw_stage", tpch_spec().sentinel).alias("stage"))
 
 
 def q_clean_year(spark, sf):
     ents = tpch.raw_entities(spark, sf)
-    raw = tpch.messy_year(F.col("c_custkey"), F.col("year"))
-    return ents.select("c_custkey", raw.alias("raw_year"), clean_year(raw, tpch_spec().sentinel).alias("year"))
+    raw = tpch.messy_year_sql("c_custkey", "year")
+    return ents.select("c_custkey", E(raw, "raw_year")).select("c_custkey", "raw_year", clean_year("raw_year", tpch_spec().sentinel).alias("year"))
 
 
 def q_stage_rollup(spark, sf):
     cust = tpch.read(spark, sf, "customer", "c_custkey")
-    raw = tpch.substage(F.col("c_custkey"))
-    return cust.select(
-        "c_custkey", raw.alias("raw_stage"), stage_rollup(raw, tpch_spec().sentinel, CLINICAL_SUBSTAGE_PATTERN).alias("stage")
+    raw = tpch.substage_sql("c_custkey")
+    return cust.select("c_custkey", E(raw, "raw_stage")).select(
+        "c_custkey", "raw_stage", stage_rollup("raw_stage", tpch_spec().sentinel, CLINICAL_SUBSTAGE_PATTERN).alias("stage")
     )
 
 
@@ -168,7 +169,7 @@ def q_regimen_label(spark, sf):
 def q_entity_stage_lookup(spark, sf):
     b = build(spark, sf)
     return reg.entity_assignments(b.fact, b.spec).select(
-        "scope", "hn", "stage", reg.regimen_name(F.col("mask"), b.spec).alias("regimen"), "first_idx"
+        "scope", "hn", "stage", reg.regimen_name("mask", b.spec).alias("regimen"), "first_idx"
     )
 
 
@@ -198,13 +199,13 @@ def dashboard_slice(b: CohortBuild, scope: str | None = None) -> DataFrame:
     s = b.summary.where(F.col("scope") == F.lit(scope or ALL_SCOPE))
     return s.select(
         "scope",
-        scope_label(F.col("scope")).alias("scope_label"),
-        fmt_count(F.col("known_patients")).alias("known_fmt"),
-        fmt_pct(F.col("multimodal_percent")).alias("multimodal_fmt"),
-        fmt_count(F.col("stage_count")).alias("stage_count_fmt"),
-        fmt_count(F.col("treatment_events")).alias("events_fmt"),
-        fmt_count(F.col("unknown_patients")).alias("unknown_fmt"),
-        headline(F.col("multimodal_patients"), F.col("active_patients")).alias("headline"),
+        scope_label("scope").alias("scope_label"),
+        fmt_count("known_patients").alias("known_fmt"),
+        fmt_pct("multimodal_percent").alias("multimodal_fmt"),
+        fmt_count("stage_count").alias("stage_count_fmt"),
+        fmt_count("treatment_events").alias("events_fmt"),
+        fmt_count("unknown_patients").alias("unknown_fmt"),
+        headline("multimodal_patients", "active_patients").alias("headline"),
     )
 
 
@@ -214,7 +215,7 @@ def q_dashboard_slice(spark, sf):
 
 def q_headline(spark, sf):
     s = build(spark, sf).summary
-    return s.select("scope", headline(F.col("multimodal_patients"), F.col("active_patients")).alias("headline"))
+    return s.select("scope", headline("multimodal_patients", "active_patients").alias("headline"))
 
 
 def q_display_columns(spark, sf):
@@ -222,16 +223,16 @@ def q_display_columns(spark, sf):
     return b.stages.select(
         "scope",
         "stage",
-        scope_label(F.col("scope")).alias("scope_label"),
-        fmt_count(F.col("patients")).alias("patients_fmt"),
-        fmt_pct(F.col("multimodal_percent")).alias("multimodal_fmt"),
-        caution_flag(F.col("stage"), b.spec.small_n_stage).alias("caution"),
+        scope_label("scope").alias("scope_label"),
+        fmt_count("patients").alias("patients_fmt"),
+        fmt_pct("multimodal_percent").alias("multimodal_fmt"),
+        caution_flag("stage", b.spec.small_n_stage).alias("caution"),
     )
 
 
 def q_regimen_display(spark, sf):
     r = build(spark, sf).regimens
-    return r.select("scope", "stage", "rank", fmt_pct(F.col("percent")).alias("percent_fmt"), fmt_count(F.col("count")).alias("count_fmt"))
+    return r.select("scope", "stage", "rank", fmt_pct("percent").alias("percent_fmt"), fmt_count("count").alias("count_fmt"))
 
 
 # -- document ----------------------------------------------------------------------------

@@ -179,7 +179,7 @@ def flatten_heatmap(rows: DataFrame, spec: CohortSpec) -> DataFrame:
         "heat_ord",
         "treatment",
         "label",
-        ordinal(F.col("stage"), spec.stage_codes).alias("stage_ord"),
+        ordinal("stage", spec.stage_codes).alias("stage_ord"),
         "stage",
         F.col("cell").getField("count").alias("count"),
         F.col("cell").getField("percent").alias("percent"),

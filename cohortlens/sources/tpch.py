@@ -15,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.sql import arr, lit
 from ..model import CohortInputs
 from ..spec import TPCH_UNKNOWN_SEGMENT
 
@@ -80,52 +81,57 @@ def tpch_inputs(spark: SparkSession, sf_dir: str, encoding: str = "P", unknown_o
 # Every variant is a pure function of c_custkey and the clean value, so the
 # same strings can be written on the SQL side.
 # ---------------------------------------------------------------------------
-TAB, NBSP, IDEO_SPACE, FILE_SEP, LF = "\t", " ", "　", "\u001c", "\n"
+TAB, NBSP, IDEO_SPACE, FILE_SEP, LF = "\t", "\u00a0", "\u3000", "\u001c", "\n"
 THAI_DIGITS = "๐๑๒๓๔๕๖๗๘๙"
 SUBSTAGES = ("I", "IIA", "IIB", "IIC", "II", "IIIA", "IIIB", "IIIC", "IVA", "IVB", "IV", "IID", "V", "iia")
 
 
-def messy_text(key: Column, value: Column) -> Column:
-    k = key % 7
-    return (
-        F.when(k == 0, F.concat(F.lit(TAB), value, F.lit(" ")))
-        .when(k == 1, F.concat(F.lit(NBSP), value))
-        .when(k == 2, F.concat(value, F.lit(IDEO_SPACE)))
-        .when(k == 3, F.lit("  "))
-        .when(k == 4, F.lit(None).cast("string"))
-        .when(k == 5, F.concat(F.lit(FILE_SEP), value, F.lit(LF)))
-        .otherwise(value)
+def _case(key: str, variants: list[str]) -> str:
+    whens = " ".join(f"WHEN {i} THEN {v}" for i, v in enumerate(variants))
+    return f"CASE {key} % {len(variants)} {whens} END"
+
+
+def messy_text_sql(key: str, value: str) -> str:
+    return _case(
+        key,
+        [
+            f"concat({lit(TAB)}, {value}, ' ')",
+            f"concat({lit(NBSP)}, {value})",
+            f"concat({value}, {lit(IDEO_SPACE)})",
+            "'  '",
+            "CAST(NULL AS STRING)",
+            f"concat({lit(FILE_SEP)}, {value}, {lit(LF)})",
+            value,
+        ],
+    )
+
+
+def messy_year_sql(key: str, y: str) -> str:
+    head, rest = f"substring({y}, 1, 1)", f"substring({y}, 2, 100)"
+    return _case(
+        key,
+        [
+            y,
+            f"concat({y}, '.0')",
+            f"concat({y}, '.9')",
+            f"concat('-', {y}, '.5')",
+            f"concat(' ', {y}, {lit(TAB)})",
+            f"concat({y}, 'd')",
+            f"concat({head}, 'e3')",
+            f"concat({head}, '_', {rest})",
+            f"translate({y}, '0123456789', {lit(THAI_DIGITS)})",
+            f"concat({y}, 'abc')",
+            "'nan'",
+            "'inf'",
+            "''",
+            "CAST(NULL AS STRING)",
+            f"concat({lit(IDEO_SPACE)}, {y})",
+            f"concat('.', {y})",
+            f"concat('+', {y})",
+            f"concat({head}, '__', {rest})",
+        ],
     )
 
 
-def messy_year(key: Column, y: Column) -> Column:
-    k = key % 18
-    head, rest = F.substring(y, 1, 1), F.substring(y, 2, 100)
-    variants = [
-        y,
-        F.concat(y, F.lit(".0")),
-        F.concat(y, F.lit(".9")),
-        F.concat(F.lit("-"), y, F.lit(".5")),
-        F.concat(F.lit(" "), y, F.lit(TAB)),
-        F.concat(y, F.lit("d")),
-        F.concat(head, F.lit("e3")),
-        F.concat(head, F.lit("_"), rest),
-        F.translate(y, "0123456789", THAI_DIGITS),
-        F.concat(y, F.lit("abc")),
-        F.lit("nan"),
-        F.lit("inf"),
-        F.lit(""),
-        F.lit(None).cast("string"),
-        F.concat(F.lit(IDEO_SPACE), y),
-        F.concat(F.lit("."), y),
-        F.concat(F.lit("+"), y),
-        F.concat(head, F.lit("__"), rest),
-    ]
-    expr = F.when(k == 0, variants[0])
-    for i, v in enumerate(variants[1:], start=1):
-        expr = expr.when(k == i, v)
-    return expr
-
-
-def substage(key: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(s) for s in SUBSTAGES]), (key % len(SUBSTAGES) + 1).cast("int"))
+def substage_sql(key: str) -> str:
+    return f"element_at({arr(SUBSTAGES)}, CAST({key} % {len(SUBSTAGES)} + 1 AS INT))"

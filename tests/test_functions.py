@@ -17,7 +17,7 @@ SENT = "ไม่ระบุ"
 
 def one_col(spark, values, expr):
     df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v string")
-    return [r[0] for r in df.orderBy("i").select(expr(F.col("v"))).collect()]
+    return [r[0] for r in df.orderBy("i").select(expr("v")).collect()]
 
 
 def test_clean_text_matches_str_strip_for_every_space(spark):
@@ -43,7 +43,7 @@ def test_clean_year_matches_python(spark):
 def test_pct_half_even_matches_python_round(spark):
     pairs = [(n, d) for d in range(0, 130) for n in range(0, 2 * d + 1)] + [(0, 0), (5, 0)]
     df = spark.createDataFrame(pairs, "n long, d long")
-    got = df.select("n", "d", pct(F.col("n"), F.col("d"), 0).alias("p0"), pct(F.col("n"), F.col("d"), 1).alias("p1")).collect()
+    got = df.select("n", "d", pct("n", "d", 0).alias("p0"), pct("n", "d", 1).alias("p1")).collect()
     for r in got:
         assert r["p0"] == py_pct(r["n"], r["d"], 0), (r["n"], r["d"])
         assert r["p1"] == py_pct(r["n"], r["d"], 1), (r["n"], r["d"])
@@ -57,19 +57,19 @@ def test_stage_rollup(spark):
 
 def test_decode_mask_order(spark):
     df = spark.createDataFrame([(0,), (1,), (5,), (255,)], "m long")
-    got = [r[0] for r in df.select(decode_mask(F.col("m"), ["RP", "RT", "ADT", "Chemo", "ARPI", "IR", "IO", "อื่นๆ"])).collect()]
+    got = [r[0] for r in df.select(decode_mask("m", ["RP", "RT", "ADT", "Chemo", "ARPI", "IR", "IO", "อื่นๆ"])).collect()]
     assert got == ["", "RP", "RP + ADT", "RP + RT + ADT + Chemo + ARPI + IR + IO + อื่นๆ"]
 
 
 def test_display_helpers(spark):
     df = spark.createDataFrame([(1234567, 46.0, 28.6, 0, "all"), (0, 0.0, 100.0, 3, "2565")], "n long, a double, b double, c long, s string")
     r = df.select(
-        fmt_count(F.col("n")).alias("n"),
-        fmt_pct(F.col("a")).alias("a"),
-        fmt_pct(F.col("b")).alias("b"),
-        heat_wash(F.col("b"), F.col("c")).alias("w"),
-        heat_dark_text(F.col("b"), F.col("c")).alias("d"),
-        scope_label(F.col("s")).alias("s"),
+        fmt_count("n").alias("n"),
+        fmt_pct("a").alias("a"),
+        fmt_pct("b").alias("b"),
+        heat_wash("b", "c").alias("w"),
+        heat_dark_text("b", "c").alias("d"),
+        scope_label("s").alias("s"),
     ).collect()
     assert (r[0]["n"], r[0]["a"], r[0]["b"], r[0]["w"], r[0]["s"]) == ("1,234,567", "46%", "28.6%", None, "รวมทุกปี")
     assert (r[1]["n"], r[1]["a"], r[1]["b"], r[1]["s"]) == ("0", "0%", "100%", "ปี 2565")
@@ -85,5 +85,5 @@ def test_pct_exact_binary_ties_at_large_denominators(spark):
     pairs = [(rnd.randrange(0, d + 1), d) for d in (2000, 4000, 20000, 160000, 6250000) for _ in range(1500)]
     pairs += [(129, 2000), (777, 2000), (1711, 2000)]
     df = spark.createDataFrame(pairs, "n long, d long")
-    for r in df.select("n", "d", pct(F.col("n"), F.col("d"), 1).alias("p")).collect():
+    for r in df.select("n", "d", pct("n", "d", 1).alias("p")).collect():
         assert r["p"] == py_pct(r["n"], r["d"], 1), (r["n"], r["d"])
