@@ -46,6 +46,7 @@ class CohortBuild:
         prepared: bool = False,
         materialize: str = "none",
         rollup_pattern: str | None = None,
+        event_rollup: DataFrame | None = None,
     ) -> None:
         if materialize not in ("none", "cache", "checkpoint"):
             raise ValueError("materialize must be none, cache or checkpoint")
@@ -54,6 +55,7 @@ class CohortBuild:
         self._prepared = prepared
         self.materialize = materialize
         self.rollup_pattern = rollup_pattern
+        self._event_rollup = event_rollup  # e.g. merged incremental partials (streaming)
 
     # -- inputs ------------------------------------------------------------------
     @cached_property
@@ -77,6 +79,8 @@ class CohortBuild:
 
     @cached_property
     def event_rollup(self) -> DataFrame:
+        if self._event_rollup is not None:
+            return self._event_rollup
         return rollup.event_rollup(self.events, self.spec)
 
     @cached_property
