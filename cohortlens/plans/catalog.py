@@ -28,11 +28,11 @@ from .document import document_rows, flatten_heatmap
 VARIANT_DROP = ("5-LOW",)
 
 
-def build(spark: SparkSession, sf_dir: str, encoding: str = "P", variant: bool = False) -> CohortBuild:
+def build(spark: SparkSession, sf_dir: str, encoding: str = "P", variant: bool = False, materialize: str = "none") -> CohortBuild:
     spec = tpch_spec(encoding)
     if variant:
         spec = active_only_variant(spec, VARIANT_DROP)
-    return CohortBuild(tpch.tpch_inputs(spark, sf_dir, encoding), spec)
+    return CohortBuild(tpch.tpch_inputs(spark, sf_dir, encoding), spec, materialize=materialize)
 
 
 def _registry_scopes(b: CohortBuild) -> DataFrame:
@@ -237,11 +237,13 @@ def q_regimen_display(spark, sf):
 
 # -- document ----------------------------------------------------------------------------
 def q_document(spark, sf):
-    return document_rows(build(spark, sf)).select("scope", F.to_json("dataset").alias("dataset_json"))
+    # several outputs in one plan: the fact and the per-scope results are cached
+    b = build(spark, sf, materialize="cache")
+    return document_rows(b).select("scope", F.to_json("dataset").alias("dataset_json"))
 
 
 def q_document_roundtrip(spark, sf):
-    b = build(spark, sf)
+    b = build(spark, sf, materialize="cache")
     text = document_rows(b).select("scope", F.to_json("dataset").alias("dataset_json"))
     return flatten_heatmap(text, b.spec)
 

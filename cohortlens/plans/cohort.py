@@ -56,6 +56,7 @@ class CohortBuild:
         self.materialize = materialize
         self.rollup_pattern = rollup_pattern
         self._event_rollup = event_rollup  # e.g. merged incremental partials (streaming)
+        self._kept: list[DataFrame] = []
 
     # -- inputs ------------------------------------------------------------------
     @cached_property
@@ -90,9 +91,22 @@ class CohortBuild:
             ensure_checkpoint_dir(fact.sparkSession)
             return fact.checkpoint(eager=True)
         if self.materialize == "cache":
-            return fact.persist(StorageLevel.MEMORY_AND_DISK)
+            return self._keep(fact)
         return fact
 
+    def _keep(self, df: DataFrame) -> DataFrame:
+        """Persist a shared intermediate.  A persisted plan is matched by the
+        cache manager whatever columns each consumer prunes, so outputs that
+        share it read it once instead of re-running it (exchange reuse alone
+        fails as soon as two consumers prune differently)."""
+        kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+        self._kept.append(kept)
+        return kept
+
+    def _small(self, df: DataFrame) -> DataFrame:
+        """Tiny per-scope results feed several outputs: keep them when materialising."""
+        return df if self.materialize == "none" else self._keep(df)
+
     # -- per scope ---------------------------------------------------------------
     # With a materialised fact every metric reads it; otherwise each side reads
     # its own rollup so single-output queries never roll the events up twice.
@@ -111,12 +125,13 @@ class CohortBuild:
     @cached_property
     def core_metrics(self) -> DataFrame:
         set_m = summary.set_metrics(self.regimen_counts, self.spec)
-        return summary.core_metrics(self.entity_metrics, set_m, self.spec)
+        return self._small(summary.core_metrics(self.entity_metrics, set_m, self.spec))
 
     @cached_property
     def metrics(self) -> DataFrame:
         ev_m = summary.event_metrics(self._event_source, self.spec)
-        return summary.scope_metrics(self.core_metrics, ev_m, self.inputs.unknown, self.spec, self.inputs.unknown_override)
+        metrics = summary.scope_metrics(self.core_metrics, ev_m, self.inputs.unknown, self.spec, self.inputs.unknown_override)
+        return self._small(metrics)
 
     @cached_property
     def summary(self) -> DataFrame:
@@ -151,12 +166,13 @@ class CohortBuild:
     # -- regimens ----------------------------------------------------------------
     @cached_property
     def regimen_counts(self) -> DataFrame:
-        return reg.regimen_counts(self.fact, self.spec)
+        return self._small(reg.regimen_counts(self.fact, self.spec))
 
     @cached_property
     def regimens(self) -> DataFrame:
-        return reg.regimen_topk(self.regimen_counts, self.denominators, self.spec)
+        return self._small(reg.regimen_topk(self.regimen_counts, self.denominators, self.spec))
 
     def release(self) -> None:
-        if self.materialize == "cache" and "fact" in self.__dict__:
-            self.fact.unpersist()
+        for df in self._kept:
+            df.unpersist()
+        self._kept.clear()
