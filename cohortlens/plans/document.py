@@ -11,7 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.numeric import ordinal
+from ..functions.numeric import ordinal, pct_sql
+from ..functions.sql import E, lit
 from ..spec import ALL_SCOPE, CohortSpec
 from .cohort import CohortBuild
 
@@ -43,7 +44,53 @@ DOCUMENT_TYPE = (
 
 
 def document_rows(b: CohortBuild) -> DataFrame:
-    """One row per scope: (scope, dataset) with the document's nested layout."""
+    """One row per scope: (scope, dataset) with the document's nested layout.
+
+    The per-scope metrics row already holds every stage size and coverage
+    cell, so summary, stages, heatmap and the panel shells are expressions over
+    it; only the regimens need one grouping (bounded: stages x (k + 1) rows
+    per scope) and one join on scope."""
+    if not b.spec.cells_fit_one_mask():
+        return _document_rows_long(b)
+    spec = b.spec
+    regs = b.regimens.groupBy("scope").agg(
+        F.collect_list(F.struct("stage", "rank", F.col("regimen").alias("name"), "count", "percent", "width", "combined")).alias("regs")
+    )
+    den = "patients" if spec.denominator == "all" else "active"
+    n_heat = len(spec.heatmap)
+    stages = ", ".join(
+        f"named_struct('stage', {lit(st.code)}, 'label', {lit(st.label)}, 'name', {lit(st.name)}, 'color', {lit(st.color)}, 'patients', patients_{i})"
+        for i, st in enumerate(spec.stages)
+    )
+    heat = ", ".join(
+        f"named_struct('treatment', {lit(h.value)}, 'label', {lit(h.label)}, 'stages', map("
+        + ", ".join(
+            f"{lit(st.code)}, named_struct('count', cov_{i}_{j}, 'percent', {pct_sql(f'cov_{i}_{j}', f'{den}_{i}', spec.coverage_digits)})"
+            for i, st in enumerate(spec.stages)
+        )
+        + "))"
+        for j, h in enumerate(spec.heatmap)
+    )
+    reg_fields = "named_struct('name', r.name, 'count', r.count, 'percent', r.percent, 'width', r.width, 'combined', r.combined)"
+    panels = ", ".join(
+        f"named_struct('stage', {lit(st.code)}, 'label', {lit(st.label)}, 'name', {lit(st.name)}, 'color', {lit(st.color)}, "
+        f"'patients', patients_{i}, 'activePatients', active_{i}, 'multimodalPatients', multimodal_{i}, "
+        f"'multimodalPercent', {pct_sql(f'multimodal_{i}', f'active_{i}', spec.multimodal_digits)}, "
+        f"'regimens', transform(array_sort(filter(coalesce(regs, array()), r -> r.stage = {lit(st.code)}), "
+        f"(a, c) -> CASE WHEN a.rank < c.rank THEN -1 WHEN a.rank > c.rank THEN 1 ELSE 0 END), r -> {reg_fields}))"
+        for i, st in enumerate(spec.stages)
+    )
+    summary = (
+        "named_struct('knownStagePatients', known_patients, 'treatmentEvents', treatment_events, "
+        "'stageCount', CAST(stage_count AS INT), 'unknownStagePatients', unknown_patients, "
+        "'activePatients', active_patients, 'multimodalPatients', multimodal_patients, 'multimodalPercent', multimodal_percent)"
+    )
+    dataset = f"named_struct('summary', {summary}, 'stages', array({stages}), 'heatmap', array({heat}), 'panels', array({panels}))"
+    return b.metrics.join(regs, "scope", "left").select("scope", E(dataset, "dataset"))
+
+
+def _document_rows_long(b: CohortBuild) -> DataFrame:
+    """Wide-dimension path: assemble from the long stage / heatmap / regimen tables."""
     regs = b.regimens.groupBy("scope", "stage").agg(
         F.transform(
             F.array_sort(
