@@ -63,7 +63,7 @@ def treatment_sql(encoding: str) -> str:
     return "o.o_orderpriority" if encoding == "P" else "o.o_orderpriority || '/' || o.o_orderstatus"
 
 
-def base(spec: CohortSpec, encoding: str) -> str:
+def base(spec: CohortSpec, encoding: str, override: int | None = None) -> str:
     """CTEs: raw mapping, cleaning, F1, scopes, dimensions and the per-entity sets."""
     sent = spec.sentinel
     stages = spec.stage_codes
@@ -73,6 +73,11 @@ def base(spec: CohortSpec, encoding: str) -> str:
     act_dim = values([(i, m.value, m.short) for i, m in enumerate(reg_mods)], ["reg_ord", "treatment", "short"])
     den_col = "patients" if spec.denominator == "all" else "active_patients"
     k = spec.top_k
+    min_share_sql = (
+        f" AND CAST(r.n AS DOUBLE) / CAST(st.denominator AS DOUBLE) * 100.0 >= {float(spec.min_share)!r}"
+        if spec.min_share is not None
+        else ""
+    )
     return f"""
 cust_first AS (SELECT o_custkey AS custkey, min(o_orderdate) AS first_date FROM orders GROUP BY o_custkey),
 raw_entities AS (
@@ -137,11 +142,14 @@ regimen_counts AS (
   SELECT scope, stage, regimen, count(*) AS n, min(first_idx) AS first_idx FROM assigned GROUP BY scope, stage, regimen),
 ranked AS (
   SELECT *, row_number() OVER (PARTITION BY scope, stage ORDER BY n DESC, first_idx ASC) AS rn FROM regimen_counts),
+shown_flag AS (
+  SELECT r.*, (r.rn <= {k}{min_share_sql}) AS shown
+  FROM ranked r JOIN stage_table st ON st.scope = r.scope AND st.stage = r.stage),
 folded AS (
-  SELECT scope, stage, CAST(rn AS INTEGER) AS rank, regimen, n AS count FROM ranked WHERE rn <= {k}
+  SELECT scope, stage, CAST(rn AS INTEGER) AS rank, regimen, n AS count FROM shown_flag WHERE shown
   UNION ALL
   SELECT scope, stage, {k + 1} AS rank, {q(spec.tail_label)} AS regimen, CAST(sum(n) AS BIGINT) AS count
-  FROM ranked WHERE rn > {k} GROUP BY scope, stage),
+  FROM shown_flag WHERE NOT shown GROUP BY scope, stage),
 regimens AS (
   SELECT f.scope, f.stage, f.rank, f.regimen, f.count,
          {pct('f.count', 'st.denominator', spec.regimen_digits)} AS percent,
@@ -154,7 +162,7 @@ summary AS (
          (SELECT count(DISTINCT e.hn) FROM ent_s e WHERE e.scope = s.scope) AS known_patients,
          (SELECT count(*) FROM ev_s e WHERE e.scope = s.scope) AS treatment_events,
          {len(spec.stages)} AS stage_count,
-         (SELECT count(DISTINCT u.hn) FROM unk_s u WHERE u.scope = s.scope) AS unknown_patients,
+         {f"CASE WHEN s.scope = {q(ALL_SCOPE)} THEN CAST({override} AS BIGINT) ELSE " if override is not None else ""}(SELECT count(DISTINCT u.hn) FROM unk_s u WHERE u.scope = s.scope){" END" if override is not None else ""} AS unknown_patients,
          (SELECT CAST(sum(active_patients) AS BIGINT) FROM stage_table t WHERE t.scope = s.scope) AS active_patients,
          (SELECT CAST(sum(multimodal_patients) AS BIGINT) FROM stage_table t WHERE t.scope = s.scope) AS multimodal_patients
   FROM scopes s),
@@ -163,11 +171,11 @@ summary_full AS (
 """
 
 
-def with_base(select: str, encoding: str = "P", variant: bool = False) -> str:
-    spec = tpch_spec(encoding)
+def with_base(select: str, encoding: str = "P", variant: bool = False, override: int | None = None, **params) -> str:
+    spec = tpch_spec(encoding, **params)
     if variant:
         spec = active_only_variant(spec, VARIANT_DROP)
-    return "WITH " + base(spec, encoding).strip() + "\n" + select.strip()
+    return "WITH " + base(spec, encoding, override).strip() + "\n" + select.strip()
 
 
 def fmt_count(x: str) -> str:
@@ -252,6 +260,7 @@ FROM (SELECT c_custkey, {substage} AS raw_stage FROM customer)""",
         "known_total": with_base("SELECT scope, known_patients, CAST(stage_count AS INTEGER) AS stage_count FROM summary_full"),
         "event_total": with_base("SELECT scope, treatment_events FROM summary_full"),
         "unknown_total": with_base("SELECT scope, unknown_patients FROM summary_full"),
+        "unknown_total_override": with_base("SELECT scope, unknown_patients FROM summary_full", override=119),
         "summary": with_base(
             "SELECT scope, known_patients, treatment_events, CAST(stage_count AS INTEGER) AS stage_count, unknown_patients, "
             "active_patients, multimodal_patients, multimodal_percent FROM summary_full"
@@ -294,6 +303,7 @@ FROM (SELECT DISTINCT treatment FROM events) t LEFT JOIN act_dim a ON a.treatmen
         "regimen_topk_wide": with_base(REGIMEN_SELECT, "W"),
         "active_denominator_heatmap": with_base(HEATMAP_SELECT, variant=True),
         "active_denominator_regimens": with_base(REGIMEN_SELECT, variant=True),
+        "regimen_topk_min_share": with_base(REGIMEN_SELECT, variant=True, min_share=5.0),
         "dashboard_slice": with_base(f"""
 SELECT scope, {scope_label('scope')} AS scope_label, {fmt_count('known_patients')} AS known_fmt,
        {fmt_pct('multimodal_percent')} AS multimodal_fmt, {fmt_count('stage_count')} AS stage_count_fmt,

@@ -28,11 +28,25 @@ from .document import document_rows, flatten_heatmap
 VARIANT_DROP = ("5-LOW",)
 
 
-def build(spark: SparkSession, sf_dir: str, encoding: str = "P", variant: bool = False, materialize: str = "none") -> CohortBuild:
-    spec = tpch_spec(encoding)
+# Parameters exercised by the optional-feature queries.
+OVERRIDE_UNKNOWN = 119
+MIN_SHARE = 5.0
+
+
+def build(
+    spark: SparkSession,
+    sf_dir: str,
+    encoding: str = "P",
+    variant: bool = False,
+    materialize: str = "none",
+    unknown_override: int | None = None,
+    **spec_params,
+) -> CohortBuild:
+    spec = tpch_spec(encoding, **spec_params)
     if variant:
         spec = active_only_variant(spec, VARIANT_DROP)
-    return CohortBuild(tpch.tpch_inputs(spark, sf_dir, encoding), spec, materialize=materialize)
+    inputs = tpch.tpch_inputs(spark, sf_dir, encoding, unknown_override=unknown_override)
+    return CohortBuild(inputs, spec, materialize=materialize)
 
 
 def _registry_scopes(b: CohortBuild) -> DataFrame:
@@ -106,6 +120,11 @@ def q_unknown_total(spark, sf):
     return build(spark, sf).summary.select("scope", "unknown_patients")
 
 
+def q_unknown_total_override(spark, sf):
+    """The override replaces the whole-population figure only."""
+    return build(spark, sf, unknown_override=OVERRIDE_UNKNOWN).summary.select("scope", "unknown_patients")
+
+
 def q_summary(spark, sf):
     return build(spark, sf).summary
 
@@ -193,6 +212,11 @@ def q_active_denominator_regimens(spark, sf):
     return build(spark, sf, variant=True).regimens
 
 
+def q_regimen_topk_min_share(spark, sf):
+    """Q4's optional extra cut-off: shown rows also need a minimum share."""
+    return build(spark, sf, variant=True, min_share=MIN_SHARE).regimens
+
+
 # -- dashboard derivations ---------------------------------------------------------------
 def dashboard_slice(b: CohortBuild, scope: str | None = None) -> DataFrame:
     """Q3 / F8: the top-of-page numbers of one scope, default the whole population."""
@@ -262,6 +286,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "known_total": q_known_total,
     "event_total": q_event_total,
     "unknown_total": q_unknown_total,
+    "unknown_total_override": q_unknown_total_override,
     "coverage_heatmap": q_coverage_heatmap,
     "coverage_heatmap_wide": q_coverage_heatmap_wide,
     "coverage_peak": q_coverage_peak,
@@ -277,6 +302,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "summary": q_summary,
     "active_denominator_heatmap": q_active_denominator_heatmap,
     "active_denominator_regimens": q_active_denominator_regimens,
+    "regimen_topk_min_share": q_regimen_topk_min_share,
     "modality_mix_by_stage": q_modality_mix_by_stage,
     "stage_modality_flow": q_stage_modality_flow,
     "dashboard_slice": q_dashboard_slice,
