@@ -99,7 +99,7 @@ def stage_modality_flow(heatmap: DataFrame) -> DataFrame:
     return heatmap.where(F.col("count") > 0).select("scope", "stage", "treatment", F.col("count").alias("n"))
 
 
-def modality_mix(events: DataFrame, metrics: DataFrame, spec: CohortSpec) -> DataFrame:
+def modality_mix(events: DataFrame, scopes: DataFrame, spec: CohortSpec) -> DataFrame:
     """Q5: per (scope, event stage), the share of each active modality among
     distinct (entity, modality) pairs.  Events must be cleaned and known-stage."""
     labels = F.create_map(*[x for m in spec.modalities for x in (F.lit(m.value), F.lit(m.short))])
@@ -107,7 +107,7 @@ def modality_mix(events: DataFrame, metrics: DataFrame, spec: CohortSpec) -> Dat
         with_scope(active_only(events, spec).select("hn", "year", "stage", "treatment"), spec)
         .groupBy("scope", "stage", "treatment")
         .agg(F.count_distinct("hn").alias("n"))
-        .join(metrics.select("scope"), "scope")  # registry scopes only
+        .join(scopes.select("scope"), "scope")  # registry scopes only (one row per scope)
     )
     pairs = pairs.withColumn("total", F.sum("n").over(Window.partitionBy("scope", "stage")))
     return pairs.select(

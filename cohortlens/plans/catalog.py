@@ -50,7 +50,8 @@ def build(
 
 
 def _registry_scopes(b: CohortBuild) -> DataFrame:
-    return b.metrics.select("scope")
+    """'all' plus every registry year: one row per scope, from the entity side only."""
+    return b.entity_metrics.select("scope")
 
 
 # -- P1 / P2 / P9 on messy text derived from clean columns ---------------------------
@@ -163,7 +164,7 @@ def q_stage_modality_flow(spark, sf):
 
 def q_modality_mix_by_stage(spark, sf):
     b = build(spark, sf)
-    return cov.modality_mix(b.events, b.metrics, b.spec)
+    return cov.modality_mix(b.events, _registry_scopes(b), b.spec)
 
 
 # -- sets and regimens ------------------------------------------------------------------
