@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from ..functions.numeric import combined_sql, decode_mask, decode_mask_sql, pct_sql
 from ..functions.sql import E, lit
 from ..spec import CohortSpec
+from .rollup import entity_side_sql, event_side_sql
 
 
 def regimen_name(mask: str, spec: CohortSpec):
@@ -41,7 +42,8 @@ def entity_sets(ev: DataFrame, spec: CohortSpec) -> DataFrame:
 
 def entity_assignments(fact: DataFrame, spec: CohortSpec) -> DataFrame:
     """J1 + F6: entities with a registry stage and a non-empty active set."""
-    return fact.where(F.col("lookup_stage").isNotNull() & (F.coalesce(F.col("act_mask"), F.lit(0)) != 0)).select(
+    keep = f"{entity_side_sql()} AND {event_side_sql(spec)} AND act_mask <> 0"
+    return fact.where(E(keep)).select(
         "scope",
         "hn",
         F.col("lookup_stage").alias("stage"),

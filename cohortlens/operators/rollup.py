@@ -87,6 +87,21 @@ def cell_rollup(events: DataFrame, spec: CohortSpec) -> DataFrame:
     )
 
 
+# Every consumer of a rollup filters on these always-true predicates.  They
+# reference every rollup column, so column pruning leaves each consumer with
+# the *same* rollup plan and Spark reuses one exchange per input instead of
+# rolling the raw rows up again for each output.  On the fact table they also
+# drop the rows of the other side, which contribute nothing to that side's
+# metrics.
+def entity_side_sql() -> str:
+    return "(lookup_stage IS NOT NULL AND stage_mask IS NOT NULL)"
+
+
+def event_side_sql(spec: CohortSpec) -> str:
+    cov = " AND cov_mask IS NOT NULL" if spec.cells_fit_one_mask() else ""
+    return f"(n_events IS NOT NULL AND (first_idx IS NULL) = (act_mask = 0){cov})"
+
+
 def fact_table(ent: DataFrame, ev: DataFrame) -> DataFrame:
     """One row per (scope, hn) seen on either side."""
     return ent.join(ev, ["scope", "hn"], "full_outer")

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from ..functions.numeric import bit_value_sql, pct_sql
 from ..functions.sql import E, lit
 from ..spec import ALL_SCOPE, CohortSpec
+from .rollup import entity_side_sql, event_side_sql
 from .scope import with_scope
 
 
@@ -46,7 +47,7 @@ def entity_metrics(ent: DataFrame, spec: CohortSpec) -> DataFrame:
     aggs += [E(f"coalesce(sum({bit_value_sql('stage_mask', i)}), 0L)", f"patients_{i}") for i in range(len(spec.stages))]
     # An empty 'all' row so the whole-population scope exists even with no input.
     seed = ent.sparkSession.range(1).select(F.lit(ALL_SCOPE).alias("scope"))
-    rows = ent.select("scope", "stage_mask").unionByName(seed, allowMissingColumns=True)
+    rows = ent.where(E(entity_side_sql())).select("scope", "stage_mask").unionByName(seed, allowMissingColumns=True)
     return rows.groupBy("scope").agg(*aggs).where((F.col("known_patients") > 0) | (F.col("scope") == ALL_SCOPE))
 
 
@@ -58,7 +59,7 @@ def event_metrics(ev: DataFrame, spec: CohortSpec) -> DataFrame:
         for s in range(len(spec.stages)):
             for h in range(n_heat):
                 aggs.append(E(f"coalesce(sum({bit_value_sql('cov_mask', s * n_heat + h)}), 0L)", f"cov_{s}_{h}"))
-    return ev.groupBy("scope").agg(*aggs)
+    return ev.where(E(event_side_sql(spec))).groupBy("scope").agg(*aggs)
 
 
 def set_metrics(regimen_counts: DataFrame, spec: CohortSpec) -> DataFrame:

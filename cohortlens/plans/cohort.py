@@ -13,11 +13,13 @@ Physical shape::
 
 Only the two rollups move raw-sized data; everything after them is
 proportional to the number of entities (the fact table) or to the number of
-scopes x stages x regimens.  Each single output rolls the events up exactly
-once.  A build that writes several outputs should ``materialize`` the fact
-table (``checkpoint`` writes it to ``spark.checkpoint.dir``: lineage cut,
-survives executor loss; ``cache`` keeps it in executor storage); every metric
-then reads the materialised fact.
+scopes x stages x regimens.  Every consumer references all rollup columns
+(``rollup.entity_side_sql`` / ``event_side_sql``), so within one action all
+branches share one exchange per input: a single output, or the whole nested
+document, reads the raw events once.  A build that runs several actions (one
+write per output) should ``materialize`` the fact table (``checkpoint`` writes
+it to ``spark.checkpoint.dir``: lineage cut, survives executor loss;
+``cache`` keeps it in executor storage); every metric then reads it.
 """
 
 from __future__ import annotations

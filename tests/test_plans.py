@@ -61,3 +61,20 @@ def test_rollup_feeds_join_without_extra_exchange(spark, static_plans):
     join_part = plan.split("SortMergeJoin")[1]
     first_children = join_part.split("\n")[1:4]
     assert not any("Exchange" in line and "hashpartitioning(scope" not in line for line in first_children)
+
+
+@pytest.mark.parametrize("output", ["summary", "document"])
+def test_multi_branch_plans_read_events_once(spark, static_plans, output):
+    """Branches that need different rollup columns still share one rollup
+    exchange per input (no broadcasts, as on a large cluster)."""
+    from cohortlens.plans.document import document_rows
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        b = build(spark, SF)
+        df = document_rows(b) if output == "document" else b.summary
+        plan = executed(df)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("orders.parquet") == 2  # registry-year mapping + events
+    assert "ReusedExchange" in plan
