@@ -49,9 +49,15 @@ def headline_sql(multimodal: str, active: str) -> str:
     return f"concat({lit(head)}, {fmt_count_sql(multimodal)}, {lit(mid)}, {fmt_count_sql(active)}, {lit(tail)})"
 
 
-def caution_flag_sql(stage: str, small_n_stage: str | None) -> str:
-    """The page flags one fixed stage as small-n."""
-    return "false" if small_n_stage is None else f"({stage} = {lit(small_n_stage)})"
+def caution_flag_sql(stage: str, small_n_stage: str | None, patients: str | None = None, threshold: int | None = None) -> str:
+    """The page flags one fixed stage as small-n; optionally also any
+    stage with fewer than ``threshold`` patients."""
+    parts = []
+    if small_n_stage is not None:
+        parts.append(f"{stage} = {lit(small_n_stage)}")
+    if threshold is not None and patients is not None:
+        parts.append(f"coalesce({patients}, 0) < {int(threshold)}")
+    return "(" + " OR ".join(parts) + ")" if parts else "false"
 
 
 def fmt_count(n: str) -> Column:
@@ -78,5 +84,5 @@ def headline(multimodal: str, active: str) -> Column:
     return E(headline_sql(multimodal, active))
 
 
-def caution_flag(stage: str, small_n_stage: str | None) -> Column:
-    return E(caution_flag_sql(stage, small_n_stage))
+def caution_flag(stage: str, small_n_stage: str | None, patients: str | None = None, threshold: int | None = None) -> Column:
+    return E(caution_flag_sql(stage, small_n_stage, patients, threshold))

@@ -251,7 +251,7 @@ def q_display_columns(spark, sf):
         scope_label("scope").alias("scope_label"),
         fmt_count("patients").alias("patients_fmt"),
         fmt_pct("multimodal_percent").alias("multimodal_fmt"),
-        caution_flag("stage", b.spec.small_n_stage).alias("caution"),
+        caution_flag("stage", b.spec.small_n_stage, "patients", b.spec.small_n_threshold).alias("caution"),
     )
 
 

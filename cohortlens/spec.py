@@ -59,7 +59,8 @@ class CohortSpec:
     width_digits: int = 1
     multimodal_digits: int = 0
     min_share: float | None = None  # optional extra cut-off for shown regimens (off by default)
-    small_n_stage: str | None = None  # stage that carries the small-n caution flag
+    small_n_stage: str | None = None  # stage that carries the small-n caution flag (page parity)
+    small_n_threshold: int | None = None  # optional: also flag any stage with fewer patients
     notes: tuple[str, ...] = field(default_factory=tuple)
 
     def __post_init__(self) -> None:

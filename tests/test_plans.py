@@ -78,3 +78,16 @@ def test_multi_branch_plans_read_events_once(spark, static_plans, output):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert plan.count("orders.parquet") == 2  # registry-year mapping + events
     assert "ReusedExchange" in plan
+
+
+def test_rollups_aggregate_before_the_shuffle(spark, static_plans):
+    """Hot keys (a pseudo-patient, one id with a third of the rows) are reduced
+    to one row per map task: a partial aggregate feeds every rollup exchange."""
+    plan = executed(build(spark, SF).regimens)
+    lines = plan.splitlines()
+    rollup_exchanges = [
+        i for i, l in enumerate(lines) if "Exchange hashpartitioning(scope" in l and ", hn" in l and "ReusedExchange" not in l
+    ]
+    assert len(rollup_exchanges) >= 2
+    for i in rollup_exchanges:
+        assert "HashAggregate" in lines[i + 1] and "partial_" in lines[i + 1]
