@@ -110,3 +110,22 @@ def test_flat_sink_and_document_round_trip(spark):
     back = flatten_heatmap(document_scopes(doc), b.spec)
     cols = ["scope", "treatment", "stage", "count", "percent"]
     assert sorted(map(tuple, back.select(cols).collect())) == sorted(map(tuple, b.heatmap.select(cols).collect()))
+
+
+def test_batch_job_end_to_end(spark):
+    import argparse
+
+    from cohortlens.plans.job import run
+
+    d, ents, evs, unk = sheet_dir()
+    out = tempfile.mkdtemp(prefix="job-")
+    args = argparse.Namespace(
+        entities=f"{d}/patients.csv", events=f"{d}/treatments.csv", unknown=f"{d}/unknown.csv",
+        dashboard=f"{d}/dashboard.csv", format="csv", unknown_format="csv", unknown_header_row=1,
+        rollup_pattern=None, top_k=6, var_name=None, out=out,
+    )
+    paths = run(spark, args)
+    summary = {r["scope"]: r for r in spark.read.parquet(paths["summary"]).collect()}
+    assert summary["all"]["unknown_patients"] == 119 and summary["all"]["known_patients"] == 7
+    doc = read_document(spark, f"{out}/document").collect()[0]["document"]
+    assert doc["all"]["summary"]["unknownStagePatients"] == 119
