@@ -5,7 +5,6 @@ from __future__ import annotations
 import sys
 
 from py_oracle import py_clean, py_clean_year, py_pct
-from pyspark.sql import functions as F
 
 from cohortlens.functions.display import fmt_count, fmt_pct, heat_dark_text, heat_wash, scope_label
 from cohortlens.functions.numeric import decode_mask, pct
