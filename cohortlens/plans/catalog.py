@@ -181,6 +181,7 @@ def q_regimen_label(spark, sf):
         "treatment string, short string, regimen_ord int",
     )
     seen = b.events.select("treatment").distinct()
+    # the dimension has one row per active modality, at most 63 (CohortSpec checks it)
     return seen.join(F.broadcast(dim), "treatment", "left").select(
         "treatment", F.coalesce("short", "treatment").alias("label"), "regimen_ord"
     )

@@ -92,10 +92,14 @@ def _text_lines(spark: SparkSession, src: TableSource) -> DataFrame:
     return df
 
 
+_BROADCAST_FILES = 100_000  # one row per input file: broadcast only below this count
+
+
 def _drop_leading(df: DataFrame, n: int) -> tuple[DataFrame, list[str] | None]:
     """Drop the first ``n`` lines of every file; return the last dropped line of
     the first file (the header) as column names."""
     header = None
+    small = len(df.inputFiles()) <= _BROADCAST_FILES  # size of `firsts`, known before it is built
     for i in range(n):
         firsts = df.groupBy("_file").agg(F.min("_pos").alias("_first"))
         if i == n - 1:
@@ -103,7 +107,8 @@ def _drop_leading(df: DataFrame, n: int) -> tuple[DataFrame, list[str] | None]:
             row = df.join(first_file, (df._file == first_file._file) & (df._pos == first_file._first), "left_semi").limit(1).collect()
             if row:
                 header = [row[0][c] for c in df.columns if c.startswith("_c")]
-        df = df.join(F.broadcast(firsts), (df._file == firsts._file) & (df._pos == firsts._first), "left_anti")
+        side = F.broadcast(firsts) if small else firsts
+        df = df.join(side, (df._file == side._file) & (df._pos == side._first), "left_anti")
     return df, header
 
 
