@@ -86,3 +86,14 @@ def test_pct_exact_binary_ties_at_large_denominators(spark):
     df = spark.createDataFrame(pairs, "n long, d long")
     for r in df.select("n", "d", pct("n", "d", 1).alias("p")).collect():
         assert r["p"] == py_pct(r["n"], r["d"], 1), (r["n"], r["d"])
+
+
+def test_clean_year_random_strings_match_python(spark):
+    import random
+
+    rnd = random.Random(11)
+    alphabet = list("0123456789") * 3 + list("._eE+-") * 2 + [" ", "\t", "　", "x", "n", "a", "i", "f"] + list("๐๑๙٣")
+    values = ["".join(rnd.choice(alphabet) for _ in range(rnd.randint(0, 8))) for _ in range(4000)]
+    got = one_col(spark, values, lambda c: clean_year(c, SENT))
+    bad = [(v, g, py_clean_year(v, SENT)) for v, g in zip(values, got) if g != py_clean_year(v, SENT)]
+    assert not bad, bad[:10]
