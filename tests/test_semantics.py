@@ -239,3 +239,18 @@ def test_order_independence(spark):
     inputs = CohortInputs(inputs.entities.repartition(5), inputs.events.repartition(7), inputs.unknown)
     b = CohortBuild(inputs, clinical_spec())
     assert spark_outputs(b) == a
+
+
+def test_substage_rollup_in_pipeline(spark):
+    from cohortlens.spec import CLINICAL_SUBSTAGE_PATTERN
+
+    ents = [("a", "2564", "IIA", 1), ("b", "2564", "IIB", 2), ("c", "2564", "IVB", 3), ("d", "2564", "IID", 4)]
+    evs = [("a", "2564", "IIC", "Hormone", 10), ("c", "2564", "IV", "Radiation", 11), ("d", "2564", "II", "Surgery", 12)]
+    b = CohortBuild(tables(spark, ents, evs, []), clinical_spec(), rollup_pattern=CLINICAL_SUBSTAGE_PATTERN)
+    out = spark_outputs(b)
+    stages = {(r[0], r[1]): r[2] for r in out["stages"]}
+    assert stages[("all", "II")] == 2 and stages[("all", "IV")] == 1  # IID is not a known sub-stage
+    heat = {(r[0], r[1], r[2]): r[3] for r in out["heatmap"]}
+    assert heat[("all", "Hormone", "II")] == 1 and heat[("all", "Radiation", "IV")] == 1
+    regs = {(r[0], r[1], r[3]) for r in out["regimens"]}
+    assert ("all", "II", "ADT") in regs and ("all", "IV", "RT") in regs
