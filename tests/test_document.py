@@ -48,3 +48,15 @@ def test_document_invariants(spark):
                 assert r["combined"] == (" + " in r["name"])
                 assert r["percent"] == (round(r["count"] / p["patients"] * 100, 1) if p["patients"] else 0.0)
     b.release()
+
+
+def test_document_with_empty_scopes(spark):
+    """A year with registry rows but no events, and a stage with nobody."""
+    ents = [("a", "2564", "II", 1), ("b", "2565", "III", 2)]
+    evs = [("a", "2564", "II", "Hormone", 10)]
+    b = CohortBuild(tables(spark, ents, evs, []), clinical_spec())
+    fast, slow = as_json(document_rows(b)), as_json(_document_rows_long(b))
+    assert fast == slow
+    ds = json.loads(fast["2565"])
+    assert all(p["regimens"] == [] for p in ds["panels"])
+    assert ds["summary"]["activePatients"] == 0 and ds["summary"]["multimodalPercent"] == 0.0

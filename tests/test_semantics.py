@@ -254,3 +254,11 @@ def test_substage_rollup_in_pipeline(spark):
     assert heat[("all", "Hormone", "II")] == 1 and heat[("all", "Radiation", "IV")] == 1
     regs = {(r[0], r[1], r[3]) for r in out["regimens"]}
     assert ("all", "II", "ADT") in regs and ("all", "IV", "RT") in regs
+
+
+def test_empty_registry_still_has_all_scope(spark):
+    evs = [("x", "2564", "II", "Hormone", 1), ("y", "2565", "IV", "Surgery", 2)]
+    b, s_out, p_out = run(spark, [], evs, [("u", "2564")])
+    assert_same(s_out, p_out)
+    assert [r[0] for r in s_out["summary"]] == ["all"]
+    assert s_out["summary"][0][1:5] == (0, 2, 4, 1)
