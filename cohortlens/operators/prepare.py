@@ -61,11 +61,20 @@ def distinct_entity_modality(events: DataFrame, spec: CohortSpec) -> DataFrame:
     return not_blacklisted(events, spec).select("hn", "stage", "treatment").dropDuplicates()
 
 
+def _raw_stage_prefilter(df: DataFrame, spec: CohortSpec) -> DataFrame:
+    """A null stage cleans to the sentinel, which F1 drops unless the sentinel is
+    itself a stage: filtering the raw column first lets the scan skip those rows
+    (a pushed-down ``IsNotNull``) before any cleaning runs."""
+    return df if spec.sentinel in spec.stage_codes else df.where(F.col("stage").isNotNull())
+
+
 def prepare(inputs: CohortInputs, spec: CohortSpec, rollup_pattern: str | None = None) -> CohortInputs:
     """Clean all three tables and apply F1 to entities and events."""
+    ents = _raw_stage_prefilter(inputs.entities, spec)
+    evs = _raw_stage_prefilter(inputs.events, spec)
     return CohortInputs(
-        entities=known_stage(clean_entities(inputs.entities, spec, rollup_pattern), spec),
-        events=known_stage(clean_events(inputs.events, spec, rollup_pattern), spec),
+        entities=known_stage(clean_entities(ents, spec, rollup_pattern), spec),
+        events=known_stage(clean_events(evs, spec, rollup_pattern), spec),
         unknown=clean_unknown(inputs.unknown, spec),
         unknown_override=inputs.unknown_override,
         source_name=inputs.source_name,
