@@ -65,3 +65,14 @@ def merged_event_rollup(spark: SparkSession, out_path: str, spec: CohortSpec) ->
     if spec.cells_fit_one_mask():
         aggs.insert(0, F.bit_or("cov_mask").alias("cov_mask"))
     return parts.groupBy("scope", "hn").agg(*aggs)
+
+
+def compact_partials(spark: SparkSession, out_path: str, spec: CohortSpec, compacted_path: str) -> str:
+    """Merge every committed partial into one rollup table at ``compacted_path``.
+
+    Builds can then read the compacted table (plus partials of later batches)
+    instead of re-merging every micro-batch; the merge is the same associative
+    aggregation, so compacting never changes a result."""
+    merged = merged_event_rollup(spark, out_path, spec)
+    merged.write.mode("overwrite").parquet(compacted_path)
+    return compacted_path

@@ -9,7 +9,7 @@ from test_semantics import random_tables, spark_outputs
 
 from cohortlens import CohortBuild, clinical_spec
 from cohortlens.model import EVENT_SCHEMA
-from cohortlens.streaming.incremental import merged_event_rollup, start_event_rollup
+from cohortlens.streaming.incremental import compact_partials, merged_event_rollup, start_event_rollup
 
 
 def test_streamed_partials_equal_batch(spark):
@@ -33,3 +33,18 @@ def test_streamed_partials_equal_batch(spark):
     assert streamed == batch
     # several micro-batches really happened
     assert len({r["batch"] for r in spark.read.parquet(out).select("batch").distinct().collect()}) == 3
+
+    # compaction is the same merge: a build over the compacted table agrees too
+    compacted = compact_partials(spark, out, spec, tempfile.mkdtemp(prefix="stream-compact-") + "/rollup")
+    again = spark_outputs(CohortBuild(inputs, spec, event_rollup=spark.read.parquet(compacted)))
+    assert again == batch
+
+
+def test_checkpoint_dir_comes_from_the_session(spark):
+    from cohortlens.session import ensure_checkpoint_dir
+
+    configured = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    path = ensure_checkpoint_dir(spark)
+    if configured:
+        assert configured.rstrip("/").split("/")[-1] in path
+    assert spark.sparkContext.getCheckpointDir()
