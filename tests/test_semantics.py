@@ -262,3 +262,20 @@ def test_empty_registry_still_has_all_scope(spark):
     assert_same(s_out, p_out)
     assert [r[0] for r in s_out["summary"]] == ["all"]
     assert s_out["summary"][0][1:5] == (0, 2, 4, 1)
+
+
+def test_wide_dimensions_use_the_per_stage_fallback(spark):
+    """10 stages x 7 heatmap rows = 70 cells > 63 bits: coverage goes through
+    the per-stage rollup and must still equal the Python model."""
+    from cohortlens.spec import Stage
+
+    stages = tuple(Stage(f"S{i}", f"L{i}", f"N{i}", "#000000") for i in range(10))
+    spec = clinical_spec(stages=stages, small_n_stage=None)
+    assert not spec.cells_fit_one_mask()
+    rnd = random.Random(77)
+    codes = [s.code for s in stages] + ["X", None]
+    ids = [f"h{i}" for i in range(30)] + [None]
+    ents = [(rnd.choice(ids), rnd.choice(YEARS), rnd.choice(codes), i) for i in range(60)]
+    evs = [(rnd.choice(ids), rnd.choice(YEARS), rnd.choice(codes), rnd.choice(MODS), 1000 + i) for i in range(300)]
+    b, s_out, p_out = run(spark, ents, evs, [], spec=spec)
+    assert_same(s_out, p_out)
