@@ -1,4 +1,4 @@
-"""Per-(scope, entity) rollups: the only operators that touch raw rows.
+"""Per-(scope, entity) rollups: the core outputs' only passes over raw rows.
 
 Both rollups group by ``(scope, hn)`` with fixed-width aggregates only
 (``bit_or``, ``min``, ``max_by``, ``count``), so Spark runs a partial
