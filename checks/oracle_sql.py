@@ -10,13 +10,14 @@ Tables ``customer`` and ``orders`` are the pre-registered views.
 from __future__ import annotations
 
 from cohortlens.functions.text import FLOAT_LITERAL, decimal_digit_map, whitespace_chars
-from cohortlens.sources.tpch import SUBSTAGES, THAI_DIGITS
+from cohortlens.sources.tpch import CLINICAL_MODALITY_OF_ORDER, CLINICAL_STAGE_OF_SEGMENT, SUBSTAGES, THAI_DIGITS
 from cohortlens.spec import (
     ALL_SCOPE,
     CLINICAL_SUBSTAGE_PATTERN,
     TPCH_UNKNOWN_SEGMENT,
     CohortSpec,
     active_only_variant,
+    clinical_spec,
     tpch_spec,
 )
 
@@ -60,7 +61,20 @@ def values(rows, cols) -> str:
 
 
 def treatment_sql(encoding: str) -> str:
-    return "o.o_orderpriority" if encoding == "P" else "o.o_orderpriority || '/' || o.o_orderstatus"
+    if encoding == "P":
+        return "o.o_orderpriority"
+    pair = "o.o_orderpriority || '/' || o.o_orderstatus"
+    if encoding == "W":
+        return pair
+    whens = " ".join(f"WHEN {q(k)} THEN {q(v)}" for k, v in CLINICAL_MODALITY_OF_ORDER.items())
+    return f"CASE {pair} {whens} ELSE {pair} END"
+
+
+def stage_sql(encoding: str) -> str:
+    if encoding != "C":
+        return "c.c_mktsegment"
+    whens = " ".join(f"WHEN {q(k)} THEN {q(v)}" for k, v in CLINICAL_STAGE_OF_SEGMENT.items())
+    return f"CASE c.c_mktsegment {whens} ELSE c.c_mktsegment END"
 
 
 def base(spec: CohortSpec, encoding: str, override: int | None = None) -> str:
@@ -82,11 +96,11 @@ def base(spec: CohortSpec, encoding: str, override: int | None = None) -> str:
 cust_first AS (SELECT o_custkey AS custkey, min(o_orderdate) AS first_date FROM orders GROUP BY o_custkey),
 raw_entities AS (
   SELECT c.c_custkey, CAST(c.c_custkey AS VARCHAR) AS hn, CAST(year(f.first_date) AS VARCHAR) AS year,
-         c.c_mktsegment AS stage, c.c_custkey AS row_idx
+         {stage_sql(encoding)} AS stage, c.c_custkey AS row_idx
   FROM customer c LEFT JOIN cust_first f ON f.custkey = c.c_custkey),
 raw_events AS (
   SELECT CAST(o.o_custkey AS VARCHAR) AS hn, CAST(year(o.o_orderdate) AS VARCHAR) AS year,
-         c.c_mktsegment AS stage, {treatment_sql(encoding)} AS treatment, o.o_orderkey AS row_idx
+         {stage_sql(encoding)} AS stage, {treatment_sql(encoding)} AS treatment, o.o_orderkey AS row_idx
   FROM orders o LEFT JOIN customer c ON c.c_custkey = o.o_custkey),
 entities AS (
   SELECT * FROM (SELECT {clean('hn', sent)} AS hn, {clean_year('year', sent)} AS year, {clean('stage', sent)} AS stage, row_idx FROM raw_entities)
@@ -172,7 +186,7 @@ summary_full AS (
 
 
 def with_base(select: str, encoding: str = "P", variant: bool = False, override: int | None = None, **params) -> str:
-    spec = tpch_spec(encoding, **params)
+    spec = clinical_spec(**params) if encoding == "C" else tpch_spec(encoding, **params)
     if variant:
         spec = active_only_variant(spec, VARIANT_DROP)
     return "WITH " + base(spec, encoding, override).strip() + "\n" + select.strip()
@@ -304,6 +318,16 @@ FROM (SELECT DISTINCT treatment FROM events) t LEFT JOIN act_dim a ON a.treatmen
         "active_denominator_heatmap": with_base(HEATMAP_SELECT, variant=True),
         "active_denominator_regimens": with_base(REGIMEN_SELECT, variant=True),
         "regimen_topk_min_share": with_base(REGIMEN_SELECT, variant=True, min_share=5.0),
+        "clinical_regimen_topk": with_base(REGIMEN_SELECT, "C"),
+        "clinical_coverage_heatmap": with_base(HEATMAP_SELECT, "C"),
+        "clinical_summary": with_base(
+            "SELECT scope, known_patients, treatment_events, CAST(stage_count AS INTEGER) AS stage_count, unknown_patients, "
+            "active_patients, multimodal_patients, multimodal_percent FROM summary_full",
+            "C",
+        ),
+        "clinical_multimodal_by_stage": with_base(
+            "SELECT scope, stage, patients, active_patients, multimodal_patients, multimodal_percent FROM stage_table", "C"
+        ),
         "dashboard_slice": with_base(f"""
 SELECT scope, {scope_label('scope')} AS scope_label, {fmt_count('known_patients')} AS known_fmt,
        {fmt_pct('multimodal_percent')} AS multimodal_fmt, {fmt_count('stage_count')} AS stage_count_fmt,

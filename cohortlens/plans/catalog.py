@@ -20,7 +20,7 @@ from ..operators import regimens as reg
 from ..operators.prepare import active_only, distinct_entity_modality, not_blacklisted
 from ..operators.scope import scoped_entities
 from ..sources import tpch
-from ..spec import ALL_SCOPE, CLINICAL_SUBSTAGE_PATTERN, active_only_variant, tpch_spec
+from ..spec import ALL_SCOPE, CLINICAL_SUBSTAGE_PATTERN, active_only_variant, clinical_spec, tpch_spec
 from .cohort import CohortBuild
 from .document import document_rows, flatten_heatmap
 
@@ -42,7 +42,7 @@ def build(
     unknown_override: int | None = None,
     **spec_params,
 ) -> CohortBuild:
-    spec = tpch_spec(encoding, **spec_params)
+    spec = clinical_spec(**spec_params) if encoding == "C" else tpch_spec(encoding, **spec_params)
     if variant:
         spec = active_only_variant(spec, VARIANT_DROP)
     inputs = tpch.tpch_inputs(spark, sf_dir, encoding, unknown_override=unknown_override)
@@ -219,6 +219,25 @@ def q_regimen_topk_min_share(spark, sf):
     return build(spark, sf, variant=True, min_share=MIN_SHARE).regimens
 
 
+# -- the clinical vocabulary on the test tables (encoding C) ---------------------------
+def q_clinical_regimen_topk(spark, sf):
+    return build(spark, sf, "C").regimens
+
+
+def q_clinical_coverage_heatmap(spark, sf):
+    return build(spark, sf, "C").heatmap
+
+
+def q_clinical_summary(spark, sf):
+    return build(spark, sf, "C").summary
+
+
+def q_clinical_multimodal_by_stage(spark, sf):
+    return build(spark, sf, "C").stages.select(
+        "scope", "stage", "patients", "active_patients", "multimodal_patients", "multimodal_percent"
+    )
+
+
 # -- dashboard derivations ---------------------------------------------------------------
 def dashboard_slice(b: CohortBuild, scope: str | None = None) -> DataFrame:
     """Q3 / F8: the top-of-page numbers of one scope, default the whole population."""
@@ -307,6 +326,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "active_denominator_regimens": q_active_denominator_regimens,
     "regimen_topk_min_share": q_regimen_topk_min_share,
     "modality_mix_by_stage": q_modality_mix_by_stage,
+    "clinical_regimen_topk": q_clinical_regimen_topk,
+    "clinical_coverage_heatmap": q_clinical_coverage_heatmap,
+    "clinical_summary": q_clinical_summary,
+    "clinical_multimodal_by_stage": q_clinical_multimodal_by_stage,
     "stage_modality_flow": q_stage_modality_flow,
     "dashboard_slice": q_dashboard_slice,
     "headline": q_headline,

@@ -17,22 +17,59 @@ from pyspark.sql import functions as F
 
 from ..functions.sql import arr, lit
 from ..model import CohortInputs
-from ..spec import TPCH_UNKNOWN_SEGMENT
+from ..spec import TPCH_STAGE_SEGMENTS, TPCH_UNKNOWN_SEGMENT
 
 
 def read(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*cols)
 
 
+# Encoding C: the clinical vocabulary itself on the test tables.  Segments
+# become the four main stages (the unknown segment stays unknown); each
+# priority/status pair becomes a clinical modality, three of them non-active
+# and one a label outside both lists.  A fixture design, not source data.
+CLINICAL_STAGE_OF_SEGMENT = dict(zip(TPCH_STAGE_SEGMENTS, ("I", "II", "III", "IV")))
+CLINICAL_MODALITY_OF_ORDER = {
+    "1-URGENT/F": "Hormone",
+    "1-URGENT/O": "Radiation",
+    "1-URGENT/P": "Surgery",
+    "2-HIGH/F": "Chemotherapy",
+    "2-HIGH/O": "Targeted Therapy",
+    "2-HIGH/P": "Interventional",
+    "3-MEDIUM/F": "Immonotherapy",
+    "3-MEDIUM/O": "Other",
+    "3-MEDIUM/P": "Hormone",
+    "4-NOT SPECIFIED/F": "Refer",
+    "4-NOT SPECIFIED/O": "Supportive",
+    "4-NOT SPECIFIED/P": "Loss Follow-up",
+    "5-LOW/F": "Radiation",
+    "5-LOW/O": "Surgery",
+    "5-LOW/P": "Observation",
+}
+
+
+def _case_map(expr: str, mapping: dict[str, str]) -> str:
+    whens = " ".join(f"WHEN {lit(k)} THEN {lit(v)}" for k, v in mapping.items())
+    return f"CASE {expr} {whens} ELSE {expr} END"
+
+
 def treatment_expr(encoding: str) -> Column:
     if encoding == "P":
         return F.col("o_orderpriority")
     if encoding == "W":
         return F.concat(F.col("o_orderpriority"), F.lit("/"), F.col("o_orderstatus"))
+    if encoding == "C":
+        return F.expr(_case_map("concat(o_orderpriority, '/', o_orderstatus)", CLINICAL_MODALITY_OF_ORDER))
     raise ValueError(f"unknown encoding {encoding!r}")
 
 
-def raw_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
+def stage_expr(encoding: str) -> Column:
+    if encoding == "C":
+        return F.expr(_case_map("c_mktsegment", CLINICAL_STAGE_OF_SEGMENT))
+    return F.col("c_mktsegment")
+
+
+def raw_entities(spark: SparkSession, sf_dir: str, encoding: str = "P") -> DataFrame:
     """customer + first order year; keeps c_custkey for derived messy inputs."""
     cust = read(spark, sf_dir, "customer", "c_custkey", "c_mktsegment")
     first = (
@@ -44,28 +81,28 @@ def raw_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
         "c_custkey",
         F.col("c_custkey").cast("string").alias("hn"),
         F.year("first_date").cast("string").alias("year"),
-        F.col("c_mktsegment").alias("stage"),
+        stage_expr(encoding).alias("stage"),
         F.col("c_custkey").alias("row_idx"),
     )
 
 
 def raw_events(spark: SparkSession, sf_dir: str, encoding: str = "P") -> DataFrame:
     cols = ["o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority"]
-    if encoding == "W":
+    if encoding in ("W", "C"):
         cols.append("o_orderstatus")
     orders = read(spark, sf_dir, "orders", *cols)
     cust = read(spark, sf_dir, "customer", "c_custkey", "c_mktsegment")
     return orders.join(cust, orders.o_custkey == cust.c_custkey, "left").select(
         F.col("o_custkey").cast("string").alias("hn"),
         F.year("o_orderdate").cast("string").alias("year"),
-        F.col("c_mktsegment").alias("stage"),
+        stage_expr(encoding).alias("stage"),
         treatment_expr(encoding).alias("treatment"),
         F.col("o_orderkey").alias("row_idx"),
     )
 
 
 def tpch_inputs(spark: SparkSession, sf_dir: str, encoding: str = "P", unknown_override: int | None = None) -> CohortInputs:
-    ents = raw_entities(spark, sf_dir)
+    ents = raw_entities(spark, sf_dir, encoding)
     unknown = ents.filter(F.col("stage") == TPCH_UNKNOWN_SEGMENT).select("hn", "year")
     return CohortInputs(
         entities=ents.drop("c_custkey"),
