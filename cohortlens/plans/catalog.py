@@ -22,7 +22,7 @@ from ..operators.scope import scoped_entities
 from ..sources import tpch
 from ..spec import ALL_SCOPE, CLINICAL_SUBSTAGE_PATTERN, active_only_variant, clinical_spec, tpch_spec
 from .cohort import CohortBuild
-from .document import document_rows, flatten_heatmap
+from .document import document_json, document_rows, flatten_heatmap, full_document
 
 # The "Other"-like modality dropped in the active-denominator variant.
 VARIANT_DROP = ("5-LOW",)
@@ -232,6 +232,11 @@ def q_clinical_summary(spark, sf):
     return build(spark, sf, "C").summary
 
 
+def q_clinical_document(spark, sf):
+    """The whole document (all + byYear, years, notes) in the clinical layout."""
+    return document_json(full_document(build(spark, sf, "C")))
+
+
 def q_clinical_multimodal_by_stage(spark, sf):
     return build(spark, sf, "C").stages.select(
         "scope", "stage", "patients", "active_patients", "multimodal_patients", "multimodal_percent"
@@ -330,6 +335,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "clinical_coverage_heatmap": q_clinical_coverage_heatmap,
     "clinical_summary": q_clinical_summary,
     "clinical_multimodal_by_stage": q_clinical_multimodal_by_stage,
+    "clinical_document": q_clinical_document,
     "stage_modality_flow": q_stage_modality_flow,
     "dashboard_slice": q_dashboard_slice,
     "headline": q_headline,
