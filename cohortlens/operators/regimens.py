@@ -66,7 +66,8 @@ def regimen_topk(counts: DataFrame, stages: DataFrame, spec: CohortSpec) -> Data
     """T1 + T2 + P6 + P7 + F7: top-k per (scope, stage) plus one folded tail row.
 
     The tail exists only when more than k regimens (or, with ``min_share``,
-    more than the shown ones) exist; it takes part in the width scale."""
+    more than the shown ones) exist; it always carries rank k + 1 and takes
+    part in the width scale."""
     k = spec.top_k
     den = stages.select("scope", "stage", "denominator")
     rank_w = Window.partitionBy("scope", "stage").orderBy(F.desc("n"), F.asc("first_idx"))

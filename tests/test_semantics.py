@@ -279,3 +279,19 @@ def test_wide_dimensions_use_the_per_stage_fallback(spark):
     evs = [(rnd.choice(ids), rnd.choice(YEARS), rnd.choice(codes), rnd.choice(MODS), 1000 + i) for i in range(300)]
     b, s_out, p_out = run(spark, ents, evs, [], spec=spec)
     assert_same(s_out, p_out)
+
+
+@pytest.mark.parametrize(
+    "seed,params",
+    [
+        (101, dict(top_k=1)),
+        (102, dict(top_k=2, denominator="active")),
+        (103, dict(top_k=4, min_share=10.0)),
+        (104, dict(top_k=6, min_share=3.0, denominator="active")),
+        (105, dict(top_k=9, coverage_digits=2, regimen_digits=0, width_digits=2, multimodal_digits=1)),
+    ],
+)
+def test_parameter_sweep_against_python_model(spark, seed, params):
+    ents, evs, unk = random_tables(seed, n_ids=30, n_evs=250)
+    b, s_out, p_out = run(spark, ents, evs, unk, spec=clinical_spec(**params))
+    assert_same(s_out, p_out)
