@@ -30,14 +30,18 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: st
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's ``spark.checkpoint.dir``; only when it is unset (tests)
-    fall back to a fresh temporary folder."""
+    """Use the cluster's ``spark.checkpoint.dir``.  Only a local-mode session
+    (tests) with none configured falls back to a fresh temporary folder; on a
+    cluster a machine-local folder would not survive executor loss, so an
+    unset directory is an error there."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     path = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not path:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to shared storage before checkpointing")
         path = tempfile.mkdtemp(prefix="cohortlens-ckpt-")
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir() or path
