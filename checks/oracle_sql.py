@@ -334,6 +334,12 @@ SELECT scope, {scope_label('scope')} AS scope_label, {fmt_count('known_patients'
        {fmt_count('treatment_events')} AS events_fmt, {fmt_count('unknown_patients')} AS unknown_fmt,
        {HEADLINE.format(mm=fmt_count('multimodal_patients'), act=fmt_count('active_patients'))} AS headline
 FROM summary_full WHERE scope = {q(ALL_SCOPE)}"""),
+        "dashboard_slice_latest": with_base(f"""
+SELECT scope, {scope_label('scope')} AS scope_label, {fmt_count('known_patients')} AS known_fmt,
+       {fmt_pct('multimodal_percent')} AS multimodal_fmt, {fmt_count('stage_count')} AS stage_count_fmt,
+       {fmt_count('treatment_events')} AS events_fmt, {fmt_count('unknown_patients')} AS unknown_fmt,
+       {HEADLINE.format(mm=fmt_count('multimodal_patients'), act=fmt_count('active_patients'))} AS headline
+FROM summary_full WHERE scope = (SELECT max(year) FROM years)"""),
         "headline": with_base(
             f"SELECT scope, {HEADLINE.format(mm=fmt_count('multimodal_patients'), act=fmt_count('active_patients'))} AS headline FROM summary_full"
         ),

@@ -244,9 +244,15 @@ def q_clinical_multimodal_by_stage(spark, sf):
 
 
 # -- dashboard derivations ---------------------------------------------------------------
-def dashboard_slice(b: CohortBuild, scope: str | None = None) -> DataFrame:
-    """Q3 / F8: the top-of-page numbers of one scope, default the whole population."""
-    s = b.summary.where(F.col("scope") == F.lit(scope or ALL_SCOPE))
+def dashboard_slice(b: CohortBuild, scope: str | DataFrame | None = None) -> DataFrame:
+    """Q3 / F8: the top-of-page numbers of one scope, default the whole population.
+
+    ``scope`` may also be a one-column DataFrame of scopes (kept by a semi-join,
+    so a data-dependent choice never passes through the driver)."""
+    if isinstance(scope, DataFrame):
+        s = b.summary.join(scope.select(F.col(scope.columns[0]).alias("scope")), "scope", "left_semi")
+    else:
+        s = b.summary.where(F.col("scope") == F.lit(scope or ALL_SCOPE))
     return s.select(
         "scope",
         scope_label("scope").alias("scope_label"),
@@ -263,6 +269,12 @@ def q_dashboard_slice(spark, sf):
     return dashboard_slice(build(spark, sf))
 
 
+def q_dashboard_slice_latest(spark, sf):
+    """F8 with a data-dependent scope: the latest registry year."""
+    b = build(spark, sf)
+    return dashboard_slice(b, b.years.agg(F.max("year").alias("scope")))
+
+
 def q_headline(spark, sf):
     s = build(spark, sf).summary
     return s.select("scope", headline("multimodal_patients", "active_patients").alias("headline"))
@@ -338,6 +350,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "clinical_document": q_clinical_document,
     "stage_modality_flow": q_stage_modality_flow,
     "dashboard_slice": q_dashboard_slice,
+    "dashboard_slice_latest": q_dashboard_slice_latest,
     "headline": q_headline,
     "display_columns": q_display_columns,
     "regimen_display": q_regimen_display,
