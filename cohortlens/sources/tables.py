@@ -21,11 +21,13 @@ aggregation, and takes the column names from the first file's header line.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.sql import lit
 from ..model import CohortInputs
 
 # pandas' default missing-value tokens (read_excel / read_csv
@@ -72,16 +74,28 @@ def _paths(src: TableSource) -> list[str]:
     return [src.path] if isinstance(src.path, str) else list(src.path)
 
 
+# scheme, optional //authority, path: file:///x, file:/x and s3a://b/x all reduce to authority + path
+_URI = r"^[a-zA-Z][a-zA-Z0-9+.-]*:(?://([^/]*))?(.*)$"
+
+
+def _file_key_py(uri: str) -> str:
+    m = re.match(_URI, uri)
+    return (m.group(1) or "") + m.group(2) if m else uri
+
+
 def _file_rank(df: DataFrame) -> Column:
-    """Rank of each row's file among the sorted input files.
+    """Rank of each row's file among the input files sorted by path.
 
     The file list is driver-side metadata whose size is the number of files,
-    checked against the bit budget; the lookup is a literal map expression."""
-    files = sorted(df.inputFiles())
-    if len(files) >= _MAX_FILES:
-        raise ValueError(f"{len(files)} files exceed the row_idx file budget; pass order_by")
-    lookup = F.create_map(*[x for i, f in enumerate(files) for x in (F.lit(f), F.lit(i))])
-    return F.coalesce(F.element_at(lookup, F.col("_file")), F.lit(0)).cast("bigint")
+    checked against the bit budget; the lookup is a literal map expression.
+    ``inputFiles()`` and ``_metadata.file_path`` spell local URIs differently
+    (``file:///x`` / ``file:/x``), so both sides are keyed on authority + path."""
+    keys = sorted({_file_key_py(f) for f in df.inputFiles()})
+    if len(keys) >= _MAX_FILES:
+        raise ValueError(f"{len(keys)} files exceed the row_idx file budget; pass order_by")
+    lookup = F.create_map(*[x for i, k in enumerate(keys) for x in (F.lit(k), F.lit(i))])
+    key = F.expr(f"concat(regexp_extract(_file, {lit(_URI)}, 1), regexp_extract(_file, {lit(_URI)}, 2))")
+    return F.coalesce(F.element_at(lookup, key), F.lit(0)).cast("bigint")
 
 
 def _text_lines(spark: SparkSession, src: TableSource) -> DataFrame:

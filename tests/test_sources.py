@@ -129,3 +129,25 @@ def test_batch_job_end_to_end(spark):
     assert summary["all"]["unknown_patients"] == 119 and summary["all"]["known_patients"] == 7
     doc = read_document(spark, f"{out}/document").collect()[0]["document"]
     assert doc["all"]["summary"]["unknownStagePatients"] == 119
+
+
+def test_other_formats_and_multi_file_order(spark):
+    """Ingestion order = files ranked by path, then position inside the file."""
+    import glob
+
+    d = tempfile.mkdtemp(prefix="fmt-")
+    rows = [(f"h{i:03d}", "2564", "II" if i % 3 else "IV") for i in range(120)]
+    df = spark.createDataFrame(rows, "HN string, y string, st string")
+    for part in (0, 1):  # two files per format: rows 0..59 and 60..119
+        chunk = df.where(f"CAST(substring(HN, 2) AS INT) DIV 60 = {part}").coalesce(1)
+        chunk.write.mode("append").parquet(f"{d}/parquet")
+        chunk.write.mode("append").orc(f"{d}/orc")
+        chunk.write.mode("append").json(f"{d}/json")
+    cols = {"hn": "HN", "year": "y", "stage": "st"}
+    for fmt in ("parquet", "orc", "json"):
+        files = sorted(f for f in glob.glob(f"{d}/{fmt}/part-*") if not f.endswith(".crc"))
+        first_in_file = [spark.read.format(fmt).load(f).first()["HN"] for f in files]
+        chunks = [[r[0] for r in rows if r[0][1:] >= h[1:]][:60] for h in first_in_file]
+        got = read_source(spark, TableSource(f"{d}/{fmt}", cols, format=fmt), ["hn", "year", "stage"])
+        names = [r["hn"] for r in got.orderBy("row_idx").collect()]
+        assert names == chunks[0] + chunks[1], fmt
