@@ -126,6 +126,19 @@ def _drop_leading(df: DataFrame, n: int) -> tuple[DataFrame, list[str] | None]:
     return df, header
 
 
+def _order_key(df: DataFrame, column: str) -> Column:
+    """An explicit ingestion-order column as bigint without losing resolution."""
+    kind = df.schema[column].dataType.typeName()
+    c = F.col(f"`{column}`")
+    if kind in ("timestamp", "timestamp_ntz"):
+        return F.unix_micros(c.cast("timestamp")) if kind == "timestamp_ntz" else F.unix_micros(c)
+    if kind == "date":
+        return F.unix_date(c).cast("bigint")
+    if kind in ("byte", "short", "integer", "long"):
+        return c.cast("bigint")
+    raise ValueError(f"order_by column {column!r} has type {kind}; use an integer, date or timestamp column")
+
+
 def read_source(spark: SparkSession, src: TableSource, canonical: list[str]) -> DataFrame:
     """A canonical table (canonical columns as string + row_idx)."""
     if src.format == "csv":
@@ -144,7 +157,7 @@ def read_source(spark: SparkSession, src: TableSource, canonical: list[str]) ->
         pos = F.col("_pos")
 
     if src.order_by:
-        row_idx = F.col(src.order_by).cast("bigint")
+        row_idx = _order_key(df, src.order_by)
     else:
         row_idx = F.shiftleft(_file_rank(df), FILE_BITS) + pos
 
