@@ -159,6 +159,7 @@ def test_order_by_column_types(spark):
     d = tempfile.mkdtemp(prefix="ord-")
     base = dt.datetime(2024, 1, 1)
     rows = [(f"h{i}", "2564", "II", base + dt.timedelta(microseconds=7 * (5 - i))) for i in range(5)]
-    spark.createDataFrame(rows, "HN string, y string, st string, ts timestamp").write.parquet(d)
+    spark.createDataFrame(rows, "HN string, y string, st string, ts timestamp").write.parquet(f"{d}/t")
+    d = f"{d}/t"
     got = read_source(spark, TableSource(d, {"hn": "HN", "year": "y", "stage": "st"}, order_by="ts"), ["hn", "year", "stage"])
     assert [r["hn"] for r in got.orderBy("row_idx").collect()] == ["h4", "h3", "h2", "h1", "h0"]
