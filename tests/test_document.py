@@ -60,3 +60,36 @@ def test_document_with_empty_scopes(spark):
     ds = json.loads(fast["2565"])
     assert all(p["regimens"] == [] for p in ds["panels"])
     assert ds["summary"]["activePatients"] == 0 and ds["summary"]["multimodalPercent"] == 0.0
+
+
+def test_clinical_document_invariants_on_test_tables(spark):
+    """SURVEY §5 invariants on a whole-table build in the clinical layout."""
+    from cohortlens.plans.catalog import QUERIES
+
+    doc = json.loads(QUERIES["clinical_document"](spark, "/root/testdata/sf0.01").collect()[0]["value"])
+    assert doc["years"] == sorted(doc["byYear"]) and doc["notes"]
+    scopes = [doc["all"], *doc["byYear"].values()]
+    for ds in scopes:
+        s = ds["summary"]
+        assert [p["stage"] for p in ds["panels"]] == ["I", "II", "III", "IV"]
+        assert [h["treatment"] for h in ds["heatmap"]] == [h.value for h in clinical_spec().heatmap]
+        # each customer has one segment: stage sizes add up to the known total
+        assert sum(st["patients"] for st in ds["stages"]) == s["knownStagePatients"]
+        assert sum(p["activePatients"] for p in ds["panels"]) == s["activePatients"]
+        assert sum(p["multimodalPatients"] for p in ds["panels"]) == s["multimodalPatients"]
+        for p in ds["panels"]:
+            regs = p["regimens"]
+            assert sum(r["count"] for r in regs) == p["activePatients"]
+            top = max([r["count"] for r in regs] or [1])
+            for r in regs:
+                assert r["combined"] == (" + " in r["name"])
+                assert r["percent"] == (round(r["count"] / p["patients"] * 100, 1) if p["patients"] else 0.0)
+                assert r["width"] == round(r["count"] / top * 100, 1)
+            shown = [r for r in regs if r["name"] != "อื่นๆ (รวม)"]
+            assert all(a["count"] >= b["count"] for a, b in zip(shown, shown[1:]))
+        for h in ds["heatmap"]:
+            for code, cell in h["stages"].items():
+                den = next(st["patients"] for st in ds["stages"] if st["stage"] == code)
+                assert cell["percent"] == (round(cell["count"] / den * 100, 0) if den else 0.0)
+    # registry years partition the known patients (one first-order year per customer)
+    assert sum(ds["summary"]["knownStagePatients"] for ds in doc["byYear"].values()) == doc["all"]["summary"]["knownStagePatients"]
