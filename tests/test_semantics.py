@@ -295,3 +295,17 @@ def test_parameter_sweep_against_python_model(spark, seed, params):
     ents, evs, unk = random_tables(seed, n_ids=30, n_evs=250)
     b, s_out, p_out = run(spark, ents, evs, unk, spec=clinical_spec(**params))
     assert_same(s_out, p_out)
+
+
+def test_label_outside_regimen_order_sorts_last(spark):
+    from cohortlens.spec import Modality
+
+    spec = clinical_spec()
+    spec = spec.with_params(modalities=spec.modalities + (Modality("Cryotherapy", "Cryo"),))
+    ents = [("a", "2564", "II", 1), ("b", "2564", "II", 2)]
+    evs = [("a", "2564", "II", "Cryotherapy", 10), ("a", "2564", "II", "Other", 11), ("a", "2564", "II", "Surgery", 12),
+           ("b", "2564", "II", "Cryotherapy", 13)]
+    b, s_out, p_out = run(spark, ents, evs, [], spec=spec)
+    assert_same(s_out, p_out)
+    names = {r[3] for r in s_out["regimens"] if r[0] == "all"}
+    assert names == {"RP + อื่นๆ + Cryo", "Cryo"}
