@@ -129,10 +129,15 @@ class CohortBuild:
         set_m = summary.set_metrics(self.regimen_counts, self.spec)
         return self._small(summary.core_metrics(self.entity_metrics, set_m, self.spec))
 
+    @cached_property
+    def event_metrics(self) -> DataFrame:
+        return summary.event_metrics(self._event_source, self.spec)
+
     @cached_property
     def metrics(self) -> DataFrame:
-        ev_m = summary.event_metrics(self._event_source, self.spec)
-        metrics = summary.scope_metrics(self.core_metrics, ev_m, self.inputs.unknown, self.spec, self.inputs.unknown_override)
+        metrics = summary.scope_metrics(
+            self.core_metrics, self.event_metrics, self.inputs.unknown, self.spec, self.inputs.unknown_override
+        )
         return self._small(metrics)
 
     @cached_property
@@ -158,8 +163,12 @@ class CohortBuild:
     # -- coverage ----------------------------------------------------------------
     @cached_property
     def coverage_cells(self) -> DataFrame:
-        cells = None if self.spec.cells_fit_one_mask() else rollup.cell_rollup(self.events, self.spec)
-        return cov.coverage_cells(self.metrics, self.spec, cells)
+        """Registry scopes x cells; reads only the entity side (scopes) and the
+        event side (counts), never the regimen or unknown-table paths."""
+        if self.spec.cells_fit_one_mask():
+            return cov.coverage_cells(summary.coverage_row(self.entity_metrics, self.event_metrics, self.spec), self.spec)
+        scopes = self.entity_metrics.select("scope")
+        return cov.coverage_cells(scopes, self.spec, rollup.cell_rollup(self.events, self.spec))
 
     @cached_property
     def heatmap(self) -> DataFrame:
