@@ -57,7 +57,7 @@ def timed(fn) -> float:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    repeat = int(os.environ.get("BENCH_REPEAT", "2"))
+    repeat = int(os.environ.get("BENCH_REPEAT", "3"))
     scratch = tempfile.mkdtemp(prefix="bench-")
     spark = build_session(
         master=f"local[{cpus}]",
