@@ -73,7 +73,13 @@ def clean_year_sql(x: str, default: str) -> str:
         f"CASE WHEN {folded} RLIKE {lit(FLOAT_LITERAL)} AND abs({number}) < 9.2E18 "
         f"THEN CAST(CAST({number} AS BIGINT) AS STRING) END"
     )
-    return f"coalesce({parsed}, nullif({trimmed}, ''), {lit(default)})"
+    slow = f"coalesce({parsed}, nullif({trimmed}, ''), {lit(default)})"
+    # Fast path for the common case: an already canonical integer (no sign
+    # other than '-', no leading zeros, no padding) that a double holds exactly
+    # is its own answer, so the per-row translate and regex are skipped.
+    raw = f"CAST({x} AS STRING)"
+    canonical = f"(length({raw}) <= 15 AND CAST(try_cast({raw} AS BIGINT) AS STRING) = {raw})"
+    return f"(CASE WHEN {canonical} THEN {raw} ELSE {slow} END)"
 
 
 def stage_rollup_sql(x: str, default: str, pattern: str) -> str:

@@ -34,6 +34,9 @@ def test_clean_year_matches_python(spark):
         "2564", "2564.0", "2564.9", "-1.5", " 2564 ", "2564d", "2564f", "1e3", "1_000", "1__000", "_1", "1_",
         "๒๕๖๔", "２５６４", "abc", "nan", "NaN", "inf", "-inf", "", "  ", None, "+7", ".5", "5.", "1.e2", "-0.4",
         "　2565　", "12345678.0", "1.2345678E7", "0x10", "1,000", "١٢٣",
+        # fast-path boundaries: canonical integers vs everything that is not
+        "0", "-0", "007", "-5", "+5", " 5", "5 ", "123456789012345", "-123456789012345",
+        "1234567890123456", "12345678901234567", "99999999999999999", "9223372036854775807",
     ]
     got = one_col(spark, values, lambda c: clean_year(c, SENT))
     assert got == [py_clean_year(v, SENT) for v in values]
