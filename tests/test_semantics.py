@@ -309,3 +309,17 @@ def test_label_outside_regimen_order_sorts_last(spark):
     assert_same(s_out, p_out)
     names = {r[3] for r in s_out["regimens"] if r[0] == "all"}
     assert names == {"RP + อื่นๆ + Cryo", "Cryo"}
+
+
+def test_python_model_on_whole_test_tables(spark):
+    """Third implementation on real data: Spark == plain-Python model on the
+    whole sf0.01 tables in the clinical encoding (DuckDB agrees separately)."""
+    from cohortlens.plans.catalog import build
+
+    b = build(spark, "/root/testdata/sf0.01", "C")
+    raw = b.raw
+    ents = [tuple(r) for r in raw.entities.select("hn", "year", "stage", "row_idx").collect()]
+    evs = [tuple(r) for r in raw.events.select("hn", "year", "stage", "treatment", "row_idx").collect()]
+    unk = [tuple(r) for r in raw.unknown.select("hn", "year").collect()]
+    assert len(evs) == 15000
+    assert_same(spark_outputs(b), py_build(ents, evs, unk, b.spec))
