@@ -84,16 +84,21 @@ def main() -> None:
 
     results: dict[str, float] = {}
     rows: dict[str, int] = {}
+    spark_jobs: dict[str, int] = {}
+    sc = spark.sparkContext
+    tracker = sc.statusTracker()
     jobs = [(name, cold(lambda n=name: run_query(n))) for name in HEADLINE]
     jobs.append(("full_build", cold(lambda: full_build(spark, sf_dir))))
     for name, fn in jobs:
         best = None
-        for _ in range(repeat):
+        for i in range(repeat):
             holder = {}
+            sc.setJobGroup(f"{name}-{i}", name)
             t = timed(lambda: holder.setdefault("n", fn()))
             best = t if best is None else min(best, t)
         results[name] = round(best, 3)
         rows[name] = holder["n"]
+        spark_jobs[name] = len(tracker.getJobIdsForGroup(f"{name}-0"))
     spark.stop()
     total = round(sum(results.values()), 3)
     print(
@@ -104,6 +109,7 @@ def main() -> None:
                 "unit": "sec",
                 "queries": results,
                 "rows": rows,
+                "spark_jobs": spark_jobs,
                 "sf": sf,
                 "cpus": cpus,
             }
