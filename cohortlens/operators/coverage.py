@@ -47,6 +47,23 @@ def coverage_cells(metrics: DataFrame, spec: CohortSpec, cells: DataFrame | None
     return joined.select(*[c for c in joined.columns if c != "n"], E("coalesce(n, 0L)", "count"))
 
 
+HEATMAP_COLUMNS = ["scope", "heat_ord", "treatment", "label", "stage_ord", "stage", "count", "percent"]
+
+
+def coverage_heatmap_from_row(row: DataFrame, spec: CohortSpec, den_prefix: str) -> DataFrame:
+    """A2 + J2 + J4 + P3 in one step: the per-scope row holds every cell count
+    (``cov_s_h``) and every stage denominator (``<den_prefix>_s``), so the dense
+    grid, its denominators and the percent come from one ``inline``, no join."""
+    cells = ", ".join(
+        f"named_struct('heat_ord', {h}, 'treatment', {lit(row_.value)}, 'label', {lit(row_.label)}, "
+        f"'stage_ord', {s}, 'stage', {lit(st.code)}, 'count', cov_{s}_{h}, 'den', {den_prefix}_{s})"
+        for s, st in enumerate(spec.stages)
+        for h, row_ in enumerate(spec.heatmap)
+    )
+    grid = row.select("scope", E(f"inline(array({cells}))"))
+    return grid.select(*HEATMAP_COLUMNS[:-1], pct("count", "den", spec.coverage_digits).alias("percent"))
+
+
 def coverage_heatmap(cells: DataFrame, stages: DataFrame, spec: CohortSpec) -> DataFrame:
     """A2 + J4 + P3: attach the stage denominator and the percent."""
     den = stages.select("scope", "stage", "denominator")

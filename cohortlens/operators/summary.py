@@ -71,11 +71,13 @@ def set_metrics(regimen_counts: DataFrame, spec: CohortSpec) -> DataFrame:
     return regimen_counts.groupBy("scope").agg(*aggs)
 
 
-def coverage_row(ent_m: DataFrame, ev_m: DataFrame, spec: CohortSpec) -> DataFrame:
-    """Registry scopes with their coverage-cell counts (zero when no events)."""
+def coverage_row(base: DataFrame, ev_m: DataFrame, den_prefix: str, spec: CohortSpec) -> DataFrame:
+    """Registry scopes with their stage denominators (``<den_prefix>_s`` columns
+    of ``base``) and coverage-cell counts (zero when a scope has no events)."""
+    dens = [f"{den_prefix}_{i}" for i in range(len(spec.stages))]
     cells = [c for c in ev_m.columns if c.startswith("cov_")]
-    out = ent_m.select("scope").join(ev_m.select("scope", *cells), "scope", "left")
-    return out.select("scope", *[E(f"coalesce({c}, 0L)", c) for c in cells])
+    out = base.select("scope", *dens).join(ev_m.select("scope", *cells), "scope", "left")
+    return out.select("scope", *dens, *[E(f"coalesce({c}, 0L)", c) for c in cells])
 
 
 def core_metrics(ent_m: DataFrame, set_m: DataFrame, spec: CohortSpec) -> DataFrame:

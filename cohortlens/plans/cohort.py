@@ -163,16 +163,24 @@ class CohortBuild:
     # -- coverage ----------------------------------------------------------------
     @cached_property
     def coverage_cells(self) -> DataFrame:
-        """Registry scopes x cells; reads only the entity side (scopes) and the
-        event side (counts), never the regimen or unknown-table paths."""
-        if self.spec.cells_fit_one_mask():
-            return cov.coverage_cells(summary.coverage_row(self.entity_metrics, self.event_metrics, self.spec), self.spec)
+        """Wide-dimension path only: registry scopes x cells from the per-stage rollup."""
         scopes = self.entity_metrics.select("scope")
         return cov.coverage_cells(scopes, self.spec, rollup.cell_rollup(self.events, self.spec))
 
     @cached_property
     def heatmap(self) -> DataFrame:
-        return cov.coverage_heatmap(self.coverage_cells, self.denominators, self.spec)
+        """Counts and denominators share one per-scope row: stage sizes from the
+        entity side (or active counts in the active-denominator variant) next to
+        the event side's cell counts; reads neither the regimen path (unless the
+        variant needs it) nor the unknown table."""
+        if not self.spec.cells_fit_one_mask():
+            return cov.coverage_heatmap(self.coverage_cells, self.denominators, self.spec)
+        if self.spec.denominator == "all":
+            base, prefix = self.entity_metrics, "patients"
+        else:
+            base, prefix = self.core_metrics, "active"
+        row = summary.coverage_row(base, self.event_metrics, prefix, self.spec)
+        return cov.coverage_heatmap_from_row(row, self.spec, prefix)
 
     # -- regimens ----------------------------------------------------------------
     @cached_property
