@@ -351,7 +351,8 @@ FROM summary_full WHERE scope = (SELECT max(year) FROM years)"""),
         ),
         "display_columns": with_base(f"""
 SELECT scope, stage, {scope_label('scope')} AS scope_label, {fmt_count('patients')} AS patients_fmt,
-       {fmt_pct('multimodal_percent')} AS multimodal_fmt, stage = {q(tpch_spec().small_n_stage)} AS caution
+       {fmt_pct('multimodal_percent')} AS multimodal_fmt, stage = {q(tpch_spec().small_n_stage)} AS caution,
+       CASE WHEN stage = {q(tpch_spec().small_n_stage)} THEN ' · n น้อย ระวังการตีความ' ELSE '' END AS caution_note
 FROM stage_table"""),
         "regimen_display": with_base(
             f"SELECT scope, stage, rank, {fmt_pct('percent')} AS percent_fmt, {fmt_count('count')} AS count_fmt FROM regimens"

@@ -60,6 +60,11 @@ def caution_flag_sql(stage: str, small_n_stage: str | None, patients: str | None
     return "(" + " OR ".join(parts) + ")" if parts else "false"
 
 
+def caution_note_sql(flag: str) -> str:
+    """The text the page appends to a flagged panel (empty otherwise)."""
+    return f"CASE WHEN {flag} THEN {lit(CAUTION_TEXT)} ELSE '' END"
+
+
 def fmt_count(n: str) -> Column:
     return E(fmt_count_sql(n))
 

@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.display import caution_flag, fmt_count, fmt_pct, headline, scope_label
+from ..functions.display import caution_flag, caution_note_sql, fmt_count, fmt_pct, headline, scope_label
 from ..functions.sql import E
 from ..functions.text import clean_text, clean_year, stage_rollup
 from ..operators import coverage as cov
@@ -289,7 +289,7 @@ def q_display_columns(spark, sf):
         fmt_count("patients").alias("patients_fmt"),
         fmt_pct("multimodal_percent").alias("multimodal_fmt"),
         caution_flag("stage", b.spec.small_n_stage, "patients", b.spec.small_n_threshold).alias("caution"),
-    )
+    ).withColumn("caution_note", E(caution_note_sql("caution")))
 
 
 def q_regimen_display(spark, sf):
