@@ -19,26 +19,17 @@ from .prepare import active_only
 from .scope import with_scope
 
 
-def _cells_sql(spec: CohortSpec, count_of) -> str:
-    n_heat = len(spec.heatmap)
-    cells = ", ".join(
+def coverage_cells(scopes: DataFrame, spec: CohortSpec, cells: DataFrame) -> DataFrame:
+    """Wide-dimension path (stages x heatmap rows > 63 bits): the dense
+    (scope, stage, treatment) grid with counts from the per-stage rollup
+    ``cells`` (scope, hn, stage, heat_mask), attached by a small join."""
+    grid_cells = ", ".join(
         f"named_struct('stage_ord', {s}, 'stage', {lit(st.code)}, 'heat_ord', {h}, 'treatment', {lit(row.value)}, "
-        f"'label', {lit(row.label)}, 'count', {count_of(s, h, n_heat)})"
+        f"'label', {lit(row.label)})"
         for s, st in enumerate(spec.stages)
         for h, row in enumerate(spec.heatmap)
     )
-    return f"inline(array({cells}))"
-
-
-def coverage_cells(metrics: DataFrame, spec: CohortSpec, cells: DataFrame | None = None) -> DataFrame:
-    """Dense (scope, stage, treatment) grid with distinct-entity counts.
-
-    Normal path: the counts are already columns of the per-scope metrics row.
-    Fallback (``cells`` given, for dimensions beyond one bigint): counts come
-    from the per-stage rollup and are attached to the grid by a small join."""
-    if cells is None:
-        return metrics.select("scope", E(_cells_sql(spec, lambda s, h, n: f"cov_{s}_{h}")))
-    grid = metrics.select("scope", E(_cells_sql(spec, lambda s, h, n: "0L"))).drop("count")
+    grid = scopes.select("scope", E(f"inline(array({grid_cells}))"))
     n_heat = len(spec.heatmap)
     per_stage = cells.groupBy("scope", "stage").agg(*[E(f"sum({bit_value_sql('heat_mask', h)})", f"c{h}") for h in range(n_heat)])
     pairs = ", ".join(f"named_struct('heat_ord', {h}, 'n', c{h})" for h in range(n_heat))
@@ -65,17 +56,10 @@ def coverage_heatmap_from_row(row: DataFrame, spec: CohortSpec, den_prefix: str)
 
 
 def coverage_heatmap(cells: DataFrame, stages: DataFrame, spec: CohortSpec) -> DataFrame:
-    """A2 + J4 + P3: attach the stage denominator and the percent."""
+    """Wide-dimension path: attach the stage denominator and the percent."""
     den = stages.select("scope", "stage", "denominator")
     return cells.join(den, ["scope", "stage"]).select(
-        "scope",
-        "heat_ord",
-        "treatment",
-        "label",
-        "stage_ord",
-        "stage",
-        "count",
-        pct("count", "denominator", spec.coverage_digits).alias("percent"),
+        *HEATMAP_COLUMNS[:-1], pct("count", "denominator", spec.coverage_digits).alias("percent")
     )
 
 
