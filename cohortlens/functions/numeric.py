@@ -1,5 +1,5 @@
 """Percent and bit helpers (P3, P5, P6, P7).  SQL text in, SQL text out; the
-plain-named variants return Columns."""
+plain-named variants return Columns where callers need one."""
 
 from __future__ import annotations
 
@@ -81,25 +81,9 @@ def pct(num: str, den: str, digits: int) -> Column:
     return E(pct_sql(num, den, digits))
 
 
-def round_half_even_exact(x: str, digits: int) -> Column:
-    return E(round_exact_sql(x, digits))
-
-
 def ordinal(x: str, values: Sequence[str]) -> Column:
     return E(ordinal_sql(x, values))
 
 
-def bit(pos: str) -> Column:
-    return E(bit_sql(pos))
-
-
-def bit_value(mask: str, pos: int) -> Column:
-    return E(bit_value_sql(mask, pos))
-
-
 def decode_mask(mask: str, labels: Sequence[str], sep: str = " + ") -> Column:
     return E(decode_mask_sql(mask, labels, sep))
-
-
-def combined(name: str, sep: str = " + ") -> Column:
-    return E(combined_sql(name, sep))
