@@ -74,6 +74,13 @@ class CohortSpec:
             raise ValueError(f"at most {MAX_BITS} heatmap modalities are supported")
         if self.top_k < 1:
             raise ValueError("top_k must be positive")
+        for what, values in (
+            ("stage codes", [st.code for st in self.stages]),
+            ("active modalities", [m.value for m in self.modalities]),
+            ("heatmap rows", [h.value for h in self.heatmap]),
+        ):
+            if len(set(values)) != len(values):
+                raise ValueError(f"duplicate {what}: each one owns a bit position")
 
     # -- derived dimension views -------------------------------------------------
     @property

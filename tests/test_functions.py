@@ -100,3 +100,20 @@ def test_clean_year_random_strings_match_python(spark):
     got = one_col(spark, values, lambda c: clean_year(c, SENT))
     bad = [(v, g, py_clean_year(v, SENT)) for v, g in zip(values, got) if g != py_clean_year(v, SENT)]
     assert not bad, bad[:10]
+
+
+def test_spec_rejects_duplicates_and_oversized_dimensions():
+    import pytest
+
+    from cohortlens.spec import Modality, Stage, clinical_spec
+
+    spec = clinical_spec()
+    with pytest.raises(ValueError):
+        spec.with_params(stages=spec.stages + (spec.stages[0],))
+    with pytest.raises(ValueError):
+        spec.with_params(modalities=spec.modalities + (Modality("Hormone", "X"),))
+    with pytest.raises(ValueError):
+        spec.with_params(modalities=tuple(Modality(f"m{i}", f"l{i}") for i in range(64)))
+    with pytest.raises(ValueError):
+        spec.with_params(denominator="half")
+    assert not spec.with_params(stages=tuple(Stage(f"S{i}", "", "", "") for i in range(10))).cells_fit_one_mask()
