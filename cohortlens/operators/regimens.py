@@ -74,7 +74,7 @@ def regimen_topk(counts: DataFrame, stages: DataFrame, spec: CohortSpec) -> Data
     ranked = counts.drop("regimen").join(den, ["scope", "stage"]).withColumn("rn", F.row_number().over(rank_w))
     shown = F.col("rn") <= k
     if spec.min_share is not None:
-        share = E(f"CASE WHEN denominator > 0 THEN CAST(n AS DOUBLE) / CAST(denominator AS DOUBLE) * 100.0D END")
+        share = E("CASE WHEN denominator > 0 THEN CAST(n AS DOUBLE) / CAST(denominator AS DOUBLE) * 100.0D END")
         shown = shown & F.coalesce(share >= F.lit(float(spec.min_share)), F.lit(False))
     folded = ranked.groupBy("scope", "stage", F.when(shown, F.col("rn")).otherwise(F.lit(k + 1)).alias("rank")).agg(
         F.sum("n").alias("count"),
