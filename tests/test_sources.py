@@ -163,3 +163,16 @@ def test_order_by_column_types(spark):
     d = f"{d}/t"
     got = read_source(spark, TableSource(d, {"hn": "HN", "year": "y", "stage": "st"}, order_by="ts"), ["hn", "year", "stage"])
     assert [r["hn"] for r in got.orderBy("row_idx").collect()] == ["h4", "h3", "h2", "h1", "h0"]
+
+
+def test_override_cell_parsing(spark):
+    from cohortlens.sources.tables import read_cell
+
+    d = tempfile.mkdtemp(prefix="cell-")
+    for name, value in (("num", "119.0"), ("text", "n/a"), ("blank", "")):
+        grid = [[""] * 9 for _ in range(6)]
+        grid[4][7] = value
+        write_csv(f"{d}/{name}.csv", [f"c{i}" for i in range(9)], grid)
+    assert read_cell(spark, TableSource(f"{d}/num.csv", {}, format="csv"), 4, 7) == 119
+    assert read_cell(spark, TableSource(f"{d}/text.csv", {}, format="csv"), 4, 7) is None
+    assert read_cell(spark, TableSource(f"{d}/blank.csv", {}, format="csv"), 4, 7) is None
