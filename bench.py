@@ -99,6 +99,7 @@ def main() -> None:
         results[name] = round(best, 3)
         rows[name] = holder["n"]
         spark_jobs[name] = len(tracker.getJobIdsForGroup(f"{name}-0"))
+    n_events = spark.read.parquet(f"{sf_dir}/orders.parquet").count()  # parquet footer metadata
     spark.stop()
     total = round(sum(results.values()), 3)
     print(
@@ -110,6 +111,8 @@ def main() -> None:
                 "queries": results,
                 "rows": rows,
                 "spark_jobs": spark_jobs,
+                "events": n_events,
+                "full_build_events_per_sec": round(n_events / results["full_build"]),
                 "sf": sf,
                 "cpus": cpus,
             }
