@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import bpe
+from . import bpe, lang_viterbi
 
 QUERIES = {
     "op1_byte_bpe": bpe.op1_byte_bpe,
+    "op10_language_id": lang_viterbi.op10_language_id,
 }
 
 ORACLE_SQL: dict[str, str] = {}
