@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import bpe, lang_viterbi
+from . import bpe, entropy_balance, lang_viterbi
 
 QUERIES = {
     "op1_byte_bpe": bpe.op1_byte_bpe,
+    "op8_source_mix": entropy_balance.op8_source_mix,
     "op10_language_id": lang_viterbi.op10_language_id,
 }
 
