@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import bpe, entropy_balance, lang_viterbi, quality_trees, winnow
+from . import bpe, entropy_balance, lang_viterbi, pii_crf, quality_trees, winnow
 
 QUERIES = {
     "op1_byte_bpe": bpe.op1_byte_bpe,
     "op2_quality_trees": quality_trees.op2_quality_trees,
     "op3_winnowing": winnow.op3_winnowing,
+    "op5_pii_crf": pii_crf.op5_pii_crf,
     "op8_source_mix": entropy_balance.op8_source_mix,
     "op10_language_id": lang_viterbi.op10_language_id,
 }
