@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, entropy_balance, lang_viterbi, pii_crf, quality_trees, winnow
+from . import bitmap_join, bpe, entropy_balance, lang_viterbi, pii_crf, quality_trees, winnow
 
 QUERIES = {
     "op1_byte_bpe": bpe.op1_byte_bpe,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_winnowing": winnow.op3_winnowing,
     "op5_pii_crf": pii_crf.op5_pii_crf,
     "op8_source_mix": entropy_balance.op8_source_mix,
+    "op9_bitmap_join": bitmap_join.op9_bitmap_join,
     "op10_language_id": lang_viterbi.op10_language_id,
 }
 
