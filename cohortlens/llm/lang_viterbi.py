@@ -232,21 +232,32 @@ def predict_texts(texts: list[str | None], model: Model, switch: float = SWITCH)
     return pred, score, spans
 
 
+_ADDED = {
+    "lang_pred": ("string", pa.string()),
+    "score": ("double", pa.float64()),
+    "spans": ("array<struct<start:int,end:int,lang:string>>", pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("lang", pa.string())]))),
+}
+
+
 def predict(
-    df: DataFrame, model: Model, text: str = "text", keep: tuple[str, ...] = ("doc_id",), switch: float = SWITCH
+    df: DataFrame,
+    model: Model,
+    text: str = "text",
+    keep: tuple[str, ...] = ("doc_id",),
+    switch: float = SWITCH,
+    add: tuple[str, ...] = tuple(_ADDED),
+    prefix: str = "",
 ) -> DataFrame:
-    """``keep`` columns with lang_pred, score and spans of every text."""
-    spans_type = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("lang", pa.string())]))
+    """``keep`` columns with lang_pred, score and spans (those named in ``add``, behind ``prefix``) of every text."""
 
     def make():
         def apply(batch):
-            pred, score, spans = predict_texts(batch.column(text).to_pylist(), model, switch)
-            return [pa.array(pred, pa.string()), pa.array(score, pa.float64()), pa.array(spans, spans_type)]
+            found = dict(zip(_ADDED, predict_texts(batch.column(text).to_pylist(), model, switch)))
+            return [pa.array(found[c], _ADDED[c][1]) for c in add]
 
         return apply
 
-    fields = "lang_pred string, score double, spans array<struct<start:int,end:int,lang:string>>"
-    return map_batches(df, make, fields, keep, text)
+    return map_batches(df, make, ", ".join(f"`{prefix}{c}` {_ADDED[c][0]}" for c in add), keep, text)
 
 
 def held_out(doc_id) -> F.Column:

@@ -1,13 +1,50 @@
-"""Stages of the corpus pipeline: each applies one operator to the documents it is given."""
+"""Stages of the corpus pipeline: each applies one operator to the documents it is given.
+
+Every stage takes (spark, docs, sf_dir) and works on all rows of ``docs``; all
+but the last return the columns that ``docs`` has. Rows without an id go through
+every stage like others; an empty table gives an empty table.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from . import bitmap_join, bpe, entropy_balance, lang_viterbi, pii_crf
+
+
+def language_id(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a language; those without text or a letter go."""
+    model = lang_viterbi.learn_from_documents(docs)
+    columns = docs.columns
+    found = lang_viterbi.predict(docs, model, keep=tuple(columns), add=("lang_pred",), prefix="stage_")
+    return found.where("stage_lang_pred <> 'und'").select(*columns)
+
+
+def near_duplicates(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The first document of each group of near copies; documents without words are no one's copy and stay."""
+    found = bitmap_join.near_components(docs)
+    gone = found.where("doc_id <> component_id").select("doc_id").distinct()
+    kept = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    # repeated rows of one id are copies too, where they have the same text
+    repeated = found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
+    if repeated.isEmpty():
+        return kept
+    once = kept.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
+    return kept.join(repeated, "doc_id", "left_anti").unionByName(once).select(*docs.columns)
+
+
+def personal_data(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with personal data masked in their texts."""
+    return pii_crf.redact(docs, pii_crf.learn(docs))
+
 
-from . import bpe
+def source_mix(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document as many times as the mix of sources takes it."""
+    return entropy_balance.mixed(docs)
 
 
 def byte_bpe(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Ids of every text with its token count; copies stay separate rows."""
+    """Ids of every text with their number; copies stay separate rows."""
     coded = bpe.encode(docs, keep=("doc_id", "lang", "source"))
     return coded.select("doc_id", "lang", "source", bpe.n_ids("ids").alias("n_tokens"), "ids")
