@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import bitmap_join, block_anchors, bpe, entropy_balance, lang_viterbi, pii_crf, quality_trees, winnow
+from . import bitmap_join, block_anchors, bpe, entropy_balance, lang_viterbi, pii_crf, quality_trees, token_store, winnow
 
 QUERIES = {
     "op1_byte_bpe": bpe.op1_byte_bpe,
     "op2_quality_trees": quality_trees.op2_quality_trees,
     "op3_winnowing": winnow.op3_winnowing,
     "op5_pii_crf": pii_crf.op5_pii_crf,
+    "op6_mixing_coder": token_store.op6_mixing_coder,
     "op7_block_anchors": block_anchors.op7_block_anchors,
     "op8_source_mix": entropy_balance.op8_source_mix,
     "op9_bitmap_join": bitmap_join.op9_bitmap_join,
