@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import bitmap_join, block_anchors, bpe, entropy_balance, lang_viterbi, pii_crf, quality_trees, token_store, winnow
+from . import bitmap_join, block_anchors, bpe, entropy_balance, lang_viterbi, licence_rules, pii_crf, quality_trees, token_store, winnow
 
 QUERIES = {
     "op1_byte_bpe": bpe.op1_byte_bpe,
     "op2_quality_trees": quality_trees.op2_quality_trees,
     "op3_winnowing": winnow.op3_winnowing,
+    "op4_licence_rules": licence_rules.op4_licence_rules,
     "op5_pii_crf": pii_crf.op5_pii_crf,
     "op6_mixing_coder": token_store.op6_mixing_coder,
     "op7_block_anchors": block_anchors.op7_block_anchors,
