@@ -110,7 +110,7 @@ RULES = [
 ]
 
 #: Every known sentence has one of these in lower case; a text without any is not cut.
-ANCHORS = ["licen", "copyright", "permission", "redistribut", "warrant", "software", "mpl", "public domain", "rights reserved"]
+ANCHORS = ["licen", "copyright", "permission", "redistribut", "warrant", "software", "mpl", "domain", "reserved"]
 
 _WORD = re.compile(r"[^\W_]+")
 _BREAK = re.compile(r"[.!?;:]+(?=\s|$)|\n")
