@@ -126,7 +126,8 @@ def in_order(df: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataF
         return placed.select("part", "doc_id", "text", F.lit(False).alias("guest"))
     hosts = [(p, top, used[i - 1][0]) for i, (p, top) in enumerate(used)]
     firsts = df.sparkSession.createDataFrame(hosts, "first_part int, top long, host int")
-    found = placed.join(firsts, F.col("part") == F.col("first_part"))
+    # three numbers a row and at most MOST_RANGES + 1 rows: 2 MB
+    found = placed.join(F.broadcast(firsts), F.col("part") == F.col("first_part"))
     own = F.struct(F.col("part").alias("part"), F.lit(False).alias("guest"))
     away = F.struct(F.col("host").alias("part"), F.lit(True).alias("guest"))
     seats = F.when(F.col("doc_id").eqNullSafe(F.col("top")), F.array(own, away)).otherwise(F.array(own))
