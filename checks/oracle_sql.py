@@ -9,7 +9,6 @@ Tables ``customer`` and ``orders`` are the pre-registered views.
 
 from __future__ import annotations
 
-from cohortlens.functions.text import FLOAT_LITERAL, decimal_digit_map, whitespace_chars
 from cohortlens.sources.tpch import CLINICAL_MODALITY_OF_ORDER, CLINICAL_STAGE_OF_SEGMENT, SUBSTAGES, THAI_DIGITS
 from cohortlens.spec import (
     ALL_SCOPE,
@@ -23,6 +22,18 @@ from cohortlens.spec import (
 
 VARIANT_DROP = ("5-LOW",)
 
+# Fixed values, written out apart from the engine: white space that Python strips,
+# the zeros of the decimal digit runs, and the grammar of a float literal.
+WHITESPACE = [*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
+DIGIT_ZEROS = [
+    0x0660, 0x06F0, 0x07C0, 0x0966, 0x09E6, 0x0A66, 0x0AE6, 0x0B66, 0x0BE6, 0x0C66, 0x0CE6, 0x0D66, 0x0DE6, 0x0E50, 0x0ED0, 0x0F20,
+    0x1040, 0x1090, 0x17E0, 0x1810, 0x1946, 0x19D0, 0x1A80, 0x1A90, 0x1B50, 0x1BB0, 0x1C40, 0x1C50, 0xA620, 0xA8D0, 0xA900, 0xA9D0,
+    0xA9F0, 0xAA50, 0xABF0, 0xFF10, 0x104A0, 0x10D30, 0x11066, 0x110F0, 0x11136, 0x111D0, 0x112F0, 0x11450, 0x114D0, 0x11650, 0x116C0,
+    0x11730, 0x118E0, 0x11950, 0x11C50, 0x11D50, 0x11DA0, 0x11F50, 0x16A60, 0x16AC0, 0x16B50, 0x1D7CE, 0x1D7D8, 0x1D7E2, 0x1D7EC, 0x1D7F6,
+    0x1E140, 0x1E2F0, 0x1E4F0, 0x1E950, 0x1FBF0,
+]
+FLOAT = r"^[+-]?([0-9]+(_[0-9]+)*(\.([0-9]+(_[0-9]+)*)?)?|\.[0-9]+(_[0-9]+)*)([eE][+-]?[0-9]+(_[0-9]+)*)?$"
+
 
 def q(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
@@ -33,7 +44,7 @@ def in_list(values) -> str:
 
 
 def trim_ws(x: str) -> str:
-    return f"trim(CAST({x} AS VARCHAR), {q(whitespace_chars())})"
+    return f"trim(CAST({x} AS VARCHAR), {q(''.join(map(chr, WHITESPACE)))})"
 
 
 def clean(x: str, sentinel: str) -> str:
@@ -41,11 +52,12 @@ def clean(x: str, sentinel: str) -> str:
 
 
 def clean_year(x: str, sentinel: str) -> str:
-    src, dst = decimal_digit_map()
+    src = "".join(chr(zero + k) for zero in DIGIT_ZEROS for k in range(10))
+    dst = "0123456789" * len(DIGIT_ZEROS)
     folded = f"translate({trim_ws(x)}, {q(src)}, {q(dst)})"
     num = f"TRY_CAST(replace({folded}, '_', '') AS DOUBLE)"
     parsed = (
-        f"CASE WHEN regexp_matches({folded}, {q(FLOAT_LITERAL)}) AND abs({num}) < 9.2e18 "
+        f"CASE WHEN regexp_matches({folded}, {q(FLOAT)}) AND abs({num}) < 9.2e18 "
         f"THEN CAST(CAST(trunc({num}) AS BIGINT) AS VARCHAR) END"
     )
     return f"COALESCE({parsed}, NULLIF({trim_ws(x)}, ''), {q(sentinel)})"

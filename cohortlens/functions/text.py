@@ -9,7 +9,7 @@ The character tables are generated from rules rather than listed:
 
 * whitespace = every code point for which ``str.isspace()`` is true, which is
   exactly what Python's ``str.strip()`` and ``float()`` remove;
-* decimal digits = every BMP code point with a Unicode decimal value, which is
+* decimal digits = every code point with a Unicode decimal value, which is
   what ``float()`` accepts besides ASCII digits (Thai digits among them).
 """
 
@@ -38,9 +38,9 @@ def whitespace_chars() -> str:
 
 @functools.lru_cache(maxsize=1)
 def decimal_digit_map() -> tuple[str, str]:
-    """(from, to) strings mapping every non-ASCII BMP decimal digit to ASCII."""
+    """(from, to) strings mapping every non-ASCII decimal digit to ASCII."""
     src, dst = [], []
-    for c in range(0x80, 0x10000):
+    for c in range(0x80, sys.maxunicode + 1):
         ch = chr(c)
         d = unicodedata.decimal(ch, None)
         if d is not None:

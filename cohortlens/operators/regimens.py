@@ -70,19 +70,23 @@ def regimen_topk(counts: DataFrame, stages: DataFrame, spec: CohortSpec) -> Data
     part in the width scale."""
     k = spec.top_k
     den = stages.select("scope", "stage", "denominator")
-    rank_w = Window.partitionBy("scope", "stage").orderBy(F.desc("n"), F.asc("first_idx"))
-    ranked = counts.drop("regimen").join(den, ["scope", "stage"]).withColumn("rn", F.row_number().over(rank_w))
-    shown = F.col("rn") <= k
+    # the mask settles ties of events that have no order key
+    rank_w = Window.partitionBy("scope", "stage").orderBy(F.desc("n"), F.asc("first_idx"), F.asc("mask"))
+    # rank <= k as a filter on the row number: only k rows of a group and task pass the shuffle
+    best = counts.withColumn("rank", F.row_number().over(rank_w)).where(F.col("rank") <= k)
+    best = best.select("scope", "stage", "rank", F.col("n").alias("count"), "mask")
+    # the tail starts as the group's total; what is shown comes off below
+    total = counts.groupBy("scope", "stage").agg(F.lit(k + 1).alias("rank"), F.sum("n").alias("count"), F.lit(0).cast("bigint").alias("mask"))
+    rows = best.unionByName(total.select("scope", "stage", "rank", "count", "mask")).join(den, ["scope", "stage"])
+    top = F.col("rank") <= k
     if spec.min_share is not None:
-        share = E("CASE WHEN denominator > 0 THEN CAST(n AS DOUBLE) / CAST(denominator AS DOUBLE) * 100.0D END")
-        shown = shown & F.coalesce(share >= F.lit(float(spec.min_share)), F.lit(False))
-    folded = ranked.groupBy("scope", "stage", F.when(shown, F.col("rn")).otherwise(F.lit(k + 1)).alias("rank")).agg(
-        F.sum("n").alias("count"),
-        F.min("mask").alias("mask"),  # the one mask of a shown rank; fixed width keeps hash aggregation
-        F.max("denominator").alias("denominator"),
-    )
+        share = E("CASE WHEN denominator > 0 THEN CAST(count AS DOUBLE) / CAST(denominator AS DOUBLE) * 100.0D END")
+        rows = rows.where(~top | F.coalesce(share >= F.lit(float(spec.min_share)), F.lit(False)))
+    panel = Window.partitionBy("scope", "stage")  # at most k + 1 rows
+    covered = F.coalesce(F.sum(F.when(top, F.col("count"))).over(panel), F.lit(0))
+    folded = rows.withColumn("count", F.when(top, F.col("count")).otherwise(F.col("count") - covered))
     name = f"CASE WHEN rank <= {k} THEN {regimen_name_sql('mask', spec)} ELSE {lit(spec.tail_label)} END"
-    folded = folded.select("*", E(name, "regimen"), F.max("count").over(Window.partitionBy("scope", "stage")).alias("panel_max"))
+    folded = folded.select("*", E(name, "regimen"), F.max("count").over(panel).alias("panel_max"))
     return folded.select(
         "scope",
         "stage",

@@ -20,14 +20,17 @@ from ..functions.sql import E, arr, lit
 from ..spec import CohortSpec
 from .scope import with_scope
 
+# A row without an order key comes before every row that has one.
+ORDER_KEY = "coalesce(row_idx, -9223372036854775808L)"
+
 
 def entity_rollup(entities: DataFrame, spec: CohortSpec) -> DataFrame:
-    """(scope, hn) -> lookup_stage (J1: last row wins), stage_mask (stages the id appears in).
+    """(scope, hn) -> lookup_stage (J1: last row wins; rows without an order key come first), stage_mask (stages the id appears in).
 
     The last-wins pick runs on the stage *ordinal* so every aggregate buffer is
     fixed width (hash aggregation, no sort); the code is looked up afterwards."""
     return (
-        with_scope(entities.select("hn", "year", "row_idx", E(ordinal_sql("stage", spec.stage_codes), "stage_ord")), spec)
+        with_scope(entities.select("hn", "year", E(ORDER_KEY, "row_idx"), E(ordinal_sql("stage", spec.stage_codes), "stage_ord")), spec)
         .groupBy("scope", "hn")
         .agg(
             F.max_by("stage_ord", "row_idx").alias("lookup_ord"),
@@ -55,7 +58,7 @@ def event_bits(events: DataFrame, spec: CohortSpec) -> DataFrame:
         "hn",
         "year",
         "stage",
-        "row_idx",
+        E(ORDER_KEY, "row_idx"),
         E(bit_sql(cell_pos), "cell_bit"),
         E(bit_sql(act_pos), "act_bit"),
         E(f"CASE WHEN {allowed} AND {heat_ord} >= 0 THEN {heat_ord} ELSE -1 END", "heat_ord"),
@@ -87,8 +90,9 @@ def cell_rollup(events: DataFrame, spec: CohortSpec) -> DataFrame:
     )
 
 
-# Every consumer of a rollup filters on these always-true predicates.  They
-# reference every rollup column, so column pruning leaves each consumer with
+# Every consumer of a rollup filters on these predicates, true by construction:
+# F1 leaves known stages only and ORDER_KEY is never null, so no aggregate over
+# at least one row of a side is null.  They reference every rollup column, so column pruning leaves each consumer with
 # the *same* rollup plan and Spark reuses one exchange per input instead of
 # rolling the raw rows up again for each output.  On the fact table they also
 # drop the rows of the other side, which contribute nothing to that side's
