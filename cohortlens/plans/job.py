@@ -25,15 +25,15 @@ SHEET_COLUMNS = {"hn": "HN", "year": "ปี", "stage": "Stage_หลัก", "t
 
 
 def run(spark: SparkSession, args: argparse.Namespace) -> dict[str, str]:
-    def source(path: str, fmt: str, header_row: int = 0) -> TableSource:
+    def source(path: str, fmt: str, header_row: int = 0, order_by: str | None = None) -> TableSource:
         tokens = PANDAS_NA_TOKENS if fmt == "csv" else ()
-        return TableSource(path, SHEET_COLUMNS, format=fmt, header_row=header_row, null_tokens=tokens)
+        return TableSource(path, SHEET_COLUMNS, format=fmt, header_row=header_row, null_tokens=tokens, order_by=order_by)
 
     override = TableSource(args.dashboard, {}, format="csv") if args.dashboard else None
     inputs = read_inputs(
         spark,
-        entities=source(args.entities, args.format),
-        events=source(args.events, args.format),
+        entities=source(args.entities, args.format, order_by=getattr(args, "entities_order_by", None)),
+        events=source(args.events, args.format, order_by=getattr(args, "events_order_by", None)),
         unknown=source(args.unknown, args.unknown_format, args.unknown_header_row),
         override=override,
     )
@@ -52,6 +52,8 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--unknown", required=True)
     p.add_argument("--dashboard", help="sheet export holding the unknown-total override cell")
     p.add_argument("--format", default="parquet")
+    p.add_argument("--entities-order-by", default=None, help="integer, date or timestamp column of the ingestion order")
+    p.add_argument("--events-order-by", default=None)
     p.add_argument("--unknown-format", default="parquet")
     p.add_argument("--unknown-header-row", type=int, default=0)
     p.add_argument("--rollup-pattern", default=None, help="regex capturing the main stage from a sub-stage")

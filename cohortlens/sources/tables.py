@@ -6,26 +6,29 @@ explicit all-string schema (no inference).  Columns absent from the source
 become nulls (S5), so e.g. an unknown sheet without a year column puts every
 row into the sentinel year, and one without an id column counts zero.
 
-Ingestion order (``row_idx``) is taken from an order column when one is
-given.  Otherwise it is derived JVM-side, without collecting rows: the rank of
-the file among the sorted input files in the high bits, and the position
-inside the file in the low bits (Parquet ``_metadata.row_index``; for text
-formats ``monotonically_increasing_id`` of an unshuffled scan, which grows
-with the file offset).
-
-Spreadsheet exports often carry preamble rows above the header (the unknown
-sheet has its header on the second row).  ``header_row`` drops that many
-leading lines plus the header line of every file, found by per-file minimum
-aggregation, and takes the column names from the first file's header line.
+Ingestion order (``row_idx``) is taken from an order column when one is given.
+Otherwise it is derived JVM-side: Parquet rows by the rank of their file (by
+path) and ``_metadata.row_index``; text rows by the rank of their split (file,
+then offset) and the position that ``monotonically_increasing_id`` gives inside
+a scan partition. The ranks are a joined table of one row per file or split.
+
+Text formats are read with the width of their header line, which is the first
+file's line below ``header_row`` preamble lines (blank lines do not count). A
+file whose header names a mapped column elsewhere makes the read fail, so no
+column is taken for another. Without preamble Spark's reader drops and checks
+the headers in the same scan.
 """
 
 from __future__ import annotations
 
+import csv
+import math
 import re
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.sql import lit
 from ..model import CohortInputs
@@ -55,8 +58,8 @@ PANDAS_NA_TOKENS = (
     "null",
 )
 
-FILE_BITS = 40  # position-in-file bits of a derived row_idx
-_MAX_FILES = 1 << (62 - FILE_BITS)
+FILE_BITS = 40  # bits of a row's position inside a Parquet file
+SPLIT_BITS = 33  # bits of a row's position inside a scan partition of a text format
 
 
 @dataclass(frozen=True)
@@ -83,47 +86,66 @@ def _file_key_py(uri: str) -> str:
     return (m.group(1) or "") + m.group(2) if m else uri
 
 
-def _file_rank(df: DataFrame) -> Column:
-    """Rank of each row's file among the input files sorted by path.
-
-    The file list is driver-side metadata whose size is the number of files,
-    checked against the bit budget; the lookup is a literal map expression.
-    ``inputFiles()`` and ``_metadata.file_path`` spell local URIs differently
-    (``file:///x`` / ``file:/x``), so both sides are keyed on authority + path."""
-    keys = sorted({_file_key_py(f) for f in df.inputFiles()})
-    if len(keys) >= _MAX_FILES:
-        raise ValueError(f"{len(keys)} files exceed the row_idx file budget; pass order_by")
-    lookup = F.create_map(*[x for i, k in enumerate(keys) for x in (F.lit(k), F.lit(i))])
-    key = F.expr(f"concat(regexp_extract(_file, {lit(_URI)}, 1), regexp_extract(_file, {lit(_URI)}, 2))")
-    return F.coalesce(F.element_at(lookup, key), F.lit(0)).cast("bigint")
-
-
-def _text_lines(spark: SparkSession, src: TableSource) -> DataFrame:
-    """CSV rows as string columns _c0.._cN with file path and in-file position."""
-    reader = spark.read.format("csv").option("header", "false").options(**src.options)
-    df = reader.load(_paths(src))
-    df = df.select("*", F.col("_metadata.file_path").alias("_file"), F.monotonically_increasing_id().alias("_pos"))
-    return df
-
-
-_BROADCAST_FILES = 100_000  # one row per input file: broadcast only below this count
-
-
-def _drop_leading(df: DataFrame, n: int) -> tuple[DataFrame, list[str] | None]:
-    """Drop the first ``n`` lines of every file; return the last dropped line of
-    the first file (the header) as column names."""
-    header = None
-    small = len(df.inputFiles()) <= _BROADCAST_FILES  # size of `firsts`, known before it is built
-    for i in range(n):
-        firsts = df.groupBy("_file").agg(F.min("_pos").alias("_first"))
-        if i == n - 1:
-            first_file = firsts.orderBy("_file").limit(1)
-            row = df.join(first_file, (df._file == first_file._file) & (df._pos == first_file._first), "left_semi").limit(1).collect()
-            if row:
-                header = [row[0][c] for c in df.columns if c.startswith("_c")]
-        side = F.broadcast(firsts) if small else firsts
-        df = df.join(side, (df._file == side._file) & (df._pos == side._first), "left_anti")
-    return df, header
+def _with_position(df: DataFrame, kind: str) -> DataFrame:
+    """``df`` with _file, _block (offset of the split) and _pos (position in the file or scan partition)."""
+    pos = F.col("_metadata.row_index") if kind == "parquet" else F.monotonically_increasing_id()
+    block = F.lit(0).cast("bigint") if kind == "parquet" else F.col("_metadata.file_block_start")
+    return df.select("*", F.col("_metadata.file_path").alias("_file"), block.alias("_block"), pos.alias("_pos"))
+
+
+def _ranked(df: DataFrame, kind: str) -> DataFrame:
+    """``df`` with row_idx: the rank of a row's file or split above its position there."""
+    bits = FILE_BITS if kind == "parquet" else SPLIT_BITS
+    key = F.concat(F.regexp_extract("_file", _URI, 1), F.regexp_extract("_file", _URI, 2))
+    # one row per split (Parquet: per file)
+    splits = df.select("_file", "_block").distinct()
+    rank = F.row_number().over(Window.orderBy(key, "_block")) - 1
+    splits = splits.select(F.col("_file").alias("_f"), F.col("_block").alias("_b"), rank.cast("bigint").alias("_rank"))
+    joined = df.join(splits, (F.col("_file") == F.col("_f")) & (F.col("_block") == F.col("_b")))
+    return joined.withColumn("row_idx", F.shiftleft("_rank", bits) + F.col("_pos").bitwiseAND((1 << bits) - 1))
+
+
+def _csv_reader(spark: SparkSession, src: TableSource, names: list[str]):
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
+    return spark.read.format("csv").options(**src.options).schema(schema)
+
+
+def _header(spark: SparkSession, src: TableSource) -> list[str]:
+    """Names in the first file's header line; a small read of one file."""
+    files = sorted(spark.read.text(_paths(src)).inputFiles(), key=_file_key_py)
+    if not files:
+        return []
+    lines = spark.read.text(files[0]).where("length(trim(value)) > 0").limit(src.header_row + 1).collect()
+    if len(lines) <= src.header_row:
+        return []
+    sep, quote = src.options.get("sep", src.options.get("delimiter", ",")), src.options.get("quote", '"')
+    return next(csv.reader([lines[src.header_row]["value"]], delimiter=sep, quotechar=quote or None))
+
+
+def _numbered(df: DataFrame) -> DataFrame:
+    """``df`` with _at: the number of a row in its file, for rows of the file's first split (else null)."""
+    firsts = df.where("_block = 0").groupBy("_file").agg(F.min("_pos").alias("_first")).withColumnRenamed("_file", "_f")
+    joined = df.join(firsts, F.col("_file") == F.col("_f"), "left").drop("_f")
+    return joined.withColumn("_at", F.when(F.col("_block") == 0, F.col("_pos") - F.col("_first"))).drop("_first")
+
+
+def _csv_rows(spark: SparkSession, src: TableSource) -> DataFrame:
+    """Rows below the header of every file, as string columns named by the header."""
+    names = _header(spark, src)
+    mapped = [c for c in src.columns.values() if names.count(c) == 1]
+    places = {c: names.index(c) for c in mapped}
+    if src.header_row == 0 and len(set(names)) == len(names) and all(names):
+        df = _csv_reader(spark, src, names).option("header", "true").option("enforceSchema", "false").load(_paths(src))
+        return _with_position(df, "csv")
+    columns = [f"_c{i}" for i in range(max(len(names), 1))]
+    df = _numbered(_with_position(_csv_reader(spark, src, columns).option("header", "false").load(_paths(src)), "csv"))
+    other = F.lit(False)
+    for c, i in places.items():
+        other = other | ~F.col(f"_c{i}").eqNullSafe(F.lit(c))
+    wrong = F.raise_error(F.concat(F.lit("the header differs in "), "_file")).cast("boolean")
+    below = F.coalesce(F.col("_at") > src.header_row, F.lit(True))
+    df = df.where(F.when((F.col("_at") == src.header_row) & other, wrong).otherwise(below))
+    return df.select(*[F.col(f"_c{i}").alias(c) for c, i in places.items()], "_file", "_block", "_pos")
 
 
 def _order_key(df: DataFrame, column: str) -> Column:
@@ -142,24 +164,16 @@ def _order_key(df: DataFrame, column: str) -> Column:
 def read_source(spark: SparkSession, src: TableSource, canonical: list[str]) -> DataFrame:
     """A canonical table (canonical columns as string + row_idx)."""
     if src.format == "csv":
-        df = _text_lines(spark, src)
-        df, header = _drop_leading(df, src.header_row + 1)
-        if header:
-            names = {f"_c{i}": (h if h is not None else f"_c{i}") for i, h in enumerate(header)}
-            df = df.select(*[F.col(c).alias(names.get(c, c)) for c in df.columns])
-        pos = F.col("_pos")
+        df = _csv_rows(spark, src)
     else:
-        df = spark.read.format(src.format).options(**src.options).load(_paths(src))
-        if src.format == "parquet":
-            df = df.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_pos"))
-        else:
-            df = df.select("*", F.col("_metadata.file_path").alias("_file"), F.monotonically_increasing_id().alias("_pos"))
-        pos = F.col("_pos")
-
+        df = _with_position(spark.read.format(src.format).options(**src.options).load(_paths(src)), src.format)
     if src.order_by:
-        row_idx = _order_key(df, src.order_by)
+        df = df.withColumn("row_idx", _order_key(df, src.order_by))
     else:
-        row_idx = F.shiftleft(_file_rank(df), FILE_BITS) + pos
+        df = _ranked(df, src.format)
+    id_column = src.columns.get("hn")
+    if "hn" in canonical and id_column in df.columns and df.schema[id_column].dataType.typeName() in ("float", "double"):
+        raise ValueError(f"id column {id_column!r} is a floating-point number; give ids as text or integers")
 
     out = []
     for name in canonical:
@@ -171,24 +185,23 @@ def read_source(spark: SparkSession, src: TableSource, canonical: list[str]) ->
         else:
             c = F.lit(None).cast("string")  # S5: absent optional column
         out.append(c.alias(name))
-    return df.select(*out, row_idx.alias("row_idx"))
+    return df.select(*out, "row_idx")
 
 
 def read_cell(spark: SparkSession, src: TableSource, row: int, col: int) -> int | None:
     """One cell of a sheet export (``row`` counts data rows below the header,
-    ``col`` is 0-based), as an integer when it parses as a number."""
-    lines = _text_lines(spark, src)
-    lines, _ = _drop_leading(lines, src.header_row + 1)
-    for _ in range(row):
-        lines, _ = _drop_leading(lines, 1)
-    firsts = lines.groupBy("_file").agg(F.min("_pos").alias("_first")).orderBy("_file").limit(1)
-    cell = lines.join(firsts, (lines._file == firsts._file) & (lines._pos == firsts._first), "left_semi").select(
-        F.col(f"_c{col}").try_cast("double").alias("v")
-    )
-    got = cell.limit(1).collect()
-    if not got or got[0]["v"] is None:
+    ``col`` is 0-based), as an integer when it holds a finite number, else None."""
+    columns = [f"_c{i}" for i in range(col + 1)]
+    lines = _numbered(_with_position(_csv_reader(spark, src, columns).option("header", "false").load(_paths(src)), "csv"))
+    wanted = lines.where(F.col("_at") == src.header_row + 1 + row).orderBy("_file").select(f"_c{col}").limit(1).collect()
+    text = wanted[0][0] if wanted else None
+    if text is None or text.strip() in PANDAS_NA_TOKENS:
+        return None
+    try:
+        value = float(text)
+    except ValueError:
         return None
-    return int(got[0]["v"])
+    return int(value) if math.isfinite(value) else None
 
 
 def read_inputs(

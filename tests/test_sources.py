@@ -176,3 +176,77 @@ def test_override_cell_parsing(spark):
     assert read_cell(spark, TableSource(f"{d}/num.csv", {}, format="csv"), 4, 7) == 119
     assert read_cell(spark, TableSource(f"{d}/text.csv", {}, format="csv"), 4, 7) is None
     assert read_cell(spark, TableSource(f"{d}/blank.csv", {}, format="csv"), 4, 7) is None
+
+
+def csv_source(path, **kw):
+    return TableSource(path, {"hn": "HN", "year": "YEAR", "stage": "STAGE"}, format="csv", **kw)
+
+
+def test_text_order_beyond_128_partitions(spark):
+    """One file a partition: the later file still wins, in path order."""
+    d = tempfile.mkdtemp(prefix="many-")
+    for k in range(220):
+        stage = {1: "II", 2: "III"}.get(k, "I")
+        write_csv(f"{d}/f{k:04d}.csv", ["HN", "YEAR", "STAGE"], [("u" if k < 3 else f"v{k}", "2565", stage)])
+    before = spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.openCostInBytes", str(1 << 30))
+    try:
+        rows = read_source(spark, csv_source(d), ["hn", "year", "stage"])
+        got = [r["stage"] for r in rows.where("hn = 'u'").orderBy("row_idx").collect()]
+        assert got == ["I", "II", "III"]
+        assert rows.select("row_idx").distinct().count() == 220
+    finally:
+        spark.conf.set("spark.sql.files.openCostInBytes", before)
+
+
+def test_short_preamble_keeps_every_column(spark):
+    d = tempfile.mkdtemp(prefix="short-")
+    with open(f"{d}/unknown.csv", "w", encoding="utf-8") as fh:
+        fh.write("A title\n\nHN,YEAR\nu1,2564\nu2,\n")
+    rows = read_source(spark, csv_source(f"{d}/unknown.csv", header_row=1), ["hn", "year"])
+    assert [(r["hn"], r["year"]) for r in rows.orderBy("row_idx").collect()] == [("u1", "2564"), ("u2", None)]
+
+
+def test_swapped_header_is_refused(spark):
+    import pytest
+
+    for header_row in (0, 1):
+        d = tempfile.mkdtemp(prefix="swap-")
+        pre = ["t"] if header_row else None
+        write_csv(f"{d}/a.csv", ["HN", "YEAR"], [("u1", "2564")], preamble=pre)
+        write_csv(f"{d}/b.csv", ["YEAR", "HN"], [("2565", "u2")], preamble=pre)
+        with pytest.raises(Exception, match="header|CSV header"):
+            read_source(spark, csv_source(d, header_row=header_row), ["hn", "year"]).collect()
+
+
+def test_one_scan_for_one_read(spark):
+    d = tempfile.mkdtemp(prefix="scan-")
+    write_csv(f"{d}/a.csv", ["HN", "YEAR"], [("u1", "2564")])
+    df = spark.read.csv(d)
+    assert df.count() == 2
+    ordered = csv_source(d, order_by=None)
+    plan = read_source(spark, ordered, ["hn", "year"])._jdf.queryExecution().executedPlan().toString()
+    # the rows, and the offsets alone for the ranks of the splits
+    assert plan.count("FileScan csv") == 2 and "ReadSchema: struct<>" in plan
+
+
+def test_cells_that_hold_no_number(spark):
+    from cohortlens.sources.tables import read_cell
+
+    d = tempfile.mkdtemp(prefix="cell-")
+    for text, expected in (("NaN", None), ("inf", None), ("12.0", 12), ("", None), ("x", None)):
+        path = f"{d}/{text or 'blank'}.csv"
+        with open(path, "w", encoding="utf-8") as fh:
+            fh.write(f"title\na,b\n1,{text}\n")
+        assert read_cell(spark, TableSource(path, {}, format="csv"), 1, 1) == expected
+        assert read_cell(spark, TableSource(path, {}, format="csv"), 1, 7) is None
+        assert read_cell(spark, TableSource(path, {}, format="csv"), 9, 0) is None
+
+
+def test_floating_ids_are_refused(spark):
+    import pytest
+
+    d = tempfile.mkdtemp(prefix="ids-") + "/t"
+    spark.createDataFrame([(12345678.0, "2565", "I")], "HN double, YEAR string, STAGE string").write.parquet(d)
+    with pytest.raises(ValueError, match="floating"):
+        read_source(spark, TableSource(d, {"hn": "HN"}), ["hn"])
