@@ -79,7 +79,7 @@ def values(rows, cols) -> str:
 
 
 def treatment_sql(encoding: str) -> str:
-    if encoding == "P":
+    if encoding in ("P", "T"):
         return "o.o_orderpriority"
     pair = "o.o_orderpriority || '/' || o.o_orderstatus"
     if encoding == "W":
@@ -95,6 +95,29 @@ def stage_sql(encoding: str) -> str:
     return f"CASE c.c_mktsegment {whens} ELSE c.c_mktsegment END"
 
 
+def trapped(encoding: str) -> str:
+    """CTEs raw_entities and raw_events from clean_entities and clean_events."""
+    if encoding != "T":
+        return "raw_entities AS (SELECT * FROM clean_entities),\nraw_events AS (SELECT * FROM clean_events),"
+    return """raw_entities AS (
+  SELECT c_custkey,
+         CASE WHEN c_custkey % 13 = 0 THEN '  ' WHEN c_custkey % 7 = 3 THEN chr(160) || (c_custkey - 1) || ' ' ELSE hn END AS hn,
+         CASE WHEN c_custkey % 17 = 0 THEN NULL WHEN c_custkey % 19 = 0 THEN year || '.0' ELSE year END AS year,
+         CASE WHEN c_custkey % 23 = 0 THEN ' ' || stage || chr(9) ELSE stage END AS stage,
+         CASE WHEN c_custkey % 11 <> 0 THEN row_idx END AS row_idx
+  FROM clean_entities),
+raw_events AS (
+  SELECT CASE WHEN row_idx % 29 = 0 THEN 'orphan' || hn WHEN row_idx % 31 = 0 THEN '' ELSE hn || ' ' END AS hn, year,
+         CASE WHEN row_idx % 37 = 0 THEN NULL WHEN row_idx % 5 = 0 THEN 'BUILDING' ELSE stage END AS stage,
+         CASE WHEN row_idx % 41 = 0 THEN treatment || chr(9) ELSE treatment END AS treatment,
+         CASE WHEN hn <> '7' THEN row_idx END AS row_idx
+  FROM clean_events),"""
+
+
+# A row without an order key comes before all others.
+ORDER = "COALESCE({}, -9223372036854775808)"
+
+
 def base(spec: CohortSpec, encoding: str, override: int | None = None) -> str:
     """CTEs: raw mapping, cleaning, F1, scopes, dimensions and the per-entity sets."""
     sent = spec.sentinel
@@ -112,14 +135,15 @@ def base(spec: CohortSpec, encoding: str, override: int | None = None) -> str:
     )
     return f"""
 cust_first AS (SELECT o_custkey AS custkey, min(o_orderdate) AS first_date FROM orders GROUP BY o_custkey),
-raw_entities AS (
+clean_entities AS (
   SELECT c.c_custkey, CAST(c.c_custkey AS VARCHAR) AS hn, CAST(year(f.first_date) AS VARCHAR) AS year,
          {stage_sql(encoding)} AS stage, c.c_custkey AS row_idx
   FROM customer c LEFT JOIN cust_first f ON f.custkey = c.c_custkey),
-raw_events AS (
+clean_events AS (
   SELECT CAST(o.o_custkey AS VARCHAR) AS hn, CAST(year(o.o_orderdate) AS VARCHAR) AS year,
          {stage_sql(encoding)} AS stage, {treatment_sql(encoding)} AS treatment, o.o_orderkey AS row_idx
   FROM orders o LEFT JOIN customer c ON c.c_custkey = o.o_custkey),
+{trapped(encoding)}
 entities AS (
   SELECT * FROM (SELECT {clean('hn', sent)} AS hn, {clean_year('year', sent)} AS year, {clean('stage', sent)} AS stage, row_idx FROM raw_entities)
   WHERE stage IN {in_list(stages)}),
@@ -140,13 +164,13 @@ stage_dim AS {stage_dim},
 heat_dim AS {heat_dim},
 act_dim AS {act_dim},
 pt AS (SELECT DISTINCT scope, hn, stage, treatment FROM ev_s WHERE treatment NOT IN {in_list(spec.non_active)}),
-lookup AS (SELECT scope, hn, arg_max(stage, row_idx) AS stage FROM ent_s GROUP BY scope, hn),
+lookup AS (SELECT scope, hn, arg_max(stage, {ORDER.format('row_idx')}) AS stage FROM ent_s GROUP BY scope, hn),
 psets AS (
   SELECT p.scope, p.hn, string_agg(a.short, ' + ' ORDER BY a.reg_ord) AS regimen, count(*) AS n_modalities
   FROM (SELECT DISTINCT scope, hn, treatment FROM pt) p JOIN act_dim a ON a.treatment = p.treatment
   GROUP BY p.scope, p.hn),
 first_seen AS (
-  SELECT e.scope, e.hn, min(e.row_idx) AS first_idx FROM ev_s e
+  SELECT e.scope, e.hn, min({ORDER.format('e.row_idx')}) AS first_idx FROM ev_s e
   WHERE e.treatment NOT IN {in_list(spec.non_active)} AND e.treatment IN (SELECT treatment FROM act_dim)
   GROUP BY e.scope, e.hn),
 assigned AS (
@@ -370,6 +394,56 @@ FROM stage_table"""),
             f"SELECT scope, stage, rank, {fmt_pct('percent')} AS percent_fmt, {fmt_count('count')} AS count_fmt FROM regimens"
         ),
         "document_roundtrip": with_base(HEATMAP_SELECT),
+        "document_summary": with_base(
+            """SELECT scope, known_patients AS "knownStagePatients", treatment_events AS "treatmentEvents", CAST(stage_count AS INTEGER) AS "stageCount",
+       unknown_patients AS "unknownStagePatients", active_patients AS "activePatients", multimodal_patients AS "multimodalPatients",
+       multimodal_percent AS "multimodalPercent" FROM summary_full""",
+            "C",
+        ),
+        "document_stages": with_base("SELECT scope, CAST(stage_ord AS INTEGER) AS place, stage, label, name, color, patients FROM stage_table", "C"),
+        "document_panels": with_base(
+            """SELECT t.scope, CAST(t.stage_ord AS INTEGER) AS panel, t.stage, t.label, t.name AS stage_name, t.color, t.patients,
+       t.active_patients AS "activePatients", t.multimodal_patients AS "multimodalPatients", t.multimodal_percent AS "multimodalPercent",
+       CAST(row_number() OVER (PARTITION BY t.scope, t.stage ORDER BY r.rank) - 1 AS INTEGER) AS place, r.regimen, r.count, r.percent, r.width, r.combined
+FROM stage_table t JOIN regimens r ON r.scope = t.scope AND r.stage = t.stage
+UNION ALL
+SELECT t.scope, CAST(t.stage_ord AS INTEGER), t.stage, t.label, t.name, t.color, t.patients, t.active_patients, t.multimodal_patients, t.multimodal_percent,
+       NULL, NULL, NULL, NULL, NULL, NULL
+FROM stage_table t WHERE NOT EXISTS (SELECT 1 FROM regimens r WHERE r.scope = t.scope AND r.stage = t.stage)""",
+            "C",
+        ),
+        "document_heatmap": with_base(HEATMAP_SELECT, "C"),
+        "document_heads": with_base(
+            f"""SELECT 'years' AS part, CAST(row_number() OVER (ORDER BY year) - 1 AS INTEGER) AS place, year AS value FROM years
+UNION ALL SELECT part, place, value FROM {values([("notes", i, n) for i, n in enumerate(clinical_spec().notes)], ["part", "place", "value"])}
+UNION ALL SELECT 'sourceFile', 0, 'customer+orders'""",
+            "C",
+        ),
+        "trap_regimen_topk": with_base(REGIMEN_SELECT, "T"),
+        "trap_coverage_heatmap": with_base(HEATMAP_SELECT, "T"),
+        "trap_summary": with_base(
+            "SELECT scope, known_patients, treatment_events, CAST(stage_count AS INTEGER) AS stage_count, unknown_patients, "
+            "active_patients, multimodal_patients, multimodal_percent FROM summary_full",
+            "T",
+        ),
+        "trap_stage_totals": with_base("SELECT scope, stage, label, name, color, patients, active_patients, multimodal_patients FROM stage_table", "T"),
+        "trap_stage_lookup": with_base("SELECT scope, hn, stage, first_idx FROM assigned", "T"),
+        "variant_coverage_peak": with_base(
+            """
+SELECT scope, treatment, stage AS peak_stage, percent AS peak_percent, count AS peak_count FROM (
+  SELECT *, row_number() OVER (PARTITION BY scope, treatment ORDER BY percent DESC, stage_ord ASC) AS rn FROM heatmap)
+WHERE rn = 1""",
+            variant=True,
+        ),
+        "variant_coverage_trend": with_base(
+            f"""
+SELECT scope, treatment, first_percent, last_percent, last_percent - first_percent AS change FROM (
+  SELECT scope, treatment,
+         max(CASE WHEN stage_ord = 0 THEN percent END) AS first_percent,
+         max(CASE WHEN stage_ord = {len(tpch_spec().stages) - 1} THEN percent END) AS last_percent
+  FROM heatmap GROUP BY scope, treatment)""",
+            variant=True,
+        ),
     }
     return {k: v.strip() for k, v in out.items()}
 

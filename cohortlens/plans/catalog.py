@@ -22,7 +22,18 @@ from ..operators.scope import scoped_entities
 from ..sources import tpch
 from ..spec import ALL_SCOPE, CLINICAL_SUBSTAGE_PATTERN, active_only_variant, clinical_spec, tpch_spec
 from .cohort import CohortBuild
-from .document import document_json, document_rows, flatten_heatmap, full_document
+from .document import (
+    document_heads,
+    document_json,
+    document_rows,
+    document_scopes,
+    flatten_heatmap,
+    flatten_panels,
+    flatten_stages,
+    flatten_summary,
+    full_document,
+    parse_document,
+)
 
 # The "Other"-like modality dropped in the active-denominator variant.
 VARIANT_DROP = ("5-LOW",)
@@ -311,6 +322,66 @@ def q_document_roundtrip(spark, sf):
     return flatten_heatmap(text, b.spec)
 
 
+def _read_back(spark, sf, encoding: str = "C") -> DataFrame:
+    """The whole document as text, read back by the real reader."""
+    return parse_document(document_json(full_document(build(spark, sf, encoding)), var_name="COHORT_DATA"))
+
+
+def q_document_summary(spark, sf):
+    return flatten_summary(document_scopes(_read_back(spark, sf)))
+
+
+def q_document_stages(spark, sf):
+    return flatten_stages(document_scopes(_read_back(spark, sf)))
+
+
+def q_document_panels(spark, sf):
+    return flatten_panels(document_scopes(_read_back(spark, sf)))
+
+
+def q_document_heatmap(spark, sf):
+    return flatten_heatmap(document_scopes(_read_back(spark, sf)), clinical_spec())
+
+
+def q_document_heads(spark, sf):
+    # the folder of the tables is no part of the result
+    value = F.when(F.col("part") == "sourceFile", F.regexp_extract("value", "[^/]+$", 0)).otherwise(F.col("value"))
+    return document_heads(_read_back(spark, sf)).withColumn("value", value)
+
+
+# -- the traps of SURVEY §1.1 (encoding T) -----------------------------------------------
+def q_trap_regimen_topk(spark, sf):
+    return build(spark, sf, "T").regimens
+
+
+def q_trap_coverage_heatmap(spark, sf):
+    return build(spark, sf, "T").heatmap
+
+
+def q_trap_summary(spark, sf):
+    return build(spark, sf, "T").summary
+
+
+def q_trap_stage_totals(spark, sf):
+    return build(spark, sf, "T").stages.select("scope", "stage", "label", "name", "color", "patients", "active_patients", "multimodal_patients")
+
+
+def q_trap_stage_lookup(spark, sf):
+    """Ids whose rows lack an order key are kept: such rows come before all others."""
+    b = build(spark, sf, "T")
+    return reg.entity_assignments(b.fact, b.spec).select("scope", "hn", "stage", "first_idx")
+
+
+def q_variant_peak(spark, sf):
+    """Peak of the variant with active denominators, where the snapshot states it."""
+    return cov.coverage_peak(build(spark, sf, variant=True).heatmap)
+
+
+def q_variant_trend(spark, sf):
+    b = build(spark, sf, variant=True)
+    return cov.coverage_trend(b.heatmap, b.spec)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "clean_text": q_clean_text,
     "clean_year": q_clean_year,
@@ -356,4 +427,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "regimen_display": q_regimen_display,
     "document": q_document,
     "document_roundtrip": q_document_roundtrip,
+    "document_summary": q_document_summary,
+    "document_stages": q_document_stages,
+    "document_panels": q_document_panels,
+    "document_heatmap": q_document_heatmap,
+    "document_heads": q_document_heads,
+    "trap_regimen_topk": q_trap_regimen_topk,
+    "trap_coverage_heatmap": q_trap_coverage_heatmap,
+    "trap_summary": q_trap_summary,
+    "trap_stage_totals": q_trap_stage_totals,
+    "trap_stage_lookup": q_trap_stage_lookup,
+    "variant_coverage_peak": q_variant_peak,
+    "variant_coverage_trend": q_variant_trend,
 }

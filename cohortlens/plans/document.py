@@ -204,9 +204,10 @@ def parse_document(text: DataFrame) -> DataFrame:
 def document_scopes(parsed: DataFrame) -> DataFrame:
     """Document -> (scope, dataset) rows, the inverse of ``full_document``."""
     d = F.col("document")
-    all_rows = parsed.select(F.lit(ALL_SCOPE).alias("scope"), d.getField("all").alias("dataset"))
-    by_year = parsed.select(F.explode(d.getField("byYear")).alias("scope", "dataset"))
-    return all_rows.unionByName(by_year)
+    # no year scope is named like the whole population, so the keys are distinct
+    whole = F.create_map(F.lit(ALL_SCOPE), d.getField("all"))
+    scopes = F.when(d.getField("byYear").isNull(), whole).otherwise(F.map_concat(whole, d.getField("byYear")))
+    return parsed.select(F.explode(scopes).alias("scope", "dataset"))
 
 
 def flatten_heatmap(rows: DataFrame, spec: CohortSpec) -> DataFrame:
@@ -231,3 +232,49 @@ def flatten_heatmap(rows: DataFrame, spec: CohortSpec) -> DataFrame:
         F.col("cell").getField("count").alias("count"),
         F.col("cell").getField("percent").alias("percent"),
     )
+
+
+def _datasets(rows: DataFrame) -> DataFrame:
+    return rows.select("scope", F.from_json("dataset_json", DATASET_TYPE).alias("dataset")) if "dataset_json" in rows.columns else rows
+
+
+def flatten_summary(rows: DataFrame) -> DataFrame:
+    """(scope, dataset) -> the summary fields of every scope."""
+    return _datasets(rows).select("scope", "dataset.summary.*")
+
+
+def flatten_panels(rows: DataFrame) -> DataFrame:
+    """(scope, dataset) -> every regimen of every panel, with its place and the panel's stage data."""
+    panels = _datasets(rows).select("scope", F.posexplode("dataset.panels").alias("panel", "p"))
+    return panels.select("scope", "panel", "p.*").select("*", F.posexplode_outer("regimens").alias("place", "r")).select(
+        "scope",
+        F.col("panel").cast("int").alias("panel"),
+        "stage",
+        "label",
+        F.col("name").alias("stage_name"),
+        "color",
+        "patients",
+        "activePatients",
+        "multimodalPatients",
+        "multimodalPercent",
+        F.col("place").cast("int").alias("place"),
+        F.col("r.name").alias("regimen"),
+        F.col("r.count").alias("count"),
+        F.col("r.percent").alias("percent"),
+        F.col("r.width").alias("width"),
+        F.col("r.combined").alias("combined"),
+    )
+
+
+def flatten_stages(rows: DataFrame) -> DataFrame:
+    """(scope, dataset) -> the stages of every scope, in order."""
+    return _datasets(rows).select("scope", F.posexplode("dataset.stages").alias("place", "s")).select(
+        "scope", F.col("place").cast("int").alias("place"), "s.*"
+    )
+
+
+def document_heads(parsed: DataFrame) -> DataFrame:
+    """The document's own lists: (part, place, value) of sourceFile, years and notes."""
+    listed = "transform(document.{0}, (v, i) -> named_struct('part', '{0}', 'place', i, 'value', v))"
+    head = "array(named_struct('part', 'sourceFile', 'place', 0, 'value', document.sourceFile))"
+    return parsed.select(E(f"inline(concat({head}, {listed.format('years')}, {listed.format('notes')}))"))

@@ -54,7 +54,7 @@ def _case_map(expr: str, mapping: dict[str, str]) -> str:
 
 
 def treatment_expr(encoding: str) -> Column:
-    if encoding == "P":
+    if encoding in ("P", "T"):
         return F.col("o_orderpriority")
     if encoding == "W":
         return F.concat(F.col("o_orderpriority"), F.lit("/"), F.col("o_orderstatus"))
@@ -101,12 +101,45 @@ def raw_events(spark: SparkSession, sf_dir: str, encoding: str = "P") -> DataFra
     )
 
 
+# Encoding T: the traps of SURVEY §1.1 put into the clean tables, each a pure
+# function of the row's key, so that the same rows can be written in SQL.
+TRAP_STAGE = "BUILDING"
+TRAP_ORDERLESS_CUSTOMER = 7
+
+
+def trapped_entities(ents: DataFrame) -> DataFrame:
+    """Repeated ids with another stage, blank and padded ids, sentinel years, padded stages, missing order keys."""
+    k = "c_custkey"
+    return ents.select(
+        k,
+        F.expr(f"CASE WHEN {k} % 13 = 0 THEN '  ' WHEN {k} % 7 = 3 THEN concat({lit(NBSP)}, {k} - 1, ' ') ELSE hn END").alias("hn"),
+        F.expr(f"CASE WHEN {k} % 17 = 0 THEN NULL WHEN {k} % 19 = 0 THEN concat(year, '.0') ELSE year END").alias("year"),
+        F.expr(f"CASE WHEN {k} % 23 = 0 THEN concat(' ', stage, {lit(TAB)}) ELSE stage END").alias("stage"),
+        F.expr(f"CASE WHEN {k} % 11 <> 0 THEN row_idx END").alias("row_idx"),
+    )
+
+
+def trapped_events(events: DataFrame) -> DataFrame:
+    """Orphan, blank and padded ids, stages other than the registry's or missing, padded modalities, missing order keys."""
+    k = "row_idx"
+    return events.select(
+        F.expr(f"CASE WHEN {k} % 29 = 0 THEN concat('orphan', hn) WHEN {k} % 31 = 0 THEN '' ELSE concat(hn, ' ') END").alias("hn"),
+        "year",
+        F.expr(f"CASE WHEN {k} % 37 = 0 THEN NULL WHEN {k} % 5 = 0 THEN {lit(TRAP_STAGE)} ELSE stage END").alias("stage"),
+        F.expr(f"CASE WHEN {k} % 41 = 0 THEN concat(treatment, {lit(TAB)}) ELSE treatment END").alias("treatment"),
+        F.expr(f"CASE WHEN hn <> '{TRAP_ORDERLESS_CUSTOMER}' THEN {k} END").alias("row_idx"),
+    )
+
+
 def tpch_inputs(spark: SparkSession, sf_dir: str, encoding: str = "P", unknown_override: int | None = None) -> CohortInputs:
     ents = raw_entities(spark, sf_dir, encoding)
+    events = raw_events(spark, sf_dir, encoding)
+    if encoding == "T":
+        ents, events = trapped_entities(ents), trapped_events(events)
     unknown = ents.filter(F.col("stage") == TPCH_UNKNOWN_SEGMENT).select("hn", "year")
     return CohortInputs(
         entities=ents.drop("c_custkey"),
-        events=raw_events(spark, sf_dir, encoding),
+        events=events,
         unknown=unknown,
         unknown_override=unknown_override,
         source_name=f"{sf_dir.rstrip('/').rsplit('/', 1)[-1]}/customer+orders",

@@ -197,9 +197,10 @@ def _tpch_stages() -> tuple[Stage, ...]:
 def tpch_spec(encoding: str = "P", **overrides) -> CohortSpec:
     """Encoding P: priority is the modality, short label drops the ``n-`` prefix.
     Encoding W: ``priority/status``, short label is first digit + status, and
-    only the first seven active values are heatmap rows."""
+    only the first seven active values are heatmap rows.
+    Encoding T: as P, on input that holds the traps of SURVEY §1.1."""
     actives = [p for p in TPCH_PRIORITIES if p != TPCH_NON_ACTIVE_PRIORITY]
-    if encoding == "P":
+    if encoding in ("P", "T"):
         mods = tuple(Modality(p, p.split("-", 1)[1]) for p in actives)
         heat = tuple(HeatRow(m.value, m.short.title()) for m in mods)
         non_active = (TPCH_NON_ACTIVE_PRIORITY,)

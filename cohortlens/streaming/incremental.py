@@ -20,6 +20,8 @@ exactly as in the batch plan.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -54,9 +56,20 @@ def start_event_rollup(
     return writer.start()
 
 
-def merged_event_rollup(spark: SparkSession, out_path: str, spec: CohortSpec) -> DataFrame:
-    """Merge all committed partial rollups into the (scope, hn) event rollup."""
+def merged_event_rollup(spark: SparkSession, out_path: str, spec: CohortSpec, compacted_path: str | None = None) -> DataFrame:
+    """Merge all partial rollups into the (scope, hn) event rollup.
+
+    With the path that ``compact_partials`` returned, that table stands for the
+    batches it holds, and only later ones are read from their own folders."""
     parts = spark.read.parquet(out_path.rstrip("/"))
+    if compacted_path is not None:
+        last = int(re.search(r"upto=(\d+)/?$", compacted_path)[1])
+        done = spark.read.parquet(compacted_path)
+        parts = parts.where(F.col("batch") > last).select(*done.columns).unionByName(done)
+    return _merged(parts, spec)
+
+
+def _merged(parts: DataFrame, spec: CohortSpec) -> DataFrame:
     aggs = [
         F.bit_or("act_mask").alias("act_mask"),
         F.min("first_idx").alias("first_idx"),
@@ -68,11 +81,12 @@ def merged_event_rollup(spark: SparkSession, out_path: str, spec: CohortSpec) ->
 
 
 def compact_partials(spark: SparkSession, out_path: str, spec: CohortSpec, compacted_path: str) -> str:
-    """Merge every committed partial into one rollup table at ``compacted_path``.
-
-    Builds can then read the compacted table (plus partials of later batches)
-    instead of re-merging every micro-batch; the merge is the same associative
-    aggregation, so compacting never changes a result."""
-    merged = merged_event_rollup(spark, out_path, spec)
-    merged.write.mode("overwrite").parquet(compacted_path)
-    return compacted_path
+    """Merge the partials so far into ``<compacted_path>/upto=<last batch>`` and return that path.
+
+    The name holds the last batch that the table covers, so a merge never counts
+    a batch twice (see ``merged_event_rollup``)."""
+    parts = spark.read.parquet(out_path.rstrip("/"))
+    last = parts.agg(F.max("batch")).first()[0]
+    target = f"{compacted_path.rstrip('/')}/upto={last}"
+    _merged(parts.where(F.col("batch") <= last), spec).write.mode("overwrite").parquet(target)
+    return target

@@ -38,6 +38,14 @@ def test_streamed_partials_equal_batch(spark):
     compacted = compact_partials(spark, out, spec, tempfile.mkdtemp(prefix="stream-compact-") + "/rollup")
     again = spark_outputs(CohortBuild(inputs, spec, event_rollup=spark.read.parquet(compacted)))
     assert again == batch
+    # a batch that arrives later is added to the compacted ones, none of which counts twice
+    late = [("late", "2565", "I", "Surgery", 10_000)]
+    spark.createDataFrame(late, EVENT_SCHEMA).coalesce(1).write.mode("append").parquet(src)
+    q = start_event_rollup(spark.readStream.schema(EVENT_SCHEMA).option("maxFilesPerTrigger", 1).parquet(src), spec, out, ckpt)
+    q.awaitTermination(300)
+    both = merged_event_rollup(spark, out, spec, compacted)
+    whole = merged_event_rollup(spark, out, spec)
+    assert sorted(map(tuple, both.collect()), key=repr) == sorted(map(tuple, whole.collect()), key=repr)
 
 
 def test_checkpoint_dir_comes_from_the_session(spark):
