@@ -73,10 +73,11 @@ def regimen_topk(counts: DataFrame, stages: DataFrame, spec: CohortSpec) -> Data
     # the mask settles ties of events that have no order key
     rank_w = Window.partitionBy("scope", "stage").orderBy(F.desc("n"), F.asc("first_idx"), F.asc("mask"))
     # rank <= k as a filter on the row number: only k rows of a group and task pass the shuffle
-    best = counts.withColumn("rank", F.row_number().over(rank_w)).where(F.col("rank") <= k)
+    best = counts.where("first_idx IS NOT NULL").withColumn("rank", F.row_number().over(rank_w)).where(F.col("rank") <= k)
     best = best.select("scope", "stage", "rank", F.col("n").alias("count"), "mask")
-    # the tail starts as the group's total; what is shown comes off below
-    total = counts.groupBy("scope", "stage").agg(F.lit(k + 1).alias("rank"), F.sum("n").alias("count"), F.lit(0).cast("bigint").alias("mask"))
+    # the tail starts as the group's total; what is shown comes off below.  The
+    # predicate is true by construction: with it both branches need the same columns of the counts
+    total = counts.where("first_idx IS NOT NULL").groupBy("scope", "stage").agg(F.lit(k + 1).alias("rank"), F.sum("n").alias("count"), F.lit(0).cast("bigint").alias("mask"))
     rows = best.unionByName(total.select("scope", "stage", "rank", "count", "mask")).join(den, ["scope", "stage"])
     top = F.col("rank") <= k
     if spec.min_share is not None:
