@@ -15,8 +15,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Text bytes that one call of an operator's function handles at a time.
-CALL_BYTES = 4 << 20
+#: Text bytes that one call of an operator's function handles at a time; a byte takes up to some 60 bytes of arrays.
+CALL_BYTES = 1 << 20
 
 
 def text_offsets(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
