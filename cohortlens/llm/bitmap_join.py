@@ -14,10 +14,13 @@ changes the cost alone: the join is exact with any order).
   of about as many bits as it has shingles, and bits that one has and the other
   lacks are shingles that are not shared. What passes is decided by the exact
   intersection of the two sorted arrays.
-- Links join nodes into components. Larger tiles whose nodes are in different
-  components are then gone through once more, all pairs across components under
-  the bitmap bound, and what passes is decided exactly. So no link between
-  different components is missed, and pairs inside a component are not emitted.
+- Links join nodes into components. In larger tiles whose nodes are in different
+  components, the nodes outside the commonest component are paired with a few of
+  its members, for ``STAR_ROUNDS`` rounds; that joins most groups at linear cost.
+- The tiles that still hold several components are gone through once more, all
+  pairs across components under the bitmap bound, and what passes is decided
+  exactly. So no link between different components is missed, and pairs inside a
+  component are not emitted.
 
 Shingles travel packed: one row for each batch and bucket.
 
@@ -43,6 +46,12 @@ from .words import Texts, mix64, read_texts, run_hash, windows
 SHINGLE = 5
 #: Tiles of at most so many nodes have all their pairs tried at once.
 SMALL_TILE = 8
+#: Rounds in which stragglers of larger tiles meet members of the commonest component, and how many members.
+STAR_ROUNDS, STAR_MEMBERS = 1, 3
+#: Bits for each shingle in the bitmaps of first candidates, and in those of larger tiles.
+COARSE, FINE = 1, 8
+#: Places of larger tiles that one task handles together, about.
+TASK_PLACES = 8_192
 #: Documents whose shingles are counted for the order, about; frequent: in one of so many of them.
 ORDER_SAMPLE, FREQUENT = 8192, 256
 #: Members that one task compares with a centre, about.
@@ -75,9 +84,9 @@ def _sums(values: np.ndarray, first: np.ndarray) -> np.ndarray:
     return total[first[1:]] - total[first[:-1]]
 
 
-def bitmap(shingles: np.ndarray) -> bytes:
-    """Bits that the shingles hash to, of the next power of two (64 at least) bits."""
-    width = max(64, 1 << max(len(shingles) - 1, 1).bit_length())
+def bitmap(shingles: np.ndarray, density: int = FINE) -> bytes:
+    """Bits that the shingles hash to: ``density`` for each, up to the next power of two, 64 at least."""
+    width = max(64, 1 << max(len(shingles) * density - 1, 1).bit_length())
     bits = np.zeros(width, np.uint8)
     bits[(mix64(shingles ^ np.uint64(0x5851F42D4C957F2D)) & np.uint64(width - 1)).astype(np.int64)] = 1
     return np.packbits(bits, bitorder="little").tobytes()
@@ -133,7 +142,7 @@ def frequent_shingles(docs: DataFrame, sample: int = ORDER_SAMPLE, one_of: int =
 
 
 def profiles(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
-    """doc_id, n_shingles, node, check (second name), first (packed first shingles in the join's order), bits."""
+    """doc_id, n_shingles, node, check (second name), first (packed first shingles in the join's order), coarse, fine (bitmaps)."""
 
     def make():
         def apply(batch):
@@ -144,7 +153,7 @@ def profiles(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
             if len(frequent):
                 place = np.minimum(np.searchsorted(frequent, values), len(frequent) - 1)
                 late = frequent[place] == values
-            first, bits = [], []
+            first, coarse, fine = [], [], []
             for a, b in zip(at[:-1].tolist(), at[1:].tolist()):
                 own, rare = values[a:b], ~late[a:b]
                 head = (b - a) // 4 + 1
@@ -152,19 +161,21 @@ def profiles(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
                 if len(keys) < head:
                     keys = np.concatenate([keys, own[~rare][: head - len(keys)]])
                 first.append(keys.tobytes())
-                bits.append(bitmap(own) if b > a else b"")
+                coarse.append(bitmap(own, COARSE) if b > a else b"")
+                fine.append(bitmap(own, FINE) if b > a else b"")
             empty = pa.array(n == 0)
             return [
                 pa.array(n.astype(np.int64)),
                 pa.array(node, mask=n == 0),
                 pa.array(check, mask=n == 0),
                 pa.array(first, pa.binary()),
-                pa.array(bits, pa.binary()),
+                pa.array(coarse, pa.binary()),
+                pa.array(fine, pa.binary()),
             ]
 
         return apply
 
-    fields = "n_shingles bigint, node bigint, check bigint, first binary, bits binary"
+    fields = "n_shingles bigint, node bigint, check bigint, first binary, coarse binary, fine binary"
     return map_batches(docs.select("doc_id", "text"), make, fields, ("doc_id",), "text")
 
 
@@ -226,6 +237,7 @@ def _tile_pairs(table: pa.Table) -> pa.Table:
     key, node, size = key[order], node[order], size[order]
     new = np.ones(len(key), bool)
     new[1:] = (key[1:] != key[:-1]) | (node[1:] != node[:-1])
+    copies = np.diff(np.flatnonzero(new), append=len(key))
     key, node, size = key[new], node[new], size[new]
     starts = np.flatnonzero(np.diff(key.astype(np.int64), prepend=-1))
     counts = np.diff(starts, append=len(key))
@@ -238,10 +250,10 @@ def _tile_pairs(table: pa.Table) -> pa.Table:
                 ok = fits(at + i, at + j)
                 pairs.append(np.stack([node[(at + i)[ok]], node[(at + j)[ok]]]))
     large = np.repeat(counts > SMALL_TILE, counts)
-    key, node, size = key[large], node[large], size[large]
+    key, node, size, copies = key[large], node[large], size[large], copies[large]
     if len(key):
         bands = band(size)
-        by = np.lexsort((node, bands, key))
+        by = np.lexsort((node, -copies, bands, key))
         head = np.ones(len(by), bool)
         head[1:] = (key[by][1:] != key[by][:-1]) | (bands[by][1:] != bands[by][:-1])
         centre_at = by[head]
@@ -271,34 +283,77 @@ def _tile_pairs(table: pa.Table) -> pa.Table:
 _PAIR = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
-def _cross_pairs(table: pa.Table) -> pa.Table:
-    """Pairs of one bucket's larger tiles, across components, that pass the bitmap bound."""
-    tile, node = table.column("tile").to_numpy(), table.column("node").to_numpy()
-    label, size = table.column("label").to_numpy(), table.column("n").to_numpy()
-    bits = table.column("bits").to_pylist()
-    width = np.array([len(b) for b in bits])
-    order = np.lexsort((node, size, tile))
-    edges = np.flatnonzero(np.diff(tile[order], prepend=-1, append=-1))
-    found: set[tuple[int, int]] = set()
-    for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
-        own = order[a:b]
-        if len(np.unique(label[own])) < 2:
-            continue
-        for w in np.unique(width[own]).tolist():
-            some = own[(width[own] == w) | (width[own] == 2 * w)]
-            matrix = np.stack([folded(bits[k], w) for k in some.tolist()])
-            n, who, part = size[some], node[some], label[some]
-            last = np.searchsorted(n, n * 4 // 3, side="right")
-            for i in np.flatnonzero(width[some] == w).tolist():
-                j = np.arange(i + 1, last[i])
-                j = j[part[j] != part[i]]
-                if len(j):
-                    only_i = np.bitwise_count(matrix[i] & ~matrix[j]).sum(1).astype(np.int64)
-                    only_j = np.bitwise_count(matrix[j] & ~matrix[i]).sum(1).astype(np.int64)
-                    for k in j[may_link(n[i], n[j], only_i, only_j)].tolist():
-                        found.add((min(int(who[i]), int(who[k])), max(int(who[i]), int(who[k]))))
-    pairs = np.array(sorted(found), np.int64).reshape(-1, 2)
-    return pa.Table.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], schema=_PAIR)
+def _only(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Bits that rows of the first have and the second lacks."""
+    return np.bitwise_count(a & ~b).sum(1).astype(np.int64)
+
+
+def _clusters(places: pa.Table, bits: pa.Table):
+    """For each commonest component of a bucket's tiles: it, and its nodes by size with their labels, sizes and bitmaps."""
+    node, n = bits.column("node").to_numpy(), bits.column("n").to_numpy()
+    fine = bits.column("bits").to_pylist()
+    order = np.argsort(node)
+    main, who, label = (places.column(c).to_numpy() for c in ("main", "node", "label"))
+    first = np.unique(np.stack([main, who]), axis=1, return_index=True)[1]
+    main, who, label = main[first], who[first], label[first]
+    at = order[np.searchsorted(node[order], who)]
+    by = np.lexsort((who, n[at], main))
+    edges = np.flatnonzero(np.diff(main[by], prepend=main[by[0]] - 1, append=main[by[-1]] + 1)) if len(by) else []
+    for a, b in zip(edges[:-1], edges[1:]):
+        own = by[a:b]
+        if len(np.unique(label[own])) > 1:
+            yield int(main[own[0]]), who[own], label[own], n[at[own]], [fine[k] for k in at[own].tolist()]
+
+
+def _near_pairs(i: int, others: np.ndarray, who, n, fine, found: set) -> None:
+    """Adds the pairs of one node with others of fitting sizes that pass the bitmap bound."""
+    others = others[(4 * n[others] >= 3 * n[i]) & (3 * n[others] <= 4 * n[i])]
+    width = np.minimum([len(fine[k]) for k in others.tolist()], len(fine[i])) if len(others) else others
+    for w in np.unique(width).tolist():
+        some = others[width == w]
+        one, rest = folded(fine[i], w)[None], np.stack([folded(fine[k], w) for k in some.tolist()])
+        for k in some[may_link(n[i], n[some], _only(one, rest), _only(rest, one))].tolist():
+            a, b = int(who[i]), int(who[k])
+            found.add((min(a, b), max(a, b)))
+
+
+def _tile_round(turn: int | None):
+    """Pairs across the components of a bucket's larger tiles: of a few members of the commonest one, or (None) of all nodes."""
+
+    def run(places: pa.Table, bits: pa.Table) -> pa.Table:
+        found: set[tuple[int, int]] = set()
+        for main, who, label, n, fine in _clusters(places, bits):
+            members = np.flatnonzero(label == main)
+            others = np.flatnonzero(label != main)
+            if turn is not None:
+                spread = mix64(who[members].view(np.uint64) + np.uint64(turn))
+                for i in members[np.argsort(spread)[:STAR_MEMBERS]].tolist():
+                    _near_pairs(i, others, who, n, fine, found)
+                continue
+            for i in others.tolist():
+                # with members, and with others of larger size (or place) once
+                rest = np.concatenate([members, others[others > i]])
+                _near_pairs(i, rest[label[rest] != label[i]], who, n, fine, found)
+        pairs = np.array(sorted(found), np.int64).reshape(-1, 2)
+        return pa.Table.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], schema=_PAIR)
+
+    return run
+
+
+def _dealt(places: DataFrame, nodes: DataFrame, buckets: int) -> tuple[DataFrame, DataFrame]:
+    """Places of larger tiles by bucket, those of tiles with one commonest component together, and the bitmaps of each bucket.
+
+    A component with very many places is dealt to several buckets, by tile.
+    """
+    count = places.groupBy("tile", "label").agg(F.count("*").alias("n"))
+    main = count.groupBy("tile").agg(F.max_by("label", F.struct("n", "label")).alias("main"), F.sum("n").alias("n"))
+    load = main.groupBy("main").agg(F.ceil(F.sum("n") / TASK_PLACES).alias("shares"))
+    share = F.pmod(F.xxhash64("tile"), F.col("shares"))
+    bucket = F.pmod(F.xxhash64("main", share), F.lit(buckets)).cast("int")
+    with_main = places.join(main.join(load, "main").select("tile", "main", bucket.alias("bucket")), "tile")
+    here = stored(with_main, "dealt")
+    bits = here.select("bucket", "node").distinct().join(nodes, "node").select("bucket", "node", "n", "bits")
+    return here, stored(bits, "tile-bits")
 
 
 def bounded(pairs: DataFrame, bits: DataFrame) -> DataFrame:
@@ -319,7 +374,14 @@ def bounded(pairs: DataFrame, bits: DataFrame) -> DataFrame:
     return joined.mapInArrow(run, "a bigint, b bigint")
 
 
-def verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame) -> DataFrame:
+def texts_of(wanted: DataFrame, docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(node, text) of the wanted nodes, gathered once for all rounds."""
+    # the wanted documents grow with the input: no broadcast at any size
+    reps = wanted.distinct().join(nodes.select("node", "rep"), "node").hint("merge")
+    return stored(docs.join(reps, F.col("doc_id") == F.col("rep")).select("node", "text"), "texts")
+
+
+def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """Links (u, v) among the pairs, by exact intersection of the two sets.
 
     A centre's members are split into shares, so a centre of very many members is
@@ -327,15 +389,9 @@ def verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame) -> DataFrame:
     """
     share = F.pmod(F.xxhash64("b"), F.ceil(F.col("members") / CENTRE_SHARE)).cast("int")
     counted = pairs.join(pairs.groupBy("a").agg(F.count("*").alias("members")), "a").withColumn("share", share)
-    seats = stored(
-        counted.select("a", "share", F.lit(1).alias("role"), F.col("b").alias("node"))
-        .union(counted.select("a", "share", F.lit(0).alias("role"), F.col("a").alias("node")).distinct())
-        .join(nodes.select("node", "rep"), "node"),
-        "seats",
-    )
-    wanted = seats.select("rep").distinct()
-    texts = docs.join(wanted, F.col("doc_id") == F.col("rep")).select("rep", "text")
-    seated = seats.join(texts, "rep").select("a", "share", "role", "node", "text")
+    members = counted.select("a", "share", F.lit(1).alias("role"), F.col("b").alias("node"))
+    centres = counted.select("a", "share", F.lit(0).alias("role"), F.col("a").alias("node")).distinct()
+    seated = members.union(centres).join(texts, "node").select("a", "share", "role", "node", "text")
     dealt = seated.repartition("a", "share").sortWithinPartitions("a", "share", "role")
 
     def run(batches):
@@ -371,21 +427,28 @@ def near_components(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
     nodes = stored(
         named.groupBy("node").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.count("*").alias("n_copies")), "nodes"
     )
-    bits = named.groupBy("node").agg(F.first("n_shingles").alias("n"), F.first("bits").alias("bits"))
+    coarse, fine = (named.groupBy("node").agg(F.first("n_shingles").alias("n"), F.first(c).alias("bits")) for c in ("coarse", "fine"))
     tiles = stored(_packed(found, buckets).groupBy("bucket").applyInArrow(_tile_pairs, _schema(_TILES)), "tiles")
-    pairs = stored(bounded(tiles.where("kind = 0").select("a", "b").distinct(), bits), "pairs")
-    links = stored(verified(pairs, docs, nodes), "links")
+    pairs = stored(bounded(tiles.where("kind = 0").select("a", "b").distinct(), coarse), "pairs")
+    places = tiles.where("kind = 1").select("tile", F.col("a").alias("node"))
+    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).union(places.select("node"))
+    texts = texts_of(wanted, docs, nodes)
+    links = stored(verified(pairs, texts), "links")
     label = stored(components(links), "labels")
 
     # larger tiles that hold several components
-    large = tiles.where("kind = 1").select("tile", F.col("a").alias("node")).join(label, "node", "left")
-    large = stored(large.withColumn("label", F.coalesce("label", "node")), "large")
-    open_ = large.groupBy("tile").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("tile")
-    large = large.join(open_, "tile").join(bits, "node").withColumn("bucket", F.pmod(F.xxhash64("tile"), F.lit(buckets)))
-    more = stored(large.groupBy("bucket").applyInArrow(_cross_pairs, _schema(_PAIR)).distinct(), "cross")
-    if not more.isEmpty():
-        links = stored(links.union(verified(more, docs, nodes)), "all-links")
-        label = stored(components(links), "all-labels")
+    for turn in range(STAR_ROUNDS + 1):
+        here = places.join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
+        open_ = here.groupBy("tile").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("tile")
+        places = stored(here.join(open_, "tile").select("tile", "node", "label"), f"places-{turn}")
+        if places.isEmpty():
+            break
+        here, own = _dealt(places, fine, buckets)
+        make = _tile_round(turn if turn < STAR_ROUNDS else None)
+        more = here.groupBy("bucket").cogroup(own.groupBy("bucket")).applyInArrow(make, _schema(_PAIR))
+        more = stored(more.distinct(), f"tile-pairs-{turn}")
+        label = stored(joined_labels(label, verified(more, texts)), f"labels-{turn}")
+        places = places.drop("label")
     known = nodes.join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
     least = known.groupBy("label").agg(F.min("rep").alias("component_id"))
     by_node = known.join(least, "label").select("node", "component_id", "n_copies")
@@ -393,6 +456,18 @@ def near_components(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
     return joined.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), "n_copies")
 
 
+def joined_labels(label: DataFrame, links: DataFrame) -> DataFrame:
+    """Labels (node, label) after further links: the components that they join share the smallest label."""
+    by_u = label.select(F.col("node").alias("u"), F.col("label").alias("lu"))
+    by_v = label.select(F.col("node").alias("v"), F.col("label").alias("lv"))
+    between = links.join(by_u, "u", "left").join(by_v, "v", "left")
+    between = between.select(F.coalesce("lu", "u").alias("u"), F.coalesce("lv", "v").alias("v"))
+    moved = stored(components(between), "moved")
+    known = label.join(moved.select(F.col("node").alias("label"), F.col("label").alias("to")), "label", "left")
+    kept = known.select("node", F.coalesce("to", "label").alias("label"))
+    return kept.union(moved.join(label, "node", "left_anti").select("node", "label"))
+
+
 def _schema(schema: pa.Schema) -> str:
     kinds = {pa.int32(): "int", pa.int64(): "bigint"}
     return ", ".join(f"{f.name} {kinds[f.type]}" for f in schema)
