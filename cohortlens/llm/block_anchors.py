@@ -208,7 +208,8 @@ def repeat_ranges(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", b
     places = "doc_id bigint, tag bigint, place bigint"
     hits = stored(_probes(rows, block, buckets).groupBy("bucket").applyInArrow(_hits(block), places), "hits")
     by_row = hits.groupBy("doc_id", "tag").agg(F.collect_set("place").alias("places"))
-    around = _candidates(rows.join(by_row, ["doc_id", "tag"]), block, buckets)
+    # the places grow with the texts: no broadcast at any size
+    around = _candidates(rows.join(by_row.hint("merge"), ["doc_id", "tag"]), block, buckets)
     found = around.groupBy("bucket").applyInArrow(_repeated(buckets), _PACKED)
     ranges = "doc_id bigint, tag bigint, starts array<bigint>, ends array<bigint>"
     return stored(found.groupBy("bucket").applyInArrow(_ranges(2 * block), ranges), "ranges")
@@ -216,7 +217,7 @@ def repeat_ranges(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", b
 
 def cut_ranges(docs: DataFrame, ranges: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """(doc_id, n_words, n_removed, kept): the words outside the ranges, joined by one space, as bytes."""
-    rows = _rows(docs, text, doc_id).join(ranges, ["doc_id", "tag"], "left")
+    rows = _rows(docs, text, doc_id).join(ranges.hint("merge"), ["doc_id", "tag"], "left")
 
     def run(batches):
         for batch in batches:

@@ -25,7 +25,8 @@ def near_duplicates(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The first document of each group of near copies; documents without words are no one's copy and stay."""
     found = bitmap_join.near_components(docs)
     gone = found.where("doc_id <> component_id").select("doc_id").distinct()
-    kept = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    # ids of copies grow with the documents: no broadcast at any size
+    kept = docs.join(gone.hint("merge"), "doc_id", "left_anti").select(*docs.columns)
     # repeated rows of one id are copies too, where they have the same text
     repeated = found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
     if repeated.isEmpty():
