@@ -14,8 +14,11 @@ read. Files are rows (part, seq, content) of a Parquet table in shared storage,
 so any executor can read and rewrite them; a file holds up to ``FILE_IDS`` ids
 (a longer document is a file of its own).
 
-Words are encoded once for each batch that they occur in: the tokenizer folds
-white space and splits at it, so a text's ids are those of its words in a row.
+Words are encoded once for each task that they occur in: the tokenizer lowers
+case and splits at white space, and between a letter or digit and the full stops
+and the like at a word's end, so a text's ids are those of such units in a row.
+A unit of a-z alone is one piece of the tokenizer's model, which is then asked
+directly.
 
 Defined cases: null text counts as empty (only the end id); rows without an id
 come first, rows that share an id by their text; an empty table gives no files
@@ -24,6 +27,7 @@ and an empty result; texts are read whole; only the named columns are read.
 
 from __future__ import annotations
 
+import os
 import struct
 import zlib
 from collections.abc import Iterator
@@ -40,14 +44,14 @@ from tokenizers import Tokenizer
 from . import mixing_coder
 from .batches import read_documents, slices
 from .shared import stored
-from .words import read_texts
+from .words import Texts, byte_range_hash, read_texts
 
 VOCABULARY = "word_bpe_49k.json"
 END = 1
 #: Ids of a file, about.
 FILE_IDS = 8 << 20
-#: Texts of a call: larger batches share more words.
-TEXT_BYTES = 16 << 20
+#: Text bytes of a call: larger calls share more words.
+TEXT_BYTES = 4 << 20
 #: Words whose ids a task keeps, at most; then it starts anew.
 KEPT_WORDS = 400_000
 MAGIC = b"TOKMIX01"
@@ -59,6 +63,7 @@ _HEAD = struct.Struct("<8sQQII")
 
 @lru_cache(maxsize=2)
 def _tokenizer(path: str) -> Tokenizer:
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark has a task for every core
     found = Tokenizer.from_file(path)
     found.encode_special_tokens = True
     return found
@@ -74,6 +79,10 @@ class WordIds:
         if len(self.known) > KEPT_WORDS:
             self.known = {}
         fresh = [w for w in words if w not in self.known]
+        plain = [w for w in fresh if w.isalpha() and w.islower()]
+        merge = self.tokenizer.model.tokenize
+        self.known.update((w, np.array([t.id for t in merge(w.decode())], np.uint32)) for w in plain)
+        fresh = [w for w in fresh if w not in self.known]
         for k in range(0, len(fresh), 4096):
             some = fresh[k : k + 4096]
             codes = self.tokenizer.encode_batch_fast([w.decode() for w in some], add_special_tokens=False)
@@ -81,22 +90,50 @@ class WordIds:
         return [self.known[w] for w in words]
 
 
+#: Characters that end words, and those that may stand before them for a cut between.
+_CLOSING = np.isin(np.arange(256), np.frombuffer(b".,;:!?", np.uint8))
+_SOLID = np.isin(np.arange(256), np.frombuffer(b"abcdefghijklmnopqrstuvwxyz0123456789", np.uint8))
+#: Closing characters that are cut off a word, at most; a longer run stays with it.
+_MOST_CLOSING = 4
+
+
+def _units(t: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First byte of each unit, the byte after it, and the first unit of each text (and their number)."""
+    tail = np.zeros(len(t.start), np.int64)
+    for k in range(1, _MOST_CLOSING + 1):
+        more = (tail == k - 1) & (t.end - k > t.start)
+        more &= _CLOSING[t.raw[np.where(more, t.end - k, 0)]] if len(t.raw) else False
+        tail += more
+    if len(t.raw):
+        tail[~_SOLID[t.raw[t.end - tail - 1]]] = 0
+    two = tail > 0
+    at = np.arange(len(tail)) + np.cumsum(two) - two  # unit of each word's body
+    start, end = (np.zeros(len(tail) + int(two.sum()), np.int64) for _ in range(2))
+    start[at], end[at] = t.start, t.end - tail
+    start[at[two] + 1], end[at[two] + 1] = (t.end - tail)[two], t.end[two]
+    first = np.append(at, len(start))[t.first]
+    return start, end, first
+
+
 def encode_texts(column: pa.Array, words: WordIds) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all texts in a row, each with its end id, and the number of each text's ids."""
-    t = read_texts(column)
-    _, first, which = np.unique(t.hash ^ (t.end - t.start).astype(np.uint64), return_index=True, return_inverse=True)
+    t = read_texts(column, lower_ascii=True)
+    start, end, first_unit = _units(t)
+    names = byte_range_hash(t, start, end) ^ (end - start).astype(np.uint64)
+    _, first, which = np.unique(names, return_index=True, return_inverse=True)
     raw = t.raw.tobytes()
-    parts = words.of([raw[a:b] for a, b in zip(t.start[first].tolist(), t.end[first].tolist())])
+    parts = words.of([raw[a:b] for a, b in zip(start[first].tolist(), end[first].tolist())])
     size = np.array([len(p) for p in parts] + [1], np.int64)
     flat = np.concatenate([*parts, np.array([END], np.uint32)])
     begin = np.cumsum(size) - size
-    # each text's words, then its end
-    order = np.full(len(t.start) + len(t.count), len(parts), np.int64)
-    order[np.arange(len(t.start)) + t.text] = which
+    # each text's units, then its end
+    counts = np.diff(first_unit)
+    order = np.full(len(start) + len(counts), len(parts), np.int64)
+    order[np.arange(len(start)) + np.repeat(np.arange(len(counts)), counts)] = which
     sizes = size[order]
     ends = np.cumsum(sizes)
     ids = flat[np.repeat(begin[order] - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)]
-    upto = np.concatenate([[0], ends])[t.first[1:] + np.arange(1, len(t.count) + 1)]
+    upto = np.concatenate([[0], ends])[first_unit[1:] + np.arange(1, len(counts) + 1)]
     return ids, np.diff(upto, prepend=0)
 
 
