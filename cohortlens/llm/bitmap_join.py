@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 
 from .batches import map_batches, read_documents, slices
 from .components import components
-from .shared import stored
+from .shared import scratch, stored
 from .words import Texts, mix64, read_texts, run_hash, windows
 
 SHINGLE = 5
@@ -391,7 +391,8 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     counted = pairs.join(pairs.groupBy("a").agg(F.count("*").alias("members")), "a").withColumn("share", share)
     members = counted.select("a", "share", F.lit(1).alias("role"), F.col("b").alias("node"))
     centres = counted.select("a", "share", F.lit(0).alias("role"), F.col("a").alias("node")).distinct()
-    seated = members.union(centres).join(texts, "node").select("a", "share", "role", "node", "text")
+    # texts of the pairs grow with the input: no broadcast at any size
+    seated = members.union(centres).join(texts.hint("merge"), "node").select("a", "share", "role", "node", "text")
     dealt = seated.repartition("a", "share").sortWithinPartitions("a", "share", "role")
 
     def run(batches):
@@ -419,6 +420,11 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 def near_components(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """(doc_id, n_shingles, component_id, n_copies) of every row; copies counts the rows of the same set."""
+    with scratch(docs.sparkSession):
+        return stored(_near_components(docs, text, doc_id), "near-components")
+
+
+def _near_components(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
     spark = docs.sparkSession
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -13,6 +13,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Folders that the innermost open ``scratch`` block has written.
+_written: list[list[str]] = []
+
 _FREE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
@@ -44,4 +47,20 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = shared_folder(spark, name)
     with shuffles_freed(spark):
         df.write.parquet(path)
+    if _written:
+        _written[-1].append(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession):
+    """Folders written by ``stored`` inside go at the block's end, but for the last, which holds its result."""
+    paths: list[str] = []
+    _written.append(paths)
+    try:
+        yield
+    finally:
+        _written.remove(paths)
+        for path in paths[:-1]:
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
