@@ -14,11 +14,12 @@ read. Files are rows (part, seq, content) of a Parquet table in shared storage,
 so any executor can read and rewrite them; a file holds up to ``FILE_IDS`` ids
 (a longer document is a file of its own).
 
-Words are encoded once for each task that they occur in: the tokenizer lowers
-case and splits at white space, and between a letter or digit and the full stops
-and the like at a word's end, so a text's ids are those of such units in a row.
-A unit of a-z alone is one piece of the tokenizer's model, which is then asked
-directly.
+Words are encoded once for each task that they occur in: the tokenizer composes,
+lowers case and splits at white space, and between a letter or digit and the full
+stops and the like at a word's end, so a text's ids are those of such units in a
+row. A unit that is wholly ASCII is looked up in lower case, any other as it is
+(what composes depends on the case). A unit of a-z alone is one piece of the
+tokenizer's model, which is then asked directly.
 
 Defined cases: null text counts as empty (only the end id); rows without an id
 come first, rows that share an id by their text; an empty table gives no files
@@ -31,6 +32,7 @@ import os
 import struct
 import zlib
 from collections.abc import Iterator
+from dataclasses import replace
 from functools import lru_cache
 
 import numpy as np
@@ -92,7 +94,7 @@ class WordIds:
 
 #: Characters that end words, and those that may stand before them for a cut between.
 _CLOSING = np.isin(np.arange(256), np.frombuffer(b".,;:!?", np.uint8))
-_SOLID = np.isin(np.arange(256), np.frombuffer(b"abcdefghijklmnopqrstuvwxyz0123456789", np.uint8))
+_SOLID = np.isin(np.arange(256), np.frombuffer(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", np.uint8))
 #: Closing characters that are cut off a word, at most; a longer run stays with it.
 _MOST_CLOSING = 4
 
@@ -115,10 +117,23 @@ def _units(t: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return start, end, first
 
 
+def _folded(t: Texts, start: np.ndarray, end: np.ndarray) -> Texts:
+    """The texts with A-Z in lower case in units that are wholly ASCII; the tokenizer composes the others first."""
+    kept = t.raw >= 128
+    before = np.concatenate([[0], np.cumsum(kept)])
+    plain = before[end] == before[start]
+    upper = np.flatnonzero((t.raw >= 65) & (t.raw <= 90))
+    upper = upper[plain[np.searchsorted(start, upper, side="right") - 1]]
+    raw = t.raw.copy()
+    raw[upper] += 32
+    return replace(t, raw=raw)
+
+
 def encode_texts(column: pa.Array, words: WordIds) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all texts in a row, each with its end id, and the number of each text's ids."""
-    t = read_texts(column, lower_ascii=True)
+    t = read_texts(column)
     start, end, first_unit = _units(t)
+    t = _folded(t, start, end)
     names = byte_range_hash(t, start, end) ^ (end - start).astype(np.uint64)
     _, first, which = np.unique(names, return_index=True, return_inverse=True)
     raw = t.raw.tobytes()

@@ -2,7 +2,9 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from tokenizers import Tokenizer
 
 from cohortlens.llm import mixing_coder as mix
 from cohortlens.llm import token_store as store
@@ -81,3 +83,23 @@ def test_null_ids_repeated_rows_and_empty(spark, tmp_path):
     key = lambda r: (-1 if r[0] is None else r[0], *r[1:])
     assert sorted(((r.doc_id, r.start, r.n_tokens, r.ids_crc32) for r in out), key=key) == sorted(expected(rows), key=key)
     assert store.op6_mixing_coder(spark, save(spark, tmp_path / "b", [])).count() == 0
+
+
+#: Upper-case letters without a composed form, whose lower-case ones have one.
+DECOMPOSED = ["H\u0331amza", "J\u030c", "T\u0308.", "W\u030aX", "abc Y\u030a", "H\u0331. J\u030c! ΣΑΣ", "Don'T STOP. É E\u0301 X1."]
+
+
+def ids_of(texts):
+    """Ids and lengths of the texts by the store, and by the library on each whole text."""
+    path = store.public_tokenizers.path(store.VOCABULARY)
+    library = Tokenizer.from_file(path)
+    whole = [library.encode(t, add_special_tokens=False).ids + [store.END] for t in texts]
+    ids, n = store.encode_texts(pa.array(texts), store.WordIds(path))
+    ends = np.cumsum(n)
+    return [ids[e - k : e].tolist() for e, k in zip(ends, n)], whole
+
+
+def test_letters_compose_before_case_is_lowered():
+    found, whole = ids_of(DECOMPOSED)
+    assert found == whole
+    assert whole[0] == [327, 136, 365, 548, 2186, store.END]
