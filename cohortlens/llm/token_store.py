@@ -18,8 +18,10 @@ Words are encoded once for each task that they occur in: the tokenizer composes,
 lowers case and splits at white space, and between a letter or digit and the full
 stops and the like at a word's end, so a text's ids are those of such units in a
 row. A unit that is wholly ASCII is looked up in lower case, any other as it is
-(what composes depends on the case). A unit of a-z alone is one piece of the
-tokenizer's model, which is then asked directly.
+(what composes depends on the case), and so is one that may hold an added token,
+<|startoftext|> or <|endoftext|>, which the library finds as it is written and
+gives its one id. A unit of a-z alone is one piece of the tokenizer's model,
+which is then asked directly.
 
 Defined cases: null text counts as empty (only the end id); rows without an id
 come first, rows that share an id by their text; an empty table gives no files
@@ -66,9 +68,7 @@ _HEAD = struct.Struct("<8sQQII")
 @lru_cache(maxsize=2)
 def _tokenizer(path: str) -> Tokenizer:
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark has a task for every core
-    found = Tokenizer.from_file(path)
-    found.encode_special_tokens = True
-    return found
+    return Tokenizer.from_file(path)
 
 
 class WordIds:
@@ -116,10 +116,17 @@ def _units(t: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     first = np.append(at, len(start))[t.first]
     return start, end, first
 
+#: How the strings of the tokenizer's added tokens begin.
+_ADDED = b"<|"
+
 
 def _folded(t: Texts, start: np.ndarray, end: np.ndarray) -> Texts:
-    """The texts with A-Z in lower case in units that are wholly ASCII; the tokenizer composes the others first."""
+    """The texts with A-Z in lower case in units that are wholly ASCII; the tokenizer composes the others first.
+
+    Units that may hold an added token stay too: its letters count as they are written.
+    """
     kept = t.raw >= 128
+    kept[:-1] |= (t.raw[:-1] == _ADDED[0]) & (t.raw[1:] == _ADDED[1])
     before = np.concatenate([[0], np.cumsum(kept)])
     plain = before[end] == before[start]
     upper = np.flatnonzero((t.raw >= 65) & (t.raw <= 90))

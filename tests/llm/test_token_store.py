@@ -1,3 +1,4 @@
+import json
 import random
 import zlib
 
@@ -103,3 +104,17 @@ def test_letters_compose_before_case_is_lowered():
     found, whole = ids_of(DECOMPOSED)
     assert found == whole
     assert whole[0] == [327, 136, 365, 548, 2186, store.END]
+
+
+def test_added_tokens_as_in_the_library():
+    plain = "x <|ENDOFTEXT|> y"
+    texts = ["x <|endoftext|> y", plain, "A<|endoftext|>B.", "<|startoftext|>", "<|EndOfText|>. <|endoftext|>.", "H\u0331<|startoftext|>\u0331", "<", "|endoftext|>"]
+    found, whole = ids_of(texts)
+    assert found == whole
+    assert whole[0] == [343, 49407, 344, store.END] and len(whole[1]) > 4
+    assert all(t["content"].startswith(store._ADDED.decode()) for t in added_tokens())
+
+
+def added_tokens():
+    with open(store.public_tokenizers.path(store.VOCABULARY)) as f:
+        return json.load(f)["added_tokens"]
