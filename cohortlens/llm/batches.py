@@ -85,6 +85,12 @@ def sha256_hex(column) -> F.Column:
     return F.sha2(column, 256)
 
 
+def row_key(*columns: str) -> list[F.Column]:
+    """Two 64-bit names of the row's values in these columns, null or not; equal rows share them."""
+    values = [c for name in columns for c in (F.col(name).isNull(), F.col(name))]
+    return [F.xxhash64(F.lit(seed), *values) for seed in (1, 2)]
+
+
 def read_documents(spark, sf_dir: str, *columns: str) -> DataFrame:
     """The named columns of the whole ``documents`` table."""
     return spark.read.parquet(f"{sf_dir}/documents.parquet").select(*columns)

@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .batches import map_batches, read_documents, slices
+from .batches import map_batches, read_documents, row_key, slices
 from .components import components
 from .shared import scratch, stored
 from .words import Texts, mix64, read_texts, run_hash, windows
@@ -142,7 +142,7 @@ def frequent_shingles(docs: DataFrame, sample: int = ORDER_SAMPLE, one_of: int =
 
 
 def profiles(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
-    """doc_id, n_shingles, node, check (second name), first (packed first shingles in the join's order), coarse, fine (bitmaps)."""
+    """doc_id, key, key2, n_shingles, node, check (second name), first (packed first shingles in the join's order), coarse, fine (bitmaps)."""
 
     def make():
         def apply(batch):
@@ -176,7 +176,7 @@ def profiles(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
         return apply
 
     fields = "n_shingles bigint, node bigint, check bigint, first binary, coarse binary, fine binary"
-    return map_batches(docs.select("doc_id", "text"), make, fields, ("doc_id",), "text")
+    return map_batches(docs.select("doc_id", "key", "key2", "text"), make, fields, ("doc_id", "key", "key2"), "text")
 
 
 # ---------------------------------------------------------------- tiles
@@ -418,20 +418,34 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- the join
 
 
+def keyed(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """(doc_id, text, key, key2) of every row."""
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    return rows.select("*", *(k.alias(name) for k, name in zip(row_key("doc_id", "text"), ("key", "key2"))))
+
+
 def near_components(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """(doc_id, n_shingles, component_id, n_copies) of every row; copies counts the rows of the same set."""
+    """(doc_id, key, key2, n_shingles, component_id, n_copies, is_first) of every row.
+
+    The keys name the row by its id and text; copies counts the rows of the same
+    set. A component's first row has its smallest id, null last, then the smallest
+    keys (equal rows are first together); rows without words are first.
+    """
     with scratch(docs.sparkSession):
         return stored(_near_components(docs, text, doc_id), "near-components")
 
 
 def _near_components(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
     spark = docs.sparkSession
-    docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    docs = keyed(docs, text, doc_id)
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     found = stored(profiles(docs, frequent_shingles(docs)), "profiles")
     named = found.where("n_shingles > 0")
+    row = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key", "key2")
     nodes = stored(
-        named.groupBy("node").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.count("*").alias("n_copies")), "nodes"
+        named.groupBy("node").agg(F.min(row).alias("row"), F.first("n_shingles").alias("n"), F.count("*").alias("n_copies"))
+        .withColumn("rep", F.col("row.doc_id")),
+        "nodes",
     )
     coarse, fine = (named.groupBy("node").agg(F.first("n_shingles").alias("n"), F.first(c).alias("bits")) for c in ("coarse", "fine"))
     tiles = stored(_packed(found, buckets).groupBy("bucket").applyInArrow(_tile_pairs, _schema(_TILES)), "tiles")
@@ -456,10 +470,12 @@ def _near_components(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
         label = stored(joined_labels(label, verified(more, texts)), f"labels-{turn}")
         places = places.drop("label")
     known = nodes.join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    least = known.groupBy("label").agg(F.min("rep").alias("component_id"))
-    by_node = known.join(least, "label").select("node", "component_id", "n_copies")
-    joined = found.select("doc_id", "n_shingles", "node").join(by_node, "node", "left")
-    return joined.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), "n_copies")
+    least = known.groupBy("label").agg(F.min("row").alias("least"))
+    by_node = known.join(least, "label").select("node", "least", "n_copies")
+    joined = found.select("doc_id", "key", "key2", "n_shingles", "node").join(by_node, "node", "left")
+    is_first = F.coalesce((F.col("key") == F.col("least.key")) & (F.col("key2") == F.col("least.key2")), F.lit(True))
+    component = F.coalesce("least.doc_id", "doc_id").alias("component_id")
+    return joined.select("doc_id", "key", "key2", "n_shingles", component, "n_copies", is_first.alias("is_first"))
 
 
 def joined_labels(label: DataFrame, links: DataFrame) -> DataFrame:

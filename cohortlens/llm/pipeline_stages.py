@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import bitmap_join, bpe, entropy_balance, lang_viterbi, pii_crf
+from .batches import row_key
 
 
 def language_id(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -22,17 +23,25 @@ def language_id(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The first document of each group of near copies; documents without words are no one's copy and stay."""
+    """The first document of each group of near copies; documents without words are no one's copy and stay.
+
+    Rows go by id and text together: of an id with several texts, only the copies go.
+    """
     found = bitmap_join.near_components(docs)
-    gone = found.where("doc_id <> component_id").select("doc_id").distinct()
-    # ids of copies grow with the documents: no broadcast at any size
-    kept = docs.join(gone.hint("merge"), "doc_id", "left_anti").select(*docs.columns)
-    # repeated rows of one id are copies too, where they have the same text
-    repeated = found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
+    key = ["near_key_", "near_key2_"]
+    names = [F.col("key").alias(key[0]), F.col("key2").alias(key[1])]
+    gone = found.where("not is_first").select(*names).distinct()
+    named = docs.withColumn("near_id_", F.col("doc_id").cast("long"))
+    named = named.withColumns(dict(zip(key, row_key("near_id_", "text")))).drop("near_id_")
+    # keys of copies grow with the documents: no broadcast at any size
+    kept = named.join(gone.hint("merge"), key, "left_anti")
+    # repeated rows of one id and text are copies too; without words, only those that have an id
+    first = found.where("is_first and (doc_id is not null or n_shingles > 0)")
+    repeated = first.groupBy(*names).count().where("count > 1").select(*key)
     if repeated.isEmpty():
-        return kept
-    once = kept.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
-    return kept.join(repeated, "doc_id", "left_anti").unionByName(once).select(*docs.columns)
+        return kept.select(*docs.columns)
+    once = kept.join(repeated, key, "left_semi").dropDuplicates(key)
+    return kept.join(repeated, key, "left_anti").unionByName(once).select(*docs.columns)
 
 
 def personal_data(spark, docs: DataFrame, sf_dir: str) -> DataFrame:

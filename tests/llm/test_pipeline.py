@@ -68,3 +68,18 @@ def test_repeated_rows_leave_one(spark, tmp_path):
     docs = spark.read.parquet(f"{save(spark, tmp_path, rows)}/documents.parquet")
     out = dict(corpus_pipeline.STAGES)["near_duplicates"](spark, docs, str(tmp_path))
     assert sorted(r.doc_id for r in out.collect()) == [1, 3]
+
+
+def near_duplicates_of(spark, folder, rows):
+    docs = spark.read.parquet(f"{save(spark, folder, rows)}/documents.parquet")
+    out = dict(corpus_pipeline.STAGES)["near_duplicates"](spark, docs, str(folder))
+    assert out.columns == docs.columns
+    return sorted(((r.doc_id, r.text) for r in out.collect()), key=str)
+
+
+def test_an_id_with_two_texts_loses_only_the_copy(spark, tmp_path):
+    a, b, c = (prose(random.Random(k), 40) for k in range(3))
+    rows = [(1, a, "en", "a"), (5, a, "en", "a"), (5, b, "en", "a"), (6, c, "en", "a"), (6, c + " end", "en", "a"), (7, None, "en", "a")]
+    out = near_duplicates_of(spark, tmp_path, rows)
+    assert len(out) == 4 and out.count((6, c)) + out.count((6, c + " end")) == 1
+    assert {(1, a), (5, b), (7, None)} <= set(out)
