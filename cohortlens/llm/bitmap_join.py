@@ -26,8 +26,9 @@ Shingles travel packed: one row for each batch and bucket.
 
 Defined cases: a null text, or one without words, has the empty set and is
 linked with nothing; fewer words than a shingle are one shingle, the whole
-sequence; repeated rows have equal sets and are linked; rows without an id take
-part, but never name a component unless all its rows are without; an empty table
+sequence; repeated rows have equal sets and are linked; rows go by a key of their id and
+text, so rows without an id take part like others, but never name a component
+unless all its rows are without; an empty table
 gives an empty table; only the named columns are read.
 """
 
@@ -126,7 +127,7 @@ def frequent_shingles(docs: DataFrame, sample: int = ORDER_SAMPLE, one_of: int =
     if not n:
         return np.zeros(0, np.uint64)
     share = min(1.0, sample / n)
-    chosen = docs.where(F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(1 << 20)) < int(share * (1 << 20)) + 1)
+    chosen = docs.where(F.pmod(F.xxhash64("key", F.lit(3)), F.lit(1 << 20)) < int(share * (1 << 20)) + 1)
 
     def count(batches):
         for batch in batches:
@@ -377,8 +378,10 @@ def bounded(pairs: DataFrame, bits: DataFrame) -> DataFrame:
 def texts_of(wanted: DataFrame, docs: DataFrame, nodes: DataFrame) -> DataFrame:
     """(node, text) of the wanted nodes, gathered once for all rounds."""
     # the wanted documents grow with the input: no broadcast at any size
-    reps = wanted.distinct().join(nodes.select("node", "rep"), "node").hint("merge")
-    return stored(docs.join(reps, F.col("doc_id") == F.col("rep")).select("node", "text"), "texts")
+    reps = wanted.distinct().join(nodes.select("node", "row.key", "row.key2"), "node").hint("merge")
+    # rows that share id and text (null ids too) are one key: one text for each node
+    found = docs.select("key", "key2", "text").join(reps, ["key", "key2"])
+    return stored(found.groupBy("key", "key2", "node").agg(F.first("text").alias("text")).select("node", "text"), "texts")
 
 
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -443,9 +446,7 @@ def _near_components(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
     named = found.where("n_shingles > 0")
     row = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key", "key2")
     nodes = stored(
-        named.groupBy("node").agg(F.min(row).alias("row"), F.first("n_shingles").alias("n"), F.count("*").alias("n_copies"))
-        .withColumn("rep", F.col("row.doc_id")),
-        "nodes",
+        named.groupBy("node").agg(F.min(row).alias("row"), F.first("n_shingles").alias("n"), F.count("*").alias("n_copies")), "nodes"
     )
     coarse, fine = (named.groupBy("node").agg(F.first("n_shingles").alias("n"), F.first(c).alias("bits")) for c in ("coarse", "fine"))
     tiles = stored(_packed(found, buckets).groupBy("bucket").applyInArrow(_tile_pairs, _schema(_TILES)), "tiles")

@@ -32,6 +32,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .batches import row_key
 from .shared import stored
 
 #: Weights of the sources in code point order, repeating.
@@ -167,11 +168,16 @@ def _repaired(rounded: DataFrame, cap) -> DataFrame:
 _SHARED = "((cast(dealt as decimal(18,0)) * cast({0} as decimal(18,0))) div r_n)"
 
 
-def mix(docs: DataFrame, text: str = "text", source: str = "source", doc_id: str = "doc_id", share=SHARE, cap=CAP) -> DataFrame:
-    """(doc_id, source, size, source_size, target, rate, copies) of every row of ``docs``."""
+def mix(
+    docs: DataFrame, text: str = "text", source: str = "source", doc_id: str = "doc_id", share=SHARE, cap=CAP, keep: tuple[str, ...] = ()
+) -> DataFrame:
+    """(doc_id, source, size, source_size, target, rate, copies) of every row of ``docs``, and its ``keep`` columns.
+
+    Among rows that share an id, the ``keep`` columns decide the order.
+    """
     slot = F.pmod(F.xxhash64(F.col(doc_id)), F.lit(SLICES)).cast("int")
     sized = stored(
-        docs.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), n_words(text).alias("size")).withColumn("slot", slot),
+        docs.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), n_words(text).alias("size"), *keep).withColumn("slot", slot),
         "sizes",
     )
     cells = stored(sized.groupBy("source", "size", "slot").agg(F.count("*").alias("n")), "cells")
@@ -216,24 +222,35 @@ def mix(docs: DataFrame, text: str = "text", source: str = "source", doc_id: str
         F.floor(F.col("dealt") / F.col("n")).cast("long").alias("all_get"),
         (F.col("dealt") % F.col("n")).alias("some_get"),
     )
-    place = F.row_number().over(Window.partitionBy("source", "size", "slot").orderBy(F.xxhash64(F.col("doc_id"), F.lit(7)), "doc_id"))
+    place = F.row_number().over(Window.partitionBy("source", "size", "slot").orderBy(F.xxhash64(F.col("doc_id"), F.lit(7)), "doc_id", *keep))
     ranked = sized.withColumn("place", place)
     joined = ranked.join(spread, F.expr("source <=> c_source and size = c_size and slot = c_slot"))
     copies = F.col("all_get") + F.when(F.col("place") <= F.col("some_get"), F.lit(1)).otherwise(F.lit(0))
-    return joined.select("doc_id", "source", "size", "source_size", "target", "rate", copies.cast("long").alias("copies"))
+    return joined.select("doc_id", "source", "size", "source_size", "target", "rate", copies.cast("long").alias("copies"), *keep)
 
 
 def mixed(docs: DataFrame, text: str = "text", source: str = "source", doc_id: str = "doc_id") -> DataFrame:
     """Every row of ``docs``, with all its columns, as many times as the mix copies its document.
 
-    Rows that share an id share the copies of that id out in any order.
+    Rows go by id, source and text, null or not; those that share all three share
+    their copies out as evenly as whole copies allow.
     """
-    named = "mix_doc_id_", "mix_copies_"
-    counts = mix(docs, text, source, doc_id).groupBy("doc_id").agg(F.sum("copies").alias("copies"), F.count("*").alias("rows"))
-    counts = counts.select(F.col("doc_id").alias(named[0]), (F.col("copies") / F.col("rows")).alias(named[1]))
-    joined = docs.join(counts, F.col(doc_id).eqNullSafe(F.col(named[0])))
-    times = F.expr(f"array_repeat(0, cast(round({named[1]}) as int))")
-    return joined.withColumn("mix_copy_", F.explode(times)).drop(*named, "mix_copy_")
+    key = ["mix_key_", "mix_key2_"]
+    named = docs.withColumns(dict(zip(key, row_key(doc_id, source, text))))
+    counts = mix(named, text, source, doc_id, keep=tuple(key)).groupBy(*key).agg(F.sum("copies").alias("mix_copies_"), F.count("*").alias("mix_rows_"))
+    counts = stored(counts.where("mix_copies_ > 0"), "copies")
+
+    def copied(rows, times):
+        return rows.withColumn("mix_copy_", F.explode(F.expr(f"array_repeat(0, cast({times} as int))"))).select(*docs.columns)
+
+    even = copied(named.join(counts.where("mix_copies_ % mix_rows_ = 0"), key), "mix_copies_ div mix_rows_")
+    uneven = counts.where("mix_copies_ % mix_rows_ <> 0")
+    if uneven.isEmpty():
+        return even
+    place = F.row_number().over(Window.partitionBy(*key).orderBy(key[0]))
+    ranked = named.join(uneven, key).withColumn("mix_place_", place)
+    more = copied(ranked, "mix_copies_ div mix_rows_ + if(mix_place_ <= mix_copies_ % mix_rows_, 1, 0)")
+    return even.unionByName(more)
 
 
 def op8_source_mix(spark, sf_dir: str) -> DataFrame:

@@ -124,3 +124,17 @@ def test_components_of_a_path(spark):
 
 def test_empty(spark, tmp_path):
     assert run(spark, save(spark, tmp_path, [])) == []
+
+
+def test_a_row_without_an_id_joins_its_neighbours(spark, tmp_path):
+    """1 ~ null ~ 2, where 1 and 2 are not linked; a set held by null ids alone; its copies."""
+    words = prose(random.Random(8), 60).split()
+    shifted = [" ".join(words[k : k + 46]) for k in (0, 5, 10)]
+    rows = [(1, shifted[0], "en", "a"), (None, shifted[1], "en", "a"), (None, shifted[1], "en", "a"), (2, shifted[2], "en", "a")]
+    alone = prose(random.Random(9), 30)
+    rows += [(None, alone, "en", "a"), (None, alone + " end", "en", "a"), (None, None, "en", "a")]
+    a, _, _, b = (s for _, s in sets_of(rows[:4]))
+    assert 100 * len(a & b) < 75 * len(a | b)
+    found = bj.op9_bitmap_join(spark, save(spark, tmp_path, rows)).collect()
+    want = [(i, len(s), None if k > 3 else 1) for k, (i, s) in enumerate(sets_of(rows))]
+    assert sorted(map(tuple, found), key=str) == sorted(want, key=str)

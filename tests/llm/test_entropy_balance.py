@@ -88,3 +88,26 @@ def test_mixed_copies_rows_with_all_columns(spark, tmp_path):
     for r in out.collect():
         found[r.doc_id] += 1
     assert found == {i: c for i, c in copies.items() if c}
+
+
+def test_mixed_gives_rows_without_an_id_and_repeated_rows_their_own_copies(spark, tmp_path):
+    rng = random.Random(7)
+    rows = [(None, prose(rng, rng.randint(1, 60)), "en", rng.choice("ab")) for _ in range(80)]
+    rows += [(i % 4, prose(rng, rng.randint(1, 60)), "en", rng.choice("ab")) for i in range(40)]
+    rows += [(9, "three equal rows", "en", "a")] * 3 + [(None, "two equal rows", "en", "b")] * 2
+    docs = spark.read.parquet(f"{save(spark, tmp_path, rows)}/documents.parquet")
+    target, taken = {r.source: r.target for r in eb.mix(docs).collect()}, defaultdict(int)
+    for r in eb.mixed(docs).collect():
+        taken[r.source] += len(r.text.split())
+    # half the longest document, as for rows that have ids
+    assert all(abs(taken[s] - target[s]) <= 31 for s in target)
+
+
+@pytest.mark.parametrize("copies", [1, 2, 4, 5])
+def test_uneven_copies_of_equal_rows(spark, tmp_path, monkeypatch, copies):
+    rows = [(i, "a b", "en", "a") for i in (None, None, None, 3, 3, 3)]
+    docs = spark.read.parquet(f"{save(spark, tmp_path, rows)}/documents.parquet")
+    dealt = f"explode(transform(sequence(1, 3), x -> cast({copies} div 3 + if(x <= {copies} % 3, 1, 0) as long))) as copies"
+    monkeypatch.setattr(eb, "mix", lambda d, *a, keep=(): d.select("doc_id", *keep).distinct().selectExpr("doc_id", *keep, dealt))
+    found = [r.doc_id for r in eb.mixed(docs).collect()]
+    assert found.count(None) == found.count(3) == copies

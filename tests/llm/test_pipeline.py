@@ -83,3 +83,10 @@ def test_an_id_with_two_texts_loses_only_the_copy(spark, tmp_path):
     out = near_duplicates_of(spark, tmp_path, rows)
     assert len(out) == 4 and out.count((6, c)) + out.count((6, c + " end")) == 1
     assert {(1, a), (5, b), (7, None)} <= set(out)
+
+
+def test_copies_without_an_id_go(spark, tmp_path):
+    a, b, c = (prose(random.Random(k), 40) for k in range(3))
+    rows = [(None, a, "en", "a"), (None, a, "en", "b"), (None, a + " end", "en", "a"), (None, b, "en", "a"), (4, b, "en", "a"), (None, c, "en", "a")]
+    out = near_duplicates_of(spark, tmp_path, rows)
+    assert len(out) == 3 and {(4, b), (None, c)} <= set(out)
