@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bitmap_join, block_anchors, bpe, entropy_balance, lang_viterbi, licence_rules, pii_crf, quality_trees, token_store, winnow
+from . import bitmap_join, block_anchors, bpe, entropy_balance, lang_viterbi, licence_rules, oracles, pii_crf, quality_trees, token_store, vector_codes, winnow
 
 QUERIES = {
     "op1_byte_bpe": bpe.op1_byte_bpe,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_source_mix": entropy_balance.op8_source_mix,
     "op9_bitmap_join": bitmap_join.op9_bitmap_join,
     "op10_language_id": lang_viterbi.op10_language_id,
+    "op11_vector_codes": vector_codes.op11_vector_codes,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = dict(oracles.SQL)
