@@ -36,4 +36,43 @@ SELECT k.vec_id, c.code, c.error, CAST(sum(c.error) OVER (PARTITION BY k.label)
 FROM kept k JOIN coded c USING (row), digest g
 """
 
-SQL = {"op11_vector_codes": OP11}
+#: CRC-32 of strings: the table of the reflected polynomial, and the checksum of a string's UTF-8 bytes.
+_CRC_TABLE = "SELECT list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS tab"
+
+
+def _crc32(text: str) -> str:
+    """Of a SQL expression, where the table ``crc`` is joined."""
+    code = f"hex(encode({text}))"
+    byte = f"list_transform(range(length({code}) // 2), lambda i: CAST('0x' || substr({code}, CAST(2 * i + 1 AS BIGINT), 2) AS BIGINT))"
+    return f"xor(list_reduce(list_concat([4294967295], {byte}), lambda c, b: xor(c >> 8, crc.tab[(xor(c, b) & 255) + 1])), 4294967295)"
+
+
+OP13 = f"""
+WITH RECURSIVE crc AS MATERIALIZED ({_CRC_TABLE}),
+runs AS (
+  SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id, unnest(regexp_extract_all(text, '[A-Za-z\u00c0-\u00ff]{{7,}}')) AS run FROM documents),
+lowered AS (
+  SELECT id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS c FROM runs GROUP BY ALL),
+hashed AS MATERIALIZED (SELECT run, c, {_crc32("id || ':' || run")} AS h FROM lowered, crc),
+dropped AS (
+  SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, c FROM hashed),
+words AS MATERIALIZED (
+  SELECT word, CAST(sum(c) AS BIGINT) AS n FROM dropped WHERE length(word) >= 7 GROUP BY word HAVING sum(c) >= 2),
+holes AS MATERIALIZED (
+  SELECT word, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM words)),
+replaced AS (SELECT a.word, b.word AS near FROM holes a JOIN holes b USING (rest, i) WHERE a.word <> b.word AND length(a.word) = length(b.word)),
+shorter AS (SELECT DISTINCT h.word, w.word AS near FROM holes h JOIN words w ON w.word = h.rest),
+near AS (SELECT word, near FROM replaced UNION SELECT word, near FROM shorter UNION SELECT near, word FROM shorter),
+ranked AS (
+  SELECT p.word, p.near, b.n AS near_n, count(*) OVER (PARTITION BY p.word) AS n_near, row_number() OVER (PARTITION BY p.word ORDER BY b.n DESC, p.near) AS place
+  FROM near p JOIN words b ON b.word = p.near),
+formed AS MATERIALIZED (
+  SELECT w.word, w.n, coalesce(r.n_near, 0) AS n_near, CASE WHEN r.near_n >= 10 * w.n THEN r.near END AS form, CASE WHEN r.near_n >= 10 * w.n THEN r.near_n END AS form_n
+  FROM words w LEFT JOIN (SELECT * FROM ranked WHERE place = 1) r USING (word)),
+chain AS (
+  SELECT word, word AS last, 0 AS steps FROM formed
+  UNION ALL SELECT c.word, f.form, c.steps + 1 FROM chain c JOIN formed f ON f.word = c.last WHERE f.form IS NOT NULL)
+SELECT f.word, f.form, c.root, f.n, f.n_near, f.form_n FROM formed f JOIN (SELECT word, arg_max(last, steps) AS root FROM chain GROUP BY word) c USING (word)
+"""
+
+SQL = {"op11_vector_codes": OP11, "op13_spelling_variants": OP13}
