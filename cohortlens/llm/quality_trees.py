@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .batches import map_batches, read_documents
-from .words import SEPARATOR, Texts, byte_range_hash, mix64, read_texts, run_hash, windows
+from .words import SEPARATOR, Texts, byte_hash, mix64, read_texts, run_hash, windows
 
 #: Labelled documents that the trees are grown on, at most.
 SAMPLE = 20_000
@@ -92,7 +92,7 @@ def statistics(column: pa.Array) -> dict[str, np.ndarray]:
     words_in = np.searchsorted(t.start, ends) - np.searchsorted(t.start, starts)
     real = words_in > 0
     starts, ends, line_text, words_in = starts[real], ends[real], line_text[real], words_in[real]
-    _, later = _repeats(line_text, byte_range_hash(t, starts, ends))
+    _, later = _repeats(line_text, byte_hash(t.raw, starts, ends))
     lines = np.bincount(line_text, minlength=n)
     out["n_dup_lines"] = np.bincount(line_text[later], minlength=n).astype(np.int64)
 

@@ -48,7 +48,7 @@ from tokenizers import Tokenizer
 from . import mixing_coder
 from .batches import read_documents, slices
 from .shared import stored
-from .words import Texts, byte_range_hash, read_texts
+from .words import Texts, byte_hash, read_texts
 
 VOCABULARY = "word_bpe_49k.json"
 END = 1
@@ -141,7 +141,7 @@ def encode_texts(column: pa.Array, words: WordIds) -> tuple[np.ndarray, np.ndarr
     t = read_texts(column)
     start, end, first_unit = _units(t)
     t = _folded(t, start, end)
-    names = byte_range_hash(t, start, end) ^ (end - start).astype(np.uint64)
+    names = byte_hash(t.raw, start, end) ^ (end - start).astype(np.uint64)
     _, first, which = np.unique(names, return_index=True, return_inverse=True)
     raw = t.raw.tobytes()
     parts = words.of([raw[a:b] for a, b in zip(start[first].tolist(), end[first].tolist())])

@@ -1,13 +1,17 @@
 """Words of many texts at once, as numpy arrays over their UTF-8 bytes.
 
 A word is a maximal run of characters other than space and U+0009 to U+000D;
-those are single bytes in UTF-8, so words are found on the bytes. Hashes of byte
-ranges and of runs of words are polynomials over 2**64, read from prefix sums.
+those are single bytes in UTF-8, so words are found on the bytes. A byte range is
+hashed eight bytes at a time, each mixed into the hash of those before it, and by
+BLAKE2b where it is long. Runs of words are polynomials over 2**64 of such hashes,
+read from prefix sums; they are meant for runs of at most some hundred words
+(beyond a thousand, two words in a suitable order cancel out in any base).
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -17,7 +21,8 @@ from .batches import text_offsets
 SEPARATOR = np.zeros(256, bool)
 SEPARATOR[[0x20, *range(0x09, 0x0E)]] = True
 
-_BYTE_BASE = 0x9E3779B97F4A7C15
+#: Bytes of a range that are mixed eight at a time; longer ranges are digested.
+_MIXED = 64
 _WORD_BASE = 0xD6E8FEB86659FD93
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
@@ -60,6 +65,25 @@ def range_hash(sums: np.ndarray, start: np.ndarray, end: np.ndarray, base: int)
     return mix64((sums[end] - sums[start]) * down[start] + (end - start).astype(np.uint64))
 
 
+def byte_hash(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hash of raw[start:end] for each pair, the same wherever the bytes lie."""
+    padded = np.concatenate([raw, np.zeros(8, np.uint8)])
+    eight = np.ndarray((len(raw) + 1,), "<u8", padded, strides=(1,))  # the eight bytes from each place
+    size = end - start
+    h = mix64(size.astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15))
+    left = np.flatnonzero(size <= _MIXED)
+    for done in range(0, _MIXED, 8):
+        left = left[size[left] > done]
+        if not len(left):
+            break
+        some = np.minimum(size[left] - done, 8).astype(np.uint64)
+        value = eight[start[left] + done] & (np.uint64(0xFFFFFFFFFFFFFFFF) >> (np.uint64(64) - np.uint64(8) * some))
+        h[left] = mix64(h[left] ^ value) + np.uint64(0xC2B2AE3D27D4EB4F)
+    for k in np.flatnonzero(size > _MIXED).tolist():
+        h[k] = int.from_bytes(blake2b(raw[start[k] : end[k]], digest_size=8).digest(), "little")
+    return h
+
+
 @dataclass
 class Texts:
     """Words of a column of texts, one text after the other."""
@@ -93,12 +117,7 @@ def read_texts(column: pa.Array, lower_ascii: bool = False) -> Texts:
     closes[before] = inside[before]
     start, end = np.flatnonzero(opens), np.flatnonzero(closes) + 1
     first = np.searchsorted(start, at)
-    sums = prefix_sums(raw, _BYTE_BASE)
-    return Texts(raw, at, start, end, np.diff(first), first, range_hash(sums, start, end, _BYTE_BASE))
-
-
-def byte_range_hash(t: Texts, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    return range_hash(prefix_sums(t.raw, _BYTE_BASE), start, end, _BYTE_BASE)
+    return Texts(raw, at, start, end, np.diff(first), first, byte_hash(raw, start, end))
 
 
 def windows(t: Texts, size: int) -> np.ndarray:
