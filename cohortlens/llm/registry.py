@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bitmap_join, block_anchors, bpe, entropy_balance, lang_viterbi, licence_rules, oracles, pii_crf, quality_trees, spelling, token_store, vector_codes, winnow
+from . import bitmap_join, block_anchors, bpe, deleted_interpolation, entropy_balance, lang_viterbi, licence_rules, oracles, pii_crf, quality_trees, spelling, token_store, vector_codes, winnow
 
 QUERIES = {
     "op1_byte_bpe": bpe.op1_byte_bpe,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_bitmap_join": bitmap_join.op9_bitmap_join,
     "op10_language_id": lang_viterbi.op10_language_id,
     "op11_vector_codes": vector_codes.op11_vector_codes,
+    "op12_deleted_interpolation": deleted_interpolation.op12_deleted_interpolation,
     "op13_spelling_variants": spelling.op13_spelling_variants,
 }
 
