@@ -118,8 +118,15 @@ raw_events AS (
 ORDER = "COALESCE({}, -9223372036854775808)"
 
 
-def base(spec: CohortSpec, encoding: str, override: int | None = None) -> str:
-    """CTEs: raw mapping, cleaning, F1, scopes, dimensions and the per-entity sets."""
+# Customers of one exported workbook or text file; files are read in order of their number.
+BOOK = "CAST({} AS BIGINT) // 200"
+
+
+def base(spec: CohortSpec, encoding: str, override: int | None = None, books: bool = False, unknown_year: str = "year") -> str:
+    """CTEs: raw mapping, cleaning, F1, scopes, dimensions and the per-entity sets.
+
+    With ``books`` events are in the order of the exported files."""
+    event_order = f"({BOOK.format('o.o_custkey')}) * 1099511627776 + o.o_orderkey" if books else "o.o_orderkey"
     sent = spec.sentinel
     stages = spec.stage_codes
     reg_mods = spec.regimen_modalities()
@@ -141,7 +148,7 @@ clean_entities AS (
   FROM customer c LEFT JOIN cust_first f ON f.custkey = c.c_custkey),
 clean_events AS (
   SELECT CAST(o.o_custkey AS VARCHAR) AS hn, CAST(year(o.o_orderdate) AS VARCHAR) AS year,
-         {stage_sql(encoding)} AS stage, {treatment_sql(encoding)} AS treatment, o.o_orderkey AS row_idx
+         {stage_sql(encoding)} AS stage, {treatment_sql(encoding)} AS treatment, {event_order} AS row_idx
   FROM orders o LEFT JOIN customer c ON c.c_custkey = o.o_custkey),
 {trapped(encoding)}
 entities AS (
@@ -151,7 +158,7 @@ events AS (
   SELECT * FROM (SELECT {clean('hn', sent)} AS hn, {clean_year('year', sent)} AS year, {clean('stage', sent)} AS stage,
                         {clean('treatment', sent)} AS treatment, row_idx FROM raw_events)
   WHERE stage IN {in_list(stages)}),
-unknown AS (SELECT hn, {clean_year('year', sent)} AS year FROM raw_entities WHERE stage = {q(TPCH_UNKNOWN_SEGMENT)}),
+unknown AS (SELECT hn, {clean_year(unknown_year, sent)} AS year FROM raw_entities WHERE stage = {q(TPCH_UNKNOWN_SEGMENT)}),
 years AS (SELECT DISTINCT year FROM entities WHERE year <> {q(sent)} AND year <> {q(ALL_SCOPE)}),
 scopes AS (SELECT {q(ALL_SCOPE)} AS scope UNION ALL SELECT year AS scope FROM years),
 ent_s AS (SELECT {q(ALL_SCOPE)} AS scope, e.* FROM entities e
@@ -227,11 +234,11 @@ summary_full AS (
 """
 
 
-def with_base(select: str, encoding: str = "P", variant: bool = False, override: int | None = None, **params) -> str:
+def with_base(select: str, encoding: str = "P", variant: bool = False, override: int | None = None, books: bool = False, unknown_year: str = "year", **params) -> str:
     spec = clinical_spec(**params) if encoding == "C" else tpch_spec(encoding, **params)
     if variant:
         spec = active_only_variant(spec, VARIANT_DROP)
-    return "WITH " + base(spec, encoding, override).strip() + "\n" + select.strip()
+    return "WITH " + base(spec, encoding, override, books, unknown_year).strip() + "\n" + select.strip()
 
 
 def fmt_count(x: str) -> str:
@@ -445,8 +452,45 @@ SELECT scope, treatment, first_percent, last_percent, last_percent - first_perce
             variant=True,
         ),
     }
+    out |= ingest_sql()
     return {k: v.strip() for k, v in out.items()}
 
 
+def ingest_sql() -> dict[str, str]:
+    """The exported files' rows and order, from the tables they were written from."""
+    book = BOOK.format("hn")
+    odd = f"CASE WHEN ({book}) % 2 = 0 THEN year END"
+    whole = {
+        "entities": ("raw_entities", "hn, year, stage", "hn, year, stage"),
+        "events": ("raw_events", "hn, year, stage, treatment", "hn, year, stage, treatment"),
+        "unknown": (f"(SELECT * FROM raw_entities WHERE stage = {q(TPCH_UNKNOWN_SEGMENT)})", f"hn, {odd} AS year", "hn, year"),
+    }
+    out = {}
+    for what, (table, in_books, in_text) in whole.items():
+        above = 1 if what == "unknown" else 0  # a preamble row
+        out[f"workbook_{what}"] = with_base(
+            f"""
+SELECT {in_books}, (SELECT count(DISTINCT {BOOK.format('c.c_custkey')}) FROM customer c WHERE {BOOK.format('c.c_custkey')} < {BOOK.format('t.hn')}) AS book_rank,
+       row_number() OVER (PARTITION BY {book} ORDER BY row_idx) + {above} AS sheet_row
+FROM {table} t""",
+            "C",
+        )
+        out[f"text_{what}"] = with_base(f"SELECT {in_text}, row_number() OVER (ORDER BY {book}, row_idx) AS place FROM {table} t", "C")
+    out["workbook_override"] = f"""
+SELECT printf('book-%09d.xlsx', book) AS book,
+       CASE book % 6 WHEN 1 THEN 'not counted' WHEN 3 THEN CAST(book + 1 AS VARCHAR) WHEN 4 THEN (book + 1) || '.75' WHEN 5 THEN ' ' || (book + 1) || ' ' END AS cell,
+       CASE WHEN book % 6 >= 3 THEN book + 1 END AS override
+FROM (SELECT DISTINCT {BOOK.format('c_custkey')} AS book FROM customer)"""
+    out["workbook_summary"] = with_base(
+        "SELECT scope, known_patients, treatment_events, CAST(stage_count AS INTEGER) AS stage_count, unknown_patients, "
+        "active_patients, multimodal_patients, multimodal_percent FROM summary_full",
+        "C",
+        unknown_year=odd,
+    )
+    out["workbook_regimen_topk"] = with_base(REGIMEN_SELECT, "C", books=True)
+    out["text_regimen_topk"] = with_base(REGIMEN_SELECT, "C", books=True)
+    return out
+
+
 HEATMAP_SELECT = "SELECT scope, CAST(heat_ord AS INTEGER) AS heat_ord, treatment, label, CAST(stage_ord AS INTEGER) AS stage_ord, stage, count, percent FROM heatmap"
 REGIMEN_SELECT = "SELECT scope, stage, rank, regimen, count, percent, width, combined FROM regimens"

@@ -35,6 +35,8 @@ from .document import (
     parse_document,
 )
 
+from .ingest import QUERIES as INGEST_QUERIES
+
 # The "Other"-like modality dropped in the active-denominator variant.
 VARIANT_DROP = ("5-LOW",)
 
@@ -439,4 +441,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "trap_stage_lookup": q_trap_stage_lookup,
     "variant_coverage_peak": q_variant_peak,
     "variant_coverage_trend": q_variant_trend,
+    **INGEST_QUERIES,
 }

@@ -16,13 +16,10 @@ import argparse
 from pyspark.sql import SparkSession
 
 from ..sources.sinks import write_document, write_flat
-from ..sources.tables import PANDAS_NA_TOKENS, TableSource, read_inputs
+from ..sources.tables import PANDAS_NA_TOKENS, SHEET_COLUMNS, TableSource, read_inputs, workbook_sources
 from ..spec import clinical_spec
 from .cohort import CohortBuild
 
-# The source sheets' column headers (id, year, main stage, modality).
-SHEET_COLUMNS = {"hn": "HN", "year": "ปี", "stage": "Stage_หลัก", "treatment": "วิธีการรักษา"}
-
 
 def run(spark: SparkSession, args: argparse.Namespace) -> dict[str, str]:
     def source(path: str, fmt: str, header_row: int = 0, order_by: str | None = None) -> TableSource:

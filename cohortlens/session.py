@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -45,3 +46,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         path = tempfile.mkdtemp(prefix="cohortlens-ckpt-")
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir() or path
+
+
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A fresh path under the folder that all executors share (``spark.checkpoint.dir``)."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"

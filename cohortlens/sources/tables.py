@@ -12,6 +12,9 @@ path) and ``_metadata.row_index``; text rows by the rank of their split (file,
 then offset) and the position that ``monotonically_increasing_id`` gives inside
 a scan partition. The ranks are a joined table of one row per file or split.
 
+A workbook (``format="xlsx"``) is read sheet by sheet (``workbook.py``); its rows
+are ordered by the rank of the workbook and the row of the sheet.
+
 Text formats are read with the width of their header line, which is the first
 file's line below ``header_row`` preamble lines (blank lines do not count). A
 file whose header names a mapped column elsewhere makes the read fail, so no
@@ -30,8 +33,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.sql import lit
+from ..functions.sql import lit, name
 from ..model import CohortInputs
+from .workbook import override_sql, sheet_cells, sheet_rows, workbook_files
 
 # pandas' default missing-value tokens (read_excel / read_csv
 # ``na_values`` defaults), applied to text sources so that a spreadsheet export
@@ -68,8 +72,10 @@ class TableSource:
     columns: dict[str, str]  # canonical -> source column
     format: str = "parquet"
     order_by: str | None = None  # source column holding the ingestion order
-    header_row: int = 0  # text formats: lines above the header line
+    header_row: int = 0  # text formats and workbooks: lines above the header line
     null_tokens: tuple[str, ...] = ()
+    sheet: str | int = 0  # workbooks: the sheet's name or place
+    container: str | None = None  # workbooks: format of a table of (path, content) rows, where they are not files
     options: dict[str, str] = field(default_factory=dict)
 
 
@@ -93,12 +99,12 @@ def _with_position(df: DataFrame, kind: str) -> DataFrame:
     return df.select("*", F.col("_metadata.file_path").alias("_file"), block.alias("_block"), pos.alias("_pos"))
 
 
-def _ranked(df: DataFrame, kind: str) -> DataFrame:
+def _ranked(df: DataFrame, kind: str, splits: DataFrame | None = None) -> DataFrame:
     """``df`` with row_idx: the rank of a row's file or split above its position there."""
-    bits = FILE_BITS if kind == "parquet" else SPLIT_BITS
+    bits = FILE_BITS if kind in ("parquet", "xlsx") else SPLIT_BITS
     key = F.concat(F.regexp_extract("_file", _URI, 1), F.regexp_extract("_file", _URI, 2))
-    # one row per split (Parquet: per file)
-    splits = df.select("_file", "_block").distinct()
+    # one row per split (Parquet, workbooks: per file)
+    splits = (df if splits is None else splits).select("_file", "_block").distinct()
     rank = F.row_number().over(Window.orderBy(key, "_block")) - 1
     splits = splits.select(F.col("_file").alias("_f"), F.col("_block").alias("_b"), rank.cast("bigint").alias("_rank"))
     joined = df.join(splits, (F.col("_file") == F.col("_f")) & (F.col("_block") == F.col("_b")))
@@ -148,6 +154,16 @@ def _csv_rows(spark: SparkSession, src: TableSource) -> DataFrame:
     return df.select(*[F.col(f"_c{i}").alias(c) for c, i in places.items()], "_file", "_block", "_pos")
 
 
+def _workbook_rows(spark: SparkSession, src: TableSource) -> tuple[DataFrame, DataFrame]:
+    """Rows of the sheet in every workbook, as string columns by their names, and one row a workbook."""
+    files = workbook_files(spark, _paths(src), src.container)
+    names = list(dict.fromkeys([*src.columns.values(), *([src.order_by] if src.order_by else [])]))
+    block = F.lit(0).cast("bigint").alias("_block")
+    rows = sheet_rows(files, src.sheet, names, src.header_row)
+    columns = [F.col(f"c{i}").alias(n) for i, n in enumerate(names)]
+    return rows.select(*columns, "_file", block, "_pos"), files.select(F.col("path").alias("_file"), block)
+
+
 def _order_key(df: DataFrame, column: str) -> Column:
     """An explicit ingestion-order column as bigint without losing resolution."""
     kind = df.schema[column].dataType.typeName()
@@ -163,34 +179,41 @@ def _order_key(df: DataFrame, column: str) -> Column:
 
 def read_source(spark: SparkSession, src: TableSource, canonical: list[str]) -> DataFrame:
     """A canonical table (canonical columns as string + row_idx)."""
+    splits = None
     if src.format == "csv":
         df = _csv_rows(spark, src)
+    elif src.format == "xlsx":
+        df, splits = _workbook_rows(spark, src)
     else:
         df = _with_position(spark.read.format(src.format).options(**src.options).load(_paths(src)), src.format)
-    if src.order_by:
+    if src.order_by and src.format == "xlsx":
+        df = df.withColumn("row_idx", F.expr(override_sql(name(src.order_by))))
+    elif src.order_by:
         df = df.withColumn("row_idx", _order_key(df, src.order_by))
     else:
-        df = _ranked(df, src.format)
+        df = _ranked(df, src.format, splits)
     id_column = src.columns.get("hn")
     if "hn" in canonical and id_column in df.columns and df.schema[id_column].dataType.typeName() in ("float", "double"):
         raise ValueError(f"id column {id_column!r} is a floating-point number; give ids as text or integers")
 
     out = []
-    for name in canonical:
-        source_col = src.columns.get(name)
+    for field_name in canonical:
+        source_col = src.columns.get(field_name)
         if source_col is not None and source_col in df.columns:
             c = F.col(f"`{source_col}`").cast("string")
             if src.null_tokens:
                 c = F.when(c.isin(list(src.null_tokens)), F.lit(None).cast("string")).otherwise(c)
         else:
             c = F.lit(None).cast("string")  # S5: absent optional column
-        out.append(c.alias(name))
+        out.append(c.alias(field_name))
     return df.select(*out, "row_idx")
 
 
 def read_cell(spark: SparkSession, src: TableSource, row: int, col: int) -> int | None:
     """One cell of a sheet export (``row`` counts data rows below the header,
     ``col`` is 0-based), as an integer when it holds a finite number, else None."""
+    if src.format == "xlsx":
+        return _workbook_cell(spark, src, row, col)
     columns = [f"_c{i}" for i in range(col + 1)]
     lines = _numbered(_with_position(_csv_reader(spark, src, columns).option("header", "false").load(_paths(src)), "csv"))
     wanted = lines.where(F.col("_at") == src.header_row + 1 + row).orderBy("_file").select(f"_c{col}").limit(1).collect()
@@ -204,6 +227,14 @@ def read_cell(spark: SparkSession, src: TableSource, row: int, col: int) -> int
     return int(value) if math.isfinite(value) else None
 
 
+def _workbook_cell(spark: SparkSession, src: TableSource, row: int, col: int) -> int | None:
+    """The cell's integer: of one workbook its own, of several the sum where all have one."""
+    cells = sheet_cells(workbook_files(spark, _paths(src), src.container), src.sheet, row, col, src.header_row)
+    value = F.expr(override_sql("text", src.null_tokens or PANDAS_NA_TOKENS))
+    total, missing = cells.select(value.alias("v")).agg(F.sum("v"), F.count(F.when(F.col("v").isNull(), 1))).first()
+    return None if missing else total
+
+
 def read_inputs(
     spark: SparkSession,
     entities: TableSource,
@@ -216,5 +247,28 @@ def read_inputs(
     evs = read_source(spark, events, ["hn", "year", "stage", "treatment"])
     unk = read_source(spark, unknown, ["hn", "year"]).drop("row_idx")
     value = read_cell(spark, override, *override_cell) if override is not None else None
-    name = _paths(entities)[0].rstrip("/").rsplit("/", 1)[-1]  # S8: lineage field
-    return CohortInputs(ents, evs, unk, unknown_override=value, source_name=name)
+    source = _paths(entities)[0].rstrip("/").rsplit("/", 1)[-1]  # S8: lineage field
+    return CohortInputs(ents, evs, unk, unknown_override=value, source_name=source)
+
+
+# The source workbook's sheets, its headers, the preamble row of the
+# unknown sheet and the place of the override cell.
+SHEETS = {"override": "Dashboard", "entities": "Patient Data", "events": "Treatment Data", "unknown": "Unknown"}
+SHEET_COLUMNS = {"hn": "HN", "year": "ปี", "stage": "Stage_หลัก", "treatment": "วิธีการรักษา"}
+UNKNOWN_HEADER_ROW = 1
+OVERRIDE_CELL = (4, 7)
+
+
+def workbook_sources(path: str | list[str], container: str | None = None, null_tokens: tuple[str, ...] = PANDAS_NA_TOKENS) -> dict[str, TableSource]:
+    """The four sheets of a workbook, or of every workbook of a folder, as arguments of ``read_inputs``."""
+
+    def sheet(what: str, columns: list[str], header_row: int = 0) -> TableSource:
+        mapped = {c: SHEET_COLUMNS[c] for c in columns}
+        return TableSource(path, mapped, format="xlsx", sheet=SHEETS[what], header_row=header_row, null_tokens=null_tokens, container=container)
+
+    return {
+        "entities": sheet("entities", ["hn", "year", "stage"]),
+        "events": sheet("events", ["hn", "year", "stage", "treatment"]),
+        "unknown": sheet("unknown", ["hn", "year"], UNKNOWN_HEADER_ROW),
+        "override": sheet("override", []),
+    }
