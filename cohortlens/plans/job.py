@@ -3,6 +3,8 @@
     spark-submit -m cohortlens.plans.job --entities s3://…/patients --events s3://…/treatments \\
         --unknown s3://…/unknown.csv --unknown-format csv --unknown-header-row 1 --out s3://…/cohort
 
+or, straight from a workbook or a folder of them, ``--workbook s3://…/book.xlsx --out …``.
+
 The fact table is checkpointed to the cluster's ``spark.checkpoint.dir`` (the
 job sets none of its own when the cluster names one), so the four flat writes
 and the document read it instead of the raw inputs, and a lost executor never
@@ -26,14 +28,17 @@ def run(spark: SparkSession, args: argparse.Namespace) -> dict[str, str]:
         tokens = PANDAS_NA_TOKENS if fmt == "csv" else ()
         return TableSource(path, SHEET_COLUMNS, format=fmt, header_row=header_row, null_tokens=tokens, order_by=order_by)
 
-    override = TableSource(args.dashboard, {}, format="csv") if args.dashboard else None
-    inputs = read_inputs(
-        spark,
-        entities=source(args.entities, args.format, order_by=getattr(args, "entities_order_by", None)),
-        events=source(args.events, args.format, order_by=getattr(args, "events_order_by", None)),
-        unknown=source(args.unknown, args.unknown_format, args.unknown_header_row),
-        override=override,
-    )
+    if getattr(args, "workbook", None):
+        inputs = read_inputs(spark, **workbook_sources(args.workbook))
+    else:
+        override = TableSource(args.dashboard, {}, format="csv") if args.dashboard else None
+        inputs = read_inputs(
+            spark,
+            entities=source(args.entities, args.format, order_by=getattr(args, "entities_order_by", None)),
+            events=source(args.events, args.format, order_by=getattr(args, "events_order_by", None)),
+            unknown=source(args.unknown, args.unknown_format, args.unknown_header_row),
+            override=override,
+        )
     spec = clinical_spec(top_k=args.top_k)
     b = CohortBuild(inputs, spec, materialize="checkpoint", rollup_pattern=args.rollup_pattern)
     paths = write_flat(b, args.out)
@@ -44,9 +49,10 @@ def run(spark: SparkSession, args: argparse.Namespace) -> dict[str, str]:
 
 def main(argv: list[str] | None = None) -> None:
     p = argparse.ArgumentParser(description="cohort pattern build")
-    p.add_argument("--entities", required=True)
-    p.add_argument("--events", required=True)
-    p.add_argument("--unknown", required=True)
+    p.add_argument("--workbook", help="a workbook, or a folder of them, in place of the three tables and the dashboard")
+    p.add_argument("--entities")
+    p.add_argument("--events")
+    p.add_argument("--unknown")
     p.add_argument("--dashboard", help="sheet export holding the unknown-total override cell")
     p.add_argument("--format", default="parquet")
     p.add_argument("--entities-order-by", default=None, help="integer, date or timestamp column of the ingestion order")
@@ -58,6 +64,8 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--var-name", default=None)
     p.add_argument("--out", required=True)
     args = p.parse_args(argv)
+    if not args.workbook and not (args.entities and args.events and args.unknown):
+        p.error("give --workbook, or --entities, --events and --unknown")
     spark = SparkSession.builder.appName("cohortlens").getOrCreate()
     run(spark, args)
 
