@@ -81,6 +81,8 @@ def values(rows, cols) -> str:
 def treatment_sql(encoding: str) -> str:
     if encoding in ("P", "T"):
         return "o.o_orderpriority"
+    if encoding == "X":
+        return "printf('M%02d', (o.o_orderkey + o.o_custkey) % 75)"
     pair = "o.o_orderpriority || '/' || o.o_orderstatus"
     if encoding == "W":
         return pair
@@ -350,10 +352,7 @@ SELECT scope, treatment, stage,
        count = 0 AS empty
 FROM heatmap"""),
         "stage_modality_flow": with_base("SELECT scope, stage, treatment, count AS n FROM heatmap WHERE count > 0"),
-        "modality_mix_by_stage": with_base(f"""
-SELECT scope, stage, treatment, label, n, {pct('n', 'sum(n) OVER (PARTITION BY scope, stage)', 1)} AS share FROM (
-  SELECT p.scope, p.stage, p.treatment, a.short AS label, count(DISTINCT p.hn) AS n
-  FROM pt p JOIN act_dim a ON a.treatment = p.treatment GROUP BY p.scope, p.stage, p.treatment, a.short)"""),
+        "modality_mix_by_stage": with_base(MIX_SELECT),
         "entity_modality_set": with_base("""
 SELECT p.scope, p.hn, CAST(p.n_modalities AS INTEGER) AS n_modalities, f.first_idx, p.regimen
 FROM psets p JOIN first_seen f ON f.scope = p.scope AND f.hn = p.hn"""),
@@ -423,7 +422,7 @@ FROM stage_table t WHERE NOT EXISTS (SELECT 1 FROM regimens r WHERE r.scope = t.
         "document_heads": with_base(
             f"""SELECT 'years' AS part, CAST(row_number() OVER (ORDER BY year) - 1 AS INTEGER) AS place, year AS value FROM years
 UNION ALL SELECT part, place, value FROM {values([("notes", i, n) for i, n in enumerate(clinical_spec().notes)], ["part", "place", "value"])}
-UNION ALL SELECT 'sourceFile', 0, 'customer+orders'""",
+UNION ALL SELECT 'sourceFile', 0, 'customer.parquet+orders.parquet'""",
             "C",
         ),
         "trap_regimen_topk": with_base(REGIMEN_SELECT, "T"),
@@ -452,6 +451,21 @@ SELECT scope, treatment, first_percent, last_percent, last_percent - first_perce
             variant=True,
         ),
     }
+    for what in ("summary", "heatmap"):
+        out[f"document_parts_{what}"] = out[f"document_{what}"]
+    out["document_parts_manifest"] = out["document_heads"]
+    out["wide_entity_modality_set"] = with_base(
+        """
+SELECT p.scope, p.hn, CAST(p.n_modalities AS INTEGER) AS n_modalities, f.first_idx, p.regimen
+FROM psets p JOIN first_seen f ON f.scope = p.scope AND f.hn = p.hn""",
+        "X",
+    )
+    out["wide_regimen_topk"] = with_base(REGIMEN_SELECT, "X")
+    out["wide_coverage_heatmap"] = with_base(HEATMAP_SELECT, "X")
+    out["wide_multimodal_by_stage"] = with_base(
+        "SELECT scope, stage, patients, active_patients, multimodal_patients, multimodal_percent FROM stage_table", "X"
+    )
+    out["wide_modality_mix"] = with_base(MIX_SELECT, "X")
     out |= ingest_sql()
     return {k: v.strip() for k, v in out.items()}
 
@@ -494,3 +508,7 @@ FROM (SELECT DISTINCT {BOOK.format('c_custkey')} AS book FROM customer)"""
 
 HEATMAP_SELECT = "SELECT scope, CAST(heat_ord AS INTEGER) AS heat_ord, treatment, label, CAST(stage_ord AS INTEGER) AS stage_ord, stage, count, percent FROM heatmap"
 REGIMEN_SELECT = "SELECT scope, stage, rank, regimen, count, percent, width, combined FROM regimens"
+MIX_SELECT = f"""
+SELECT scope, stage, treatment, label, n, {pct('n', 'sum(n) OVER (PARTITION BY scope, stage)', 1)} AS share FROM (
+  SELECT p.scope, p.stage, p.treatment, a.short AS label, count(DISTINCT p.hn) AS n
+  FROM pt p JOIN act_dim a ON a.treatment = p.treatment GROUP BY p.scope, p.stage, p.treatment, a.short)"""

@@ -9,6 +9,9 @@ from pyspark.sql import Column
 
 from .sql import E, arr, lit
 
+#: Bits of one bigint word of a mask; masks of more bits have several words.
+WORD_BITS = 63
+
 _SPLITTER = "134217729.0D"  # 2**27 + 1, Veltkamp split of a double into two halves
 
 
@@ -61,14 +64,42 @@ def bit_sql(pos: str) -> str:
     return f"(CASE WHEN ({pos}) >= 0 THEN shiftleft(1L, {pos}) ELSE 0L END)"
 
 
+def mask_words(base: str, n_bits: int) -> list[str]:
+    """Columns that hold a mask of so many bits: ``base``, ``base_1``, ..., 63 bits each."""
+    return [base] + [f"{base}_{w}" for w in range(1, -(-n_bits // WORD_BITS))]
+
+
+def bit_word_sql(pos: str, word: int, n_bits: int) -> str:
+    """Word ``word`` of the mask with the one bit ``pos`` (0 where pos is negative)."""
+    if n_bits <= WORD_BITS:
+        return bit_sql(pos)
+    low = word * WORD_BITS
+    return f"(CASE WHEN ({pos}) >= {low} AND ({pos}) < {low + WORD_BITS} THEN shiftleft(1L, ({pos}) - {low}) ELSE 0L END)"
+
+
 def bit_value_sql(mask: str, pos: int) -> str:
-    """0/1 bigint for bit ``pos`` of ``mask`` (null mask -> 0)."""
-    return f"coalesce(shiftright({mask}, {pos}) & 1L, 0L)"
+    """0/1 bigint for bit ``pos`` of the mask ``mask`` (null mask -> 0)."""
+    return f"coalesce(shiftright({mask_word(mask, pos)}, {pos % WORD_BITS}) & 1L, 0L)"
+
+
+def mask_word(base: str, pos: int) -> str:
+    """The column that holds bit ``pos`` of a mask."""
+    return mask_words(base, pos + 1)[-1]
+
+
+def any_bit_sql(words: Sequence[str]) -> str:
+    return "(" + " OR ".join(f"{w} <> 0" for w in words) + ")"
+
+
+def count_bits_sql(words: Sequence[str]) -> str:
+    return "(" + " + ".join(f"bit_count({w})" for w in words) + ")"
 
 
 def decode_mask_sql(mask: str, labels: Sequence[str], sep: str = " + ") -> str:
     """P5: join the labels of the set bits, in bit order (``concat_ws`` skips nulls)."""
-    parts = ", ".join(f"CASE WHEN shiftright({mask}, {i}) & 1L = 1L THEN {lit(lab)} END" for i, lab in enumerate(labels))
+    parts = ", ".join(
+        f"CASE WHEN shiftright({mask_word(mask, i)}, {i % WORD_BITS}) & 1L = 1L THEN {lit(lab)} END" for i, lab in enumerate(labels)
+    )
     return f"concat_ws({lit(sep)}, {parts})"
 
 

@@ -11,7 +11,7 @@ the source and never re-derived after a shuffle.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -47,13 +47,13 @@ class CohortInputs:
     events: DataFrame
     unknown: DataFrame
     unknown_override: int | None = None  # S4: the dashboard's override cell
-    source_name: str = ""  # S8: lineage field of the document
+    source_name: str = ""  # S8: lineage field of the document, where it is not to come from the files
+    source_files: DataFrame | None = None  # S8: names of the scanned files (column ``name``)
 
     def select_canonical(self) -> CohortInputs:
-        return CohortInputs(
-            self.entities.select(*ENTITY_SCHEMA.fieldNames()),
-            self.events.select(*EVENT_SCHEMA.fieldNames()),
-            self.unknown.select(*UNKNOWN_SCHEMA.fieldNames()),
-            self.unknown_override,
-            self.source_name,
+        return replace(
+            self,
+            entities=self.entities.select(*ENTITY_SCHEMA.fieldNames()),
+            events=self.events.select(*EVENT_SCHEMA.fieldNames()),
+            unknown=self.unknown.select(*UNKNOWN_SCHEMA.fieldNames()),
         )

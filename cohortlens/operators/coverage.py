@@ -15,14 +15,13 @@ from ..functions.display import heat_dark_text, heat_wash
 from ..functions.numeric import bit_value_sql, pct
 from ..functions.sql import E, lit
 from ..spec import CohortSpec
-from .prepare import active_only
-from .scope import with_scope
+from .rollup import event_side_sql
 
 
 def coverage_cells(scopes: DataFrame, spec: CohortSpec, cells: DataFrame) -> DataFrame:
-    """Wide-dimension path (stages x heatmap rows > 63 bits): the dense
+    """Wide-dimension path (more than 63 cells): the dense
     (scope, stage, treatment) grid with counts from the per-stage rollup
-    ``cells`` (scope, hn, stage, heat_mask), attached by a small join."""
+    ``cells`` (scope, hn, stage, cell_mask), attached by a small join."""
     grid_cells = ", ".join(
         f"named_struct('stage_ord', {s}, 'stage', {lit(st.code)}, 'heat_ord', {h}, 'treatment', {lit(row.value)}, "
         f"'label', {lit(row.label)})"
@@ -31,7 +30,7 @@ def coverage_cells(scopes: DataFrame, spec: CohortSpec, cells: DataFrame) -> Dat
     )
     grid = scopes.select("scope", E(f"inline(array({grid_cells}))"))
     n_heat = len(spec.heatmap)
-    per_stage = cells.groupBy("scope", "stage").agg(*[E(f"sum({bit_value_sql('heat_mask', h)})", f"c{h}") for h in range(n_heat)])
+    per_stage = cells.groupBy("scope", "stage").agg(*[E(f"sum({bit_value_sql('cell_mask', h)})", f"c{h}") for h in range(n_heat)])
     pairs = ", ".join(f"named_struct('heat_ord', {h}, 'n', c{h})" for h in range(n_heat))
     long = per_stage.select("scope", "stage", E(f"inline(array({pairs}))"))
     joined = grid.join(long, ["scope", "stage", "heat_ord"], "left")
@@ -100,22 +99,28 @@ def stage_modality_flow(heatmap: DataFrame) -> DataFrame:
     return heatmap.where(F.col("count") > 0).select("scope", "stage", "treatment", F.col("count").alias("n"))
 
 
-def modality_mix(events: DataFrame, scopes: DataFrame, spec: CohortSpec) -> DataFrame:
+def modality_mix(ev: DataFrame, scopes: DataFrame, spec: CohortSpec, cells: DataFrame | None = None) -> DataFrame:
     """Q5: per (scope, event stage), the share of each active modality among
-    distinct (entity, modality) pairs.  Events must be cleaned and known-stage."""
-    labels = F.create_map(*[x for m in spec.modalities for x in (F.lit(m.value), F.lit(m.short))])
-    pairs = (
-        with_scope(active_only(events, spec).select("hn", "year", "stage", "treatment"), spec)
-        .groupBy("scope", "stage", "treatment")
-        .agg(F.count_distinct("hn").alias("n"))
-        .join(scopes.select("scope"), "scope")  # registry scopes only (one row per scope)
-    )
+    distinct (entity, modality) pairs.
+
+    An entity's cells say which pairs it has, so the counts are sums of the
+    event rollup's cell bits; past 63 cells, of the per-stage rollup ``cells``."""
+    places = {m.value: spec.cell_values.index(m.value) for m in spec.modalities}
+    n_values = len(spec.cell_values)
+
+    def row(stage: str, m, n: str) -> str:
+        return f"named_struct('stage', {stage}, 'treatment', {lit(m.value)}, 'label', {lit(m.short)}, 'n', {n})"
+
+    if cells is None:
+        named = [(s, st, m, f"mix_{s}_{k}") for s, st in enumerate(spec.stages) for k, m in enumerate(spec.modalities)]
+        sums = [E(f"sum({bit_value_sql('cov_mask', s * n_values + places[m.value])})", c) for s, _, m, c in named]
+        wide = ev.where(E(event_side_sql(spec))).groupBy("scope").agg(*sums)
+        rows = ", ".join(row(lit(st.code), m, c) for _, st, m, c in named)
+    else:
+        sums = [E(f"sum({bit_value_sql('cell_mask', places[m.value])})", f"mix_{k}") for k, m in enumerate(spec.modalities)]
+        wide = cells.groupBy("scope", "stage").agg(*sums)
+        rows = ", ".join(row("stage", m, f"mix_{k}") for k, m in enumerate(spec.modalities))
+    kept = wide.join(scopes.select("scope"), "scope")  # registry scopes only (one row per scope)
+    pairs = kept.select("scope", E(f"inline(array({rows}))")).where("n > 0")
     pairs = pairs.withColumn("total", F.sum("n").over(Window.partitionBy("scope", "stage")))
-    return pairs.select(
-        "scope",
-        "stage",
-        "treatment",
-        F.element_at(labels, F.col("treatment")).alias("label"),
-        "n",
-        pct("n", "total", 1).alias("share"),
-    )
+    return pairs.select("scope", "stage", "treatment", "label", "n", pct("n", "total", 1).alias("share"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -72,10 +74,9 @@ def prepare(inputs: CohortInputs, spec: CohortSpec, rollup_pattern: str | None =
     """Clean all three tables and apply F1 to entities and events."""
     ents = _raw_stage_prefilter(inputs.entities, spec)
     evs = _raw_stage_prefilter(inputs.events, spec)
-    return CohortInputs(
+    return replace(
+        inputs,
         entities=known_stage(clean_entities(ents, spec, rollup_pattern), spec),
         events=known_stage(clean_events(evs, spec, rollup_pattern), spec),
         unknown=clean_unknown(inputs.unknown, spec),
-        unknown_override=inputs.unknown_override,
-        source_name=inputs.source_name,
     )

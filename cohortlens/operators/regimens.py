@@ -15,10 +15,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.numeric import combined_sql, decode_mask, decode_mask_sql, pct_sql
+from ..functions.numeric import any_bit_sql, combined_sql, count_bits_sql, decode_mask, decode_mask_sql, mask_words, pct_sql
 from ..functions.sql import E, lit
 from ..spec import CohortSpec
-from .rollup import entity_side_sql, event_side_sql
+from .rollup import act_words, entity_side_sql, event_side_sql
+
+
+def _words(spec: CohortSpec) -> list[str]:
+    """The set's mask in the regimen tables."""
+    return mask_words("mask", len(spec.modalities))
 
 
 def regimen_name(mask: str, spec: CohortSpec):
@@ -31,10 +36,10 @@ def regimen_name_sql(mask: str, spec: CohortSpec) -> str:
 
 def entity_sets(ev: DataFrame, spec: CohortSpec) -> DataFrame:
     """A3 + P5: (scope, hn) -> modality count, first active event, regimen name."""
-    return ev.where(F.col("act_mask") != 0).select(
+    return ev.where(E(any_bit_sql(act_words(spec)))).select(
         "scope",
         "hn",
-        F.bit_count("act_mask").cast("int").alias("n_modalities"),
+        E(f"CAST({count_bits_sql(act_words(spec))} AS INT)", "n_modalities"),
         "first_idx",
         regimen_name("act_mask", spec).alias("regimen"),
     )
@@ -42,12 +47,12 @@ def entity_sets(ev: DataFrame, spec: CohortSpec) -> DataFrame:
 
 def entity_assignments(fact: DataFrame, spec: CohortSpec) -> DataFrame:
     """J1 + F6: entities with a registry stage and a non-empty active set."""
-    keep = f"{entity_side_sql()} AND {event_side_sql(spec)} AND act_mask <> 0"
+    keep = f"{entity_side_sql(spec)} AND {event_side_sql(spec)} AND {any_bit_sql(act_words(spec))}"
     return fact.where(E(keep)).select(
         "scope",
         "hn",
         F.col("lookup_stage").alias("stage"),
-        F.col("act_mask").alias("mask"),
+        *[F.col(a).alias(m) for a, m in zip(act_words(spec), _words(spec))],
         "first_idx",
     )
 
@@ -56,7 +61,7 @@ def regimen_counts(fact: DataFrame, spec: CohortSpec) -> DataFrame:
     """A4: (scope, stage, regimen) -> entities, first_idx."""
     counts = (
         entity_assignments(fact, spec)
-        .groupBy("scope", "stage", "mask")
+        .groupBy("scope", "stage", *_words(spec))
         .agg(F.count(F.lit(1)).alias("n"), F.min("first_idx").alias("first_idx"))
     )
     return counts.withColumn("regimen", regimen_name("mask", spec))
@@ -71,14 +76,14 @@ def regimen_topk(counts: DataFrame, stages: DataFrame, spec: CohortSpec) -> Data
     k = spec.top_k
     den = stages.select("scope", "stage", "denominator")
     # the mask settles ties of events that have no order key
-    rank_w = Window.partitionBy("scope", "stage").orderBy(F.desc("n"), F.asc("first_idx"), F.asc("mask"))
+    rank_w = Window.partitionBy("scope", "stage").orderBy(F.desc("n"), F.asc("first_idx"), *[F.asc(c) for c in _words(spec)])
     # rank <= k as a filter on the row number: only k rows of a group and task pass the shuffle
     best = counts.where("first_idx IS NOT NULL").withColumn("rank", F.row_number().over(rank_w)).where(F.col("rank") <= k)
-    best = best.select("scope", "stage", "rank", F.col("n").alias("count"), "mask")
+    best = best.select("scope", "stage", "rank", F.col("n").alias("count"), *_words(spec))
     # the tail starts as the group's total; what is shown comes off below.  The
     # predicate is true by construction: with it both branches need the same columns of the counts
-    total = counts.where("first_idx IS NOT NULL").groupBy("scope", "stage").agg(F.lit(k + 1).alias("rank"), F.sum("n").alias("count"), F.lit(0).cast("bigint").alias("mask"))
-    rows = best.unionByName(total.select("scope", "stage", "rank", "count", "mask")).join(den, ["scope", "stage"])
+    total = counts.where("first_idx IS NOT NULL").groupBy("scope", "stage").agg(F.lit(k + 1).alias("rank"), F.sum("n").alias("count"), *[F.lit(0).cast("bigint").alias(c) for c in _words(spec)])
+    rows = best.unionByName(total.select("scope", "stage", "rank", "count", *_words(spec))).join(den, ["scope", "stage"])
     top = F.col("rank") <= k
     if spec.min_share is not None:
         share = E("CASE WHEN denominator > 0 THEN CAST(count AS DOUBLE) / CAST(denominator AS DOUBLE) * 100.0D END")

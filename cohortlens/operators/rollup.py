@@ -15,11 +15,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.numeric import bit_sql, ordinal_sql
+from ..functions.numeric import any_bit_sql, bit_sql, bit_word_sql, mask_words, ordinal_sql
 from ..functions.sql import E, arr, lit
 from ..spec import CohortSpec
 from .scope import with_scope
 
+
+
+def stage_words(spec: CohortSpec) -> list[str]:
+    return mask_words("stage_mask", len(spec.stages))
+
+
+def act_words(spec: CohortSpec) -> list[str]:
+    return mask_words("act_mask", len(spec.modalities))
+
+
+def cell_words(spec: CohortSpec) -> list[str]:
+    """Words of the masks by stage (``cell_rollup``)."""
+    return mask_words("cell_mask", len(spec.cell_values))
+
+
 # A row without an order key comes before every row that has one.
 ORDER_KEY = "coalesce(row_idx, -9223372036854775808L)"
 
@@ -34,44 +49,44 @@ def entity_rollup(entities: DataFrame, spec: CohortSpec) -> DataFrame:
         .groupBy("scope", "hn")
         .agg(
             F.max_by("stage_ord", "row_idx").alias("lookup_ord"),
-            F.bit_or(E(bit_sql("stage_ord"))).alias("stage_mask"),
+            *[F.bit_or(E(bit_word_sql("stage_ord", w, len(spec.stages)))).alias(c) for w, c in enumerate(stage_words(spec))],
         )
         .select(
             "scope",
             "hn",
             E(f"CASE WHEN lookup_ord >= 0 THEN element_at({arr(spec.stage_codes)}, lookup_ord + 1) END", "lookup_stage"),
-            "stage_mask",
+            *stage_words(spec),
         )
     )
 
 
 def event_bits(events: DataFrame, spec: CohortSpec) -> DataFrame:
-    """Per event row: coverage-cell bit and active-modality bit (0 when not applicable)."""
+    """Per event row: cell bit and active-modality bit (0 when not applicable), and the modality's place among the cells."""
     allowed = f"NOT (treatment IN ({', '.join(lit(v) for v in spec.non_active)}))" if spec.non_active else "true"
     stage_ord = ordinal_sql("stage", spec.stage_codes)
-    heat_ord = ordinal_sql("treatment", spec.heat_values)
+    value_ord = ordinal_sql("treatment", spec.cell_values)
     act_ord = ordinal_sql("treatment", [m.value for m in spec.regimen_modalities()])
-    n_heat = len(spec.heatmap)
-    cell_pos = f"CASE WHEN {allowed} AND {heat_ord} >= 0 AND {stage_ord} >= 0 THEN {stage_ord} * {n_heat} + {heat_ord} ELSE -1 END"
+    n_values, n_act = len(spec.cell_values), len(spec.modalities)
+    cell_pos = f"CASE WHEN {allowed} AND {value_ord} >= 0 AND {stage_ord} >= 0 THEN {stage_ord} * {n_values} + {value_ord} ELSE -1 END"
     act_pos = f"CASE WHEN {allowed} AND {act_ord} >= 0 THEN {act_ord} ELSE -1 END"
     return events.select(
         "hn",
         "year",
         "stage",
         E(ORDER_KEY, "row_idx"),
-        E(bit_sql(cell_pos), "cell_bit"),
-        E(bit_sql(act_pos), "act_bit"),
-        E(f"CASE WHEN {allowed} AND {heat_ord} >= 0 THEN {heat_ord} ELSE -1 END", "heat_ord"),
+        E(bit_sql(cell_pos) if spec.cells_fit_one_mask() else "0L", "cell_bit"),
+        *[E(bit_word_sql(act_pos, w, n_act), c) for w, c in enumerate(act_words(spec))],
+        E(f"CASE WHEN {allowed} AND {value_ord} >= 0 THEN {value_ord} ELSE -1 END", "value_ord"),
     )
 
 
 def event_rollup(events: DataFrame, spec: CohortSpec) -> DataFrame:
-    """(scope, hn) -> cov_mask (coverage cells), act_mask (active set, regimen bit
+    """(scope, hn) -> cov_mask (cells), act_mask (active set, regimen bit
     order), first_idx (first active event, for first-seen tie order), n_events."""
     bits = with_scope(event_bits(events, spec), spec)
     aggs = [
-        F.bit_or("act_bit").alias("act_mask"),
-        F.min(F.when(F.col("act_bit") != 0, F.col("row_idx"))).alias("first_idx"),
+        *[F.bit_or(c).alias(c) for c in act_words(spec)],
+        F.min(F.when(E(any_bit_sql(act_words(spec))), F.col("row_idx"))).alias("first_idx"),
         F.count(F.lit(1)).alias("n_events"),
     ]
     if spec.cells_fit_one_mask():
@@ -80,14 +95,11 @@ def event_rollup(events: DataFrame, spec: CohortSpec) -> DataFrame:
 
 
 def cell_rollup(events: DataFrame, spec: CohortSpec) -> DataFrame:
-    """Wide-dimension fallback for coverage (stages x heatmap > 63 bits):
-    (scope, hn, stage) -> heat_mask."""
+    """Wide-dimension path for coverage and mix (more than 63 cells):
+    (scope, hn, stage) -> cell_mask, of as many words as the cell values need."""
     bits = with_scope(event_bits(events, spec), spec)
-    return (
-        bits.where(F.col("heat_ord") >= 0)
-        .groupBy("scope", "hn", "stage")
-        .agg(F.bit_or(E(bit_sql("heat_ord"))).alias("heat_mask"))
-    )
+    words = [F.bit_or(E(bit_word_sql("value_ord", w, len(spec.cell_values)))).alias(c) for w, c in enumerate(cell_words(spec))]
+    return bits.where(F.col("value_ord") >= 0).groupBy("scope", "hn", "stage").agg(*words)
 
 
 # Every consumer of a rollup filters on these predicates, true by construction:
@@ -97,13 +109,13 @@ def cell_rollup(events: DataFrame, spec: CohortSpec) -> DataFrame:
 # rolling the raw rows up again for each output.  On the fact table they also
 # drop the rows of the other side, which contribute nothing to that side's
 # metrics.
-def entity_side_sql() -> str:
-    return "(lookup_stage IS NOT NULL AND stage_mask IS NOT NULL)"
+def entity_side_sql(spec: CohortSpec) -> str:
+    return "(lookup_stage IS NOT NULL AND " + " AND ".join(f"{c} IS NOT NULL" for c in stage_words(spec)) + ")"
 
 
 def event_side_sql(spec: CohortSpec) -> str:
     cov = " AND cov_mask IS NOT NULL" if spec.cells_fit_one_mask() else ""
-    return f"(n_events IS NOT NULL AND (first_idx IS NULL) = (act_mask = 0){cov})"
+    return f"(n_events IS NOT NULL AND (first_idx IS NOT NULL) = {any_bit_sql(act_words(spec))}{cov})"
 
 
 def fact_table(ent: DataFrame, ev: DataFrame) -> DataFrame:

@@ -21,10 +21,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.numeric import bit_value_sql, pct_sql
+from ..functions.numeric import bit_value_sql, count_bits_sql, mask_words, pct_sql
 from ..functions.sql import E, lit
 from ..spec import ALL_SCOPE, CohortSpec
-from .rollup import entity_side_sql, event_side_sql
+from .rollup import entity_side_sql, event_side_sql, stage_words
 from .scope import with_scope
 
 
@@ -47,27 +47,28 @@ def entity_metrics(ent: DataFrame, spec: CohortSpec) -> DataFrame:
     aggs += [E(f"coalesce(sum({bit_value_sql('stage_mask', i)}), 0L)", f"patients_{i}") for i in range(len(spec.stages))]
     # An empty 'all' row so the whole-population scope exists even with no input.
     seed = ent.sparkSession.range(1).select(F.lit(ALL_SCOPE).alias("scope"))
-    rows = ent.where(E(entity_side_sql())).select("scope", "stage_mask").unionByName(seed, allowMissingColumns=True)
+    rows = ent.where(E(entity_side_sql(spec))).select("scope", *stage_words(spec)).unionByName(seed, allowMissingColumns=True)
     return rows.groupBy("scope").agg(*aggs).where((F.col("known_patients") > 0) | (F.col("scope") == ALL_SCOPE))
 
 
 def event_metrics(ev: DataFrame, spec: CohortSpec) -> DataFrame:
     """A9 + coverage cell counts per scope from the event rollup (or the fact table)."""
-    n_heat = len(spec.heatmap)
+    n_heat, n_values = len(spec.heatmap), len(spec.cell_values)
     aggs = [_zero(F.sum("n_events")).alias("treatment_events")]
     if spec.cells_fit_one_mask():
         for s in range(len(spec.stages)):
             for h in range(n_heat):
-                aggs.append(E(f"coalesce(sum({bit_value_sql('cov_mask', s * n_heat + h)}), 0L)", f"cov_{s}_{h}"))
+                aggs.append(E(f"coalesce(sum({bit_value_sql('cov_mask', s * n_values + h)}), 0L)", f"cov_{s}_{h}"))
     return ev.where(E(event_side_sql(spec))).groupBy("scope").agg(*aggs)
 
 
 def set_metrics(regimen_counts: DataFrame, spec: CohortSpec) -> DataFrame:
     """A5 + A6 per scope and stage, summed from the (tiny) regimen counts."""
     aggs = []
+    several = f"{count_bits_sql(mask_words('mask', len(spec.modalities)))} >= 2"
     for i, st in enumerate(spec.stages):
         aggs.append(E(f"coalesce(sum(CASE WHEN stage = {lit(st.code)} THEN n END), 0L)", f"active_{i}"))
-        aggs.append(E(f"coalesce(sum(CASE WHEN stage = {lit(st.code)} AND bit_count(mask) >= 2 THEN n END), 0L)", f"multimodal_{i}"))
+        aggs.append(E(f"coalesce(sum(CASE WHEN stage = {lit(st.code)} AND {several} THEN n END), 0L)", f"multimodal_{i}"))
     return regimen_counts.groupBy("scope").agg(*aggs)
 
 

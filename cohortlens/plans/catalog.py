@@ -19,6 +19,7 @@ from ..operators import coverage as cov
 from ..operators import regimens as reg
 from ..operators.prepare import active_only, distinct_entity_modality, not_blacklisted
 from ..operators.scope import scoped_entities
+from ..session import shared_folder
 from ..sources import tpch
 from ..spec import ALL_SCOPE, CLINICAL_SUBSTAGE_PATTERN, active_only_variant, clinical_spec, tpch_spec
 from .cohort import CohortBuild
@@ -176,8 +177,7 @@ def q_stage_modality_flow(spark, sf):
 
 
 def q_modality_mix_by_stage(spark, sf):
-    b = build(spark, sf)
-    return cov.modality_mix(b.events, _registry_scopes(b), b.spec)
+    return build(spark, sf).modality_mix
 
 
 # -- sets and regimens ------------------------------------------------------------------
@@ -194,7 +194,7 @@ def q_regimen_label(spark, sf):
         "treatment string, short string, regimen_ord int",
     )
     seen = b.events.select("treatment").distinct()
-    # the dimension has one row per active modality, at most 63 (CohortSpec checks it)
+    # the dimension has one row per active modality, as many as the spec lists
     return seen.join(F.broadcast(dim), "treatment", "left").select(
         "treatment", F.coalesce("short", "treatment").alias("label"), "regimen_ord"
     )
@@ -346,9 +346,58 @@ def q_document_heatmap(spark, sf):
 
 
 def q_document_heads(spark, sf):
-    # the folder of the tables is no part of the result
-    value = F.when(F.col("part") == "sourceFile", F.regexp_extract("value", "[^/]+$", 0)).otherwise(F.col("value"))
-    return document_heads(_read_back(spark, sf)).withColumn("value", value)
+    return document_heads(_read_back(spark, sf))
+
+
+def _parts(spark, sf) -> str:
+    """The document as one JSON a scope and a manifest, written under the shared folder."""
+    from ..sources.sinks import write_document_parts
+
+    path = shared_folder(spark, "document-parts")
+    write_document_parts(build(spark, sf, "C"), path)
+    return path
+
+
+def q_document_parts_summary(spark, sf):
+    from ..sources.sinks import read_document_parts
+
+    return flatten_summary(read_document_parts(spark, _parts(spark, sf)))
+
+
+def q_document_parts_heatmap(spark, sf):
+    from ..sources.sinks import read_document_parts
+
+    return flatten_heatmap(read_document_parts(spark, _parts(spark, sf)), clinical_spec())
+
+
+def q_document_parts_manifest(spark, sf):
+    from ..sources.sinks import read_manifest
+
+    return document_heads(read_manifest(spark, _parts(spark, sf)), "manifest")
+
+
+# -- more modalities than one bigint mask holds (encoding X) ------------------------------
+def q_wide_entity_modality_set(spark, sf):
+    b = build(spark, sf, "X")
+    return reg.entity_sets(b.event_rollup, b.spec).join(_registry_scopes(b), "scope", "left_semi")
+
+
+def q_wide_regimen_topk(spark, sf):
+    return build(spark, sf, "X").regimens
+
+
+def q_wide_coverage_heatmap(spark, sf):
+    return build(spark, sf, "X").heatmap
+
+
+def q_wide_modality_mix(spark, sf):
+    return build(spark, sf, "X").modality_mix
+
+
+def q_wide_multimodal_by_stage(spark, sf):
+    return build(spark, sf, "X").stages.select(
+        "scope", "stage", "patients", "active_patients", "multimodal_patients", "multimodal_percent"
+    )
 
 
 # -- the traps of SURVEY §1.1 (encoding T) -----------------------------------------------
@@ -434,6 +483,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "document_panels": q_document_panels,
     "document_heatmap": q_document_heatmap,
     "document_heads": q_document_heads,
+    "document_parts_summary": q_document_parts_summary,
+    "document_parts_heatmap": q_document_parts_heatmap,
+    "document_parts_manifest": q_document_parts_manifest,
     "trap_regimen_topk": q_trap_regimen_topk,
     "trap_coverage_heatmap": q_trap_coverage_heatmap,
     "trap_summary": q_trap_summary,
@@ -441,5 +493,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "trap_stage_lookup": q_trap_stage_lookup,
     "variant_coverage_peak": q_variant_peak,
     "variant_coverage_trend": q_variant_trend,
+    "wide_entity_modality_set": q_wide_entity_modality_set,
+    "wide_regimen_topk": q_wide_regimen_topk,
+    "wide_coverage_heatmap": q_wide_coverage_heatmap,
+    "wide_modality_mix": q_wide_modality_mix,
+    "wide_multimodal_by_stage": q_wide_multimodal_by_stage,
     **INGEST_QUERIES,
 }

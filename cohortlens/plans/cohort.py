@@ -161,11 +161,22 @@ class CohortBuild:
         return years_list(self.entities, self.spec)
 
     # -- coverage ----------------------------------------------------------------
+    @cached_property
+    def cell_rollup(self) -> DataFrame:
+        """Wide-dimension path only (more than 63 cells)."""
+        return rollup.cell_rollup(self.events, self.spec)
+
     @cached_property
     def coverage_cells(self) -> DataFrame:
         """Wide-dimension path only: registry scopes x cells from the per-stage rollup."""
         scopes = self.entity_metrics.select("scope")
-        return cov.coverage_cells(scopes, self.spec, rollup.cell_rollup(self.events, self.spec))
+        return cov.coverage_cells(scopes, self.spec, self.cell_rollup)
+
+    @cached_property
+    def modality_mix(self) -> DataFrame:
+        """Q5 from the same rollup as the coverage."""
+        cells = None if self.spec.cells_fit_one_mask() else self.cell_rollup
+        return cov.modality_mix(self._event_source, self.entity_metrics, self.spec, cells)
 
     @cached_property
     def heatmap(self) -> DataFrame:

@@ -8,7 +8,7 @@ document gathers one dataset per scope.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import ordinal, pct_sql
@@ -162,6 +162,34 @@ def _document_rows_long(b: CohortBuild) -> DataFrame:
     )
 
 
+def source_column(b: CohortBuild, source_name: str | None = None) -> Column:
+    """The given name, or the names of the scanned files, in order."""
+    if source_name is None:
+        source_name = b.inputs.source_name
+    if source_name or b.inputs.source_files is None:
+        return F.lit(source_name)
+    names = F.array_join(F.array_sort(F.collect_set("name")), "+")
+    return b.inputs.source_files.agg(names.alias("names")).scalar()
+
+
+def manifest(b: CohortBuild, source_name: str | None = None) -> DataFrame:
+    """The document without its datasets: one row (sourceFile, years, scopes, notes)."""
+    scopes = b.entity_metrics.select("scope")
+    years = F.array_sort(F.collect_list(F.when(F.col("scope") != ALL_SCOPE, F.col("scope"))))
+    notes = F.array(*[F.lit(n) for n in b.spec.notes]).cast("array<string>")
+    return scopes.agg(years.alias("years")).select(
+        F.struct(
+            source_column(b, source_name).alias("sourceFile"),
+            "years",
+            F.concat(F.array(F.lit(ALL_SCOPE)), "years").alias("scopes"),
+            notes.alias("notes"),
+        ).alias("manifest")
+    )
+
+
+MANIFEST_TYPE = "struct<sourceFile:string,years:array<string>,scopes:array<string>,notes:array<string>>"
+
+
 def full_document(b: CohortBuild, source_name: str | None = None) -> DataFrame:
     """Q2: one row holding the whole document (all + byYear + years + notes).
 
@@ -174,11 +202,10 @@ def full_document(b: CohortBuild, source_name: str | None = None) -> DataFrame:
         F.first(F.when(is_all, F.col("dataset")), ignorenulls=True).alias("all"),
         F.map_from_entries(_by_key(F.collect_list(F.when(~is_all, F.struct("scope", "dataset"))), "scope")).alias("byYear"),
     )
-    src = source_name if source_name is not None else b.inputs.source_name
     notes = F.array(*[F.lit(n) for n in b.spec.notes]).cast("array<string>")
     return agg.select(
         F.struct(
-            F.lit(src).alias("sourceFile"),
+            source_column(b, source_name).alias("sourceFile"),
             "years",
             "all",
             "byYear",
@@ -273,8 +300,8 @@ def flatten_stages(rows: DataFrame) -> DataFrame:
     )
 
 
-def document_heads(parsed: DataFrame) -> DataFrame:
-    """The document's own lists: (part, place, value) of sourceFile, years and notes."""
-    listed = "transform(document.{0}, (v, i) -> named_struct('part', '{0}', 'place', i, 'value', v))"
-    head = "array(named_struct('part', 'sourceFile', 'place', 0, 'value', document.sourceFile))"
+def document_heads(parsed: DataFrame, of: str = "document") -> DataFrame:
+    """The document's own lists (or a manifest's): (part, place, value) of sourceFile, years and notes."""
+    listed = f"transform({of}.{{0}}, (v, i) -> named_struct('part', '{{0}}', 'place', i, 'value', v))"
+    head = f"array(named_struct('part', 'sourceFile', 'place', 0, 'value', {of}.sourceFile))"
     return parsed.select(E(f"inline(concat({head}, {listed.format('years')}, {listed.format('notes')}))"))

@@ -17,7 +17,7 @@ import argparse
 
 from pyspark.sql import SparkSession
 
-from ..sources.sinks import write_document, write_flat
+from ..sources.sinks import write_document, write_document_parts, write_flat
 from ..sources.tables import PANDAS_NA_TOKENS, SHEET_COLUMNS, TableSource, read_inputs, workbook_sources
 from ..spec import clinical_spec
 from .cohort import CohortBuild
@@ -42,7 +42,10 @@ def run(spark: SparkSession, args: argparse.Namespace) -> dict[str, str]:
     spec = clinical_spec(top_k=args.top_k)
     b = CohortBuild(inputs, spec, materialize="checkpoint", rollup_pattern=args.rollup_pattern)
     paths = write_flat(b, args.out)
-    write_document(b, f"{args.out.rstrip('/')}/document", var_name=args.var_name)
+    if getattr(args, "document_parts", False):
+        write_document_parts(b, f"{args.out.rstrip('/')}/document")
+    else:
+        write_document(b, f"{args.out.rstrip('/')}/document", var_name=args.var_name)
     b.release()
     return paths
 
@@ -62,6 +65,7 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--rollup-pattern", default=None, help="regex capturing the main stage from a sub-stage")
     p.add_argument("--top-k", type=int, default=6)
     p.add_argument("--var-name", default=None)
+    p.add_argument("--document-parts", action="store_true", help="one JSON a scope and a manifest in place of one document")
     p.add_argument("--out", required=True)
     args = p.parse_args(argv)
     if not args.workbook and not (args.entities and args.events and args.unknown):

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.cohort import CohortBuild
-from ..plans.document import document_json, full_document, parse_document
+from ..plans.document import DATASET_TYPE, MANIFEST_TYPE, document_json, document_rows, full_document, manifest, parse_document
 
 FLAT_OUTPUTS = ("summary", "stages", "heatmap", "regimens")
 
@@ -38,6 +38,29 @@ def write_document(b: CohortBuild, path: str, var_name: str | None = None, mode:
     document_json(full_document(b), var_name).coalesce(1).write.mode(mode).text(path)
 
 
+def write_document_parts(b: CohortBuild, path: str, source_name: str | None = None) -> None:
+    """S6 at any number of scopes: ``scopes/scope=<scope>`` holds one JSON text each, written by
+    different tasks; ``manifest`` (source, years, scopes, notes), written last, names them.
+
+    No row and no task ever holds more than one scope's dataset."""
+    rows = document_rows(b).select("scope", F.to_json("dataset").alias("value"))
+    rows.write.mode("overwrite").partitionBy("scope").text(f"{path.rstrip('/')}/scopes")
+    manifest(b, source_name).select(F.to_json("manifest").alias("value")).coalesce(1).write.mode("overwrite").text(f"{path.rstrip('/')}/manifest")
+
+
+def read_document_parts(spark: SparkSession, path: str, scope: str | None = None) -> DataFrame:
+    """S7 of the parts: (scope, dataset) rows of every scope, or of one (only its file is read)."""
+    text = spark.read.text(f"{path.rstrip('/')}/scopes", wholetext=True).withColumn("scope", F.col("scope").cast("string"))
+    if scope is not None:
+        text = text.where(F.col("scope") == scope)
+    return text.select("scope", F.from_json("value", DATASET_TYPE).alias("dataset"))
+
+
+def read_manifest(spark: SparkSession, path: str) -> DataFrame:
+    """The parts' manifest as a typed struct column ``manifest``."""
+    return spark.read.text(f"{path.rstrip('/')}/manifest", wholetext=True).select(F.from_json("value", MANIFEST_TYPE).alias("manifest"))
+
+
 def read_document(spark: SparkSession, path: str) -> DataFrame:
     """A written document back as a typed struct column ``document``."""
     return parse_document(spark.read.text(path, wholetext=True))

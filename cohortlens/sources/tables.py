@@ -235,6 +235,20 @@ def _workbook_cell(spark: SparkSession, src: TableSource, row: int, col: int) ->
     return None if missing else total
 
 
+def source_files(spark: SparkSession, src: TableSource) -> DataFrame:
+    """(name) of the files that a source is scanned from; part files go by their folder's name.
+
+    From the listing of the files, one row each: no content is read."""
+    return file_names(workbook_files(spark, _paths(src), src.container).select("path"))
+
+
+def file_names(files: DataFrame) -> DataFrame:
+    """Distinct names of files (column ``path``), with the folder's name in place of a part file's."""
+    folders = "regexp_replace(path, '/part-[^/]*$', '')"
+    plain = f"regexp_replace({folders}, '(/[^/=]+=[^/]*)+$', '')"  # folders of a partitioned table
+    return files.select(F.expr(f"url_decode(replace(regexp_extract({plain}, '[^/]+$', 0), '+', '%2B'))").alias("name")).distinct()
+
+
 def read_inputs(
     spark: SparkSession,
     entities: TableSource,
@@ -247,8 +261,8 @@ def read_inputs(
     evs = read_source(spark, events, ["hn", "year", "stage", "treatment"])
     unk = read_source(spark, unknown, ["hn", "year"]).drop("row_idx")
     value = read_cell(spark, override, *override_cell) if override is not None else None
-    source = _paths(entities)[0].rstrip("/").rsplit("/", 1)[-1]  # S8: lineage field
-    return CohortInputs(ents, evs, unk, unknown_override=value, source_name=source)
+    files = source_files(spark, entities).union(source_files(spark, events)).distinct()
+    return CohortInputs(ents, evs, unk, unknown_override=value, source_files=files)
 
 
 # The source workbook's sheets, its headers, the preamble row of the

@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 
 from ..functions.sql import arr, lit
 from ..model import CohortInputs
-from ..spec import TPCH_STAGE_SEGMENTS, TPCH_UNKNOWN_SEGMENT
+from .tables import file_names
+from ..spec import TPCH_STAGE_SEGMENTS, TPCH_UNKNOWN_SEGMENT, WIDE_LABELS
 
 
 def read(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
@@ -60,6 +61,8 @@ def treatment_expr(encoding: str) -> Column:
         return F.concat(F.col("o_orderpriority"), F.lit("/"), F.col("o_orderstatus"))
     if encoding == "C":
         return F.expr(_case_map("concat(o_orderpriority, '/', o_orderstatus)", CLINICAL_MODALITY_OF_ORDER))
+    if encoding == "X":
+        return F.expr(f"concat('M', lpad(CAST((o_orderkey + o_custkey) % {WIDE_LABELS} AS STRING), 2, '0'))")
     raise ValueError(f"unknown encoding {encoding!r}")
 
 
@@ -137,12 +140,13 @@ def tpch_inputs(spark: SparkSession, sf_dir: str, encoding: str = "P", unknown_o
     if encoding == "T":
         ents, events = trapped_entities(ents), trapped_events(events)
     unknown = ents.filter(F.col("stage") == TPCH_UNKNOWN_SEGMENT).select("hn", "year")
+    listed = spark.read.format("binaryFile").load([f"{sf_dir}/{t}.parquet" for t in ("customer", "orders")])
     return CohortInputs(
         entities=ents.drop("c_custkey"),
         events=events,
         unknown=unknown,
         unknown_override=unknown_override,
-        source_name=f"{sf_dir.rstrip('/').rsplit('/', 1)[-1]}/customer+orders",
+        source_files=file_names(listed.select("path")),
     )
 
 

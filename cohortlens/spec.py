@@ -11,8 +11,12 @@ every aggregate fixed width (``bit_or`` / ``min`` / ``count``) so Spark can
 partially aggregate before the shuffle.  Bit positions are assigned here:
 
 * active modality ``m``  -> bit ``regimen position of its short label``
-* heatmap cell ``(s, h)`` -> bit ``s * len(heatmap) + h``
+* cell ``(s, v)``         -> bit ``s * len(cell_values) + v`` (heatmap rows, then
+  the active modalities that are no heatmap row: coverage and modality mix)
 * stage ``s``             -> bit ``s`` (for per-entity stage membership)
+
+A mask of more than 63 bits is several bigint columns; cells beyond 63 are masks
+by stage (``rollup.cell_rollup``).
 """
 
 from __future__ import annotations
@@ -66,12 +70,6 @@ class CohortSpec:
     def __post_init__(self) -> None:
         if self.denominator not in ("all", "active"):
             raise ValueError("denominator must be 'all' or 'active'")
-        if len(self.stages) > MAX_BITS:
-            raise ValueError(f"at most {MAX_BITS} stages fit a bigint stage mask")
-        if len(self.modalities) > MAX_BITS:
-            raise ValueError(f"at most {MAX_BITS} active modalities fit a bigint set mask")
-        if len(self.heatmap) > MAX_BITS:
-            raise ValueError(f"at most {MAX_BITS} heatmap modalities are supported")
         if self.top_k < 1:
             raise ValueError("top_k must be positive")
         for what, values in (
@@ -107,8 +105,13 @@ class CohortSpec:
 
         return [m for _, m in sorted(enumerate(self.modalities), key=key)]
 
+    @property
+    def cell_values(self) -> list[str]:
+        """Modalities that own cells: heatmap rows first, then the other active ones."""
+        return self.heat_values + [v for v in self.active_values if v not in self.heat_values]
+
     def cells_fit_one_mask(self) -> bool:
-        return len(self.stages) * len(self.heatmap) <= MAX_BITS
+        return len(self.stages) * len(self.cell_values) <= MAX_BITS
 
     def with_params(self, **kw) -> CohortSpec:
         return replace(self, **kw)
@@ -185,6 +188,8 @@ TPCH_UNKNOWN_SEGMENT = "MACHINERY"
 TPCH_PRIORITIES = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
 TPCH_NON_ACTIVE_PRIORITY = "4-NOT SPECIFIED"
 TPCH_STATUSES = ("F", "O", "P")
+# Encoding X: labels in all, the first of them active, the first of those heatmap rows.
+WIDE_LABELS, WIDE_ACTIVE, WIDE_HEAT = 75, 70, 66
 
 
 def _tpch_stages() -> tuple[Stage, ...]:
@@ -198,7 +203,8 @@ def tpch_spec(encoding: str = "P", **overrides) -> CohortSpec:
     """Encoding P: priority is the modality, short label drops the ``n-`` prefix.
     Encoding W: ``priority/status``, short label is first digit + status, and
     only the first seven active values are heatmap rows.
-    Encoding T: as P, on input that holds the traps of SURVEY §1.1."""
+    Encoding T: as P, on input that holds the traps of SURVEY §1.1.
+    Encoding X: more labels than a bigint has bits, derived from the order's keys."""
     actives = [p for p in TPCH_PRIORITIES if p != TPCH_NON_ACTIVE_PRIORITY]
     if encoding in ("P", "T"):
         mods = tuple(Modality(p, p.split("-", 1)[1]) for p in actives)
@@ -208,6 +214,11 @@ def tpch_spec(encoding: str = "P", **overrides) -> CohortSpec:
         mods = tuple(Modality(f"{p}/{s}", f"{p[0]}{s}") for p in actives for s in TPCH_STATUSES)
         heat = tuple(HeatRow(m.value, m.short) for m in mods[:7])
         non_active = tuple(f"{TPCH_NON_ACTIVE_PRIORITY}/{s}" for s in TPCH_STATUSES)
+    elif encoding == "X":
+        labels = [f"M{k:02d}" for k in range(WIDE_LABELS)]
+        mods = tuple(Modality(v, v.lower()) for v in labels[:WIDE_ACTIVE])
+        heat = tuple(HeatRow(m.value, m.short) for m in mods[:WIDE_HEAT])
+        non_active = tuple(labels[WIDE_ACTIVE : WIDE_ACTIVE + 2])
     else:
         raise ValueError(f"unknown encoding {encoding!r}")
     spec = CohortSpec(

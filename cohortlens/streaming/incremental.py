@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.prepare import clean_events, known_stage
-from ..operators.rollup import event_rollup
+from ..operators.rollup import act_words, event_rollup
 from ..spec import CohortSpec
 
 
@@ -71,7 +71,7 @@ def merged_event_rollup(spark: SparkSession, out_path: str, spec: CohortSpec, co
 
 def _merged(parts: DataFrame, spec: CohortSpec) -> DataFrame:
     aggs = [
-        F.bit_or("act_mask").alias("act_mask"),
+        *[F.bit_or(c).alias(c) for c in act_words(spec)],
         F.min("first_idx").alias("first_idx"),
         F.sum("n_events").alias("n_events"),
     ]

@@ -50,7 +50,7 @@ def main() -> None:
         b = build(spark, sf, materialize=mat)
         ev = b.raw.events
         flaky = ev.mapInPandas(failing_first_attempt, schema=ev.schema)
-        b.raw = CohortInputs(b.raw.entities, flaky, b.raw.unknown, b.raw.unknown_override, b.raw.source_name)
+        b.raw = CohortInputs(b.raw.entities, flaky, b.raw.unknown, b.raw.unknown_override, source_files=b.raw.source_files)
         res[mat] = outputs(b) == clean
     res["injected_failures"] = len([f for f in os.listdir(MARKERS) if f.startswith("fail-")])
     print(json.dumps(res))

@@ -137,7 +137,7 @@ def book(tmp_path, cell="n119"):
 def test_build_from_a_workbook(spark, tmp_path):
     path, ents, evs, unk = book(tmp_path)
     inputs = read_inputs(spark, **workbook_sources(path))
-    assert inputs.unknown_override == 119 and inputs.source_name == "cohort.xlsx"
+    assert inputs.unknown_override == 119 and [r.name for r in inputs.source_files.collect()] == ["cohort.xlsx"]
     missing = lambda row: tuple(None if v in PANDAS_NA_TOKENS else v for v in row)
     ents = [(*missing(r[:3]), i) for i, r in enumerate(ents)]
     evs = [(*missing(r[:4]), i) for i, r in enumerate(evs)]
