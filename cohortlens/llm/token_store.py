@@ -14,14 +14,14 @@ read. Files are rows (part, seq, content) of a Parquet table in shared storage,
 so any executor can read and rewrite them; a file holds up to ``FILE_IDS`` ids
 (a longer document is a file of its own).
 
-Words are encoded once for each task that they occur in: the tokenizer composes,
-lowers case and splits at white space, and between a letter or digit and the full
-stops and the like at a word's end, so a text's ids are those of such units in a
-row. A unit that is wholly ASCII is looked up in lower case, any other as it is
-(what composes depends on the case), and so is one that may hold an added token,
+Pieces of text are encoded once for each task that they occur in: the tokenizer
+composes, lowers case, and cuts texts into runs of letters, single digits and
+runs of other characters, which its model then merges each on its own. Words of
+ASCII and the letters U+00C0 to U+00FF (where nothing composes) are cut here by
+the same pattern and their pieces handed to the model; any other word is handed
+to the tokenizer whole, as it is, and so is one that may hold an added token,
 <|startoftext|> or <|endoftext|>, which the library finds as it is written and
-gives its one id. A unit of a-z alone is one piece of the tokenizer's model,
-which is then asked directly.
+gives its one id. Pieces of one hash are compared byte by byte.
 
 Defined cases: null text counts as empty (only the end id); rows without an id
 come first, rows that share an id by their text; an empty table gives no files
@@ -34,10 +34,11 @@ import os
 import struct
 import zlib
 from collections.abc import Iterator
-from dataclasses import replace
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import public_tokenizers
 from pyspark import TaskContext
@@ -46,9 +47,9 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from . import mixing_coder
-from .batches import read_documents, slices
+from .batches import read_documents, slices, text_offsets
 from .shared import stored
-from .words import Texts, byte_hash, read_texts
+from .words import SEPARATOR, byte_hash, eight_bytes
 
 VOCABULARY = "word_bpe_49k.json"
 END = 1
@@ -56,9 +57,9 @@ END = 1
 FILE_IDS = 8 << 20
 #: Text bytes of a call: larger calls share more words.
 TEXT_BYTES = 4 << 20
-#: Words whose ids a task keeps, at most; then it starts anew.
-KEPT_WORDS = 400_000
-MAGIC = b"TOKMIX01"
+#: Pieces whose ids a worker keeps from task to task, at most; then it starts anew.
+KEPT_WORDS = 600_000
+MAGIC = b"TOKMIX02"
 _HEAD = struct.Struct("<8sQQII")
 
 
@@ -71,92 +72,195 @@ def _tokenizer(path: str) -> Tokenizer:
     return Tokenizer.from_file(path)
 
 
+#: Byte-level stand-ins of bytes, as the tokenizer's model has them, for a text that is decoded byte by byte.
+_STAND_IN = {b: 256 + k for k, b in enumerate(b for b in range(256) if not (0x21 <= b <= 0x7E or 0xA1 <= b <= 0xAC or b >= 0xAE))}
+
+_SEP, _LETTER, _DIGIT, _OTHER, _ODD = range(5)
+_CLASS = np.full(256, _OTHER, np.uint8)
+_CLASS[SEPARATOR] = _SEP
+_CLASS[ord("A") : ord("Z") + 1] = _CLASS[ord("a") : ord("z") + 1] = _LETTER
+_CLASS[ord("0") : ord("9") + 1] = _DIGIT
+_CLASS[128:] = _ODD
+_UPPER = np.zeros(256, bool)
+_UPPER[ord("A") : ord("Z") + 1] = True
+#: First byte of the letters from U+00C0 to U+00FF, and their second bytes (two characters there are no letters).
+_LEAD = 0xC3
+_SECOND = np.zeros(256, bool)
+_SECOND[0x80:0xC0] = True
+_SECOND[[0x97, 0xB7]] = False
+
+
+def _same(raw: np.ndarray, start: np.ndarray, end: np.ndarray, other: np.ndarray) -> bool:
+    """Do all byte ranges equal the range whose number is beside them?"""
+    size, eight = end - start, eight_bytes(raw)
+    if not (size == size[other]).all():
+        return False
+    other = start[other]
+    left = np.flatnonzero(start != other)
+    done = 0
+    while len(left) and done < 64:
+        some = np.minimum(size[left] - done, 8).astype(np.uint64)
+        kept = np.uint64(0xFFFFFFFFFFFFFFFF) >> (np.uint64(64) - np.uint64(8) * some)
+        if ((eight[start[left] + done] ^ eight[other[left] + done]) & kept).any():
+            return False
+        done += 8
+        left = left[size[left] > done]
+    return all((raw[start[k] : end[k]] == raw[other[k] : other[k] + size[k]]).all() for k in left.tolist())
+
+
 class WordIds:
-    """Ids of words, found once each."""
+    """Ids of pieces of text, found once each."""
 
     def __init__(self, path: str):
-        self.tokenizer, self.known, self.parts = _tokenizer(path), {}, []
+        self.tokenizer = _tokenizer(path)
+        self._empty()
 
-    def of(self, words: list[bytes]) -> list[np.ndarray]:
+    def _empty(self) -> None:
+        self.known: dict[bytes, int] = {}
+        self.ids, self.begin = np.zeros(1 << 16, np.uint32), np.zeros(1, np.int64)
+
+    def of(self, pieces: list[bytes], odd: list[bool]) -> tuple[np.ndarray, np.ndarray]:
+        """Places in ``ids``, and sizes, of each piece's ids; odd pieces are whole words for the library to take apart."""
         if len(self.known) > KEPT_WORDS:
-            self.known = {}
-        fresh = [w for w in words if w not in self.known]
-        plain = [w for w in fresh if w.isalpha() and w.islower()]
+            self._empty()
+        known, begin = self.known, self.begin
+        where = list(map(known.get, pieces))
+        fresh = [k for k, w in enumerate(where) if w is None]
         merge = self.tokenizer.model.tokenize
-        self.known.update((w, np.array([t.id for t in merge(w.decode())], np.uint32)) for w in plain)
-        fresh = [w for w in fresh if w not in self.known]
-        for k in range(0, len(fresh), 4096):
-            some = fresh[k : k + 4096]
-            codes = self.tokenizer.encode_batch_fast([w.decode() for w in some], add_special_tokens=False)
-            self.known.update((w, np.array(c.ids, np.uint32)) for w, c in zip(some, codes))
-        return [self.known[w] for w in words]
-
-
-#: Characters that end words, and those that may stand before them for a cut between.
-_CLOSING = np.isin(np.arange(256), np.frombuffer(b".,;:!?", np.uint8))
-_SOLID = np.isin(np.arange(256), np.frombuffer(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", np.uint8))
-#: Closing characters that are cut off a word, at most; a longer run stays with it.
-_MOST_CLOSING = 4
-
-
-def _units(t: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """First byte of each unit, the byte after it, and the first unit of each text (and their number)."""
-    tail = np.zeros(len(t.start), np.int64)
-    for k in range(1, _MOST_CLOSING + 1):
-        more = (tail == k - 1) & (t.end - k > t.start)
-        more &= _CLOSING[t.raw[np.where(more, t.end - k, 0)]] if len(t.raw) else False
-        tail += more
-    if len(t.raw):
-        tail[~_SOLID[t.raw[t.end - tail - 1]]] = 0
-    two = tail > 0
-    at = np.arange(len(tail)) + np.cumsum(two) - two  # unit of each word's body
-    start, end = (np.zeros(len(tail) + int(two.sum()), np.int64) for _ in range(2))
-    start[at], end[at] = t.start, t.end - tail
-    start[at[two] + 1], end[at[two] + 1] = (t.end - tail)[two], t.end[two]
-    first = np.append(at, len(start))[t.first]
-    return start, end, first
+        words = [k for k in fresh if odd[k]]
+        found: list[list[int]] = []
+        of_word = {}
+        for i in range(0, len(words), 4096):
+            some = words[i : i + 4096]
+            codes = self.tokenizer.encode_batch_fast([pieces[k].decode() for k in some], add_special_tokens=False)
+            of_word.update((k, c.ids) for k, c in zip(some, codes))
+        for k in fresh:
+            piece = pieces[k]
+            if piece.isalpha():  # the letters a-z
+                found.append([t.id for t in merge(piece.decode())])
+            elif odd[k]:
+                found.append(of_word[k])
+            else:
+                found.append([t.id for t in merge(piece.decode("latin-1").translate(_STAND_IN))])
+        sizes = np.array(list(map(len, found)), np.int64)
+        new = np.arange(len(fresh)) + len(begin) - 1
+        known.update(zip([pieces[k] for k in fresh], new.tolist()))
+        ends = begin[-1] + np.cumsum(sizes)
+        total = int(ends[-1]) if len(ends) else int(begin[-1])
+        if total > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros(max(len(self.ids), total - len(self.ids)), np.uint32)])
+        self.ids[int(begin[-1]) : total] = np.fromiter(chain.from_iterable(found), np.uint32, total - int(begin[-1]))
+        where = np.array([-1 if w is None else w for w in where], np.int64)
+        where[fresh] = new
+        self.begin = begin = np.concatenate([begin, ends])
+        return begin[where], begin[where + 1] - begin[where]
+
+
+@lru_cache(maxsize=1)
+def _word_ids(path: str) -> WordIds:
+    """Kept by the worker: its next task finds the pieces of the last ones."""
+    return WordIds(path)
+
 
 #: How the strings of the tokenizer's added tokens begin.
 _ADDED = b"<|"
 
 
-def _folded(t: Texts, start: np.ndarray, end: np.ndarray) -> Texts:
-    """The texts with A-Z in lower case in units that are wholly ASCII; the tokenizer composes the others first.
+def pieces_of(raw: np.ndarray, at: np.ndarray):
+    """Texts in lower case where that is safe, and the pieces that the tokenizer's pattern cuts them into.
 
-    Units that may hold an added token stay too: its letters count as they are written.
+    First byte of each piece, the byte after it, whether it is odd, and the first
+    piece of each text (and their number). Words of ASCII and the letters from
+    U+00C0 to U+00FF are cut here; any other, and one that may hold an added token,
+    is an odd piece, as it is.
     """
-    kept = t.raw >= 128
-    kept[:-1] |= (t.raw[:-1] == _ADDED[0]) & (t.raw[1:] == _ADDED[1])
-    before = np.concatenate([[0], np.cumsum(kept)])
-    plain = before[end] == before[start]
-    upper = np.flatnonzero((t.raw >= 65) & (t.raw <= 90))
-    upper = upper[plain[np.searchsorted(start, upper, side="right") - 1]]
-    raw = t.raw.copy()
-    raw[upper] += 32
-    return replace(t, raw=raw)
+    n = len(raw)
+    kind = _CLASS[raw]
+    lead = np.flatnonzero(raw == _LEAD)
+    lead = lead[lead + 1 < n]
+    second = lead[_SECOND[raw[lead + 1]]] + 1
+    kind[second - 1] = kind[second] = _LETTER
+    apart = kind == _SEP
+    cut = np.zeros(n + 1, bool)  # a piece begins here
+    cut[1:n] = kind[1:] != kind[:-1]
+    cut[:n] |= kind == _DIGIT
+    edges = at[at < n]  # texts begin here
+    cut[edges] = True
+    cut[:n] &= ~apart
+    opens = ~apart  # a word begins here
+    opens[1:] &= apart[:-1]
+    opens[edges] = ~apart[edges]
+    # odd words: one piece each, left as they are
+    bad = np.flatnonzero(kind == _ODD)
+    marks = np.flatnonzero(raw == _ADDED[0])
+    marks = marks[marks + 1 < n]
+    bad = np.concatenate([bad, marks[raw[marks + 1] == _ADDED[1]]])
+    upper = _UPPER[raw]
+    upper[second] = raw[second] <= 0x9E
+    odd_start = np.zeros(0, np.int64)
+    if len(bad):
+        words = np.flatnonzero(opens)
+        odd_start = words[np.unique(np.searchsorted(words, bad, side="right") - 1)]
+        ends = np.flatnonzero(apart)
+        stop = np.minimum(np.append(ends, n)[np.searchsorted(ends, odd_start)], np.append(words, n)[np.searchsorted(words, odd_start) + 1])
+        for a, b in zip(odd_start.tolist(), stop.tolist()):
+            upper[a:b] = False
+            cut[a + 1 : b] = False
+    raw = raw + (upper.view(np.uint8) << np.uint8(5))
+    # an apostrophe right before a letter: 's 't 'm 'd 're 've 'll are pieces
+    mark = np.flatnonzero((raw == 39) & cut[:n])
+    mark = mark[cut[mark + 1]]
+    mark = mark[(kind[mark + 1] == _LETTER) & ~opens[mark + 1]] if len(mark) else mark
+    if len(mark):
+        eight = eight_bytes(raw)[mark]
+        one, two = (eight >> np.uint64(8)) & np.uint64(0xFF), (eight >> np.uint64(8)) & np.uint64(0xFFFF)
+
+        def goes_on(places: np.ndarray) -> np.ndarray:
+            """Are these inside the run of letters that the one before them belongs to?"""
+            inside = places < n
+            return inside & ~cut[np.where(inside, places, n)] & (kind[np.where(inside, places, 0)] == _LETTER)
+
+        short = np.isin(one, np.frombuffer(b"stmd", np.uint8))
+        long = ~short & np.isin(two, np.frombuffer(b"revell", "<u2")) & goes_on(mark + 2)
+        for some, size in ((mark[short], 2), (mark[long], 3)):
+            rest = some + size
+            rest = rest[goes_on(rest)]
+            cut[some + 1] = False
+            cut[rest] = True
+    stops = np.flatnonzero(cut[:n] | (apart & ~np.append(True, apart[:-1]))) if n else np.zeros(0, np.int64)
+    begins = cut[stops]
+    first, last = stops[begins], np.append(stops[1:], n)[begins]
+    is_odd = np.zeros(n, bool)
+    is_odd[odd_start] = True
+    return raw, first, last, is_odd[first], np.searchsorted(first, at)
 
 
 def encode_texts(column: pa.Array, words: WordIds) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all texts in a row, each with its end id, and the number of each text's ids."""
-    t = read_texts(column)
-    start, end, first_unit = _units(t)
-    t = _folded(t, start, end)
-    names = byte_hash(t.raw, start, end) ^ (end - start).astype(np.uint64)
-    _, first, which = np.unique(names, return_index=True, return_inverse=True)
-    raw = t.raw.tobytes()
-    parts = words.of([raw[a:b] for a, b in zip(start[first].tolist(), end[first].tolist())])
-    size = np.array([len(p) for p in parts] + [1], np.int64)
-    flat = np.concatenate([*parts, np.array([END], np.uint32)])
-    begin = np.cumsum(size) - size
-    # each text's units, then its end
-    counts = np.diff(first_unit)
-    order = np.full(len(start) + len(counts), len(parts), np.int64)
-    order[np.arange(len(start)) + np.repeat(np.arange(len(counts)), counts)] = which
-    sizes = size[order]
+    raw, start, end, odd, first_piece = pieces_of(*text_offsets(column))
+    which, _ = pd.factorize(byte_hash(raw, start, end))
+    if len(which):
+        order = np.zeros(int(which.max()) + 1, np.int64)
+        order[which[::-1]] = np.arange(len(which))[::-1]  # the first piece of each hash
+        if not _same(raw, start, end, order[which]):  # two pieces with one hash
+            text = raw.tobytes()
+            which, _ = pd.factorize(np.array([text[a:b] for a, b in zip(start.tolist(), end.tolist())], object))
+            order = np.zeros(int(which.max()) + 1, np.int64)
+            order[which[::-1]] = np.arange(len(which))[::-1]
+    else:
+        order = np.zeros(0, np.int64)
+    text = raw.tobytes()
+    begin, size = words.of([text[a:b] for a, b in zip(start[order].tolist(), end[order].tolist())], odd[order].tolist())
+    # each text's pieces, then its end
+    counts = np.diff(first_piece)
+    places = np.arange(len(start)) + np.repeat(np.arange(len(counts)), counts)
+    sizes, begins = np.ones(len(start) + len(counts), np.int64), np.zeros(len(start) + len(counts), np.int64)
+    sizes[places], begins[places] = size[which], begin[which]
     ends = np.cumsum(sizes)
-    ids = flat[np.repeat(begin[order] - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)]
-    upto = np.concatenate([[0], ends])[first_unit[1:] + np.arange(1, len(counts) + 1)]
-    return ids, np.diff(upto, prepend=0)
+    ids = words.ids[np.repeat(begins - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)]
+    last = first_piece[1:] + np.arange(len(counts))
+    ids[ends[last] - 1] = END
+    return ids, np.diff(ends[last], prepend=0)
 
 
 # ---------------------------------------------------------------- the file
@@ -226,7 +330,7 @@ def token_files(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", voc
     in_order = rows.repartitionByRange(parts, F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
 
     def run(batches) -> Iterator[pa.RecordBatch]:
-        words, part, seq = WordIds(vocabulary), TaskContext.get().partitionId(), 0
+        words, part, seq = _word_ids(vocabulary), TaskContext.get().partitionId(), 0
         docs, lengths, ids, held = [], [], [], 0
 
         def file():

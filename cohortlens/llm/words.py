@@ -65,10 +65,14 @@ def range_hash(sums: np.ndarray, start: np.ndarray, end: np.ndarray, base: int)
     return mix64((sums[end] - sums[start]) * down[start] + (end - start).astype(np.uint64))
 
 
+def eight_bytes(raw: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place (zeros after the end), as one number."""
+    return np.ndarray((len(raw) + 1,), "<u8", np.concatenate([raw, np.zeros(8, np.uint8)]), strides=(1,))
+
+
 def byte_hash(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """Hash of raw[start:end] for each pair, the same wherever the bytes lie."""
-    padded = np.concatenate([raw, np.zeros(8, np.uint8)])
-    eight = np.ndarray((len(raw) + 1,), "<u8", padded, strides=(1,))  # the eight bytes from each place
+    eight = eight_bytes(raw)
     size = end - start
     h = mix64(size.astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15))
     left = np.flatnonzero(size <= _MIXED)
@@ -102,10 +106,8 @@ class Texts:
         return np.repeat(np.arange(len(self.count)), self.count)
 
 
-def read_texts(column: pa.Array, lower_ascii: bool = False) -> Texts:
-    raw, at = text_offsets(column)
-    if lower_ascii:
-        raw = raw + ((raw >= 65) & (raw <= 90)).astype(np.uint8) * np.uint8(32)
+def word_bounds(raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First byte of each word, the byte after it, and the first word of each text (and their number)."""
     inside = ~SEPARATOR[raw]
     opens = inside.copy()
     opens[1:] &= ~inside[:-1]
@@ -116,7 +118,14 @@ def read_texts(column: pa.Array, lower_ascii: bool = False) -> Texts:
     before = at[1:][at[1:] > 0] - 1
     closes[before] = inside[before]
     start, end = np.flatnonzero(opens), np.flatnonzero(closes) + 1
-    first = np.searchsorted(start, at)
+    return start, end, np.searchsorted(start, at)
+
+
+def read_texts(column: pa.Array, lower_ascii: bool = False) -> Texts:
+    raw, at = text_offsets(column)
+    if lower_ascii:
+        raw = raw + ((raw >= 65) & (raw <= 90)).astype(np.uint8) * np.uint8(32)
+    start, end, first = word_bounds(raw, at)
     return Texts(raw, at, start, end, np.diff(first), first, byte_hash(raw, start, end))
 
 

@@ -118,3 +118,34 @@ def test_added_tokens_as_in_the_library():
 def added_tokens():
     with open(store.public_tokenizers.path(store.VOCABULARY)) as f:
         return json.load(f)["added_tokens"]
+
+
+def test_pieces_are_the_librarys():
+    """Random strings of letters, digits, marks, apostrophes, accents and other scripts, as the library cuts them."""
+    rng = random.Random(3)
+    atoms = ["a", "B", "it's", "'", "''", "'S", "'re", "'VE", "'ll", "'lx", "'d", "'é", "s", "t", "7", "42", "é", "É", "ß", "×", "÷", "ÿ", "À", "Þ", "́", "ª", "µ", "²", " ", " ", "œ", "Σ", "日", "!", "***", "...", "-", "\x00", "\x1f", "\x7f", "<", "|", "<|", "\u0085", "𝟐", " ", " ", "\n", "\t"]
+    texts = ["".join(rng.choice(atoms) for _ in range(rng.randint(0, 14))) for _ in range(4000)]
+    texts += ["'s", "s's", "'", "don't", "x'", "'ll'll", "'re", "'r", "'v", "we've'd", "É's", "''s", "1's", "a" * 5000, "é" * 3000, "7" * 2000, "it's" * 500, ""]
+    found, whole = ids_of(texts)
+    assert found == whole
+
+
+def test_words_of_one_hash_are_told_apart(monkeypatch):
+    """With a hash that is the same for all, pieces are still compared as bytes."""
+    monkeypatch.setattr(store, "byte_hash", lambda raw, start, end: np.zeros(len(start), np.uint64))
+    found, whole = ids_of(["alpha beta alpha", "beta, gamma!", ""])
+    assert found == whole
+
+
+def thue_morse(n):
+    word = "a"
+    while len(word) < n:
+        word += word.translate({97: "b", 98: "a"})
+    return word, word.translate({97: "b", 98: "a"})
+
+
+@pytest.mark.parametrize("n", [512, 1024, 2048])
+def test_mirrored_words(n):
+    """Two words that every polynomial modulo 2**64 takes for one."""
+    found, whole = ids_of(list(thue_morse(n)))
+    assert found == whole and found[0] != found[1]
