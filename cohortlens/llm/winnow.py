@@ -10,7 +10,7 @@ Defined cases: null counts as the empty text; a text shorter than a gram has
 one hash, of the whole text, at position 0 (the empty text has none); a text of
 fewer hashes than a window is one window; two empty fingerprints are alike (1),
 an empty and another are not (0); equal texts have equal fingerprints. In the
-order of documents, rows with one id follow one another by text and null ids
+order of documents, rows with one id follow one another by a hash of their text and null ids
 come last; an empty table gives an empty table; only the named columns are read.
 """
 
@@ -19,6 +19,7 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -99,40 +100,69 @@ def fingerprints(
     return map_batches(df, make, "hashes array<bigint>, positions array<bigint>", keep, text)
 
 
-#: Documents of one range of ids, about, and ranges at most.
-RANGE_ROWS, MOST_RANGES = 512, 1 << 17
+#: Documents of one range of ids, about; ranges at most; ids sampled for each range's bounds.
+RANGE_ROWS, MOST_RANGES, SAMPLED = 512, 1 << 16, 4
+#: Above the ranges of ids: the first range of rows without one.
+_WITHOUT_ID = 1 << 24
+
+
+def _cut(ids: np.ndarray, hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Range of each id among descending bounds; an id that holds several bounds is cut by its rows' hashes."""
+    up = bounds[::-1]
+    above = len(up) - np.searchsorted(up, ids, side="right")  # bounds greater than the id
+    own = len(up) - np.searchsorted(up, ids, side="left") - above
+    return above + np.where(own > 1, _slot(hashes, own), 0)
+
+
+def _slot(hashes: np.ndarray, n) -> np.ndarray:
+    """Which of n equal ranges a 64-bit hash is in, in order of the hashes."""
+    return ((hashes >> 32) + (1 << 31)) * n >> 32
 
 
 def in_order(df: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """Rows (part, doc_id, text, guest), parts whole in a task and sorted by descending id.
 
-    Ids are cut into ranges, the parts; the first row of a part is also a guest
-    at the end of the part before it (of the first part: at the end of the last),
-    so every row has its successor next to it after one shuffle. Ids that are
-    spread unevenly make uneven parts; rows are sorted on disk if need be and
-    read as a stream.
+    Rows that share an id, and rows without one (which come last), are in order of
+    a hash of their text. Ids are cut at quantiles of a sample, which sets balance
+    only; an id of many rows, and the rows without an id, are cut by the hash. The
+    first row of a part is also a guest at the end of the part before it (of the
+    first part: at the end of the last), so every row has its successor next to it
+    after one shuffle. Rows are sorted on disk if need be and read as a stream.
     """
     rows = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    size = rows.agg(F.count("*").alias("n"), F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).first()
-    low, high = size["low"] or 0, size["high"] or 0
-    parts = max(1, min(MOST_RANGES, -(-size["n"] // RANGE_ROWS)))
-    width = max(1, -(-(high - low + 1) // parts))
-    # rows without an id come last of all
-    part = F.coalesce(F.floor((F.lit(high) - F.col("doc_id")) / F.lit(width)), F.lit(MOST_RANGES)).cast("int")
-    placed = rows.withColumn("part", part)
-    # (part, its highest id): at most MOST_RANGES + 1 pairs of numbers
-    used = sorted(tuple(r) for r in placed.groupBy("part").agg(F.max("doc_id")).collect())
+    rows = rows.withColumn("tie", F.xxhash64("text"))
+    n, with_id = rows.agg(F.count("*"), F.count("doc_id")).first()
+    parts, others = (max(1, min(MOST_RANGES, -(-k // RANGE_ROWS))) for k in (with_id, n - with_id))
+    share = min(1.0, SAMPLED * parts / max(with_id, 1))
+    # at most some SAMPLED * MOST_RANGES ids
+    sample = np.zeros(0, np.int64)
+    if parts > 1:
+        sample = rows.select("doc_id").where("doc_id is not null").sample(share, 7).toArrow().column(0).to_numpy()
+    step = SAMPLED if share < 1 else RANGE_ROWS
+    bounds = np.sort(sample)[::-1][step - 1 :: step]
+
+    @F.pandas_udf("int")
+    def part_of(ids: pd.Series, ties: pd.Series, none: pd.Series) -> pd.Series:
+        i, h = ids.to_numpy(), ties.to_numpy()
+        return pd.Series(np.where(none, _WITHOUT_ID + _slot(h, others), _cut(i, h, bounds)).astype(np.int32))
+
+    # without nulls, so that whole numbers are not held as floats
+    placed = rows.withColumn("part", part_of(F.coalesce("doc_id", F.lit(0).cast("long")), "tie", F.col("doc_id").isNull()))
+    # (part, its highest id and lowest hash there): three numbers for each of the parts
+    firsts = placed.groupBy("part").agg(F.max(F.struct("doc_id", F.bitwise_not("tie").alias("untie"))).alias("top"))
+    used = sorted((r["part"], r["top"]["doc_id"], ~r["top"]["untie"]) for r in firsts.collect())
     if not used:
         return placed.select("part", "doc_id", "text", F.lit(False).alias("guest"))
-    hosts = [(p, top, used[i - 1][0]) for i, (p, top) in enumerate(used)]
-    firsts = df.sparkSession.createDataFrame(hosts, "first_part int, top long, host int")
-    # three numbers a row and at most MOST_RANGES + 1 rows: 2 MB
+    hosts = [(p, top, tie, used[i - 1][0]) for i, (p, top, tie) in enumerate(used)]
+    firsts = df.sparkSession.createDataFrame(hosts, "first_part int, top long, top_tie long, host int")
+    # four numbers a row and at most 2 * MOST_RANGES rows: 4 MB
     found = placed.join(F.broadcast(firsts), F.col("part") == F.col("first_part"))
     own = F.struct(F.col("part").alias("part"), F.lit(False).alias("guest"))
     away = F.struct(F.col("host").alias("part"), F.lit(True).alias("guest"))
-    seats = F.when(F.col("doc_id").eqNullSafe(F.col("top")), F.array(own, away)).otherwise(F.array(own))
-    seated = found.select("doc_id", "text", F.explode(seats).alias("seat")).select("seat.part", "doc_id", "text", "seat.guest")
-    return seated.repartition("part").sortWithinPartitions("part", "guest", F.desc_nulls_last("doc_id"), "text")
+    is_first = F.col("doc_id").eqNullSafe(F.col("top")) & (F.col("tie") == F.col("top_tie"))
+    seats = F.when(is_first, F.array(own, away)).otherwise(F.array(own))
+    seated = found.select("doc_id", "text", "tie", F.explode(seats).alias("seat")).select("seat.part", "doc_id", "text", "tie", "seat.guest")
+    return seated.repartition("part").sortWithinPartitions("part", "guest", F.desc_nulls_last("doc_id"), "tie", "text").drop("tie")
 
 
 def edited(text: str, following: str) -> str:
