@@ -11,10 +11,13 @@ of its largest belief. Words of a label that no base span touches become added
 spans; neighbours with one label form one span.
 
 Weights are learned by pseudo-likelihood on at most ``SAMPLE`` documents (the
-first by a hash of their ids among those with a digit or ``@``), labelled by the
-base spans and by quoted keys behind an equals sign (kind ``secret``). Features
-that the patterns look at are hidden at random in copies of the sample, so that
-neighbours and repetitions get weight.
+first by a hash of id and text among those with a digit or ``@``; equal rows count
+once), labelled by the base spans and by quoted keys behind an equals sign (kind
+``secret``). Of a document with more than ``SAMPLE_WORDS`` labelled words about so
+many teach: words are chosen by a hash over the whole document, a word with all its
+repetitions (runs of ``SAMPLE_WORDS`` of them) together, so that distant skip pairs
+stay whole. Features that the patterns look at are hidden at random in copies of
+the sample, so that neighbours and repetitions get weight.
 
 Defined cases: a null text has no spans; spans are in code points, end
 exclusive, ordered by kind as in ``KINDS`` and start; base spans always stay and
@@ -25,6 +28,7 @@ labelled alike; texts are read whole; only the named columns are read.
 from __future__ import annotations
 
 import re
+import zlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -32,21 +36,21 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .batches import map_batches, read_documents
+from .batches import map_batches, read_documents, row_key, slices
 from .words import read_texts
 
 BASE_KINDS = ["email", "ip", "card", "phone"]
 KINDS = [*BASE_KINDS, "secret"]
 LABELS = ["outside", *KINDS]
-#: Documents that the weights are learned from, at most, and words of each.
+#: Documents that the weights are learned from, at most, and words of each, about.
 SAMPLE, SAMPLE_WORDS = 3_000, 64
 ROUNDS, DAMPING = 10, 0.5
 #: Belief from which a word becomes part of an added span.
 SURE = 0.9
 
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
-_LOCAL = re.compile(r"[A-Za-z0-9._%+-]+")
-_IP = re.compile(r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)")
+#: A match begins where a run of digits does and takes runs whole: no part can give back a digit to the next.
+_IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _LOCAL_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -84,7 +88,7 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     """(kind, start, end) by kind, then start."""
     out = [(0, a, b) for a, b in _emails(text)]
     for m in _IP.finditer(text):
-        if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m[0].split(".")):
+        if all(len(p) <= 3 and int(p or "0") <= 255 for p in (p.lstrip("0") for p in m[0].split("."))):
             out.append((1, *m.span()))
     for m in _CARD.finditer(text):
         if 16 <= len(d := _digits(m[0])) <= 19 and luhn(d):
@@ -168,12 +172,13 @@ class Graph:
     skip: np.ndarray  # pairs with one key
     base: list[list[tuple[int, int, int]]]  # of each text
     label: np.ndarray  # by the base spans and the rule for secrets
+    unit: np.ndarray  # hash of what a word is chosen with, out of 2**32
 
 
 _ACTIVE = np.isin(np.arange(256), np.frombuffer(b"0123456789@+", np.uint8))
 
 
-def graph_of(column: pa.Array, most_words: int | None = None) -> Graph:
+def graph_of(column: pa.Array) -> Graph:
     t = read_texts(column)
     n = len(t.count)
     hits = np.zeros(len(t.raw) + 1, np.int64)
@@ -183,9 +188,6 @@ def graph_of(column: pa.Array, most_words: int | None = None) -> Graph:
     base = [[] for _ in range(n)]
     for i in np.unique(text).tolist():
         base[i] = base_spans(t.raw[t.at[i] : t.at[i + 1]].tobytes().decode())
-    if most_words is not None:
-        own = np.arange(len(text)) - np.searchsorted(text, text)
-        active, text = active[own < most_words], text[own < most_words]
     chars = np.zeros(len(t.raw) + 1, np.int64)
     np.cumsum((t.raw & 0xC0) != 0x80, out=chars[1:])
     start, end = chars[t.start[active]] - chars[t.at[text]], chars[t.end[active]] - chars[t.at[text]]
@@ -195,6 +197,7 @@ def graph_of(column: pa.Array, most_words: int | None = None) -> Graph:
         return t.raw[t.start[k] : t.end[k]].tobytes().decode() if inside else ""
 
     bits, label, skip, last = np.zeros(len(active), np.int64), np.zeros(len(active), np.int64), [], {}
+    unit, times = np.zeros(len(active), np.int64), {}
     joined = (np.diff(active) == 1) & (np.diff(text) == 0)
     spans_at = {i: sorted((a, b, k) for k, a, b in base[i]) for i in set(text.tolist())}
     for k, (w, i) in enumerate(zip(active.tolist(), text.tolist())):
@@ -209,6 +212,9 @@ def graph_of(column: pa.Array, most_words: int | None = None) -> Graph:
         if not label[k] and bits[k] >> 16 & 1 and bits[k] >> 18 & 1 and bits[k] >> 19 & 1:
             label[k] = LABELS.index("secret")
         key = skip_key(own)
+        name = (i, own if key is None else key)
+        times[name] = times.get(name, -1) + 1
+        unit[k] = zlib.crc32(f"{times[name] // SAMPLE_WORDS}:{name[1]}".encode())
         if key is not None:
             if (i, key) in last:
                 skip.append((last[i, key], k))
@@ -216,7 +222,7 @@ def graph_of(column: pa.Array, most_words: int | None = None) -> Graph:
     x = ((bits[:, None] >> np.arange(FEATURES)) & 1).astype(float)
     near = np.flatnonzero(joined)
     chain = np.stack([near, near + 1], axis=1)
-    return Graph(text, start, end, x, chain, np.array(skip, np.int64).reshape(-1, 2), base, label)
+    return Graph(text, start, end, x, chain, np.array(skip, np.int64).reshape(-1, 2), base, label, unit)
 
 
 # ---------------------------------------------------------------- the field
@@ -319,32 +325,40 @@ def added_spans(g: Graph, field: Field | None, texts: list[str]) -> list[list[tu
     return out
 
 
+def taught(g: Graph, text: int) -> np.ndarray:
+    """The words of a text that teach: all, or about ``SAMPLE_WORDS`` by the hash of what they are chosen with."""
+    own = np.flatnonzero(g.text == text)
+    return own[g.unit[own] * len(own) < SAMPLE_WORDS << 32]
+
+
 def learn(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", sample: int = SAMPLE) -> Field | None:
     """Weights from at most ``sample`` documents; feature bits and labels of their words come to the driver."""
-    ids = docs.where(F.col(text).rlike("[0-9@]") & F.col(doc_id).isNotNull()).select(F.col(doc_id).alias("doc_id")).distinct()
-    chosen = ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).join(F.broadcast(chosen), "doc_id")
+    named = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).where(F.col("text").rlike("[0-9@]"))
+    key, key2 = row_key("doc_id", "text")
+    named = named.select("doc_id", "text", key.alias("key"), key2.alias("key2"))
+    chosen = named.select("key", "key2").distinct().orderBy("key", "key2").limit(sample)
+    # two numbers for each of at most ``sample`` rows; of equal rows one stays, whatever their number
+    rows = named.join(F.broadcast(chosen), ["key", "key2"]).dropDuplicates(["key", "key2"])
 
     def extract(batches):
-        from .batches import slices
-
         for batch in batches:
             for part in slices(batch, "text"):
-                g = graph_of(part.column("text"), SAMPLE_WORDS)
-                ids = part.column("doc_id").to_pylist()
+                g = graph_of(part.column("text"))
+                keys = part.column("key").to_pylist()
                 for i in np.unique(g.text).tolist():
-                    own = np.flatnonzero(g.text == i)
-                    low = own[0]
-                    inside = lambda e: (e[np.isin(e[:, 0], own)] - low).ravel().tolist()
+                    own = taught(g, i)
+                    place = np.full(len(g.text), -1)
+                    place[own] = np.arange(len(own))
+                    inside = lambda e: place[e[(place[e] >= 0).all(1)]].ravel().tolist()
                     bits = (g.x[own].astype(np.int64) << np.arange(FEATURES)).sum(1)
                     yield pa.RecordBatch.from_pylist(
-                        [{"doc_id": ids[i], "bits": bits.tolist(), "label": g.label[own].tolist(), "chain": inside(g.chain), "skip": inside(g.skip)}],
-                        pa.schema([("doc_id", pa.int64())] + [(c, pa.list_(pa.int64())) for c in ("bits", "label", "chain", "skip")]),
+                        [{"key": keys[i], "bits": bits.tolist(), "label": g.label[own].tolist(), "chain": inside(g.chain), "skip": inside(g.skip)}],
+                        pa.schema([("key", pa.int64())] + [(c, pa.list_(pa.int64())) for c in ("bits", "label", "chain", "skip")]),
                     )
 
-    schema = "doc_id bigint, bits array<bigint>, label array<bigint>, chain array<bigint>, skip array<bigint>"
-    found = rows.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(extract, schema).toArrow().to_pylist()
-    found.sort(key=lambda r: (r["doc_id"], r["bits"]))
+    schema = "key bigint, bits array<bigint>, label array<bigint>, chain array<bigint>, skip array<bigint>"
+    found = rows.select("key", "text").mapInArrow(extract, schema).toArrow().to_pylist()
+    found.sort(key=lambda r: (r["key"], r["bits"]))
     bits, label, chain, skip = [], [], [], []
     for r in found:
         low = len(bits)

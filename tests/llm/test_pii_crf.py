@@ -99,3 +99,59 @@ def test_nothing_to_learn_from(spark):
     assert pii.learn(df) is None
     assert pii.find_spans(pa.array(["x@y.zz 12", None, ""]), None)[1] == [[(0, 0, 6)], [], []]
     assert pii.detect(df.limit(0), None).count() == 0
+
+
+def test_long_runs_of_digits():
+    """An address whose last part is 5,000 zeros and a 1, and a text of a million digits: quick, and no error."""
+    import time
+
+    text = "1.2.3." + "0" * 5000 + "1"
+    assert pii.base_spans(text) == [(1, 0, len(text))]
+    for long in ("7" * 1_000_000, "7" * 300_000 + ".1.2", "+" + "7" * 1_000_000, "1.2." + "3" * 500_000, "+1" + "(" * 500_000):
+        began = time.perf_counter()
+        pii.find_spans(pa.array([long]), None)
+        assert time.perf_counter() - began < 5
+
+
+def test_addresses_match_the_pattern_on_random_strings():
+    rng = random.Random(17)
+    for _ in range(4000):
+        t = "".join(rng.choice("12.0é ٣") for _ in range(rng.randint(0, 24)))
+        assert [m.span() for m in pii._IP.finditer(t)] == [m.span() for m in IP.finditer(t)], t
+
+
+def test_words_that_teach_come_from_the_whole_document():
+    rng = random.Random(5)
+    words = [f"{rng.randrange(10**9):09d}" for _ in range(2000)]
+    words[1500] = words[10] = words[1990] = "555-123-4567"
+    g = pii.graph_of(pa.array([" ".join(words), "only 12 and 34"]))
+    own = pii.taught(g, 0)
+    assert 30 < len(own) < 130 and own.max() > 1500
+    assert len(pii.taught(g, 1)) == 2
+    repeated = [k for k, w in enumerate(words) if w == "555-123-4567"]
+    chosen = set(own.tolist())
+    assert len({k in chosen for k in repeated}) == 1, "a word's repetitions are chosen together"
+
+
+def test_recall_of_added_spans(spark):
+    """Learned where numbers stand in full, the field finds those that stand in full once and bare elsewhere, by its own spans."""
+    rng = random.Random(23)
+    digits = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
+    number = lambda: (f"({digits(3)})", f"{digits(3)}-{digits(4)}")
+    rows = []
+    for i in range(400):
+        area, rest = number()
+        rows.append((i, f"{prose(rng, 12)} call +1 {area} {rest} {prose(rng, 8)} or +1 {area} {rest} {prose(rng, 5)}"))
+    rows += [(1000 + i, f"{prose(rng, 20)} page {rng.randint(1, 99)} of {rng.randint(100, 999)} {prose(rng, 20)}") for i in range(400)]
+    field = pii.learn(spark.createDataFrame(rows, "doc_id long, text string"))
+    texts, bare = [], []
+    for _ in range(200):
+        area, rest = number()
+        texts.append(f"{prose(rng, 12)} call +1 {area} {rest} {prose(rng, 8)} {rest} {prose(rng, 5)}")
+        bare.append((texts[-1].rindex(rest), texts[-1].rindex(rest) + len(rest)))
+    pages = [f"{prose(rng, 20)} page {rng.randint(1, 99)} of {rng.randint(100, 999)}" for _ in range(200)]
+    base, spans = pii.find_spans(pa.array(texts + pages), field)
+    own = [set(s) - set(b) for b, s in zip(base, spans)]
+    found = sum(any(a <= x and b >= y for _, a, b in s) for s, (x, y) in zip(own, bare))
+    assert found / len(bare) > 0.9
+    assert not any(own[200:]), "page numbers are left alone"
