@@ -60,11 +60,12 @@ def map_batches(
 ) -> DataFrame:
     """``keep`` columns of ``df`` followed by the columns that the function made by ``make`` returns.
 
-    ``make`` runs once in each task. A kept column that has the name of a new one
-    gives way to it.
+    ``make`` runs once in each task. A kept column that has the name of a new one,
+    in any case, gives way to it.
     """
     added = T._parse_datatype_string(fields)
-    kept = [c for c in keep if c not in added.names]
+    new = {name.lower() for name in added.names}
+    kept = [c for c in keep if c.lower() not in new]
     schema = T.StructType([df.schema[c] for c in kept] + added.fields)
     names = schema.names
 
@@ -80,6 +81,13 @@ def map_batches(
     return df.select(*[F.col(f"`{c}`") for c in needed]).mapInArrow(run, schema)
 
 
+def free_name(columns: Sequence[str], prefix: str) -> str:
+    """The prefix, lengthened until no column begins with it (Spark compares names without case)."""
+    while any(c.lower().startswith(prefix.lower()) for c in columns):
+        prefix += "_"
+    return prefix
+
+
 def sha256_hex(column) -> F.Column:
     """Lowercase hex SHA-256 of a binary or string column."""
     return F.sha2(column, 256)

@@ -32,7 +32,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .batches import row_key
+from .batches import free_name, row_key
 from .shared import stored
 
 #: Weights of the sources in code point order, repeating.
@@ -235,21 +235,24 @@ def mixed(docs: DataFrame, text: str = "text", source: str = "source", doc_id: s
     Rows go by id, source and text, null or not; those that share all three share
     their copies out as evenly as whole copies allow.
     """
-    key = ["mix_key_", "mix_key2_"]
+    prefix = free_name(docs.columns, "mix_")
+    key = [f"{prefix}key_", f"{prefix}key2_"]
+    copies, rows, at = f"{prefix}copies_", f"{prefix}rows_", f"{prefix}place_"
+    columns = [F.col(f"`{c}`") for c in docs.columns]
     named = docs.withColumns(dict(zip(key, row_key(doc_id, source, text))))
-    counts = mix(named, text, source, doc_id, keep=tuple(key)).groupBy(*key).agg(F.sum("copies").alias("mix_copies_"), F.count("*").alias("mix_rows_"))
-    counts = stored(counts.where("mix_copies_ > 0"), "copies")
+    counts = mix(named, text, source, doc_id, keep=tuple(key)).groupBy(*key).agg(F.sum("copies").alias(copies), F.count("*").alias(rows))
+    counts = stored(counts.where(f"{copies} > 0"), "copies")
 
-    def copied(rows, times):
-        return rows.withColumn("mix_copy_", F.explode(F.expr(f"array_repeat(0, cast({times} as int))"))).select(*docs.columns)
+    def copied(found, times):
+        return found.withColumn(f"{prefix}copy_", F.explode(F.expr(f"array_repeat(0, cast({times} as int))"))).select(*columns)
 
-    even = copied(named.join(counts.where("mix_copies_ % mix_rows_ = 0"), key), "mix_copies_ div mix_rows_")
-    uneven = counts.where("mix_copies_ % mix_rows_ <> 0")
+    even = copied(named.join(counts.where(f"{copies} % {rows} = 0"), key), f"{copies} div {rows}")
+    uneven = counts.where(f"{copies} % {rows} <> 0")
     if uneven.isEmpty():
         return even
     place = F.row_number().over(Window.partitionBy(*key).orderBy(key[0]))
-    ranked = named.join(uneven, key).withColumn("mix_place_", place)
-    more = copied(ranked, "mix_copies_ div mix_rows_ + if(mix_place_ <= mix_copies_ % mix_rows_, 1, 0)")
+    ranked = named.join(uneven, key).withColumn(at, place)
+    more = copied(ranked, f"{copies} div {rows} + if({at} <= {copies} % {rows}, 1, 0)")
     return even.unionByName(more)
 
 

@@ -10,13 +10,15 @@ the languages that may claim it; a word's score in a language is the sum of its
 trigrams' logarithms. Viterbi over all words of a text, with a penalty for each
 switch, labels every word; neighbouring words of one label form a span. The
 text's language is the one with the most labelled letters, its score that
-language's share of the letters.
+language's share of all letters; letters of words whose script no language uses
+count for none.
 
 Defined cases: a null text or one without letters is ``und`` with score 0 and
 no spans; with nothing learned every text is ``und``; ties of letters go to the
 language first in code point order; rows with a null label or null text teach
-nothing; a word whose script no language uses scores alike in all of them;
-texts are read whole, whatever their length; repeated rows are predicted alike.
+nothing; a word whose script no language uses scores alike in all of them, and
+a text of such words alone has the first language with score 0; languages may be
+any number; texts are read whole, whatever their length; repeated rows are predicted alike.
 """
 
 from __future__ import annotations
@@ -30,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .batches import map_batches, read_documents
+from .batches import CALL_BYTES, map_batches, read_documents
 
 #: Hash buckets of trigrams in each language.
 BUCKETS = 1 << 15
@@ -178,7 +180,8 @@ def word_scores(w: Words, model: Model) -> np.ndarray:
 def viterbi(scores: np.ndarray, counts: np.ndarray, switch: float = SWITCH) -> np.ndarray:
     """Best label of every word, for texts of ``counts`` words one after the other; all texts step together."""
     k = scores.shape[1]
-    label = np.zeros(len(scores), np.uint8)
+    kind = np.min_scalar_type(max(k - 1, 0))
+    label = np.zeros(len(scores), kind)
     order = np.argsort(-counts, kind="stable")
     counts, first = counts[order], (np.cumsum(counts) - counts)[order]
     longest = int(counts[0]) if len(counts) else 0
@@ -187,7 +190,7 @@ def viterbi(scores: np.ndarray, counts: np.ndarray, switch: float = SWITCH) -> n
     # how many texts have more than t words
     active = np.searchsorted(-counts, -np.arange(longest), side="left")
     best = np.zeros((int(active[0]), k), np.float32)
-    came = np.zeros(len(scores), np.uint8)  # best label at the word before
+    came = np.zeros(len(scores), kind)  # best label at the word before
     stay = np.zeros((len(scores), k), bool)
     for t in range(longest):
         n = active[t]
@@ -197,9 +200,9 @@ def viterbi(scores: np.ndarray, counts: np.ndarray, switch: float = SWITCH) -> n
         hop = (top - np.float32(switch))[:, None]
         stay[at] = v >= hop
         best[:n] = np.maximum(v, hop) - top[:, None] + scores[at]
-    now = best.argmax(1).astype(np.uint8)
+    now = best.argmax(1).astype(kind)
     last = first[: len(now)] + counts[: len(now)] - 1
-    held = np.zeros(len(now), np.uint8)
+    held = np.zeros(len(now), kind)
     for t in range(longest - 1, -1, -1):
         n = active[t]
         at = first[:n] + t
@@ -212,31 +215,43 @@ def viterbi(scores: np.ndarray, counts: np.ndarray, switch: float = SWITCH) -> n
 
 def predict_texts(texts: list[str | None], model: Model, switch: float = SWITCH):
     """Language, score and spans (start, end in code points, language) of each text."""
+    return _predicted(texts, model, switch)[:3]
+
+
+def _predicted(texts: list[str | None], model: Model, switch: float):
+    """``predict_texts``, and the share of each text's letters that some language claims."""
     n, k = len(texts), len(model.langs)
-    pred, score, spans = ["und"] * n, [0.0] * n, [[] for _ in range(n)]
+    pred, score, spans, claimed = ["und"] * n, [0.0] * n, [[] for _ in range(n)], [0.0] * n
     w = words_of(texts)
     if not k or not len(w.first):
-        return pred, score, spans
+        return pred, score, spans, claimed
     label = viterbi(word_scores(w, model), np.bincount(w.text, minlength=n), switch)
     share = np.zeros((n, k))
     np.add.at(share, (w.text, label), w.length)
     total = share.sum(1)
+    used = model.may[w.script[w.first]].any(1)
+    known = np.zeros((n, k))
+    np.add.at(known, (w.text[used], label[used]), w.length[used])
     for i in np.flatnonzero(total):
-        pred[i], score[i] = model.langs[int(share[i].argmax())], float(share[i].max() / total[i])
-    change = np.flatnonzero((np.diff(w.text, prepend=-1) != 0) | (np.diff(label.astype(np.int16), prepend=-1) != 0))
+        best = int(share[i].argmax())
+        pred[i], score[i], claimed[i] = model.langs[best], float(known[i, best] / total[i]), float(known[i].sum() / total[i])
+    change = np.flatnonzero((np.diff(w.text, prepend=-1) != 0) | (np.diff(label.astype(np.int64), prepend=-1) != 0))
     ends = np.append(change[1:], len(label)) - 1
     start = w.letters_at[w.first[change]]
     end = w.letters_at[w.first[ends] + w.length[ends] - 1] + 1
     for i, a, b, c in zip(w.text[change].tolist(), start.tolist(), end.tolist(), label[change].tolist()):
         spans[i].append({"start": a, "end": b, "lang": model.langs[c]})
-    return pred, score, spans
+    return pred, score, spans, claimed
 
 
 _ADDED = {
     "lang_pred": ("string", pa.string()),
     "score": ("double", pa.float64()),
     "spans": ("array<struct<start:int,end:int,lang:string>>", pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("lang", pa.string())]))),
+    "claimed": ("double", pa.float64()),
 }
+#: Languages for which a call takes its full bytes of text; with more, scores of as many words fill the memory of fewer.
+FULL_CALL = 16
 
 
 def predict(
@@ -245,19 +260,19 @@ def predict(
     text: str = "text",
     keep: tuple[str, ...] = ("doc_id",),
     switch: float = SWITCH,
-    add: tuple[str, ...] = tuple(_ADDED),
+    add: tuple[str, ...] = ("lang_pred", "score", "spans"),
     prefix: str = "",
 ) -> DataFrame:
-    """``keep`` columns with lang_pred, score and spans (those named in ``add``, behind ``prefix``) of every text."""
+    """``keep`` columns with lang_pred, score, spans and claimed (those named in ``add``, behind ``prefix``) of every text."""
 
     def make():
         def apply(batch):
-            found = dict(zip(_ADDED, predict_texts(batch.column(text).to_pylist(), model, switch)))
+            found = dict(zip(_ADDED, _predicted(batch.column(text).to_pylist(), model, switch)))
             return [pa.array(found[c], _ADDED[c][1]) for c in add]
 
         return apply
 
-    return map_batches(df, make, ", ".join(f"`{prefix}{c}` {_ADDED[c][0]}" for c in add), keep, text)
+    return map_batches(df, make, ", ".join(f"`{prefix}{c}` {_ADDED[c][0]}" for c in add), keep, text, CALL_BYTES * FULL_CALL // max(FULL_CALL, len(model.langs)))
 
 
 def held_out(doc_id) -> F.Column:

@@ -11,15 +11,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import bitmap_join, bpe, entropy_balance, lang_viterbi, pii_crf
-from .batches import row_key
+from .batches import free_name, row_key
+
+
+#: A document stays if words in scripts that some learned language uses hold this share of its letters.
+LEAST_CLAIMED = 0.5
 
 
 def language_id(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a language; those without text or a letter go."""
+    """Documents in a learned language; those without text or a letter go, and those mostly in scripts that none uses."""
     model = lang_viterbi.learn_from_documents(docs)
     columns = docs.columns
-    found = lang_viterbi.predict(docs, model, keep=tuple(columns), add=("lang_pred",), prefix="stage_")
-    return found.where("stage_lang_pred <> 'und'").select(*columns)
+    prefix = free_name(columns, "stage_")
+    found = lang_viterbi.predict(docs, model, keep=tuple(columns), add=("lang_pred", "claimed"), prefix=prefix)
+    kept = (F.col(f"`{prefix}lang_pred`") != "und") & (F.col(f"`{prefix}claimed`") >= LEAST_CLAIMED)
+    return found.where(kept).select(*[F.col(f"`{c}`") for c in columns])
 
 
 def near_duplicates(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,11 +34,13 @@ def near_duplicates(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     Rows go by id and text together: of an id with several texts, only the copies go.
     """
     found = bitmap_join.near_components(docs)
-    key = ["near_key_", "near_key2_"]
+    prefix = free_name(docs.columns, "near_")
+    key = [f"{prefix}key_", f"{prefix}key2_"]
+    own_id = f"{prefix}id_"
     names = [F.col("key").alias(key[0]), F.col("key2").alias(key[1])]
     gone = found.where("not is_first").select(*names).distinct()
-    named = docs.withColumn("near_id_", F.col("doc_id").cast("long"))
-    named = named.withColumns(dict(zip(key, row_key("near_id_", "text")))).drop("near_id_")
+    named = docs.withColumn(own_id, F.col("doc_id").cast("long"))
+    named = named.withColumns(dict(zip(key, row_key(own_id, "text")))).drop(own_id)
     # keys of copies grow with the documents: no broadcast at any size
     kept = named.join(gone.hint("merge"), key, "left_anti")
     # repeated rows of one id and text are copies too; without words, only those that have an id

@@ -234,8 +234,10 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Trees:
     known = labels.where("quality is not null and doc_id is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"))
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     # a few bytes for each of at most ``sample`` rows
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
-    table = with_statistics(rows, keep=("doc_id", "quality")).orderBy("doc_id").toArrow()
+    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("tie")).join(F.broadcast(chosen), "doc_id")
+    # of rows that share an id one teaches, so that no more than ``sample`` come to the driver
+    found = with_statistics(rows, keep=("doc_id", "quality", "tie")).groupBy("doc_id", "quality").agg(F.min(F.struct("tie", *FEATURES)).alias("s"))
+    table = found.select("doc_id", "quality", *[F.col(f"s.{c}").alias(c) for c in FEATURES]).orderBy("doc_id").toArrow()
     x = np.stack([table.column(c).to_numpy() for c in FEATURES], axis=1) if len(table) else np.zeros((0, len(FEATURES)))
     return grow(x, (table.column("quality").to_numpy() > 0).astype(float))
 

@@ -66,3 +66,29 @@ def test_repeated_learning_is_the_same(spark, tmp_path):
     docs = spark.read.parquet(f"{folder}/documents.parquet")
     one, two = (lv.learn_from_documents(docs.repartition(n)) for n in (2, 5))
     assert one.langs == two.langs and np.array_equal(one.log_p, two.log_p)
+
+
+def test_four_hundred_languages():
+    """Labels past 255 are kept: every language has words of its own."""
+    rng = random.Random(21)
+    own = [["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(9)) for _ in range(3)] for _ in range(400)]
+    langs = [f"l{k:03d}" for k in range(400)]
+    counts = np.zeros((400, lv.BUCKETS))
+    for k, words in enumerate(own):
+        counts[k] += np.bincount(lv.words_of([" ".join(words)]).trigram, minlength=lv.BUCKETS)
+    log_p = (np.log(counts + 0.5) - np.log(counts.sum(1, keepdims=True) + 0.5 * lv.BUCKETS)).astype(np.float32)
+    may = np.zeros((len(lv.SCRIPT_NAMES), 400), bool)
+    may[lv.SCRIPT_NAMES.index("latin")] = True
+    model = lv.Model(langs, log_p, may)
+    pred, score, spans = lv.predict_texts([" ".join(words * 4) for words in own], model)
+    assert pred == langs and min(score) == 1.0
+    assert all(len(s) == 1 for s in spans)
+
+
+def test_letters_of_unclaimed_scripts_count_against_the_score(spark):
+    df = spark.createDataFrame([(k, prose(random.Random(k), 30, "de"), "de") for k in range(20)], "doc_id long, text string, lang string")
+    model = lv.learn(df)
+    texts = ["漢字漢字", "die sch 漢字", "die schei", "Привет мир", ""]
+    pred, score, claimed = zip(*((p, s, c) for p, s, _, c in zip(*lv._predicted(texts, model, lv.SWITCH))))
+    assert pred == ("de", "de", "de", "de", "und")
+    assert score == (0.0, 0.75, 1.0, 0.0, 0.0) and claimed == (0.0, 0.75, 1.0, 0.0, 0.0)
