@@ -451,6 +451,14 @@ SELECT scope, treatment, first_percent, last_percent, last_percent - first_perce
             variant=True,
         ),
     }
+    cell = "max(CASE WHEN treatment = '{}' AND stage = '{}' THEN percent END)"
+    shown = [fmt_pct(cell.format(*c)) for c in (("Hormone", "I"), ("Hormone", "IV"), ("Radiation", "III"), ("Chemotherapy", "IV"))]
+    out["clinical_heat_note"] = with_base(
+        f"""
+SELECT scope, 'ADT ' || {shown[0]} || ' ถึง ' || {shown[1]} || ' · รังสีสูงสุดที่ระยะ III ' || {shown[2]} || ' · เคมีบำบัดเด่นในระยะ IV ' || {shown[3]} AS note
+FROM heatmap GROUP BY scope""",
+        "C",
+    )
     for what in ("summary", "heatmap"):
         out[f"document_parts_{what}"] = out[f"document_{what}"]
     out["document_parts_manifest"] = out["document_heads"]

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.display import heat_dark_text, heat_wash
+from ..functions.display import fmt_pct, heat_dark_text, heat_wash
 from ..functions.numeric import bit_value_sql, pct
 from ..functions.sql import E, lit
 from ..spec import CohortSpec
@@ -94,6 +94,24 @@ def heat_intensity(heatmap: DataFrame) -> DataFrame:
     )
 
 
+# The page's line under the coverage table, its modalities and stages.
+HEAT_NOTE = (
+    ("ADT ", "Hormone", "I"),
+    (" ถึง ", "Hormone", "IV"),
+    (" · รังสีสูงสุดที่ระยะ III ", "Radiation", "III"),
+    (" · เคมีบำบัดเด่นในระยะ IV ", "Chemotherapy", "IV"),
+)
+
+
+def heat_note(heatmap: DataFrame, parts: tuple[tuple[str, str, str], ...] = HEAT_NOTE) -> DataFrame:
+    """The line under the coverage table: one sentence a scope, of texts each followed by a cell's percent."""
+    cells = [
+        F.max(F.when((F.col("treatment") == value) & (F.col("stage") == stage), F.col("percent"))).alias(f"p{k}") for k, (_, value, stage) in enumerate(parts)
+    ]
+    shown = [x for k, (text, _, _) in enumerate(parts) for x in (F.lit(text), fmt_pct(f"p{k}"))]
+    return heatmap.groupBy("scope").agg(*cells).select("scope", F.concat(*shown).alias("note"))
+
+
 def stage_modality_flow(heatmap: DataFrame) -> DataFrame:
     """Q6: stage -> modality edges, the non-zero coverage cells."""
     return heatmap.where(F.col("count") > 0).select("scope", "stage", "treatment", F.col("count").alias("n"))

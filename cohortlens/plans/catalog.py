@@ -241,6 +241,10 @@ def q_clinical_coverage_heatmap(spark, sf):
     return build(spark, sf, "C").heatmap
 
 
+def q_clinical_heat_note(spark, sf):
+    return cov.heat_note(build(spark, sf, "C").heatmap)
+
+
 def q_clinical_summary(spark, sf):
     return build(spark, sf, "C").summary
 
@@ -467,6 +471,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "modality_mix_by_stage": q_modality_mix_by_stage,
     "clinical_regimen_topk": q_clinical_regimen_topk,
     "clinical_coverage_heatmap": q_clinical_coverage_heatmap,
+    "clinical_heat_note": q_clinical_heat_note,
     "clinical_summary": q_clinical_summary,
     "clinical_multimodal_by_stage": q_clinical_multimodal_by_stage,
     "clinical_document": q_clinical_document,
