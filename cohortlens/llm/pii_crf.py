@@ -430,9 +430,17 @@ def _count(spans, kind: str) -> F.Column:
     return F.size(F.filter(spans, lambda s: s["kind"] == F.lit(kind))).cast("long")
 
 
+def _base_columns() -> list[F.Column]:
+    counts = [_count("base_spans", kind).alias(f"n_{kind}") for kind in BASE_KINDS]
+    return [*counts, F.sha2(_listed(F.col("base_spans")), 256).alias("base_sha256")]
+
+
+def op5_pii_crf_base(spark, sf_dir: str) -> DataFrame:
+    """Per document: the base spans alone, which SQL can express."""
+    return detect(read_documents(spark, sf_dir, "doc_id", "text"), None).select("doc_id", *_base_columns())
+
+
 def op5_pii_crf(spark, sf_dir: str) -> DataFrame:
     """Per document: base spans by kind and their digest, and all spans."""
     docs = read_documents(spark, sf_dir, "doc_id", "text")
-    found = detect(docs, learn(docs))
-    counts = [_count("base_spans", kind).alias(f"n_{kind}") for kind in BASE_KINDS]
-    return found.select("doc_id", *counts, F.sha2(_listed(F.col("base_spans")), 256).alias("base_sha256"), _listed(F.col("all_spans")).alias("spans"))
+    return detect(docs, learn(docs)).select("doc_id", *_base_columns(), _listed(F.col("all_spans")).alias("spans"))

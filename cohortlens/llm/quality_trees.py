@@ -259,6 +259,13 @@ def judge(df: DataFrame, trees: Trees, text: str = "text", keep: tuple[str, ...]
     return map_batches(df, make, fields, keep, text)
 
 
+def op2_quality_trees_base(spark, sf_dir: str) -> DataFrame:
+    """Per document: the base counts and rules alone, which SQL can express."""
+    found = with_statistics(read_documents(spark, sf_dir, "doc_id", "text"), keep=("doc_id",))
+    failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
+    return found.select("doc_id", *BASE, failed.alias("base_failed"))
+
+
 def op2_quality_trees(spark, sf_dir: str) -> DataFrame:
     """Per document: base counts, whether the base rules fail it, the trees' score and the verdict."""
     docs = read_documents(spark, sf_dir, "doc_id", "text")

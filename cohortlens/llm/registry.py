@@ -18,6 +18,9 @@ QUERIES = {
     "op11_vector_codes": vector_codes.op11_vector_codes,
     "op12_deleted_interpolation": deleted_interpolation.op12_deleted_interpolation,
     "op13_spelling_variants": spelling.op13_spelling_variants,
+    "op2_quality_trees_base": quality_trees.op2_quality_trees_base,
+    "op5_pii_crf_base": pii_crf.op5_pii_crf_base,
+    "op12_deleted_interpolation_base": deleted_interpolation.op12_deleted_interpolation_base,
 }
 
 ORACLE_SQL: dict[str, str] = dict(oracles.SQL)

@@ -46,3 +46,11 @@ def odd_documents():
         lang = ("en", "fr", "de")[k % 3]
         rows.append((k, prose(rng, rng.randint(3, 90), lang), lang, "abc"[k % 3]))
     return rows
+
+
+def mirrored_words(n: int) -> tuple[str, str]:
+    """Two words of n letters (a power of two) that any polynomial modulo 2**64 takes for one from 1,024 letters on."""
+    word = "a"
+    while len(word) < n:
+        word += word.translate({97: "b", 98: "a"})
+    return word, word.translate({97: "b", 98: "a"})

@@ -3,7 +3,7 @@ import random
 
 from cohortlens.llm import block_anchors as ba
 
-from .small import odd_documents, prose, save
+from .small import mirrored_words, odd_documents, prose, save
 
 
 def brute(rows, size=50):
@@ -61,3 +61,10 @@ def test_longest_shared_run_below_the_size_stays(spark, tmp_path):
     rows = [(1, "x " + s + " y", None, None), (2, "z " + s + " w", None, None), (3, "x " + s + " v", None, None)]
     out = run(spark, save(spark, tmp_path, rows))
     assert out == brute(rows) and [r[2] for r in out] == [0, 0, 50]
+
+
+def test_mirrored_words_are_two(spark, tmp_path):
+    rng = random.Random(14)
+    rest = prose(rng, 49)
+    rows = [(k, f"{w} {rest}", "en", "a") for k, w in enumerate(w for n in (512, 1024, 2048) for w in mirrored_words(n))]
+    assert run(spark, save(spark, tmp_path, rows)) == brute(rows)

@@ -5,7 +5,7 @@ import numpy as np
 
 from cohortlens.llm import quality_trees as q
 
-from .small import odd_documents, prose, save
+from .small import mirrored_words, odd_documents, prose, save
 import random
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -86,3 +86,33 @@ def test_held_out_accuracy(spark, tmp_path):
     trees = q.learn(docs, known)
     out = {r.doc_id: r.score for r in q.judge(docs, trees).collect()}
     assert sum((out[i] >= 0.5) == bool(g) for i, g, _ in marks[200:]) >= 97
+
+
+def test_mirrored_words_are_two(spark):
+    for n in (512, 1024, 2048):
+        a, b = mirrored_words(n)
+        text = f"{a}\n{b}\n{a} x y {b} x y"
+        s = q.statistics(q.pa.array([text]))
+        assert (s["n_words"][0], s["word_chars"][0], s["n_symbols"][0], s["n_dup_lines"][0], s["n_repeat_words"][0]) == brute(text)
+
+
+def test_empty_tables(spark, tmp_path):
+    labels(spark, tmp_path, [])
+    assert q.op2_quality_trees(spark, save(spark, tmp_path, [])).count() == 0
+    rows = [(1, "some words", "en", "a"), (None, None, None, None)]
+    labels(spark, tmp_path / "none", [])
+    out = q.op2_quality_trees(spark, save(spark, tmp_path / "none", rows)).collect()
+    assert sorted((r.n_words, r.kept) for r in out) == [(0, False), (2, False)]
+
+
+def test_an_id_of_many_rows_teaches_once(spark):
+    docs = spark.createDataFrame([(1, f"text {k} with some words") for k in range(200)] + [(2, "b " * 60)], "doc_id long, text string")
+    marks = spark.createDataFrame([(1, 1, 0), (2, 0, 0)], "doc_id long, quality int, toxic int")
+    found = []
+    grown = q.grow
+    try:
+        q.grow = lambda x, y, *a, **k: (found.append(len(x)), grown(x, y, *a, **k))[1]
+        q.learn(docs, marks)
+    finally:
+        q.grow = grown
+    assert found == [2]

@@ -10,7 +10,7 @@ from tokenizers import Tokenizer
 from cohortlens.llm import mixing_coder as mix
 from cohortlens.llm import token_store as store
 
-from .small import odd_documents, save
+from .small import mirrored_words, odd_documents, save
 
 
 def round_trip(ids, block=mix.BLOCK):
@@ -137,15 +137,8 @@ def test_words_of_one_hash_are_told_apart(monkeypatch):
     assert found == whole
 
 
-def thue_morse(n):
-    word = "a"
-    while len(word) < n:
-        word += word.translate({97: "b", 98: "a"})
-    return word, word.translate({97: "b", 98: "a"})
-
-
 @pytest.mark.parametrize("n", [512, 1024, 2048])
 def test_mirrored_words(n):
     """Two words that every polynomial modulo 2**64 takes for one."""
-    found, whole = ids_of(list(thue_morse(n)))
+    found, whole = ids_of(list(mirrored_words(n)))
     assert found == whole and found[0] != found[1]
