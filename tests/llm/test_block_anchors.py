@@ -68,3 +68,28 @@ def test_mirrored_words_are_two(spark, tmp_path):
     rest = prose(rng, 49)
     rows = [(k, f"{w} {rest}", "en", "a") for k, w in enumerate(w for n in (512, 1024, 2048) for w in mirrored_words(n))]
     assert run(spark, save(spark, tmp_path, rows)) == brute(rows)
+
+
+def test_calls_and_a_hot_passage(spark, tmp_path, monkeypatch):
+    """A passage that most documents hold, over many calls: one entry a call in its buckets, and the same result."""
+    rng = random.Random(15)
+    passage = prose(rng, 130)
+    rows = [(k, f"{prose(rng, rng.randint(0, 40))} {passage if k % 3 else ''} {prose(rng, 30)}", "en", "a") for k in range(120)]
+    rows += [(None, passage, "en", "a"), (7, passage, "en", "a"), (-5, passage[:400], "en", "a")]
+    folder = save(spark, tmp_path, rows)
+    one = run(spark, folder)
+    assert one == brute(rows)
+    monkeypatch.setattr(ba, "CALL_BYTES", 3000)
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    assert ba.calls(docs, "text", "doc_id", 3000).count() > 20
+    assert run(spark, folder) == one
+
+
+def test_ranges_are_the_words_removed(spark, tmp_path):
+    rng = random.Random(16)
+    shared = prose(rng, 70)
+    rows = [(1, shared, "en", "a"), (2, f"before {shared} after", "en", "a"), (3, f"{shared} {prose(rng, 9)} {shared}", "en", "a")]
+    docs = spark.read.parquet(f"{save(spark, tmp_path, rows)}/documents.parquet")
+    found = {r.doc_id: (r.starts, r.ends, bytes(r.kept).decode()) for r in ba.without_repeats(docs).collect()}
+    assert found[1] == ([], [], shared) and found[2] == ([1], [71], "before after")
+    assert found[3][:2] == ([0, 79], [70, 149])
