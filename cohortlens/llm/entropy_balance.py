@@ -224,7 +224,8 @@ def mix(
     )
     place = F.row_number().over(Window.partitionBy("source", "size", "slot").orderBy(F.xxhash64(F.col("doc_id"), F.lit(7)), "doc_id", *keep))
     ranked = sized.withColumn("place", place)
-    joined = ranked.join(spread, F.expr("source <=> c_source and size = c_size and slot = c_slot"))
+    # a row for each source, size and slice: they grow with the documents, so no broadcast at any size
+    joined = ranked.join(spread.hint("merge"), F.expr("source <=> c_source and size = c_size and slot = c_slot"))
     copies = F.col("all_get") + F.when(F.col("place") <= F.col("some_get"), F.lit(1)).otherwise(F.lit(0))
     return joined.select("doc_id", "source", "size", "source_size", "target", "rate", copies.cast("long").alias("copies"), *keep)
 
