@@ -7,7 +7,7 @@ Parquet in the shared folder and read again as the next stage's ``docs``.
 from __future__ import annotations
 
 from cohortlens.llm import pipeline_stages as stages
-from cohortlens.llm.shared import shared_folder
+from cohortlens.llm.shared import remove, shared_folder
 
 STAGES = [
     ("language_id", stages.language_id),
@@ -23,9 +23,12 @@ ORACLE_SQL = None
 
 def run(spark, sf_dir: str):
     """All stages over ``documents``; the result of the last."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES[:-1]:
         path = shared_folder(spark, f"pipeline-{name}")
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if before is not None:
+            remove(spark, before)
+        before = path
     return STAGES[-1][1](spark, docs, sf_dir)
