@@ -24,12 +24,12 @@ from __future__ import annotations
 
 import numpy as np
 
-#: Ids of a block.
-BLOCK = 4096
+#: Ids of a block; a file of some million ids then fills the lanes.
+BLOCK = 2048
 #: Blocks that run in lockstep, at most.
 LANES = 4096
 TOTAL_BITS, ORDER0_BITS = 24, 17
-_TABLE1, _TABLE2 = 12, 12  # bits of the prediction tables of a block
+_TABLE1, _TABLE2 = 11, 11  # bits of the prediction tables of a block
 _CONF = 15
 #: Confidence after a miss (even places) or a hit, in the bits above the id; at 0 the prediction is replaced.
 _NEXT = np.array([c >> 1 if not hit else min(c + 1, _CONF) for c in range(_CONF + 1) for hit in (0, 1)], np.int32) << 16

@@ -33,6 +33,7 @@ from __future__ import annotations
 import os
 import struct
 import zlib
+from codecs import charmap_decode
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
@@ -48,7 +49,7 @@ from tokenizers import Tokenizer
 
 from . import mixing_coder
 from .batches import read_documents, slices, text_offsets
-from .shared import stored
+from .shared import scratch, stored
 from .words import SEPARATOR, byte_hash, eight_bytes
 
 VOCABULARY = "word_bpe_49k.json"
@@ -58,7 +59,7 @@ FILE_IDS = 8 << 20
 #: Text bytes of a call: larger calls share more words.
 TEXT_BYTES = 4 << 20
 #: Pieces whose ids a worker keeps from task to task, at most; then it starts anew.
-KEPT_WORDS = 600_000
+KEPT_WORDS = 1_500_000
 MAGIC = b"TOKMIX02"
 _HEAD = struct.Struct("<8sQQII")
 
@@ -73,7 +74,8 @@ def _tokenizer(path: str) -> Tokenizer:
 
 
 #: Byte-level stand-ins of bytes, as the tokenizer's model has them, for a text that is decoded byte by byte.
-_STAND_IN = {b: 256 + k for k, b in enumerate(b for b in range(256) if not (0x21 <= b <= 0x7E or 0xA1 <= b <= 0xAC or b >= 0xAE))}
+_MOVED = [b for b in range(256) if not (0x21 <= b <= 0x7E or 0xA1 <= b <= 0xAC or b >= 0xAE)]
+_STAND_IN = "".join(chr(256 + _MOVED.index(b) if b in _MOVED else b) for b in range(256))
 
 _SEP, _LETTER, _DIGIT, _OTHER, _ODD = range(5)
 _CLASS = np.full(256, _OTHER, np.uint8)
@@ -90,13 +92,23 @@ _SECOND[0x80:0xC0] = True
 _SECOND[[0x97, 0xB7]] = False
 
 
+def _names(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A hash of every byte range; of up to eight bytes, their number itself, with the size."""
+    size = end - start
+    kept = np.uint64(0xFFFFFFFFFFFFFFFF) >> (np.uint64(8) * (8 - np.minimum(size, 8)).astype(np.uint64))
+    name = (eight_bytes(raw)[start] & kept) ^ (size.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    long = np.flatnonzero(size > 8)
+    name[long] = byte_hash(raw, start[long], end[long])
+    return name
+
+
 def _same(raw: np.ndarray, start: np.ndarray, end: np.ndarray, other: np.ndarray) -> bool:
-    """Do all byte ranges equal the range whose number is beside them?"""
+    """Do all byte ranges equal the range of one hash with them whose number is beside them?"""
     size, eight = end - start, eight_bytes(raw)
     if not (size == size[other]).all():
         return False
     other = start[other]
-    left = np.flatnonzero(start != other)
+    left = np.flatnonzero((size > 8) & (start != other))  # ranges of up to eight bytes have one hash only if they are equal
     done = 0
     while len(left) and done < 64:
         some = np.minimum(size[left] - done, 8).astype(np.uint64)
@@ -141,7 +153,7 @@ class WordIds:
             elif odd[k]:
                 found.append(of_word[k])
             else:
-                found.append([t.id for t in merge(piece.decode("latin-1").translate(_STAND_IN))])
+                found.append([t.id for t in merge(charmap_decode(piece, "strict", _STAND_IN)[0])])
         sizes = np.array(list(map(len, found)), np.int64)
         new = np.arange(len(fresh)) + len(begin) - 1
         known.update(zip([pieces[k] for k in fresh], new.tolist()))
@@ -238,7 +250,7 @@ def pieces_of(raw: np.ndarray, at: np.ndarray):
 def encode_texts(column: pa.Array, words: WordIds) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all texts in a row, each with its end id, and the number of each text's ids."""
     raw, start, end, odd, first_piece = pieces_of(*text_offsets(column))
-    which, _ = pd.factorize(byte_hash(raw, start, end))
+    which, _ = pd.factorize(_names(raw, start, end))
     if len(which):
         order = np.zeros(int(which.max()) + 1, np.int64)
         order[which[::-1]] = np.arange(len(which))[::-1]  # the first piece of each hash
@@ -381,10 +393,11 @@ def read_documents_of(files: DataFrame) -> DataFrame:
 
 def op6_mixing_coder(spark, sf_dir: str) -> DataFrame:
     """Per document, from the files: where its ids start, how many they are, and their checksum."""
-    files = stored(token_files(read_documents(spark, sf_dir, "doc_id", "text")), "token-files")
-    read = read_documents_of(files)
-    n = (F.length("ids") / 4).cast("long")
-    rows = stored(read.select("part", "seq", "doc_id", "start", n.alias("n_tokens"), F.crc32("ids").alias("ids_crc32")), "from-files")
+    with scratch(spark):  # the files go when they have been read back
+        files = stored(token_files(read_documents(spark, sf_dir, "doc_id", "text")), "token-files")
+        read = read_documents_of(files)
+        n = (F.length("ids") / 4).cast("long")
+        rows = stored(read.select("part", "seq", "doc_id", "start", n.alias("n_tokens"), F.crc32("ids").alias("ids_crc32")), "from-files")
     # one row a file
     whole = rows.groupBy("part", "seq").agg(F.sum("n_tokens").alias("n"))
     before = Window.orderBy("part", "seq").rowsBetween(Window.unboundedPreceding, -1)

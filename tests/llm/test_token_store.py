@@ -133,6 +133,9 @@ def test_pieces_are_the_librarys():
 def test_words_of_one_hash_are_told_apart(monkeypatch):
     """With a hash that is the same for all, pieces are still compared as bytes."""
     monkeypatch.setattr(store, "byte_hash", lambda raw, start, end: np.zeros(len(start), np.uint64))
+    found, whole = ids_of(["alphabetical beta alphabetical", "beta, alphanumeric! longerwords otherwords", ""])
+    assert found == whole
+    monkeypatch.setattr(store, "_names", lambda raw, start, end: np.zeros(len(start), np.uint64))
     found, whole = ids_of(["alpha beta alpha", "beta, gamma!", ""])
     assert found == whole
 
