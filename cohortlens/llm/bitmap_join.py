@@ -22,7 +22,9 @@ changes the cost alone: the join is exact with any order).
   exactly. So no link between different components is missed, and pairs inside a
   component are not emitted.
 
-Shingles travel packed: one row for each batch and bucket.
+Shingles travel packed: one row for each batch and bucket, in which a node counts
+once, whatever its copies there. Where a tile has many nodes, they are dealt to
+blocks, and every pair of blocks is a task of its own.
 
 Defined cases: a null text, or one without words, has the empty set and is
 linked with nothing; fewer words than a shingle are one shingle, the whole
@@ -51,8 +53,8 @@ SMALL_TILE = 8
 STAR_ROUNDS, STAR_MEMBERS = 1, 3
 #: Bits for each shingle in the bitmaps of first candidates, and in those of larger tiles.
 COARSE, FINE = 1, 8
-#: Places of larger tiles that one task handles together, about.
-TASK_PLACES = 8_192
+#: Places of larger tiles that one task handles together, about, and nodes of a block where a tile has more.
+TASK_PLACES, BLOCK_NODES = 8_192, 2_048
 #: Documents whose shingles are counted for the order, about; frequent: in one of so many of them.
 ORDER_SAMPLE, FREQUENT = 8192, 256
 #: Members that one task compares with a centre, about.
@@ -184,10 +186,12 @@ def profiles(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
 
 
 def _packed(profiled: DataFrame, buckets: int) -> DataFrame:
-    """First shingles by bucket: (bucket, keys, nodes, sizes, runs), packed, one row for each batch and bucket."""
+    """First shingles by bucket: (bucket, keys, nodes, sizes, copies, runs), packed, one row for each batch and bucket; a batch's nodes once each."""
 
     def run(batches):
         for batch in batches:
+            _, once, copies = np.unique(batch.column("node").to_numpy(zero_copy_only=False).astype(np.int64), return_index=True, return_counts=True)
+            batch = batch.take(pa.array(once))
             first = batch.column("first").to_pylist()
             count = np.array([len(f) // 8 for f in first], np.int64)
             key = np.frombuffer(b"".join(first), "<u8")
@@ -199,7 +203,7 @@ def _packed(profiled: DataFrame, buckets: int) -> DataFrame:
             order = np.argsort(bucket, kind="stable")
             bucket, owner, key = bucket[order], owner[order], mixed[order].astype(np.uint32)
             edges = np.flatnonzero(np.diff(bucket, prepend=-1, append=-2))
-            rows = {c: [] for c in ("bucket", "keys", "nodes", "sizes", "runs")}
+            rows = {c: [] for c in ("bucket", "keys", "nodes", "sizes", "copies", "runs")}
             for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
                 starts = np.flatnonzero(np.diff(owner[a:b], prepend=-1))
                 who = owner[a:b][starts]
@@ -207,11 +211,12 @@ def _packed(profiled: DataFrame, buckets: int) -> DataFrame:
                 rows["keys"].append(key[a:b].tobytes())
                 rows["nodes"].append(node[who].astype(np.int64).tobytes())
                 rows["sizes"].append(size[who].astype(np.int32).tobytes())
+                rows["copies"].append(copies[who].astype(np.int64).tobytes())
                 rows["runs"].append(np.diff(starts, append=b - a).astype(np.int32).tobytes())
-            kinds = [pa.int32()] + [pa.binary()] * 4
+            kinds = [pa.int32()] + [pa.binary()] * 5
             yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(rows.values(), kinds)], list(rows))
 
-    schema = "bucket int, keys binary, nodes binary, sizes binary, runs binary"
+    schema = "bucket int, keys binary, nodes binary, sizes binary, copies binary, runs binary"
     return profiled.where("n_shingles > 0").select("first", "node", "n_shingles").mapInArrow(run, schema)
 
 
@@ -234,11 +239,12 @@ def _tile_pairs(table: pa.Table) -> pa.Table:
     runs = _joined(table.column("runs"), np.int32)
     node = np.repeat(_joined(table.column("nodes"), np.int64), runs)
     size = np.repeat(_joined(table.column("sizes"), np.int32), runs).astype(np.int64)
+    copies = np.repeat(_joined(table.column("copies"), np.int64), runs)
     order = np.lexsort((node, key))
-    key, node, size = key[order], node[order], size[order]
+    key, node, size, copies = key[order], node[order], size[order], copies[order]
     new = np.ones(len(key), bool)
     new[1:] = (key[1:] != key[:-1]) | (node[1:] != node[:-1])
-    copies = np.diff(np.flatnonzero(new), append=len(key))
+    copies = np.add.reduceat(copies, np.flatnonzero(new)) if len(key) else copies
     key, node, size = key[new], node[new], size[new]
     starts = np.flatnonzero(np.diff(key.astype(np.int64), prepend=-1))
     counts = np.diff(starts, append=len(key))
@@ -290,20 +296,24 @@ def _only(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def _clusters(places: pa.Table, bits: pa.Table):
-    """For each commonest component of a bucket's tiles: it, and its nodes by size with their labels, sizes and bitmaps."""
+    """For each cluster of a bucket, or pair of its blocks: the commonest component, the nodes by size with labels, sizes and bitmaps, and which are of the second block."""
     node, n = bits.column("node").to_numpy(), bits.column("n").to_numpy()
     fine = bits.column("bits").to_pylist()
     order = np.argsort(node)
-    main, who, label = (places.column(c).to_numpy() for c in ("main", "node", "label"))
-    first = np.unique(np.stack([main, who]), axis=1, return_index=True)[1]
-    main, who, label = main[first], who[first], label[first]
+    main, share, part, who, label, block = (places.column(c).to_numpy() for c in ("main", "share", "part", "node", "label", "block"))
+    second = block != part >> 32  # a part is (left block, right block)
+    # a node may be in several tiles of a cluster
+    first = np.unique(np.stack([main, share, part, who]), axis=1, return_index=True)[1]
+    main, share, part, who, label, second = (v[first] for v in (main, share, part, who, label, second))
     at = order[np.searchsorted(node[order], who)]
-    by = np.lexsort((who, n[at], main))
-    edges = np.flatnonzero(np.diff(main[by], prepend=main[by[0]] - 1, append=main[by[-1]] + 1)) if len(by) else []
+    by = np.lexsort((who, n[at], part, share, main))
+    fresh = np.ones(len(by), bool)
+    fresh[1:] = (main[by][1:] != main[by][:-1]) | (share[by][1:] != share[by][:-1]) | (part[by][1:] != part[by][:-1])
+    edges = np.append(np.flatnonzero(fresh), len(by))
     for a, b in zip(edges[:-1], edges[1:]):
         own = by[a:b]
         if len(np.unique(label[own])) > 1:
-            yield int(main[own[0]]), who[own], label[own], n[at[own]], [fine[k] for k in at[own].tolist()]
+            yield int(main[own[0]]), who[own], label[own], n[at[own]], [fine[k] for k in at[own].tolist()], second[own]
 
 
 def _near_pairs(i: int, others: np.ndarray, who, n, fine, found: set) -> None:
@@ -323,17 +333,19 @@ def _tile_round(turn: int | None):
 
     def run(places: pa.Table, bits: pa.Table) -> pa.Table:
         found: set[tuple[int, int]] = set()
-        for main, who, label, n, fine in _clusters(places, bits):
+        for main, who, label, n, fine, second in _clusters(places, bits):
             members = np.flatnonzero(label == main)
             others = np.flatnonzero(label != main)
+            two = bool(second.any())  # of two blocks, only pairs between them
             if turn is not None:
                 spread = mix64(who[members].view(np.uint64) + np.uint64(turn))
                 for i in members[np.argsort(spread)[:STAR_MEMBERS]].tolist():
-                    _near_pairs(i, others, who, n, fine, found)
+                    _near_pairs(i, others[second[others] != second[i]] if two else others, who, n, fine, found)
                 continue
             for i in others.tolist():
                 # with members, and with others of larger size (or place) once
                 rest = np.concatenate([members, others[others > i]])
+                rest = rest[second[rest] != second[i]] if two else rest
                 _near_pairs(i, rest[label[rest] != label[i]], who, n, fine, found)
         pairs = np.array(sorted(found), np.int64).reshape(-1, 2)
         return pa.Table.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], schema=_PAIR)
@@ -344,15 +356,23 @@ def _tile_round(turn: int | None):
 def _dealt(places: DataFrame, nodes: DataFrame, buckets: int) -> tuple[DataFrame, DataFrame]:
     """Places of larger tiles by bucket, those of tiles with one commonest component together, and the bitmaps of each bucket.
 
-    A component with very many places is dealt to several buckets, by tile.
+    A component with very many places is dealt to several buckets, by tile: a cluster
+    is a share of its tiles. Where one of its tiles has many nodes, they are dealt to
+    blocks, and each pair of blocks (a block with itself too) is a part with a bucket
+    of its own.
     """
     count = places.groupBy("tile", "label").agg(F.count("*").alias("n"))
     main = count.groupBy("tile").agg(F.max_by("label", F.struct("n", "label")).alias("main"), F.sum("n").alias("n"))
-    load = main.groupBy("main").agg(F.ceil(F.sum("n") / TASK_PLACES).alias("shares"))
-    share = F.pmod(F.xxhash64("tile"), F.col("shares"))
-    bucket = F.pmod(F.xxhash64("main", share), F.lit(buckets)).cast("int")
-    with_main = places.join(main.join(load, "main").select("tile", "main", bucket.alias("bucket")), "tile")
-    here = stored(with_main, "dealt")
+    blocks = F.ceil(F.max("n") / BLOCK_NODES).cast("int")
+    load = main.groupBy("main").agg(F.ceil(F.sum("n") / TASK_PLACES).alias("shares"), blocks.alias("blocks"))
+    share = F.pmod(F.xxhash64("tile"), F.col("shares")).cast("int")
+    with_main = places.join(main.join(load, "main").select("tile", "main", share.alias("share"), "blocks"), "tile")
+    cut = with_main.withColumn("block", F.pmod(F.xxhash64("node", F.lit(5)), F.col("blocks")).cast("int"))
+    # a node is in the pairs of its block with every block
+    pair = "transform(sequence(0, blocks - 1), o -> shiftleft(cast(least(block, o) as bigint), 32) + greatest(block, o))"
+    parts = cut.select("main", "share", "node", "label", "block", F.explode(F.expr(pair)).alias("part"))
+    bucket = F.pmod(F.xxhash64("main", "share", "part"), F.lit(buckets)).cast("int")
+    here = stored(parts.select(bucket.alias("bucket"), "main", "share", "part", "node", "label", "block"), "dealt")
     bits = here.select("bucket", "node").distinct().join(nodes, "node").select("bucket", "node", "n", "bits")
     return here, stored(bits, "tile-bits")
 
@@ -365,10 +385,12 @@ def bounded(pairs: DataFrame, bits: DataFrame) -> DataFrame:
         for batch in batches:
             n_a, n_b = (batch.column(c).to_numpy() for c in ("n_a", "n_b"))
             only = np.zeros((2, len(n_a)), np.int64)
-            for k, (x, y) in enumerate(zip(batch.column("bits_a").to_pylist(), batch.column("bits_b").to_pylist())):
-                w = min(len(x), len(y))
-                x, y = folded(x, w), folded(y, w)
-                only[0, k], only[1, k] = np.bitwise_count(x & ~y).sum(), np.bitwise_count(y & ~x).sum()
+            left, right = batch.column("bits_a").to_pylist(), batch.column("bits_b").to_pylist()
+            width = np.array([min(len(x), len(y)) for x, y in zip(left, right)], np.int64)
+            for w in np.unique(width).tolist():
+                own = np.flatnonzero(width == w)
+                x, y = (np.stack([folded(side[k], w) for k in own.tolist()]) for side in (left, right))
+                only[0, own], only[1, own] = _only(x, y), _only(y, x)
             yield batch.select(["a", "b"]).filter(pa.array(may_link(n_a, n_b, only[0], only[1])))
 
     joined = pairs.join(sides["a"], "a").join(sides["b"], "b").select("a", "b", "n_a", "n_b", "bits_a", "bits_b")

@@ -6,7 +6,7 @@ import numpy as np
 from cohortlens.llm import bitmap_join as bj
 from cohortlens.llm.components import components
 
-from .small import odd_documents, prose, save
+from .small import mirrored_words, odd_documents, prose, save
 
 FOLD = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 
@@ -84,6 +84,39 @@ def test_chains_in_larger_tiles(spark, tmp_path, monkeypatch):
     assert run(spark, save(spark, tmp_path, rows)) == brute(rows)
 
 
+def test_large_tiles_are_cut_into_pairs_of_blocks(spark, tmp_path, monkeypatch):
+    """A passage that most documents share, unlinked, with linked groups among them: every pair of blocks is looked at."""
+    monkeypatch.setattr(bj, "SMALL_TILE", 2)
+    monkeypatch.setattr(bj, "BLOCK_NODES", 5)
+    rng = random.Random(6)
+    passage = prose(rng, 60)
+    rows = [(k, passage + " " + prose(rng, 50), "en", "a") for k in range(60)]
+    for k in range(20):  # near copies of some, far apart in id
+        words = rows[3 * k][1].split()
+        words[rng.randrange(len(words))] = "changed"
+        rows.append((500 - k, " ".join(words), "en", "a"))
+    rows += [(1000 + k, rows[5][1], "en", "a") for k in range(30)]
+    expected = brute(rows)
+    assert run(spark, save(spark, tmp_path, rows)) == expected
+    monkeypatch.setattr(bj, "TASK_PLACES", 40)
+    assert run(spark, save(spark, tmp_path / "b", rows)) == expected
+
+
+def test_copies_are_packed_once(spark):
+    """Copies of a text add no keys to a batch's buckets."""
+    rng = random.Random(4)
+    text = prose(rng, 40)
+    df = bj.keyed(spark.createDataFrame([(k, text if k % 3 else prose(rng, 40)) for k in range(60)], "doc_id long, text string"))
+    found = bj.profiles(df.coalesce(1), np.zeros(0, np.uint64))
+    packed = bj._packed(found, 4).collect()
+    assert sum(len(r.nodes) // 8 for r in packed) <= 4 * 21
+
+
+def test_mirrored_words_are_two(spark, tmp_path):
+    rows = [(k, w, "en", "a") for k, w in enumerate(w for n in (512, 1024, 2048) for w in mirrored_words(n))]
+    assert run(spark, save(spark, tmp_path, rows)) == brute(rows)
+
+
 def test_order_of_shingles_changes_nothing(spark, tmp_path, monkeypatch):
     rng = random.Random(3)
     rows = groups(rng, 0, 12, 10)
