@@ -9,6 +9,7 @@ import pytest
 
 from cohortlens.plans import ingest
 from cohortlens.sources.exports import SLICE, write_text
+from cohortlens.sources.tables import SPLIT_BITS, TableSource
 
 SEGMENTS = ("BUILDING", "AUTOMOBILE", "MACHINERY", "HOUSEHOLD", "FURNITURE")
 BOOKS = 60
@@ -46,3 +47,13 @@ def test_text_rows_in_order_of_books(spark, tables):
     got = sorted((r.place, r.hn, r.year) for r in ingest.q_text_events(spark, folder).collect())
     wanted = sorted(orders, key=lambda o: (o[1] is None, o[1] is not None and o[1] // SLICE, o[0]))
     assert got == [(n + 1, None if c is None else str(c), str(d.year)) for n, (_, c, d) in enumerate(wanted)]
+
+
+def test_splits_grow_with_the_files(spark, tmp_path):
+    lines = ["HN,v", *(f"{n},{'x' * 40}" for n in range(50_000))]
+    (tmp_path / "t").mkdir()
+    (tmp_path / "t" / "a.csv").write_text("\n".join(lines) + "\n", encoding="utf-8")
+    source = TableSource(str(tmp_path / "t"), {"hn": "HN"}, format="csv")
+    rows = ingest._in_splits(spark, source, "text-split").selectExpr("hn", f"shiftright(row_idx, {SPLIT_BITS}) as split", "row_idx").collect()
+    assert 1 < len({r.split for r in rows}) <= ingest.PIECES + 1
+    assert [r.hn for r in sorted(rows, key=lambda r: r.row_idx)] == [str(n) for n in range(50_000)]
