@@ -4,12 +4,19 @@ from __future__ import annotations
 
 import datetime
 import glob
+import io
+import sys
+import zipfile
+from xml.etree import ElementTree
 
 import pytest
 
 from cohortlens.plans import ingest
-from cohortlens.sources.exports import SLICE, write_text
+from cohortlens.sources import workbook
+from cohortlens.sources.exports import SLICE, WorkbookWriter, write_text
 from cohortlens.sources.tables import SPLIT_BITS, TableSource
+from cohortlens.sources.workbook import Workbook
+from cohortlens.spec import TPCH_STAGE_SEGMENTS
 
 SEGMENTS = ("BUILDING", "AUTOMOBILE", "MACHINERY", "HOUSEHOLD", "FURNITURE")
 BOOKS = 60
@@ -57,3 +64,58 @@ def test_splits_grow_with_the_files(spark, tmp_path):
     rows = ingest._in_splits(spark, source, "text-split").selectExpr("hn", f"shiftright(row_idx, {SPLIT_BITS}) as split", "row_idx").collect()
     assert 1 < len({r.split for r in rows}) <= ingest.PIECES + 1
     assert [r.hn for r in sorted(rows, key=lambda r: r.row_idx)] == [str(n) for n in range(50_000)]
+
+
+def test_workbook_sheets_are_parsed_once(spark, tables):
+    """The branches of a build share one exchange an input, so each of the three sheets is parsed in one place."""
+    summary = ingest.q_workbook_summary(spark, tables[0])
+    everyone = next(r for r in summary.collect() if r.scope == "all")
+    known = {c for _, c, _ in tables[1] if c is not None and SEGMENTS[(c // SLICE + c % SLICE) % 5] in TPCH_STAGE_SEGMENTS}
+    assert (everyone.known_patients, everyone.treatment_events) == (len(known), 3 * len(known))
+    plan = summary._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("MapInArrow") == 3
+
+
+def test_sheet_work_per_cell():
+    """Python calls for a cell of a sheet, whatever the number of its rows; rows done are dropped."""
+    writer = WorkbookWriter()
+    for n in range(3000):
+        writer.row("s", n, [f"n{n}", f"i{n}", f"s{n % 7}", f"f{n}"])
+    book, calls = Workbook(writer.content(), "b"), 0
+
+    def count(frame, event, arg):
+        nonlocal calls
+        calls += event in ("call", "c_call")
+
+    sys.setprofile(count)
+    try:
+        got = list(book.rows("s"))
+    finally:
+        sys.setprofile(None)
+    assert got == [(n, {0: str(n), 1: str(n), 2: str(n % 7), 3: str(n)}) for n in range(3000)]
+    assert calls < 30 * 4 * 3000
+
+
+@pytest.mark.parametrize("chunk", [1, 7, 1 << 16])
+def test_sheet_in_chunks(monkeypatch, chunk):
+    """Rows that lie in several chunks are whole; what follows the rows is no row, and need not be sound."""
+    monkeypatch.setattr(workbook, "CHUNK_BYTES", chunk)
+    head = '<?xml version="1.0"?><w xmlns="u"><dims/><sheetData>'
+    rows = '<row r="2"><c r="B2"><v>1</v></c><c><v>2</v></c></row><row/><row r="9"><c t="b"><v>1</v></c></row>'
+    wanted = [(1, {1: "1", 2: "2"}), (2, {}), (8, {0: "True"})]
+    tail = '</sheetData><a><row r="3"/></a>'
+    for text, there in ((f"{head}{rows}{tail}</w>", wanted), (f"{head}{rows}{tail}<b></w>", wanted), (f"{head}</sheetData></w>", []), (f"{head[:-11]}</w>", [])):
+        assert list(_book(text).rows("s")) == there
+    assert list(_book(f"{head}{rows}{tail}</w>").rows("s", last=2)) == wanted[:2]
+    with pytest.raises(ElementTree.ParseError):
+        list(_book(f"{head}{rows}<row>{tail}</w>").rows("s"))
+
+
+def _book(sheet: str) -> Workbook:
+    writer, out = WorkbookWriter(), io.BytesIO()
+    writer.row("s", 0, [])
+    whole = zipfile.ZipFile(io.BytesIO(writer.content()))
+    with zipfile.ZipFile(out, "w") as z:
+        for part in whole.namelist():
+            z.writestr(part, sheet if part == "xl/worksheets/sheet1.xml" else whole.read(part))
+    return Workbook(out.getvalue(), "b")
