@@ -22,7 +22,8 @@ changes the cost alone: the join is exact with any order).
   exactly. So no link between different components is missed, and pairs inside a
   component are not emitted.
 
-Shingles travel packed: one row for each batch and bucket, in which a node counts
+What later steps read of a document is written apart, and a step's folder goes when
+its last reader has ended. Shingles travel packed: one row for each batch and bucket, in which a node counts
 once, whatever its copies there. Where a tile has many nodes, they are dealt to
 blocks, and every pair of blocks is a task of its own.
 
@@ -43,7 +44,7 @@ from pyspark.sql import functions as F
 
 from .batches import map_batches, read_documents, row_key, slices
 from .components import components
-from .shared import scratch, stored
+from .shared import done_with, scratch, small_batches, stored
 from .words import Texts, mix64, read_texts, run_hash, windows
 
 SHINGLE = 5
@@ -56,7 +57,9 @@ COARSE, FINE = 1, 8
 #: Places of larger tiles that one task handles together, about, and nodes of a block where a tile has more.
 TASK_PLACES, BLOCK_NODES = 8_192, 2_048
 #: Documents whose shingles are counted for the order, about; frequent: in one of so many of them.
-ORDER_SAMPLE, FREQUENT = 8192, 256
+ORDER_SAMPLE, FREQUENT = 8192, 1024
+#: Slots in which words of the sample are counted, by hash, and steps of rarity in a doubling of the count.
+WORD_SLOTS, RARITY = 1 << 18, 4
 #: Members that one task compares with a centre, about.
 CENTRE_SHARE = 256
 
@@ -64,8 +67,23 @@ CENTRE_SHARE = 256
 # ---------------------------------------------------------------- sets
 
 
+def word_slot(t: Texts) -> np.ndarray:
+    """Slot in which each word is counted."""
+    return (mix64(t.hash ^ np.uint64(0x27D4EB2F165667C5)) % np.uint64(WORD_SLOTS)).astype(np.int64)
+
+
+def ranked_sets(t: Texts, ranks: np.ndarray, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``shingle_sets``, and each shingle's rank: the sum of its words' (``word_ranks``)."""
+    total = np.concatenate([[0], np.cumsum(ranks[word_slot(t)], dtype=np.int64)])
+    return _sets(t, size, total)
+
+
 def shingle_sets(t: Texts, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
     """All texts' sets, sorted, one after the other, and the first place of each (and the end)."""
+    return _sets(t, size)[:2]
+
+
+def _sets(t: Texts, size: int, total: np.ndarray | None = None):
     at = windows(t, size)
     owner, value = t.text[at], run_hash(t, at, size)
     short = np.flatnonzero((t.count > 0) & (t.count < size))
@@ -73,12 +91,15 @@ def shingle_sets(t: Texts, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]
         whole = [run_hash(t, t.first[short[t.count[short] == k]], k) for k in range(1, size)]
         owner = np.concatenate([owner, *[short[t.count[short] == k] for k in range(1, size)]])
         value = np.concatenate([value, *whole])
+    if total is not None:
+        starts = np.concatenate([at, *[t.first[short[t.count[short] == k]] for k in range(1, size)]])
+        rank = (total[starts + np.minimum(t.count[owner], size)] - total[starts]).astype(np.uint16)
     order = np.lexsort((value, owner))
     owner, value = owner[order], value[order]
     new = np.ones(len(value), bool)
     new[1:] = (value[1:] != value[:-1]) | (owner[1:] != owner[:-1])
     owner, value = owner[new], value[new]
-    return value, np.searchsorted(owner, np.arange(len(t.count) + 1))
+    return value, np.searchsorted(owner, np.arange(len(t.count) + 1)), None if total is None else rank[order][new]
 
 
 def _sums(values: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -123,13 +144,36 @@ def _node(values: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return one.view(np.int64), two.view(np.int64)
 
 
+def _chosen(docs: DataFrame, share: float) -> DataFrame:
+    return docs.where(F.pmod(F.xxhash64("key", F.lit(3)), F.lit(1 << 20)) < int(share * (1 << 20)) + 1).select("text")
+
+
+def word_ranks(docs: DataFrame, sample: int = ORDER_SAMPLE) -> np.ndarray:
+    """By slot, the steps by which the words there are frequent in a sample; 0 for words that it lacks."""
+    n = docs.count()
+
+    def count(batches):
+        for batch in batches:
+            for part in slices(batch, "text"):
+                times = np.bincount(word_slot(read_texts(part.column("text"), lower_ascii=True)), minlength=WORD_SLOTS)
+                found = np.flatnonzero(times)
+                yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(times[found].astype(np.int64))], ["slot", "n"])
+
+    times = np.zeros(WORD_SLOTS, np.int64)
+    if n:
+        counted = _chosen(docs, min(1.0, sample / n)).mapInArrow(count, "slot bigint, n bigint").groupBy("slot").agg(F.sum("n").alias("n"))
+        found = counted.toArrow()
+        times[found.column("slot").to_numpy()] = found.column("n").to_numpy()
+    return np.minimum(RARITY * np.log2(1 + times), 255).astype(np.uint8)
+
+
 def frequent_shingles(docs: DataFrame, sample: int = ORDER_SAMPLE, one_of: int = FREQUENT) -> np.ndarray:
     """Shingles in at least one of ``one_of`` sampled documents: at most ``one_of`` times the mean set size of them."""
     n = docs.count()
     if not n:
         return np.zeros(0, np.uint64)
     share = min(1.0, sample / n)
-    chosen = docs.where(F.pmod(F.xxhash64("key", F.lit(3)), F.lit(1 << 20)) < int(share * (1 << 20)) + 1)
+    chosen = _chosen(docs, share)
 
     def count(batches):
         for batch in batches:
@@ -138,32 +182,30 @@ def frequent_shingles(docs: DataFrame, sample: int = ORDER_SAMPLE, one_of: int =
                 found, times = np.unique(values, return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(times.astype(np.int64))], ["shingle", "n"])
 
-    counted = chosen.select("text").mapInArrow(count, "shingle bigint, n bigint").groupBy("shingle").agg(F.sum("n").alias("n"))
+    counted = chosen.mapInArrow(count, "shingle bigint, n bigint").groupBy("shingle").agg(F.sum("n").alias("n"))
     least = max(8, int(share * n / one_of))
     found = counted.where(F.col("n") >= least).select("shingle").toArrow()
     return np.sort(found.column(0).to_numpy().astype(np.int64).view(np.uint64))
 
 
-def profiles(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
+def profiles(docs: DataFrame, frequent: np.ndarray, ranks: np.ndarray | None = None) -> DataFrame:
     """doc_id, key, key2, n_shingles, node, check (second name), first (packed first shingles in the join's order), coarse, fine (bitmaps)."""
 
+    ranks = np.zeros(WORD_SLOTS, np.uint8) if ranks is None else ranks
+
     def make():
         def apply(batch):
-            values, at = shingle_sets(read_texts(batch.column("text"), lower_ascii=True))
+            values, at, rank = ranked_sets(read_texts(batch.column("text"), lower_ascii=True), ranks)
             n = np.diff(at)
             node, check = _node(values, at)
-            late = np.zeros(len(values), bool)
             if len(frequent):
                 place = np.minimum(np.searchsorted(frequent, values), len(frequent) - 1)
-                late = frequent[place] == values
+                rank = rank + (frequent[place] == values) * np.uint16(1 << 15)
             first, coarse, fine = [], [], []
             for a, b in zip(at[:-1].tolist(), at[1:].tolist()):
-                own, rare = values[a:b], ~late[a:b]
-                head = (b - a) // 4 + 1
-                keys = own[rare][:head]
-                if len(keys) < head:
-                    keys = np.concatenate([keys, own[~rare][: head - len(keys)]])
-                first.append(keys.tobytes())
+                own = values[a:b]
+                # by rank, those of one rank by value
+                first.append(own[np.argsort(rank[a:b], kind="stable")[: (b - a) // 4 + 1]].tobytes())
                 coarse.append(bitmap(own, COARSE) if b > a else b"")
                 fine.append(bitmap(own, FINE) if b > a else b"")
             empty = pa.array(n == 0)
@@ -456,7 +498,7 @@ def near_components(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
     set. A component's first row has its smallest id, null last, then the smallest
     keys (equal rows are first together); rows without words are first.
     """
-    with scratch(docs.sparkSession):
+    with scratch(docs.sparkSession), small_batches(docs.sparkSession):
         return stored(_near_components(docs, text, doc_id), "near-components")
 
 
@@ -464,14 +506,18 @@ def _near_components(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
     spark = docs.sparkSession
     docs = keyed(docs, text, doc_id)
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    found = stored(profiles(docs, frequent_shingles(docs)), "profiles")
-    named = found.where("n_shingles > 0")
+    profiled = stored(profiles(docs, frequent_shingles(docs), word_ranks(docs)), "profiles")
+    named = profiled.where("n_shingles > 0")
     row = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key", "key2")
     nodes = stored(
         named.groupBy("node").agg(F.min(row).alias("row"), F.first("n_shingles").alias("n"), F.count("*").alias("n_copies")), "nodes"
     )
-    coarse, fine = (named.groupBy("node").agg(F.first("n_shingles").alias("n"), F.first(c).alias("bits")) for c in ("coarse", "fine"))
-    tiles = stored(_packed(found, buckets).groupBy("bucket").applyInArrow(_tile_pairs, _schema(_TILES)), "tiles")
+    tiles = stored(_packed(profiled, buckets).groupBy("bucket").applyInArrow(_tile_pairs, _schema(_TILES)), "tiles")
+    # what is left of the profiles: no first shingles, and bitmaps once a node
+    found = stored(profiled.select("doc_id", "key", "key2", "n_shingles", "node"), "rows")
+    bits = stored(named.groupBy("node").agg(F.first("n_shingles").alias("n"), F.first("coarse").alias("coarse"), F.first("fine").alias("fine")), "bits")
+    done_with(profiled)
+    coarse, fine = (bits.select("node", "n", F.col(c).alias("bits")) for c in ("coarse", "fine"))
     pairs = stored(bounded(tiles.where("kind = 0").select("a", "b").distinct(), coarse), "pairs")
     places = tiles.where("kind = 1").select("tile", F.col("a").alias("node"))
     wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).union(places.select("node"))
@@ -490,6 +536,7 @@ def _near_components(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
         make = _tile_round(turn if turn < STAR_ROUNDS else None)
         more = here.groupBy("bucket").cogroup(own.groupBy("bucket")).applyInArrow(make, _schema(_PAIR))
         more = stored(more.distinct(), f"tile-pairs-{turn}")
+        done_with(here, own)
         label = stored(joined_labels(label, verified(more, texts)), f"labels-{turn}")
         places = places.drop("label")
     known = nodes.join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import stored
+from .shared import done_with, stored
 
 MOST_ROUNDS = 60
 
@@ -36,7 +36,8 @@ def components(links: DataFrame) -> DataFrame:
     edges = stored(links.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "links")
     sign = None
     for _ in range(MOST_ROUNDS):
-        edges = stored(_star(_star(edges, True), False), "stars")
+        before, edges = edges, stored(_star(_star(edges, True), False), "stars")
+        done_with(before)
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if sign == tuple(now):
             break

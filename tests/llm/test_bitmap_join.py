@@ -1,9 +1,12 @@
+import os
 import random
+import uuid
 from itertools import combinations
 
 import numpy as np
 
 from cohortlens.llm import bitmap_join as bj
+from cohortlens.llm import shared
 from cohortlens.llm.components import components
 
 from .small import mirrored_words, odd_documents, prose, save
@@ -171,3 +174,42 @@ def test_a_row_without_an_id_joins_its_neighbours(spark, tmp_path):
     found = bj.op9_bitmap_join(spark, save(spark, tmp_path, rows)).collect()
     want = [(i, len(s), None if k > 3 else 1) for k, (i, s) in enumerate(sets_of(rows))]
     assert sorted(map(tuple, found), key=str) == sorted(want, key=str)
+
+
+def common_words(rng, n):
+    """Documents of a few common words around words of their own: no two share a passage, many share short runs."""
+    return [(k, " ".join([rng.choice(["of", "the", "and", "a"]) for _ in range(40)] + [prose(rng, 1) + f"x{k}y{j}" for j in range(20)]), "en", "a") for k in range(n)]
+
+
+def test_common_words_make_no_tiles(spark, tmp_path, monkeypatch):
+    """First shingles are of rare words, so tiles do not grow with the documents that share common ones."""
+    rows = common_words(random.Random(21), 60)
+    monkeypatch.setattr(bj, "frequent_shingles", lambda docs: np.zeros(0, np.uint64))
+    made, stored = {}, bj.stored
+
+    def noted(df, name):
+        out = stored(df, name)
+        made[name] = out.count()
+        return out
+
+    monkeypatch.setattr(bj, "stored", noted)
+    assert run(spark, save(spark, tmp_path, rows)) == brute(rows)
+    assert made["tiles"] == 0 and made["texts"] == 0
+
+
+def test_folders_go_after_their_last_reader(spark, tmp_path, monkeypatch):
+    rows = groups(random.Random(22), 0, 6, 12)
+    monkeypatch.setattr(bj, "SMALL_TILE", 2)
+    there, stored, folder = {}, bj.stored, tmp_path / "shared"
+    folder.mkdir()
+
+    def noted(df, name):
+        there[name] = {f.rpartition(".")[0] for f in os.listdir(folder)}
+        return stored(df, name)
+
+    monkeypatch.setattr(bj, "stored", noted)
+    monkeypatch.setattr(shared, "shared_folder", lambda spark, name: f"{folder}/{name}.{len(os.listdir(folder))}-{uuid.uuid4().hex}")
+    assert run(spark, save(spark, tmp_path, rows)) == brute(rows)
+    assert "profiles" in there["tiles"] and "profiles" not in there["pairs"] | there["texts"]
+    assert there["labels-0"] and not {"dealt", "tile-bits"} & there["labels-0"]
+    assert {f.rpartition(".")[0] for f in os.listdir(folder)} == {"near-components"}

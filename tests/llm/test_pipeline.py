@@ -1,10 +1,12 @@
 import random
 
+import numpy as np
+
 import corpus_pipeline
-from cohortlens.llm import bpe, entropy_balance, lang_viterbi, pii_crf
+from cohortlens.llm import bitmap_join, bpe, entropy_balance, lang_viterbi, pii_crf
 
 from .small import odd_documents, prose, save
-from .test_bitmap_join import brute, groups
+from .test_bitmap_join import brute, common_words, groups
 
 
 def test_stages_take_effect(spark, tmp_path):
@@ -111,3 +113,22 @@ def test_columns_named_like_the_stages_own(spark):
         out = stage(spark, df, "")
         assert out.columns == df.columns, name
         assert {tuple(r[5:]) for r in out.collect()} == {("s", 5, "n", "m", 3, 1, "c")}, name
+
+
+def test_near_duplicates_gather_only_texts_that_may_be_near(spark, tmp_path, monkeypatch):
+    """Common words in every document bring no further texts and places: one near copy, two texts."""
+    rows = common_words(random.Random(23), 40)
+    rows.append((90, rows[7][1] + " end", "en", "a"))
+    monkeypatch.setattr(bitmap_join, "frequent_shingles", lambda docs: np.zeros(0, np.uint64))
+    made, stored = {}, bitmap_join.stored
+
+    def noted(df, name):
+        out = stored(df, name)
+        made[name] = out.count()
+        return out
+
+    monkeypatch.setattr(bitmap_join, "stored", noted)
+    docs = spark.read.parquet(f"{save(spark, tmp_path, rows)}/documents.parquet")
+    kept = dict(corpus_pipeline.STAGES)["near_duplicates"](spark, docs, str(tmp_path))
+    assert sorted(r.doc_id for r in kept.collect()) == list(range(40))
+    assert made["texts"] == 2 and made["places-0"] == 0
