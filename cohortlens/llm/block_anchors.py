@@ -15,7 +15,8 @@ with the windows that are hits somewhere: those of a document above the smallest
 block, and blocks of a document below the largest window. Around its hits a call
 asks for the windows of twice the length with the smallest document that has them,
 and learns the smallest of all calls. Nothing is emitted in pairs, and a window
-that very many documents hold is one entry a call.
+that very many documents hold is one entry a call. Calls and answers go to Python
+in small batches, since what a batch takes lies outside the heap.
 
 Windows are compared by 64-bit hashes of the words' 64-bit hashes.
 
@@ -39,7 +40,7 @@ from pyspark.sql import functions as F
 
 from .batches import read_documents, slices, text_offsets
 from .calls import bucket_of, by_row, pack, pack_keys, texts_of_call, unpack, unpack_keys
-from .shared import scratch, stored
+from .shared import done_with, scratch, small_batches, stored
 from .words import Texts, read_texts, run_hash, windows
 
 BLOCK = 25
@@ -268,7 +269,7 @@ def without_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     words outside them, joined by one space, as bytes.
     """
     spark = docs.sparkSession
-    with scratch(spark):
+    with scratch(spark), small_batches(spark):
         packed = stored(calls(docs, text, doc_id, CALL_BYTES), "anchor-calls")
         buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), packed.count() // CALLS_A_BUCKET)
 
@@ -295,6 +296,7 @@ def without_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
         no_questions = pa.schema([(f.split()[0], kinds[f.split()[1]]) for f in _ASK.split(", ")]).empty_table()
         more = packed.groupBy("call").cogroup(hits.groupBy("call")).applyInArrow(extended, _ASK)
         repeats = stored(more.groupBy("bucket").applyInArrow(_smallest, _ANSWER_SQL), "anchor-repeats")
+        done_with(hits)
 
         def cut(call: pa.Table, answers: pa.Table) -> pa.Table:
             return _cut(next(by_row(call.to_batches())), answers, block)

@@ -93,3 +93,18 @@ def test_ranges_are_the_words_removed(spark, tmp_path):
     found = {r.doc_id: (r.starts, r.ends, bytes(r.kept).decode()) for r in ba.without_repeats(docs).collect()}
     assert found[1] == ([], [], shared) and found[2] == ([1], [71], "before after")
     assert found[3][:2] == ([0, 79], [70, 149])
+
+
+def test_calls_go_to_python_in_small_batches(spark, tmp_path, monkeypatch):
+    """What a batch takes lies outside the JVM's heap and in Python: a few calls at a time, and the session is as before."""
+    key, sizes, stored = "spark.sql.execution.arrow.maxBytesPerBatch", [], ba.stored
+    before = spark.conf.get(key)
+
+    def noted(df, name):
+        sizes.append(int(spark.conf.get(key)))
+        return stored(df, name)
+
+    monkeypatch.setattr(ba, "stored", noted)
+    rows = odd_documents()
+    assert run(spark, save(spark, tmp_path, rows)) == brute(rows)
+    assert len(sizes) == 4 and max(sizes) <= 4 << 20 and spark.conf.get(key) == before
